@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from scriptorium.llm import simhash
+from scriptorium.llm import crf, linededup, packing, ppm, simhash
 
 
 def _read(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -16,5 +17,59 @@ def op2_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(_read(spark, folder, "documents"), words=4, max_bits=4)
 
 
-QUERIES = {"op2_simhash": op2_simhash}
-ORACLES: dict[str, str] = {}
+def op4_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    """doc_id, held_out, lang_pred, score of every document; learnt from the documents that aren't held out."""
+    docs = _read(spark, folder, "documents")
+    trees = ppm.train(docs.where(ppm.fold_of("doc_id") != 0))
+    found = ppm.identify(docs, trees)
+    return found.select("doc_id", (ppm.fold_of("doc_id") == 0).alias("held_out"), "lang_pred", "score")
+
+
+def op6_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document without later copies of runs of lines of 50 words and more: doc_id, text, n_lines."""
+    docs = linededup.dedup_lines(_read(spark, folder, "documents").select("doc_id", "text"))
+    return docs.select("doc_id", "text", F.size(F.split("text", "\n", -1)).cast("long").alias("n_lines"))
+
+
+def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's bucket and place: doc_id, n_tokens, bucket, bucket_tokens, batch, slot, padding."""
+    return packing.pack(_read(spark, folder, "documents"))
+
+
+def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """The base counts and the verdict on every document."""
+    docs = _read(spark, folder, "documents")
+    return crf.assess(docs, crf.train(docs, _read(spark, folder, "labels")))
+
+
+QUERIES = {
+    "op2_simhash": op2_simhash,
+    "op4_language_id": op4_language_id,
+    "op6_line_dedup": op6_line_dedup,
+    "op9_packing": op9_packing,
+    "op10_quality_rules": op10_quality_rules,
+}
+
+
+def _packing_sql(buckets: int, budget: int) -> str:
+    """The dynamic programme level by level, without the histogram's bins being summed in another way."""
+    parts = [
+        "WITH d AS (SELECT doc_id, coalesce(octet_length(encode(text)), 0)::BIGINT + 1 AS n FROM documents)",
+        "b AS (SELECT CASE WHEN n <= 32 THEN n - 1 ELSE (length(bin(n - 1)) - 6) * 16 + 16 + ((n - 1) >> (length(bin(n - 1)) - 5)::BIGINT) END AS bin, count(*) AS c, max(n) AS longest FROM d GROUP BY 1)",
+        "h AS (SELECT row_number() OVER (ORDER BY bin) AS j, sum(c) OVER (ORDER BY bin) AS upto, longest FROM b)",
+        "p AS (SELECT 0::BIGINT AS j, 0::HUGEINT AS upto, 0::BIGINT AS longest UNION ALL SELECT j, upto, longest FROM h)",
+        "l1 AS (SELECT h.j, {'c': h.upto * h.longest, 'i': 0::BIGINT} AS v FROM h)",
+    ]
+    for k in range(2, buckets + 1):
+        parts.append(f"l{k} AS (SELECT h.j, min({{'c': f.v.c + (h.upto - p.upto) * h.longest, 'i': f.j}}) AS v FROM h JOIN l{k - 1} f ON f.j < h.j JOIN p ON p.j = f.j GROUP BY h.j)")
+    every = " UNION ALL ".join(f"SELECT {k} AS k, j, v FROM l{k}" for k in range(1, buckets + 1))
+    parts.append(f"lv AS ({every})")
+    parts.append("best AS (SELECT k, j FROM lv WHERE j = (SELECT max(j) FROM h) ORDER BY v.c, k LIMIT 1)")
+    parts.append("path AS (SELECT k, j FROM best UNION ALL SELECT path.k - 1, lv.v.i FROM path JOIN lv ON lv.k = path.k AND lv.j = path.j WHERE lv.v.i > 0)")
+    parts.append("e AS (SELECT (row_number() OVER (ORDER BY h.longest) - 1)::INTEGER AS bucket, h.longest AS size, greatest(1, " + str(budget) + " // h.longest) AS room FROM path JOIN h ON h.j = path.j)")
+    parts.append("w AS (SELECT d.doc_id, d.n, (SELECT min(e.bucket) FROM e WHERE e.size >= d.n) AS bucket FROM d)")
+    parts.append("x AS (SELECT w.*, e.size, e.room, row_number() OVER (PARTITION BY w.bucket ORDER BY w.doc_id, w.n) - 1 AS place FROM w JOIN e ON e.bucket = w.bucket)")
+    return ", ".join(parts).replace("WITH d AS", "WITH RECURSIVE d AS", 1) + " SELECT doc_id, n AS n_tokens, bucket, size AS bucket_tokens, place // room AS batch, place % room AS slot, size - n AS padding FROM x"
+
+
+ORACLES: dict[str, str] = {"op9_packing": _packing_sql(packing.BUCKETS, packing.BUDGET)}

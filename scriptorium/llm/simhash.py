@@ -258,7 +258,8 @@ def hamming_links(unique: DataFrame, max_bits: int = 4, segments: int = 5, block
                 signed = pa.array(who.view(np.int64))
                 yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(block), pa.array(kind), signed, signed], ["key", "block", "kind", "id", "fp"])
 
-    rows = unique.select("fp").mapInArrow(index, "key long, block long, kind boolean, id long, fp long")
+    # a fingerprint becomes about 37 index rows: dealt out first, as the few bytes of the table would make few tasks
+    rows = unique.select("fp").repartition(_parts(unique)).mapInArrow(index, "key long, block long, kind boolean, id long, fp long")
     dealt = rows.repartition(_parts(unique), "key", "block").sortWithinPartitions("key", "block", "kind")
     return dealt.mapInArrow(lambda it: sorted_buckets(it, 1, max_bits, cuts), "a long, b long")
 
