@@ -1,0 +1,92 @@
+import math
+import zlib
+
+import duckdb
+import pytest
+
+from scriptorium.llm import ppm
+
+
+def docs(sf="0.01"):
+    return duckdb.sql(f"select doc_id, text, lang from '/root/testdata/sf{sf}/documents.parquet' order by doc_id").fetchall()
+
+
+@pytest.fixture(scope="module")
+def trees():
+    by = {}
+    for d, t, lang in docs():
+        if zlib.crc32(str(d).encode()) % 5:
+            by.setdefault(lang, []).append(t)
+    return ppm.Trees({k: v[:60] for k, v in by.items()}, contexts=800)
+
+
+def brute_bits(texts, lang, trees, text):
+    """Code length by walking the counts symbol by symbol."""
+    tree = trees._count(texts[lang], 800, 4)
+    width = trees.width
+    symbols = {b for b in range(256) if trees.symbol[b]}
+    total, before = 0.0, b" "
+    for b in ppm.folded(text).tolist():
+        context = before[-trees.order :]
+        out, excluded = 0.0, set()
+        for j in range(len(context) + 1):
+            counts = {s: n for s, n in tree.get(context[j:], {}).items() if s not in excluded}
+            if not counts:
+                continue
+            n, q = sum(counts.values()), len(counts)
+            if b in counts:
+                out -= math.log2(counts[b] / (n + q))
+                break
+            out -= math.log2(q / (n + q))
+            excluded |= set(counts)
+        else:
+            out += math.log2(width - len(excluded & symbols))
+        total += out
+        before += bytes([b])
+    return total
+
+
+def test_code_lengths_are_exact(trees):
+    by = {}
+    for d, t, lang in docs():
+        if zlib.crc32(str(d).encode()) % 5:
+            by.setdefault(lang, []).append(t)
+    by = {k: v[:60] for k, v in by.items()}
+    texts = ["Anble anes. Über!", "漢字 zz 123 q", "a", "the " * 300 + "è" * 700]
+    got = trees.bits(texts)
+    for i, t in enumerate(texts):
+        for k, lang in enumerate(trees.langs):
+            assert got[i, k] == pytest.approx(brute_bits(by, lang, trees, t), rel=1e-4)
+
+
+def test_cutting_texts_changes_nothing(trees, monkeypatch):
+    texts = [t for _, t, _ in docs()[:40]]
+    whole = trees.bits(texts)
+    monkeypatch.setattr(ppm, "SLICE", 1000)
+    assert abs(trees.bits(texts) - whole).max() < 0.05
+
+
+def test_held_out_accuracy(trees):
+    held = [(t, lang) for d, t, lang in docs() if zlib.crc32(str(d).encode()) % 5 == 0]
+    langs, scores = trees.predict([t for t, _ in held])
+    assert sum(a == b for a, (_, b) in zip(langs, held)) / len(held) > 0.98
+    assert all(0 <= s <= 1 for s in scores)
+
+
+def test_undetermined(trees):
+    langs, scores = trees.predict([None, "", "12 34 \n", "!?", "é", "漢"])
+    assert langs[:4] == ["und"] * 4 and list(scores[:4]) == [0] * 4
+    assert "und" not in langs[4:]
+    assert ppm.Trees({}).predict(["abc"])[0] == ["und"]
+
+
+def test_frames(spark):
+    df = spark.createDataFrame([(1, "the and of", "en", 9), (2, None, "en", 9), (None, "der die das", "de", 9), (4, "der die", None, 9)], "doc_id long, text string, lang string, score int")
+    found = ppm.train(df)
+    assert found.langs == ["de", "en"]
+    got = {r.doc_id: r.lang_pred for r in ppm.identify(df, found).collect()}
+    assert got == {1: "en", 2: "und", None: "de", 4: "de"}
+    assert ppm.accepted(df, found).columns == df.columns
+    assert ppm.accepted(df, found).count() == 3
+    empty = df.where("false")
+    assert ppm.identify(empty, ppm.train(empty)).collect() == []
