@@ -27,7 +27,7 @@ UNKNOWN = "und"
 SPACE = 32
 FOLD = np.array([b if b >= 128 or 97 <= b <= 122 else b + 32 if 65 <= b <= 90 else SPACE for b in range(256)], dtype=np.uint8)
 #: Symbols scored at a time, and the length of the pieces that are walked side by side.
-SLICE, PIECE = 1 << 21, 256
+SLICE, PIECE = 1 << 19, 128
 
 
 def folded(text: str) -> np.ndarray:

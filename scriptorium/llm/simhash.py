@@ -272,8 +272,9 @@ def labelled(rows: DataFrame, links: DataFrame) -> DataFrame:
     """doc_id, node -> node, component_id: the smallest doc_id of the nodes that links join."""
     stars = star_components(links)
     ids = rows.groupBy("node").agg(F.min("doc_id").alias("least"))
-    known = ids.join(stars, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    least = known.groupBy("root").agg(F.min("least").alias("component_id"))
+    # written before they're joined by root, so that Spark can split the partition of a root with very many nodes
+    known = materialize(ids.join(stars, "node", "left").withColumn("root", F.coalesce("root", "node")), "simhash-roots")
+    least = materialize(known.groupBy("root").agg(F.min("least").alias("component_id")), "simhash-least")
     return materialize(known.join(least, "root").select("node", "component_id"), "simhash-labels")
 
 
