@@ -51,20 +51,15 @@ NEAR_BEFORE, NEAR_AFTER = 10, 10
 
 
 def boundaries(text: str) -> list[int]:
-    """Positions of sentence ends with a newline among the ten characters before or the ten from there on. A position
-    under ten counts only in texts so short that the slice from the end of the text still holds something."""
-    found, size = [], len(text)
-    at = text.find("\n")
-    lines = []
-    while at >= 0:
-        lines.append(at)
-        at = text.find("\n", at + 1)
-    seen = -1
-    for line in lines:
-        for i in range(max(seen + 1, line - NEAR_AFTER + 1, 0), min(size, line + NEAR_BEFORE + 1)):
+    """Ascending positions, from the tenth on, of sentence ends with a newline among the ten characters before or the ten
+    from there on. Looks around each newline, so the cost follows the number of lines and not the length."""
+    found, seen, line = [], NEAR_BEFORE - 1, text.find("\n")
+    while line >= 0:
+        for i in range(max(seen + 1, line - NEAR_AFTER + 1), min(len(text), line + NEAR_BEFORE + 1)):
             seen = i
-            if text[i] in SENTENCE_ENDS and i >= NEAR_BEFORE:
+            if text[i] in SENTENCE_ENDS:
                 found.append(i)
+        line = text.find("\n", line + 1)
     return found
 
 

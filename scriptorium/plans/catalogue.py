@@ -2,18 +2,428 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from scriptorium.functions import figures
 from scriptorium.functions.text import clean
-from scriptorium.operators.split import fixed_chunks
+from scriptorium.operators import assemble, flatten, models, qa, split
+from scriptorium.plans import pipelines
+from scriptorium.sources.sinks import part_name
 from scriptorium.sources.tables import table
 
+CHUNK, LIMIT, LONGEST, OVERLAP = 2000, 1000, 2000, 200
 
-def clean_chunks(spark: SparkSession, folder: str) -> DataFrame:
-    docs = table(spark, folder, "documents").select("doc_id", clean(F.col("text")).alias("text"))
-    return fixed_chunks(docs)
 
+def spread(df: DataFrame) -> DataFrame:
+    """Dealt out before Python works on long texts: the tables are one row group each, which is one task."""
+    return df.repartition(max(df.sparkSession.sparkContext.defaultParallelism, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
 
-QUERIES = {"clean_chunks": clean_chunks}
-ORACLES: dict[str, str] = {}
+
+def documents(spark: SparkSession, folder: str) -> DataFrame:
+    return table(spark, folder, "documents").select("doc_id", "text")
+
+
+# cleaning
+
+
+def clean_text(spark, folder):
+    return documents(spark, folder).select("doc_id", clean(F.col("text")).alias("cleaned"))
+
+
+def clean_conversations(spark, folder):
+    return table(spark, folder, "conversations").select("conv_id", "turn", clean(F.col("text")).alias("cleaned"))
+
+
+# Literal rows with what the tables lack: code points of each text.
+ODD_TEXTS = [
+    (-1, [49, 50, 10]), (-2, [10, 49, 50, 10]), (-3, [97, 32, 0x200B, 32, 98]), (-4, [0x200B, 49, 50]), (-5, [0xFF11, 0xFF12, 32, 0x3000]), (-6, [97, 10, 10, 49, 10, 10, 98]),
+    (-7, []), (-8, [32, 9, 10]), (-9, [0x4E00, 0x3000, 0x4E8C, 0x85, 0x2028, 51]), (-10, [0xFEFF, 65, 0xAD, 66, 13, 10, 67]), (-11, [0x660, 0x661]), (-12, [28, 49, 31]),
+]
+
+
+def page_number_filter(spark, folder):
+    odd = spark.createDataFrame([(i, "".join(map(chr, points))) for i, points in ODD_TEXTS], "id long, text string")
+    both = documents(spark, folder).select(F.col("doc_id").alias("id"), "text").unionByName(odd)
+    return both.select("id", clean(F.col("text")).alias("cleaned"))
+
+
+# splitting
+
+
+def fixed_chunks(spark, folder):
+    return split.fixed_chunks(documents(spark, folder), CHUNK)
+
+
+def clean_chunks(spark, folder):
+    return split.fixed_chunks(documents(spark, folder).withColumn("text", clean(F.col("text"))), CHUNK)
+
+
+def resume_chunks(spark, folder):
+    return pipelines.texts_to_chunks(documents(spark, folder), CHUNK, start_index=1)
+
+
+def resume_by_table(spark, folder):
+    """Chunks of which no pair with an even number is in the table of those done."""
+    chunks = split.fixed_chunks(documents(spark, folder), CHUNK)
+    return split.resume(chunks, chunks.where("chunk_no % 2 = 0"), "doc_id", "chunk_no")
+
+
+def paragraph_pack(spark, folder):
+    return split.paragraph_pack(documents(spark, folder), LIMIT)
+
+
+def overlap_windows(spark, folder):
+    return split.overlap_windows(spread(documents(spark, folder)), LONGEST, OVERLAP)
+
+
+def windows_clean(spark, folder):
+    return split.overlap_windows(spread(documents(spark, folder)).withColumn("text", clean(F.col("text"))), LONGEST, OVERLAP)
+
+
+# correction
+
+
+def correct_roundtrip(spark, folder):
+    same = models.calls(models.RuleBackend(lambda s: s))
+    return models.correct(spread(documents(spark, folder)), same, LIMIT).select("doc_id", "text")
+
+
+def correct_fallback(spark, folder):
+    """Segments of an odd number of characters fail and stay; the others get a mark."""
+    some = models.calls(models.RuleBackend(lambda s: None if len(s) % 2 else s + "~"), attempts=1)
+    return models.correct(spread(documents(spark, folder)), some, LIMIT)
+
+
+# flattening and putting together
+
+
+def _pages(spark, folder) -> DataFrame:
+    """A page a document; figures by its length, the second without a path, the third without a caption."""
+    n, d = F.col("n_chars"), F.col("doc_id").cast("string")
+    image = lambda path, caption: F.struct(path.alias("path"), F.lit(None).cast("struct<x:int,y:int,width:int,height:int>").alias("position"), F.lit(None).cast("string").alias("analysis"), caption.alias("caption"))
+    none = F.lit(None).cast("string")
+    images = F.slice(F.array(image(F.concat(F.lit("p/"), d), F.concat(F.lit("first "), d)), image(none, F.concat(F.lit("second "), d)), image(F.concat(F.lit("q/"), d), F.when(n % 2 == 0, F.lit("")))), F.lit(1), (n % 4).cast("int"))
+    docs = table(spark, folder, "documents")
+    return docs.select("doc_id", F.lit(1).alias("page_number"), F.when(n % 5 != 0, F.col("text")).otherwise(" \n").alias("text"), images.alias("images"))
+
+
+def training_rows(spark, folder):
+    return flatten.training_rows(flatten.clean_pages(_pages(spark, folder)))
+
+
+def described_pages(spark, folder):
+    """Pages whose figures with a path are described from a table of figures, corrected by a rule, and flattened."""
+    pages = _pages(spark, folder)
+    told = pages.select("doc_id", F.explode("images").alias("i")).where("i.path is not null").select("doc_id", F.col("i.path").alias("path"), F.lit("seen").alias("analysis"), F.concat(F.lit("told "), F.col("i.path")).alias("caption"))
+    mark = models.calls(models.RuleBackend(lambda s: s + "!"))
+    return pipelines.pages_to_training_rows(pages, told, mark, LIMIT)
+
+
+def concat_training_text(spark, folder):
+    rows = table(spark, folder, "conversations").select("conv_id", "turn", F.col("text").alias("content"))
+    return assemble.training_text(rows, ["conv_id"], ["turn"])
+
+
+def stream_accumulate(spark, folder):
+    """Turns as deltas; every fifth is without a choice, every seventh without content."""
+    rows = table(spark, folder, "conversations").select(F.col("conv_id").alias("call_id"), F.col("turn").alias("seq"), ((F.col("conv_id") + F.col("turn")) % 5 != 0).alias("has_choice"), F.when((F.col("conv_id") + F.col("turn")) % 7 != 0, F.col("text")).alias("content"))
+    return assemble.accumulate(rows)
+
+
+def chat_until_exit(spark, folder):
+    """Conversations that say exit or quit, in some case, at a turn given by rule."""
+    said = F.when((F.col("conv_id") % 3 == 0) & (F.col("turn") == F.col("conv_id") % 4 + 1), F.when(F.col("conv_id") % 2 == 0, "EXIT").otherwise("Quit")).otherwise(F.col("text"))
+    return assemble.until_exit(table(spark, folder, "conversations").select("conv_id", "turn", said.alias("text")))
+
+
+# question and answer records
+
+
+def _pairs(spark, folder) -> DataFrame:
+    """conv_id, j: user turns with the assistant turn that follows, as a JSON list of input and output; [] where there's none."""
+    order = Window.partitionBy("conv_id").orderBy("turn")
+    turns = table(spark, folder, "conversations").withColumns({"next_role": F.lead("role").over(order), "next_text": F.lead("text").over(order)})
+    pair = F.when((F.col("role") == "user") & (F.col("next_role") == "assistant"), F.struct("turn", F.struct(F.col("text").alias("input"), F.col("next_text").alias("output")).alias("p")))
+    listed = turns.groupBy("conv_id").agg(F.transform(F.array_sort(F.collect_list(pair)), lambda x: x["p"]).alias("pairs"))
+    return listed.select("conv_id", "pairs", F.when(F.size("pairs") > 0, F.to_json("pairs")).otherwise("[]").alias("j"))
+
+
+def _answers(spark, folder) -> DataFrame:
+    """conv_id, raw: answers with a fault of a kind given by conv_id."""
+    j, kind = F.col("j"), F.col("conv_id") % 9
+    raw = (
+        F.when(kind == 1, F.concat(F.lit("```json\n"), j, F.lit("\n```")))
+        .when(kind == 2, F.replace(j, F.lit('"'), F.lit("'")))
+        .when(kind == 3, F.concat(j, F.lit(" I hope this helps.")))
+        .when(kind == 4, F.concat(F.lit('{"pairs": '), j, F.lit("}")))
+        .when(kind == 5, F.concat(F.lit('[3, {"input": "only"}, "x", '), F.substring(j, 2, 1 << 30)))
+        .when(kind == 6, F.concat(F.lit("  \n"), j, F.lit("\n ")))
+        .when(kind == 7, F.lit(""))
+        .otherwise(j)
+    )
+    return _pairs(spark, folder).select("conv_id", raw.alias("raw"))
+
+
+def parse_qa(spark, folder):
+    found = qa.parse_answers(_answers(spark, folder))
+    rows = found.select("conv_id", "status", F.explode_outer("items").alias("i"))
+    get = lambda k: F.try_element_at(F.col("i.fields"), F.lit(k))
+    return rows.select("conv_id", F.col("i.no").alias("pair_no"), "status", get("input").alias("input"), get("output").alias("output"))
+
+
+def format_sft(spark, folder):
+    return qa.records(qa.parse_answers(_answers(spark, folder)), qa.BOOK_SYSTEM)
+
+
+def format_sft_tolerant(spark, folder):
+    """The same reshape over files that were written as they came: items that don't fit are skipped one by one."""
+    files = _answers(spark, folder).select(F.format_string("part_%d.json", "conv_id").alias("name"), "raw")
+    return qa.records(qa.parse_answers(files), "system prompt")
+
+
+def quarantine(spark, folder):
+    return qa.quarantine(qa.parse_answers(_answers(spark, folder))).select("conv_id", "reason", "item_no")
+
+
+def convert_legacy(spark, folder):
+    """Files whose first element is a JSON string (even conv_id) or a list (odd)."""
+    renamed = _pairs(spark, folder).withColumn("j", F.to_json(F.transform("pairs", lambda p: F.struct(p["input"].alias("question"), p["output"].alias("answer")))))
+    files = renamed.select("conv_id", F.when(F.col("conv_id") % 2 == 0, F.to_json(F.array("j"))).otherwise(F.concat(F.lit("["), F.col("j"), F.lit(", 7]"))).alias("raw"))
+    return qa.convert_legacy(files)
+
+
+def _files(spark, folder) -> DataFrame:
+    """name, raw: a success file a conversation, every eleventh without a number."""
+    name = F.when(F.col("conv_id") % 11 == 0, F.concat(F.lit("success_x"), F.col("conv_id").cast("string"), F.lit(".json"))).otherwise(F.concat(F.lit("success"), (F.col("conv_id") * 3 + 2).cast("string"), F.lit(".json")))
+    return _pairs(spark, folder).select(name.alias("name"), F.col("j").alias("raw"))
+
+
+def merge_files(spark, folder):
+    good, _ = assemble.merge_numbered(_files(spark, folder), r"success(\d+)\.json$")
+    return qa.records(qa.parse_answers(good), "").select("file_no", F.col("pair_no").alias("item_no"), "instruction", "output")
+
+
+def unnumbered_files(spark, folder):
+    _, bad = assemble.merge_numbered(_files(spark, folder), r"success(\d+)\.json$")
+    return bad.select("name")
+
+
+def qa_counts(spark, folder):
+    good, _ = assemble.merge_numbered(_files(spark, folder), r"success(\d+)\.json$")
+    items = qa.parse_answers(good).select(F.col("file_no").alias("seg_no"), F.size("items").cast("long").alias("n_pairs"))
+    return items.select("seg_no", part_name(F.col("seg_no")).alias("part"), "n_pairs")
+
+
+# figures
+
+
+def _number(i: Column, a: int, b: int, m: int) -> Column:
+    return ((F.col("p_partkey") * a + i * b) % m).cast("int")
+
+
+def _figures(spark, folder) -> DataFrame:
+    """p_partkey, p_name, boxes and lines made of the key; lines are null for some."""
+    steps = lambda n: F.sequence(F.lit(0), F.lit(n - 1))
+    boxes = F.transform(steps(6), lambda i: F.struct(_number(i, 3, 31, 500).alias("x"), _number(i, 5, 37, 700).alias("y"), (_number(i, 7, 13, 120) + 20).alias("w"), (_number(i, 11, 17, 120) + 20).alias("h")))
+    lines = F.transform(steps(12), lambda i: F.struct(_number(i, 3, 29, 300).alias("x1"), _number(i, 7, 11, 300).alias("y1"), (_number(i, 3, 29, 300) + _number(i, 13, 7, 200) - 40).alias("x2"), (_number(i, 7, 11, 300) + _number(i, 5, 3, 31)).alias("y2")))
+    key = F.col("p_partkey")
+    return table(spark, folder, "part").select("p_partkey", "p_name", boxes.alias("boxes"), F.when(key % 10 != 0, F.slice(lines, F.lit(1), (key % 13).cast("int"))).alias("lines"))
+
+
+def figure_filter(spark, folder):
+    rows = _figures(spark, folder)
+    kept = rows.select("p_partkey", F.posexplode(figures.kept_boxes(F.col("boxes"))).alias("kept_idx", "b"))
+    return kept.select("p_partkey", "kept_idx", "b.x", "b.y", "b.w", "b.h")
+
+
+def figure_regions(spark, folder):
+    rows = _figures(spark, folder)
+    return rows.select("p_partkey", F.size(figures.kept_boxes(F.col("boxes"), figures.is_region)).alias("n_regions"), F.size(figures.kept_boxes(F.col("boxes"), figures.is_rectangle)).alias("n_rectangles"))
+
+
+def horizontal_lines(spark, folder):
+    rows = _figures(spark, folder)
+    return rows.select("p_partkey", figures.n_horizontal(F.col("lines")).alias("n_horizontal"), figures.looks_like_hexagram(F.col("lines")).alias("is_hexagram"))
+
+
+def figure_description(spark, folder):
+    """Descriptions and captions; every seventeenth figure has no features, every nineteenth no caption."""
+    key = F.col("p_partkey")
+    circles = F.when(key % 3 == 0, F.array(F.lit(1)))
+    rows = _figures(spark, folder).withColumn("f", F.when(key % 17 != 0, figures.features(circles, F.slice("boxes", F.lit(1), (key % 3).cast("int")), F.col("lines"))))
+    told = figures.description(F.col("f"), F.when(key % 5 == 0, F.col("p_name")))
+    return rows.select("p_partkey", told.alias("description"), figures.caption(told, F.when(key % 19 != 0, F.col("p_name"))).alias("caption"))
+
+
+# whole ways
+
+
+def _ask_book(segment: str) -> str:
+    """The rule that stands for a model: one pair a segment, nothing where its length is a multiple of 7."""
+    import json
+
+    return "" if len(segment) % 7 == 0 else json.dumps([{"input": segment[:30], "output": segment[-50:]}], ensure_ascii=False)
+
+
+def book_pipeline(spark, folder):
+    ask = models.calls(models.RuleBackend(_ask_book), attempts=1)
+    return pipelines.books_to_records(spread(documents(spark, folder)), ask, LONGEST, OVERLAP)
+
+
+def training_data_pipeline(spark, folder):
+    """The other way to pairs: training rows of conversations, put together and split."""
+    rows = table(spark, folder, "conversations").select(F.col("conv_id").alias("doc_id"), F.col("turn").alias("page"), F.lit(0).alias("seq"), F.when(F.col("role") == "system", "image").otherwise("text").alias("type"), F.col("text").alias("content"))
+    ask = models.calls(models.RuleBackend(_ask_book), attempts=1)
+    return pipelines.training_rows_to_pairs(rows, ask, 100_000, 100).select("doc_id", "seg_no", "pair_no", "question", "answer")
+
+
+def _ask_chunk(chunk: str) -> str:
+    import json
+
+    return "{broken" if len(chunk) % 5 == 0 else json.dumps({"n": len(chunk)}) if len(chunk) % 5 == 1 else json.dumps([chunk[:20]], ensure_ascii=False)
+
+
+def chunk_pipeline(spark, folder):
+    ask = models.calls(models.RuleBackend(_ask_chunk), attempts=1)
+    good, _ = pipelines.chunks_to_json(pipelines.texts_to_chunks(spread(documents(spark, folder)), CHUNK), ask)
+    return good.select("doc_id", "chunk_no", "file_name", "json_type")
+
+
+def chunk_quarantine(spark, folder):
+    ask = models.calls(models.RuleBackend(_ask_chunk), attempts=1)
+    _, bad = pipelines.chunks_to_json(pipelines.texts_to_chunks(spread(documents(spark, folder)), CHUNK), ask)
+    return bad.select("doc_id", "chunk_no", "raw")
+
+
+def replayed_answers(spark, folder):
+    """Chunks answered from a table of recorded answers by the hash of their prompt; first chunks only are recorded."""
+    chunks = split.fixed_chunks(documents(spark, folder), CHUNK).withColumnRenamed("chunk", "prompt")
+    recorded = chunks.where("chunk_no = 1").select(models.prompt_key(F.col("prompt")).alias("prompt_hash"), F.concat(F.lit("answer to "), F.left("prompt", F.lit(10))).alias("response")).distinct()
+    return models.replay(chunks, recorded).select("doc_id", "chunk_no", "raw")
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        clean_text, clean_conversations, page_number_filter, fixed_chunks, clean_chunks, resume_chunks, resume_by_table, paragraph_pack, overlap_windows, windows_clean, correct_roundtrip, correct_fallback,
+        training_rows, described_pages, concat_training_text, stream_accumulate, chat_until_exit, parse_qa, format_sft, format_sft_tolerant, quarantine, convert_legacy, merge_files, unnumbered_files, qa_counts,
+        figure_filter, figure_regions, horizontal_lines, figure_description, book_pipeline, training_data_pipeline, chunk_pipeline, chunk_quarantine, replayed_answers,
+    )
+}
+
+
+# SQL
+
+_SPACE = r"[\x09-\x0d\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+
+
+def _clean(x: str) -> str:
+    return rf"trim(regexp_replace(regexp_replace(regexp_replace({x}, '{_SPACE}+', ' ', 'g'), '\p{{C}}+', '', 'g'), '^\p{{Nd}}+ *$', ''), ' ')"
+
+
+def _text(points: list[int]) -> str:
+    return " || ".join(["''", *(f"chr({p})" for p in points)])
+
+
+_CHUNKS = "SELECT doc_id, unnest(range(1, (length({t}) - 1) // 2000 + 2)) AS chunk_no, {t} AS t FROM {f} WHERE length({t}) > 0"
+
+
+def _chunks(source: str = "documents", t: str = "text", where: str = "") -> str:
+    return f"SELECT doc_id, chunk_no::INTEGER AS chunk_no, substring(t, (chunk_no - 1) * 2000 + 1, 2000) AS chunk FROM ({_CHUNKS.format(t=t, f=source)}) {where}"
+
+
+_PACK = """
+p AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS p, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS k FROM documents),
+w AS (SELECT doc_id, k, p, 1 AS seg_no, length(p) AS n FROM p WHERE k = 1
+      UNION ALL SELECT p.doc_id, p.k, p.p, CASE WHEN w.n + length(p.p) > 1000 THEN w.seg_no + 1 ELSE w.seg_no END, CASE WHEN w.n + length(p.p) > 1000 THEN length(p.p) ELSE w.n + length(p.p) END
+      FROM w JOIN p ON p.doc_id = w.doc_id AND p.k = w.k + 1),
+s AS (SELECT doc_id, seg_no, string_agg(p, chr(10) ORDER BY k) AS segment FROM w GROUP BY doc_id, seg_no)"""
+
+# positions from 0; a boundary is a sentence end from place 10 on with a newline among the ten characters before or the ten from there on
+_WINDOWS = """
+d AS (SELECT doc_id, text, length(text) AS n FROM {f}),
+c AS (SELECT doc_id, unnest(range(0, n)) AS i, unnest(string_split(text, '')) AS ch FROM d WHERE n > 2000),
+e AS (SELECT doc_id, i FROM (SELECT doc_id, i, ch, max(CASE WHEN ch = chr(10) THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN 10 PRECEDING AND 9 FOLLOWING) AS near FROM c) WHERE near = 1 AND i >= 10 AND ch IN ('。', '！', '？', '.', '!', '?')),
+b AS (SELECT doc_id, list(i ORDER BY i) AS marks FROM e GROUP BY doc_id),
+x AS (SELECT d.*, coalesce(b.marks, []) AS marks FROM d LEFT JOIN b USING (doc_id) WHERE n > 0),
+w AS (SELECT doc_id, n, marks, 1 AS seg_no, 0::BIGINT AS s, coalesce(list_max(list_filter(marks, lambda m: m > 0 AND m <= 2000)), 0)::BIGINT AS m FROM x
+      UNION ALL SELECT doc_id, n, marks, seg_no + 1, t, coalesce(list_max(list_filter(marks, lambda m: m > t AND m <= t + 2000)), 0)::BIGINT
+      FROM (SELECT *, CASE WHEN m - 200 > s THEN m ELSE s + 2000 END - 200 AS t FROM w WHERE s + 2000 < n)),
+o AS (SELECT w.doc_id, seg_no::INTEGER AS seg_no, s::INTEGER AS start, (CASE WHEN s + 2000 >= w.n THEN w.n WHEN m - 200 > s THEN m + 1 ELSE s + 2001 END)::INTEGER AS "end" FROM w),
+z AS (SELECT o.*, substring(d.text, o.start + 1, o."end" - o.start) AS segment FROM o JOIN d USING (doc_id))"""
+
+_PAIRS = """
+t AS (SELECT conv_id, turn, role, text, lead(role) OVER v AS next_role, lead(text) OVER v AS next_text FROM conversations WINDOW v AS (PARTITION BY conv_id ORDER BY turn)),
+p AS (SELECT conv_id, coalesce(to_json(list({'input': text, 'output': next_text} ORDER BY turn) FILTER (role = 'user' AND next_role = 'assistant')), '[]')::VARCHAR AS j,
+             coalesce(to_json(list({'question': text, 'answer': next_text} ORDER BY turn) FILTER (role = 'user' AND next_role = 'assistant')), '[]')::VARCHAR AS q FROM t GROUP BY conv_id)"""
+
+_ANSWERS = f"""{_PAIRS},
+a AS (SELECT conv_id, CASE conv_id % 9 WHEN 1 THEN '```json' || chr(10) || j || chr(10) || '```' WHEN 2 THEN replace(j, '"', '''') WHEN 3 THEN j || ' I hope this helps.' WHEN 4 THEN '{{"pairs": ' || j || '}}'
+             WHEN 5 THEN '[3, {{"input": "only"}}, "x", ' || substring(j, 2) WHEN 6 THEN '  ' || chr(10) || j || chr(10) || ' ' WHEN 7 THEN '' ELSE j END AS raw FROM p),
+r AS (SELECT conv_id, raw, CASE WHEN raw = '' THEN 'empty' WHEN NOT json_valid(raw) THEN 'bad_json' WHEN json_type(raw) <> 'ARRAY' THEN 'not_list' ELSE 'ok' END AS status FROM a),
+l AS (SELECT conv_id, unnest(range(1, len(x) + 1)) AS no, unnest(x) AS item FROM (SELECT conv_id, json_extract(raw, '$[*]') AS x FROM r WHERE status = 'ok')),
+o AS (SELECT conv_id, no::INTEGER AS pair_no, item, item->>'$.input' AS input, item->>'$.output' AS output, json_exists(item, '$.input') AND json_exists(item, '$.output') AS has_both FROM l WHERE json_type(item) = 'OBJECT')"""
+
+_FIGURES = """
+g AS (SELECT p_partkey AS k, p_name, unnest(range(0, 12)) AS i FROM part),
+boxes AS (SELECT k, i, ((k * 3 + i * 31) % 500)::INTEGER AS x, ((k * 5 + i * 37) % 700)::INTEGER AS y, ((k * 7 + i * 13) % 120 + 20)::INTEGER AS w, ((k * 11 + i * 17) % 120 + 20)::INTEGER AS h FROM g WHERE i < 6),
+lines AS (SELECT k, i, (k * 13 + i * 7) % 200 - 40 AS dx, (k * 5 + i * 3) % 31 AS dy FROM g WHERE k % 10 <> 0 AND i < k % 13),
+flat AS (SELECT k, count(*) AS n FROM lines WHERE abs(atan2(dy, dx) * 180 / pi()) < 10 GROUP BY k),
+hz AS (SELECT p_partkey AS k, p_name, coalesce(n, 0)::INTEGER AS n, p_partkey % 10 <> 0 AND coalesce(n, 0) BETWEEN 6 AND 8 AS hex FROM part LEFT JOIN flat ON k = p_partkey)"""
+
+_BOOK_SYSTEM = qa.BOOK_SYSTEM.replace("'", "''")
+_PAGES = "pg AS (SELECT doc_id, n_chars AS n, CASE WHEN n_chars % 5 <> 0 THEN text ELSE ' ' || chr(10) END AS text FROM documents)"
+
+ORACLES: dict[str, str] = {
+    "clean_text": f"SELECT doc_id, {_clean('text')} AS cleaned FROM documents",
+    "clean_conversations": f"SELECT conv_id, turn, {_clean('text')} AS cleaned FROM conversations",
+    "page_number_filter": f"SELECT id, {_clean('text')} AS cleaned FROM (SELECT doc_id AS id, text FROM documents UNION ALL VALUES {', '.join(f'({i}, {_text(p)})' for i, p in ODD_TEXTS)})",
+    "fixed_chunks": _chunks(),
+    "clean_chunks": _chunks(f"(SELECT doc_id, {_clean('text')} AS text FROM documents)"),
+    "resume_chunks": _chunks(where="WHERE chunk_no > 1"),
+    "resume_by_table": _chunks(where="WHERE chunk_no % 2 = 1"),
+    "paragraph_pack": f"WITH RECURSIVE {_PACK.strip()} SELECT doc_id, seg_no::INTEGER AS seg_no, segment FROM s",
+    "overlap_windows": f'WITH RECURSIVE {_WINDOWS.format(f="documents").strip()} SELECT doc_id, seg_no, start, "end", segment FROM z',
+    "windows_clean": f"""WITH d AS (SELECT doc_id, {_clean('text')} AS t FROM documents), k AS (SELECT doc_id, t, unnest(range(0, greatest(0, (length(t) - 2000 + 1799) // 1800) + 1)) AS k FROM d WHERE length(t) > 0)
+        SELECT doc_id, (k + 1)::INTEGER AS seg_no, (k * 1800)::INTEGER AS start, least(k * 1800 + 2001, length(t))::INTEGER AS "end", substring(t, k * 1800 + 1, CASE WHEN k * 1800 + 2000 >= length(t) THEN length(t) ELSE 2001 END) AS segment FROM k""",
+    "correct_roundtrip": "SELECT doc_id, text FROM documents",
+    "correct_fallback": f"WITH RECURSIVE {_PACK.strip()} SELECT doc_id, string_agg(CASE WHEN length(segment) % 2 = 1 THEN segment ELSE segment || '~' END, chr(10) ORDER BY seg_no) AS text, count(*) FILTER (length(segment) % 2 = 1) AS n_failed FROM s GROUP BY doc_id",
+    "training_rows": f"""WITH {_PAGES}, r AS (SELECT doc_id, 0 AS o, 'text' AS type, {_clean('text')} AS content, NULL AS image_path FROM pg WHERE {_clean('text')} <> ''
+        UNION ALL SELECT doc_id, 1, 'image', 'first ' || doc_id, 'p/' || doc_id FROM pg WHERE n % 4 >= 1 UNION ALL SELECT doc_id, 2, 'image', 'second ' || doc_id, '' FROM pg WHERE n % 4 >= 2)
+        SELECT doc_id, (row_number() OVER (PARTITION BY doc_id ORDER BY o) - 1)::INTEGER AS seq, type, content, 1 AS page, image_path FROM r""",
+    "described_pages": f"""WITH {_PAGES}, r AS (SELECT doc_id, 0 AS o, 'text' AS type, {_clean('text')} || '!' AS content, NULL AS image_path FROM pg WHERE {_clean('text')} <> ''
+        UNION ALL SELECT doc_id, 1, 'image', 'told p/' || doc_id, 'p/' || doc_id FROM pg WHERE n % 4 >= 1 UNION ALL SELECT doc_id, 2, 'image', 'second ' || doc_id, '' FROM pg WHERE n % 4 >= 2
+        UNION ALL SELECT doc_id, 3, 'image', 'told q/' || doc_id, 'q/' || doc_id FROM pg WHERE n % 4 = 3)
+        SELECT doc_id, (row_number() OVER (PARTITION BY doc_id ORDER BY o) - 1)::INTEGER AS seq, type, content, 1 AS page, image_path FROM r""",
+    "concat_training_text": "SELECT conv_id, coalesce(string_agg(text || chr(10) || chr(10), '' ORDER BY turn), '') AS all_text FROM conversations GROUP BY conv_id",
+    "stream_accumulate": "SELECT conv_id AS call_id, coalesce(string_agg(text, '' ORDER BY turn) FILTER ((conv_id + turn) % 5 <> 0 AND (conv_id + turn) % 7 <> 0), '') AS full_text FROM conversations GROUP BY conv_id",
+    "chat_until_exit": """WITH s AS (SELECT conv_id, turn, CASE WHEN conv_id % 3 = 0 AND turn = conv_id % 4 + 1 THEN CASE WHEN conv_id % 2 = 0 THEN 'EXIT' ELSE 'Quit' END ELSE text END AS text FROM conversations)
+        SELECT * FROM s WHERE NOT EXISTS (SELECT 1 FROM s AS e WHERE e.conv_id = s.conv_id AND e.turn <= s.turn AND lower(e.text) IN ('exit', 'quit'))""",
+    "parse_qa": f"WITH {_ANSWERS.strip()} SELECT r.conv_id, pair_no, status, input, output FROM r LEFT JOIN o USING (conv_id)",
+    "format_sft": f"WITH {_ANSWERS.strip()} SELECT conv_id, pair_no, input AS instruction, output, '{_BOOK_SYSTEM}' AS system FROM o WHERE has_both",
+    "format_sft_tolerant": f"WITH {_ANSWERS.strip()} SELECT 'part_' || conv_id || '.json' AS name, pair_no, input AS instruction, output, 'system prompt' AS system FROM o WHERE has_both",
+    "quarantine": f"""WITH {_ANSWERS.strip()} SELECT conv_id, status AS reason, NULL::INTEGER AS item_no FROM r WHERE status <> 'ok' UNION ALL SELECT conv_id, 'not_object', no::INTEGER FROM l WHERE json_type(item) <> 'OBJECT'
+        UNION ALL SELECT conv_id, 'missing_key', pair_no FROM o WHERE NOT has_both""",
+    "convert_legacy": f"""WITH {_PAIRS.strip()}, f AS (SELECT conv_id, CASE WHEN conv_id % 2 = 0 THEN to_json([q])::VARCHAR ELSE '[' || q || ', 7]' END AS raw FROM p),
+        i AS (SELECT conv_id, CASE WHEN json_type(raw, '$[0]') = 'VARCHAR' THEN (raw->>'$[0]') ELSE (raw->'$[0]')::VARCHAR END AS inner_raw FROM f),
+        l AS (SELECT conv_id, unnest(range(1, len(x) + 1))::INTEGER AS pair_no, unnest(x) AS item FROM (SELECT conv_id, json_extract(inner_raw, '$[*]') AS x FROM i))
+        SELECT conv_id, pair_no, item->>'$.question' AS instruction, item->>'$.answer' AS output, '{qa.LEGACY_SYSTEM}' AS system FROM l""",
+    "merge_files": f"""WITH {_PAIRS.strip()}, l AS (SELECT conv_id, unnest(range(1, len(x) + 1))::INTEGER AS item_no, unnest(x) AS item FROM (SELECT conv_id, json_extract(j, '$[*]') AS x FROM p WHERE conv_id % 11 <> 0))
+        SELECT (conv_id * 3 + 2)::INTEGER AS file_no, item_no, item->>'$.input' AS instruction, item->>'$.output' AS output FROM l""",
+    "unnumbered_files": "SELECT DISTINCT 'success_x' || conv_id || '.json' AS name FROM conversations WHERE conv_id % 11 = 0",
+    "qa_counts": f"WITH {_PAIRS.strip()} SELECT (conv_id * 3 + 2)::INTEGER AS seg_no, printf('part_%03d.json', conv_id * 3 + 2) AS part, json_array_length(j)::BIGINT AS n_pairs FROM p WHERE conv_id % 11 <> 0",
+    "figure_filter": f"WITH {_FIGURES.strip()} SELECT k AS p_partkey, (row_number() OVER (PARTITION BY k ORDER BY i) - 1)::INTEGER AS kept_idx, x, y, w, h FROM boxes WHERE w > 100 AND h > 100 AND w / h > 0.8 AND w / h < 1.2",
+    "figure_regions": f"WITH {_FIGURES.strip()} SELECT k AS p_partkey, count(*) FILTER (w > 50 AND h > 50)::INTEGER AS n_regions, count(*) FILTER (w > 30 AND h > 30)::INTEGER AS n_rectangles FROM boxes GROUP BY k",
+    "horizontal_lines": f"WITH {_FIGURES.strip()} SELECT k AS p_partkey, n AS n_horizontal, hex AS is_hexagram FROM hz",
+    "figure_description": f"""WITH {_FIGURES.strip()}, rc AS (SELECT k, count(*) FILTER (w > 30 AND h > 30 AND i < k % 3) AS r FROM boxes GROUP BY k), ln AS (SELECT p_partkey AS k, CASE WHEN p_partkey % 10 = 0 THEN 0 ELSE p_partkey % 13 END AS c FROM part),
+        t AS (SELECT hz.k, p_name, CASE WHEN hz.k % 17 = 0 THEN '无法识别卦象特征' ELSE '图中' || CASE WHEN hz.k % 3 = 0 AND r > 0 THEN '包含圆形和方形卦象结构，' WHEN hz.k % 3 = 0 THEN '包含圆形卦象结构，' WHEN r > 0 THEN '包含方形卦象结构，' ELSE '' END
+          || CASE WHEN c > 0 THEN '检测到' || c || '条线条，' ELSE '' END || CASE WHEN hex THEN '符合卦象基本特征。' ELSE '不完全符合卦象特征。' END || CASE WHEN hz.k % 5 = 0 AND p_name <> '' THEN chr(10) || '图中包含文字信息：' || p_name ELSE '' END END AS told FROM hz JOIN rc USING (k) JOIN ln USING (k))
+        SELECT k AS p_partkey, told AS description, CASE WHEN k % 19 = 0 THEN '图片描述生成失败' ELSE told || chr(10) || '基础图像描述：' || p_name END AS caption FROM t""",
+    "book_pipeline": f"WITH RECURSIVE {_WINDOWS.format(f='documents').strip()} SELECT doc_id, seg_no, 1 AS pair_no, left(segment, 30) AS instruction, right(segment, 50) AS output, '{_BOOK_SYSTEM}' AS system FROM z WHERE length(segment) % 7 <> 0",
+    "training_data_pipeline": """WITH a AS (SELECT conv_id AS doc_id, string_agg(text || chr(10) || chr(10), '' ORDER BY turn) AS t FROM conversations WHERE role <> 'system' GROUP BY conv_id)
+        SELECT doc_id, 1 AS seg_no, 1 AS pair_no, left(t, 30) AS question, right(t, 50) AS answer FROM a WHERE length(t) % 7 <> 0 AND length(t) <= 100000""",
+    "chunk_pipeline": f"SELECT doc_id, chunk_no, 'success' || chunk_no || '.json' AS file_name, CASE WHEN length(chunk) % 5 = 1 THEN 'object' ELSE 'array' END AS json_type FROM ({_chunks()}) WHERE length(chunk) % 5 <> 0",
+    "chunk_quarantine": f"SELECT doc_id, chunk_no, '{{broken' AS raw FROM ({_chunks()}) WHERE length(chunk) % 5 = 0",
+    "replayed_answers": f"WITH c AS ({_chunks()}) SELECT doc_id, chunk_no, CASE WHEN chunk IN (SELECT chunk FROM c WHERE chunk_no = 1) THEN 'answer to ' || left(chunk, 10) END AS raw FROM c",
+}
