@@ -110,12 +110,12 @@ def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     keyed = docs.where("text is not null").select(F.col("doc_id").alias("id"), F.xxhash64("text").alias("h"), "text")
     found = materialize(keyed.mapInArrow(run, schema), "lines-found")
     shared = materialize(found.groupBy("pick").agg(F.count("*").alias("n")).where("n > 1").select("pick"), "lines-shared")
-    grown = found.join(shared, "pick").select("id", "h", F.explode("spans").alias("w")).select("id", "h", "w.*")
+    grown = found.join(shared.hint("merge"), "pick").select("id", "h", F.explode("spans").alias("w")).select("id", "h", "w.*")
     grown = materialize(grown, "lines-windows")
     place = F.struct("id", "first", "last", "h")
     first = grown.groupBy("gram").agg(F.min(place).alias("least"), F.count("*").alias("n")).where("n > 1").select("gram", "least")
     first = materialize(first, "lines-first")
-    both = grown.join(first, "gram")
+    both = grown.join(first.hint("merge"), "gram")
     same_text = F.col("id").eqNullSafe(F.col("least.id")) & (F.col("h") == F.col("least.h"))
     later = both.where(F.when(same_text, F.col("first") > F.col("least.last")).otherwise(True))
     runs = later.groupBy("id", "h").agg(F.array_sort(F.collect_set(F.struct("first", "last"))).alias("runs"))
@@ -144,7 +144,8 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     text, doc_id = f"c{names.index('text')}", f"c{names.index('doc_id')}"
     keyed = plain.withColumn("__k", F.xxhash64(text)).alias("d")
     match = F.col(doc_id).eqNullSafe(F.col("__place.id")) & (F.col("__k") == F.col("__place.h"))
-    joined = keyed.join(runs, match, "left").drop("__k", "__place")
+    # one plan at every size: the spans grow with the texts, so they aren't broadcast where they happen to be few
+    joined = keyed.join(runs.hint("merge"), match, "left").drop("__k", "__place")
     at, inner = names.index("text"), plain.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
