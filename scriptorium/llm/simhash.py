@@ -12,8 +12,8 @@ bucket costs and emits about as many links as it has members, and connectivity i
 holds more than ``block_rows`` fingerprints is dealt out as pairs of blocks, so a task holds at most two blocks of it.
 
 For the wider radius that a similarity of 0.8 needs (fingerprints of such texts differ in up to 14 of 64 bits, where an index
-over segments no longer prunes), :func:`similar_links` takes longer fingerprints and finds candidates by band keys of
-minimal shingle hashes; check and search in a bucket are the same.
+over segments no longer prunes), :func:`near_duplicate_groups` takes longer fingerprints, finds candidates by band keys of
+minimal shingle hashes, and confirms links by the shingle sets; check and search in a bucket are alike.
 
 Defined results: a null or blank text has fingerprint zero and is linked like any other; rows with a null doc_id take
 part, but a component's id is its smallest non-null doc_id (null if there is none); rows that repeat a doc_id give a row
@@ -153,12 +153,56 @@ def forest(ids: np.ndarray, fps: np.ndarray, max_bits: int) -> list[tuple[int, i
     return links
 
 
+def least_forest(ids: np.ndarray, fps: np.ndarray, tight: int, max_bits: int) -> list[tuple[int, int]]:
+    """Links of a spanning forest, at most max_bits, that joins clusters by their shortest links: clusters at tight bits breadth first, then
+    a minimum spanning forest of the clusters. Members of the largest cluster are compared with the members of others only, so a dense
+    bucket costs about as much as it has members."""
+    ids, at = np.unique(ids, return_index=True)
+    fps, n = fps[at], len(ids)
+    label, left, links, c = np.zeros(n, dtype=np.int64), np.arange(n), [], 0
+    while len(left):
+        queue, left = [left[0]], left[1:]
+        label[queue[0]] = c
+        while queue and len(left):
+            one = queue.pop()
+            hit = near(fps[one], fps[left], tight)
+            found, left = left[hit], left[~hit]
+            label[found] = c
+            links += [(int(ids[one]), int(ids[j])) for j in found]
+            queue += found.tolist()
+        c += 1
+    if c == 1:
+        return links
+    least: dict[tuple[int, int], tuple[int, int, int]] = {}
+    for i in np.flatnonzero(label != np.bincount(label).argmax()):
+        bits = np.bitwise_count(fps ^ fps[i]).sum(axis=1, dtype=np.int64)
+        found = np.flatnonzero((bits <= max_bits) & (label != label[i]))
+        for j in found[np.argsort(bits[found], kind="stable")[::-1]]:  # the nearest of a cluster comes last
+            pair = (min(label[i], label[j]), max(label[i], label[j]))
+            if pair not in least or bits[j] <= least[pair][0]:
+                least[pair] = (int(bits[j]), int(i), int(j))
+    root = list(range(c))
+
+    def find(x: int) -> int:
+        while root[x] != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    for _, i, j in sorted(least.values()):
+        x, y = find(int(label[i])), find(int(label[j]))
+        if x != y:
+            root[x] = y
+            links.append((int(ids[i]), int(ids[j])))
+    return links
+
+
 SMALL = 8
 
 
-def bucket_links(key: np.ndarray, kind: np.ndarray, ids: np.ndarray, fps: np.ndarray, max_bits: int, cuts=None) -> tuple[list, list]:
+def bucket_links(key: np.ndarray, kind: np.ndarray, ids: np.ndarray, fps: np.ndarray, max_bits: int, cuts=None, tight: int | None = None) -> tuple[list, list]:
     """Links within the buckets of rows sorted by key and then kind. Small buckets are compared all at once, row against
-    the row so many places on; large ones by forest(). Only pairs with a member of kind 0 need comparing."""
+    the row so many places on; large ones by forest(), or by least_forest() where tight is given. Only pairs with a member of kind 0 need comparing."""
     edges = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1], [True])))
     sizes = np.diff(edges)
     size_of = np.repeat(sizes, sizes)
@@ -181,13 +225,13 @@ def bucket_links(key: np.ndarray, kind: np.ndarray, ids: np.ndarray, fps: np.nda
         rows = slice(edges[g], edges[g + 1])
         if kind[rows.start]:
             continue  # no member of kind 0
-        for a, b in forest(ids[rows], fps[rows], max_bits):
+        for a, b in forest(ids[rows], fps[rows], max_bits) if tight is None else least_forest(ids[rows], fps[rows], tight, max_bits):
             left.append(a)
             right.append(b)
     return left, right
 
 
-def sorted_buckets(batches: Iterator[pa.RecordBatch], lanes: int, max_bits: int, cuts=None) -> Iterator[pa.RecordBatch]:
+def sorted_buckets(batches: Iterator[pa.RecordBatch], lanes: int, max_bits: int, cuts=None, tight: int | None = None) -> Iterator[pa.RecordBatch]:
     """Links from rows (key, block, kind, id, fp) sorted by key, block, kind; a bucket may span batches."""
     kept: list[np.ndarray] | None = None
 
@@ -202,7 +246,7 @@ def sorted_buckets(batches: Iterator[pa.RecordBatch], lanes: int, max_bits: int,
         change = np.concatenate(([0], np.cumsum((key[1:] != key[:-1]) | (block[1:] != block[:-1]))))
         # buckets of one key but other blocks count as buckets of their own; the start segment stays readable in the key
         group = (key & np.uint64(0xFFFFFFFF00000000)) | change.astype(np.uint64) if cuts else change.astype(np.uint64)
-        a, b = bucket_links(group, kind, ids, fps, max_bits, cuts)
+        a, b = bucket_links(group, kind, ids, fps, max_bits, cuts, tight)
         return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"]) if a else None
 
     for batch in batches:
@@ -294,60 +338,94 @@ BANDS, ROWS = 16, 4
 
 
 def band_rows(docs: DataFrame, words: int, lanes: int) -> DataFrame:
-    """doc_id, node (a hash of the whole fingerprint and minima: equal for copies), fp (binary), bands (16 keys of 4 minima)."""
+    """doc_id, node (a hash of the whole fingerprint and minima: equal for copies), fp (binary), bands (16 keys of 4 minima), prints (the text's distinct
+    shingles as sorted 32-bit hashes)."""
     kind = docs.schema["doc_id"].dataType.simpleString()
-    offsets = np.arange(BANDS * ROWS)
+    factors = MIX[120 : 120 + BANDS * ROWS][None, :]
 
     def run(batches):
         import xxhash
 
-        for batch in batches:
-            out: tuple[list, list, list] = ([], [], [])
-            for x in batch.column(1):
-                ones, total = np.zeros((lanes, 64), dtype=np.int64), 0
-                least = np.full(BANDS * ROWS, 0xFFFFFFFF, dtype=np.uint32)
-                for h in shingle_hashes(x.as_py(), words):
-                    total += len(h)
-                    for k in range(lanes):
-                        ones[k] += np.unpackbits(mixed(h, k).view(np.uint8), bitorder="little").reshape(-1, 64).sum(axis=0, dtype=np.int64)
-                    for at in range(0, len(h), 1024):
-                        part = (h[at : at + 1024, None] * MIX[offsets + 120][None, :]) >> np.uint64(32)
-                        least = np.minimum(least, part.astype(np.uint32).min(axis=0))
-                fp = np.packbits(ones * 2 > total, axis=1, bitorder="little").tobytes()
-                keys = [xxhash.xxh64_intdigest(least[b * ROWS : (b + 1) * ROWS].tobytes(), b) for b in range(BANDS)]
-                out[0].append(xxhash.xxh64_intdigest(fp + least.tobytes(), SEED))
-                out[1].append(fp)
-                out[2].append(np.array(keys, dtype=np.uint64).view(np.int64))
-            node = pa.array(np.array(out[0], dtype=np.uint64).view(np.int64))
-            bands = pa.ListArray.from_arrays(pa.array(np.arange(0, BANDS * (len(out[0]) + 1), BANDS), pa.int32()), pa.array(np.concatenate(out[2]) if out[2] else np.array([], dtype=np.int64)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), node, pa.array(out[1], pa.binary()), bands], ["doc_id", "node", "fp", "bands"])
-
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, node long, fp binary, bands array<long>")
-
-
-def similar_links(nodes: DataFrame, lanes: int, max_bits: int, block_rows: int = 100_000) -> DataFrame:
-    """Links between distinct nodes that share a band key and differ in max_bits or fewer of 64 * lanes bits: a spanning
-    forest of each bucket. A key that more than block_rows nodes share is dealt out as pairs of blocks."""
+        for whole in batches:
+            for start in range(0, whole.num_rows, 512):
+                batch = whole.slice(start, 512)
+                out: tuple[list, list, list, list] = ([], [], [], [])
+                for x in batch.column(1):
+                    ones, total, own = np.zeros((lanes, 64), dtype=np.int64), 0, [np.array([], dtype=np.uint32)]
+                    least = np.full(BANDS * ROWS, 0xFFFFFFFF, dtype=np.uint32)
+                    for h in shingle_hashes(x.as_py(), words):
+                        total += len(h)
+                        own.append(np.unique((h >> np.uint64(32)).astype(np.uint32)))
+                        for k in range(lanes):
+                            ones[k] += np.unpackbits(mixed(h, k).view(np.uint8), bitorder="little").reshape(-1, 64).sum(axis=0, dtype=np.int64)
+                        for at in range(0, len(h), 1024):
+                            part = (h[at : at + 1024, None] * factors) >> np.uint64(32)
+                            least = np.minimum(least, part.astype(np.uint32).min(axis=0))
+                    fp = np.packbits(ones * 2 > total, axis=1, bitorder="little").tobytes()
+                    keys = [xxhash.xxh64_intdigest(least[b * ROWS : (b + 1) * ROWS].tobytes(), b) for b in range(BANDS)]
+                    out[0].append(xxhash.xxh64_intdigest(fp + least.tobytes(), SEED))
+                    out[1].append(fp)
+                    out[2].append(np.array(keys, dtype=np.uint64).view(np.int64))
+                    out[3].append((np.unique(np.concatenate(own)) if len(own) > 2 else own[-1]).astype("<u4").tobytes())
+                node = pa.array(np.array(out[0], dtype=np.uint64).view(np.int64))
+                bands = pa.ListArray.from_arrays(pa.array(np.arange(0, BANDS * (len(out[0]) + 1), BANDS), pa.int32()), pa.array(np.concatenate(out[2]) if out[2] else np.array([], dtype=np.int64)))
+                yield pa.RecordBatch.from_arrays([batch.column(0), node, pa.array(out[1], pa.binary()), bands, pa.array(out[3], pa.binary())], ["doc_id", "node", "fp", "bands", "prints"])
+
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, node long, fp binary, bands array<long>, prints binary")
+
+
+def similar_links(nodes: DataFrame, lanes: int, tight: int, max_bits: int, block_rows: int = 50_000) -> DataFrame:
+    """Links between distinct nodes that share a band key and differ in max_bits or fewer of 64 * lanes bits: of each bucket a spanning
+    forest by shortest links. A key that more than block_rows nodes share is dealt out as pairs of blocks."""
     keys = nodes.select("node", "fp", F.explode("bands").alias("key"))
     counts = keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     counts = materialize(counts, "simhash-bands")
-    rows = keys.join(counts, "key").withColumn("blocks", F.ceil(F.col("n") / block_rows)).withColumn("own", F.pmod(F.xxhash64("node"), "blocks"))
+    # one plan at every size: keys that texts share grow with the texts
+    rows = keys.join(counts.hint("merge"), "key").withColumn("blocks", F.ceil(F.col("n") / block_rows)).withColumn("own", F.pmod(F.xxhash64("node"), "blocks"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     block = F.shiftleft(F.least("own", "other"), 31).bitwiseOR(F.greatest("own", "other"))
     rows = rows.select("key", block.alias("block"), F.lit(False).alias("kind"), F.col("node").alias("id"), "fp")
     dealt = rows.repartition(_parts(nodes), "key", "block").sortWithinPartitions("key", "block")
-    return dealt.mapInArrow(lambda it: sorted_buckets(it, lanes, max_bits), "a long, b long")
+    return dealt.mapInArrow(lambda it: sorted_buckets(it, lanes, max_bits, None, tight), "a long, b long")
+
+
+def similarity(a: bytes, b: bytes) -> float:
+    """Jaccard similarity of two sorted sets of 32-bit hashes; 1 for two empty ones."""
+    x, y = np.frombuffer(a, dtype="<u4"), np.frombuffer(b, dtype="<u4")
+    if not len(x) + len(y):
+        return 1.0
+    common = len(np.intersect1d(x, y, assume_unique=True))
+    return common / (len(x) + len(y) - common)
 
 
-def near_duplicate_groups(docs: DataFrame, words: int = 5, lanes: int = 4, max_bits: int = 50) -> DataFrame:
-    """doc_id, component_id at a shingle similarity of about 0.8 and more.
+def confirmed(links: DataFrame, nodes: DataFrame, least: float) -> DataFrame:
+    """The links whose texts have that shingle similarity."""
+    ends = links.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    few = materialize(nodes.select("node", "prints").join(ends.hint("merge"), "node", "left_semi"), "simhash-prints")
+    one = links.join(few.select(F.col("node").alias("a"), F.col("prints").alias("pa")).hint("merge"), "a")
+    two = one.join(few.select(F.col("node").alias("b"), F.col("prints").alias("pb")).hint("merge"), "b").select("a", "b", "pa", "pb")
+
+    def run(batches):
+        for batch in batches:
+            ok = [similarity(x.as_buffer(), y.as_buffer()) >= least for x, y in zip(batch.column(2), batch.column(3))]
+            yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
-    Texts of similarity 0.8 share 0.89 of their shingles, so 15 % of SimHash bits differ (39 of 256, deviation 6); unrelated
-    texts differ in half. 50 bits accept 96 in 100 direct links at 0.8 exactly and practically all at 0.85, and 16 bands of
-    four minima make such a pair a candidate with probability 0.9998."""
+    return two.mapInArrow(run, "a long, b long")
+
+
+def near_duplicate_groups(docs: DataFrame, words: int = 5, least: float = 0.8, lanes: int = 4, tight: int = 20, max_bits: int = 56) -> DataFrame:
+    """doc_id, component_id: texts link where the Jaccard similarity of their shingle sets is at least 0.8.
+
+    Such texts share 0.89 of their shingles, so at 0.8 exactly 15 % of SimHash bits differ (39 of 256, deviation 6), against half between
+    unrelated texts. 16 bands of four minima make such a pair a candidate with probability 0.9998, and 56 bits let it pass the Hamming check with 0.998;
+    the sets themselves then decide. A bucket's links are its shortest ones, so a link that the sets refuse is the best there was between its clusters in that
+    bucket; 20 bits, within which links are taken as they come, is 3 deviations nearer than 0.8."""
     own = materialize(band_rows(docs, words, lanes), "simhash-bandrows")
-    nodes = own.groupBy("node").agg(F.any_value("fp").alias("fp"), F.any_value("bands").alias("bands"))
-    links = materialize(similar_links(materialize(nodes, "simhash-nodes"), lanes, max_bits).distinct(), "simhash-links")
-    labels = labelled(own.select("doc_id", "node"), links)
-    discard(links)
-    return own.select("doc_id", "node").join(labels, "node").select("doc_id", "component_id")
+    nodes = materialize(own.groupBy("node").agg(F.any_value("fp").alias("fp"), F.any_value("bands").alias("bands"), F.any_value("prints").alias("prints")), "simhash-nodes")
+    links = materialize(similar_links(nodes, lanes, tight, max_bits).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "simhash-links")
+    sure = materialize(confirmed(links, nodes, least), "simhash-sure")
+    labels = labelled(own.select("doc_id", "node"), sure)
+    out = materialize(own.select("doc_id", "node").join(labels.hint("merge"), "node").select("doc_id", "component_id"), "simhash-groups")
+    for df in (own, nodes, links, sure, labels):
+        discard(df)
+    return out
