@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 
 MARK = "▁"
 UNKNOWN = 10.0
+NEVER = float("-inf")
 KNOWN_WORDS = 1_000_000
 WORD = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 
@@ -41,6 +42,9 @@ class Model:
         self.scores = {p: (sp.get_score(i), i) for i, p in enumerate(self.pieces) if not special(i)}
         self.bytes = {int(p[3:5], 16): i for i, p in enumerate(self.pieces) if sp.is_byte(i)}
         self.byte_of = {i: b for b, i in self.bytes.items()}
+        #: byte pieces that are part of a code point only, and the text of all other pieces
+        self.high = frozenset(i for b, i in self.bytes.items() if b > 127)
+        self.texts = [chr(self.byte_of[i]) if i in self.byte_of else p for i, p in enumerate(self.pieces)]
         self.unk = sp.unk_id()
         self.longest = max(map(len, self.scores))
         #: the tree of pieces; "" holds (score, ids) where one ends
@@ -52,7 +56,7 @@ class Model:
             node[""] = (score, (i,))
         self.floor = min(s for s, _ in self.scores.values() if s > -1e8) - UNKNOWN
         self.by_word = not any(MARK in p.lstrip(MARK) for p in self.scores)
-        self.words: dict[str, tuple[int, ...]] = {}
+        self.words: dict[str, bytes] = {}
 
     def ids_of(self, char: str) -> tuple[int, ...]:
         """The ids of a code point that is no piece."""
@@ -67,44 +71,66 @@ class Model:
                 yield from search.push(c)
         yield from search.finish()
 
-    def segment(self, text: str) -> tuple[int, ...]:
-        search, out = Search(self), []
-        for c in text:
-            out += search.push(c)
-        return tuple(out + search.finish())
+    def segment(self, text: str) -> list[int]:
+        """The ids of normalised text. A text within the window gives out nothing before its end, so it's searched in one go."""
+        if len(text) >= 2 * self.longest:
+            return list(self.stream([text]))
+        n, scores, tree = len(text), self.scores, self.tree
+        best, back = [0.0] + [NEVER] * n, [(-1, ())] * (n + 1)
+        for start, char in enumerate(text):
+            here, node = best[start], tree
+            for end in range(start, n):
+                node = node.get(text[end])
+                if node is None:
+                    break
+                hit = node.get("")
+                if hit is not None and here + hit[0] > best[end + 1]:
+                    best[end + 1], back[end + 1] = here + hit[0], (start, hit[1])
+            if char not in scores and here + self.floor > best[start + 1]:
+                best[start + 1], back[start + 1] = here + self.floor, (start, self.ids_of(char))
+        out: list[int] = []
+        while n:
+            n, ids = back[n]
+            out[:0] = ids
+        return out
 
-    def encode(self, text: str | None) -> list[int]:
+    def encode(self, text: str | None) -> np.ndarray:
         """The ids of a whole text."""
         if not text:
-            return []
-        marked = MARK + text.replace(" ", MARK)
+            return np.array([], dtype="<i4")
         if not self.by_word:
-            return list(self.stream([marked]))
+            return np.fromiter(self.stream([MARK + text.replace(" ", MARK)]), dtype="<i4")
         if len(self.words) > KNOWN_WORDS:
             self.words.clear()
-        out: list[int] = []
-        known = self.words
-        for word in WORD.findall(marked):
-            ids = known.get(word)
-            if ids is None:
-                ids = self.segment(word)
-                if len(word) <= 64:
-                    known[word] = ids
-            out += ids
-        return out
+        # words between single spaces have one mark each; where marks can meet, they go with the word after them
+        plain = not ("  " in text or MARK in text or text[0] == " " or text[-1] == " ")
+        words = text.split(" ") if plain else WORD.findall(MARK + text.replace(" ", MARK))
+        parts = list(map(self.words.get, words)) if plain else [None] * len(words)
+        if None in parts:
+            for k, word in enumerate(words):
+                if parts[k] is None:
+                    ids = self.words.get(word) if plain else None
+                    if ids is None:
+                        ids = np.array(self.segment(MARK + word if plain else word), dtype="<i4").tobytes()
+                        if plain and len(word) <= 64:
+                            self.words[word] = ids
+                    parts[k] = ids
+        return np.frombuffer(b"".join(parts), dtype="<i4")
 
     def decode(self, ids: Iterable[int]) -> str:
         """The text of ids: byte pieces joined to code points, marks to spaces, without the first."""
+        ids = ids.tolist() if isinstance(ids, np.ndarray) else list(ids)
+        if self.high.isdisjoint(ids):
+            return "".join(map(self.texts.__getitem__, ids)).replace(MARK, " ")[1:]
         out, pending = [], bytearray()
-        pieces, byte_of = self.pieces, self.byte_of
         for i in ids:
-            if i in byte_of:
-                pending.append(byte_of[i])
+            if i in self.byte_of:
+                pending.append(self.byte_of[i])
                 continue
             if pending:
                 out.append(pending.decode("utf-8", "replace"))
                 pending.clear()
-            out.append(pieces[i])
+            out.append(self.pieces[i])
         if pending:
             out.append(pending.decode("utf-8", "replace"))
         return "".join(out).replace(MARK, " ")[1:]
@@ -188,7 +214,7 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text: str = "text
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
-                ids = [np.array(m.encode(x.as_py()), dtype=np.int32) for x in part.column(1)]
+                ids = [m.encode(x.as_py()) for x in part.column(1)]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.list_(pa.int32()))], [id_col, "ids"])
 
     return docs.select(id_col, text).mapInArrow(run, f"`{id_col}` {kind}, ids array<int>")
@@ -221,7 +247,7 @@ def round_trip(docs: DataFrame, path: str) -> DataFrame:
         for batch in batches:
             out: tuple[list, list, list] = ([], [], [])
             for x in batch.column(1):
-                ids = np.array(m.encode(x.as_py()), dtype="<u4")
+                ids = m.encode(x.as_py())
                 out[0].append(len(ids))
                 out[1].append(zlib.crc32(ids.tobytes()))
                 out[2].append(hashlib.sha256(m.decode(ids.tolist()).encode()).hexdigest())
