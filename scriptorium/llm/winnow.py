@@ -73,7 +73,7 @@ def fingerprints(docs: DataFrame, text: str = "text", k: int = K, window: int =
 
 def ranges(docs: DataFrame, parts: int) -> Column:
     """The number of a row's range of doc_id: ranges hold about equally many rows; null is in the first."""
-    ends = docs.select(F.percentile_approx("doc_id", [i / parts for i in range(1, parts)], 100 * parts)).first()[0] if parts > 1 else None
+    ends = docs.select(F.percentile_approx("doc_id", [i / parts for i in range(1, parts)], min(100 * parts, 100_000))).first()[0] if parts > 1 else None
     ends = sorted(set(ends or []))
     if not ends:
         return F.lit(0)
