@@ -34,9 +34,7 @@ from scriptorium.llm.storage import materialize, scratch, task_fs, task_write
 
 MAGIC = b"WVM1"
 BLOCK = 512
-HOT_WORDS, COLD_WORDS = 30_000, 1_000_000
-#: Texts encoded at a time.
-TEXTS = 64
+HOT_WORDS, COLD_WORDS = 100_000, 1_000_000
 
 
 def _pack(data: bytes) -> bytes:
@@ -216,6 +214,20 @@ DELICATE = (b"\xcc", b"\xcd", b"<|")
 PROBE = ("The Ünïted, states. A'b c1d e--f\ng  h i's J", "Über naïve cafés, Straße. l'été")
 
 
+class Words(dict):
+    """The ids of words that aren't hot; a new word is encoded, and goes to the hot ones while there's room."""
+
+    hot: dict[bytes, bytes]
+
+    def __init__(self, encode):
+        self.encode = encode
+
+    def __missing__(self, word: bytes) -> bytes:
+        ids = self.encode(word)
+        (self.hot if len(self.hot) < HOT_WORDS else self)[word] = ids
+        return ids
+
+
 class Encoder:
     """Ids of whole texts, word by word, where a tokenizer allows it.
 
@@ -235,12 +247,13 @@ class Encoder:
         shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
         #: byte-level models show other bytes as the code points from 256 on
         self.shown = {b: 256 + k for k, b in enumerate(b for b in range(256) if b not in shown)}
-        self.hot: dict[bytes, bytes] = {}
-        self.cold: dict[bytes, bytes] = {}
+        self.cold = Words(self._word)
+        # what the first table lacks is looked up in the second without a step in Python
+        self.hot = self.cold.hot = type("Hot", (dict,), {"__missing__": self.cold.__getitem__})()
         whole = [self._plain(t) for t in PROBE]
         letters = [w for t in PROBE for w in t.lower().split() if w.isalpha()]
         self.direct = [self._straight(w.encode()) for w in letters] == [self._plain(w) for w in letters]
-        self.by_word = self._by_word(list(PROBE)) == whole
+        self.by_word = [self._by_word(t) for t in PROBE] == whole
 
     def _plain(self, text: str) -> bytes:
         return _packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
@@ -254,31 +267,17 @@ class Encoder:
             return self._straight(word)
         return self._plain(text)
 
-    def _by_word(self, texts: list[str]) -> list[bytes]:
-        held, get, cold, new = [], self.hot.get, self.cold, set()
-        for text in texts:
-            data = text.encode("utf-8")
-            words = (data if any(x in data for x in DELICATE) else STOP.sub(rb" \1", data.lower())).split()
-            parts = list(map(get, words))
-            holes = [k for k, x in enumerate(parts) if x is None] if None in parts else []
-            held.append((words, parts, holes))
-            new.update([words[k] for k in holes])
-        if new:
-            found = {w: cold.get(w) for w in new}
-            fresh = {w: self._word(w) for w, ids in found.items() if ids is None}
-            found.update(fresh)
-            if len(cold) > COLD_WORDS:
-                cold.clear()
-            (self.hot if len(self.hot) < HOT_WORDS else cold).update(fresh)
-            for words, parts, holes in held:
-                for k in holes:
-                    parts[k] = found[words[k]]
-        return [b"".join(parts) for _, parts, _ in held]
-
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        """The ids of each text as little-endian 32-bit numbers."""
-        given = [t or "" for t in texts]
-        return self._by_word(given) if self.by_word else [self._plain(t) for t in given]
+    def _by_word(self, text: str) -> bytes:
+        data = text.encode("utf-8")
+        if not any(x in data for x in DELICATE):
+            data = STOP.sub(rb" \1", data.lower())
+        return b"".join(map(self.hot.__getitem__, data.split()))
+
+    def encode(self, text: str | None) -> bytes:
+        """The ids of a text as little-endian 32-bit numbers."""
+        if len(self.cold) > COLD_WORDS:
+            self.cold.clear()
+        return (self._by_word if self.by_word else self._plain)(text or "")
 
 
 def _packed(ids: list[int]) -> bytes:
@@ -314,14 +313,13 @@ def write_shards(docs: DataFrame, tokenizer: str, end_id: int, shard_tokens: int
 
         for batch in batches:
             taken = 0
-            for at in range(0, batch.num_rows, TEXTS):
-                for k, found in enumerate(code.encode(batch.column(1).slice(at, TEXTS).to_pylist()), at):
-                    ids.append(found + end)
-                    held += len(ids[-1]) // 4
-                    if held >= shard_tokens:
-                        names.append(batch.column(0).slice(taken, k + 1 - taken))
-                        yield flush()
-                        ids, names, held, seq, taken = [], [], 0, seq + 1, k + 1
+            for k, x in enumerate(batch.column(1)):
+                ids.append(code.encode(x.as_py()) + end)
+                held += len(ids[-1]) // 4
+                if held >= shard_tokens:
+                    names.append(batch.column(0).slice(taken, k + 1 - taken))
+                    yield flush()
+                    ids, names, held, seq, taken = [], [], 0, seq + 1, k + 1
             if taken < batch.num_rows:
                 names.append(batch.column(0).slice(taken))
         if ids:
@@ -330,9 +328,13 @@ def write_shards(docs: DataFrame, tokenizer: str, end_id: int, shard_tokens: int
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     dealt = docs.select("doc_id", "text").repartitionByRange(parts, F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
     files = materialize(dealt.mapInArrow(run, "part long, seq long, path string, n_docs long, n_tokens long"), "shard-files")
-    # a row for each file
-    order = Window.orderBy("part", "seq")
-    return files.select((F.row_number().over(order) - 1).alias("shard"), "path", "n_docs", "n_tokens", (F.sum("n_tokens").over(order) - F.col("n_tokens")).alias("start"))
+    # a row for each part, at most as many as partitions; files are numbered within their part
+    parts = files.groupBy("part").agg(F.sum("n_tokens").alias("t"), F.count("*").alias("f"))
+    over = Window.orderBy("part")
+    before = parts.select("part", (F.sum("t").over(over) - F.col("t")).alias("t0"), (F.sum("f").over(over) - F.col("f")).alias("f0"))
+    order = Window.partitionBy("part").orderBy("seq")
+    placed = files.join(F.broadcast(before), "part")
+    return placed.select((F.col("f0") + F.row_number().over(order) - 1).alias("shard"), "path", "n_docs", "n_tokens", (F.col("t0") + F.sum("n_tokens").over(order) - F.col("n_tokens")).alias("start"))
 
 
 def read_shards(spark: SparkSession, files: DataFrame, id_type: str = "bigint") -> DataFrame:
