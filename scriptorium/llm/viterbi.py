@@ -17,6 +17,7 @@ Defined results: a null text counts as empty, which has no ids. Decoding gives b
 from __future__ import annotations
 
 import re
+import struct
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -56,7 +57,7 @@ class Model:
             node[""] = (score, (i,))
         self.floor = min(s for s, _ in self.scores.values() if s > -1e8) - UNKNOWN
         self.by_word = not any(MARK in p.lstrip(MARK) for p in self.scores)
-        self.words: dict[str, bytes] = {}
+        self.words = Words(self.segment)
 
     def ids_of(self, char: str) -> tuple[int, ...]:
         """The ids of a code point that is no piece."""
@@ -105,16 +106,7 @@ class Model:
         # words between single spaces have one mark each; where marks can meet, they go with the word after them
         plain = not ("  " in text or MARK in text or text[0] == " " or text[-1] == " ")
         words = text.split(" ") if plain else WORD.findall(MARK + text.replace(" ", MARK))
-        parts = list(map(self.words.get, words)) if plain else [None] * len(words)
-        if None in parts:
-            for k, word in enumerate(words):
-                if parts[k] is None:
-                    ids = self.words.get(word) if plain else None
-                    if ids is None:
-                        ids = np.array(self.segment(MARK + word if plain else word), dtype="<i4").tobytes()
-                        if plain and len(word) <= 64:
-                            self.words[word] = ids
-                    parts[k] = ids
+        parts = map(self.words.__getitem__, words) if plain else (packed(self.segment(word)) for word in words)
         return np.frombuffer(b"".join(parts), dtype="<i4")
 
     def decode(self, ids: Iterable[int]) -> str:
@@ -136,6 +128,23 @@ class Model:
         return "".join(out).replace(MARK, " ")[1:]
 
 
+def packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}i", *ids)
+
+
+class Words(dict):
+    """The ids of words between single spaces; a new one is segmented, and kept unless it's very long."""
+
+    def __init__(self, segment):
+        self.segment = segment
+
+    def __missing__(self, word: str) -> bytes:
+        ids = packed(self.segment(MARK + word))
+        if len(word) <= 64:
+            self[word] = ids
+        return ids
+
+
 class Search:
     """The Viterbi search over a sliding window of boundaries."""
 
