@@ -67,7 +67,7 @@ def roles(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
     return own.select("page_id", "sha1", F.when(revisit, "revisit").otherwise("response").alias("role"), F.when(revisit, F.col("first")).alias("refers_to"))
 
 
-def write_archives(pages: DataFrame, folder: str | None = None, min_bytes: int = 0) -> DataFrame:
+def write_archives(pages: DataFrame, folder: str | None = None, min_bytes: int = 0, file_bytes: int = FILE_BYTES) -> DataFrame:
     """Writes page_id, url, html; returns the table of files: path, n_records."""
     spark = pages.sparkSession
     folder = folder or scratch(spark, "warc")
@@ -105,7 +105,7 @@ def write_archives(pages: DataFrame, folder: str | None = None, min_bytes: int =
                 fields = f"page-id: {'' if page is None else page}\r\n".encode()
                 out.append(record("metadata", record_id("metadata", page, sha1, again), fields, WARC_Target_URI=target, Content_Type="application/warc-fields", WARC_Concurrent_To=hub))
                 size, n = size + 1000, n + 3
-                if size >= FILE_BYTES:
+                if size >= file_bytes:
                     yield done()
                     out, size, n = [], 0, 0
         if out:
