@@ -24,10 +24,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from scriptorium.llm.lookup import Words
+
 MARK = "▁"
 UNKNOWN = 10.0
 NEVER = float("-inf")
-KNOWN_WORDS = 1_000_000
 WORD = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 
 
@@ -57,7 +58,7 @@ class Model:
             node[""] = (score, (i,))
         self.floor = min(s for s, _ in self.scores.values() if s > -1e8) - UNKNOWN
         self.by_word = not any(MARK in p.lstrip(MARK) for p in self.scores)
-        self.words = Words(self.segment)
+        self.words = Words(lambda word: packed(self.segment(MARK + word)))
 
     def ids_of(self, char: str) -> tuple[int, ...]:
         """The ids of a code point that is no piece."""
@@ -101,12 +102,11 @@ class Model:
             return np.array([], dtype="<i4")
         if not self.by_word:
             return np.fromiter(self.stream([MARK + text.replace(" ", MARK)]), dtype="<i4")
-        if len(self.words) > KNOWN_WORDS:
-            self.words.clear()
+        self.words.trim()
         # words between single spaces have one mark each; where marks can meet, they go with the word after them
         plain = not ("  " in text or MARK in text or text[0] == " " or text[-1] == " ")
         words = text.split(" ") if plain else WORD.findall(MARK + text.replace(" ", MARK))
-        parts = map(self.words.__getitem__, words) if plain else (packed(self.segment(word)) for word in words)
+        parts = map(self.words.find, words) if plain else (packed(self.segment(word)) for word in words)
         return np.frombuffer(b"".join(parts), dtype="<i4")
 
     def decode(self, ids: Iterable[int]) -> str:
@@ -132,19 +132,6 @@ def packed(ids: list[int]) -> bytes:
     return struct.pack(f"<{len(ids)}i", *ids)
 
 
-class Words(dict):
-    """The ids of words between single spaces; a new one is segmented, and kept unless it's very long."""
-
-    def __init__(self, segment):
-        self.segment = segment
-
-    def __missing__(self, word: str) -> bytes:
-        ids = packed(self.segment(MARK + word))
-        if len(word) <= 64:
-            self[word] = ids
-        return ids
-
-
 class Search:
     """The Viterbi search over a sliding window of boundaries."""
 

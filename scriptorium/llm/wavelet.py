@@ -30,11 +30,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from scriptorium.llm.lookup import Words
 from scriptorium.llm.storage import materialize, scratch, task_fs, task_write
 
 MAGIC = b"WVM1"
 BLOCK = 512
-HOT_WORDS, COLD_WORDS = 100_000, 1_000_000
 
 
 def _pack(data: bytes) -> bytes:
@@ -214,25 +214,10 @@ DELICATE = (b"\xcc", b"\xcd", b"<|")
 PROBE = ("The Ünïted, states. A'b c1d e--f\ng  h i's J", "Über naïve cafés, Straße. l'été")
 
 
-class Words(dict):
-    """The ids of words that aren't hot; a new word is encoded, and goes to the hot ones while there's room."""
-
-    hot: dict[bytes, bytes]
-
-    def __init__(self, encode):
-        self.encode = encode
-
-    def __missing__(self, word: bytes) -> bytes:
-        ids = self.encode(word)
-        (self.hot if len(self.hot) < HOT_WORDS else self)[word] = ids
-        return ids
-
-
 class Encoder:
     """Ids of whole texts, word by word, where a tokenizer allows it.
 
-    Words are looked up; the first ``HOT_WORDS``, the frequent ones among them, have a table of their own that the processor's cache
-    holds. To have fewer different words, ASCII letters are put in lower case first, as the normaliser does after composing, and stops are set apart,
+    To look up fewer different words, ASCII letters are put in lower case first, as the normaliser does after composing, and stops are set apart,
     unless a text holds something that makes a difference there. A new word of lower-case letters goes straight to the library's model, as its
     normaliser and pre-tokenizer leave it whole; any other word goes through all of the tokenizer. Other tokenizers encode texts as a whole."""
 
@@ -247,9 +232,7 @@ class Encoder:
         shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
         #: byte-level models show other bytes as the code points from 256 on
         self.shown = {b: 256 + k for k, b in enumerate(b for b in range(256) if b not in shown)}
-        self.cold = Words(self._word)
-        # what the first table lacks is looked up in the second without a step in Python
-        self.hot = self.cold.hot = type("Hot", (dict,), {"__missing__": self.cold.__getitem__})()
+        self.words = Words(self._word)
         whole = [self._plain(t) for t in PROBE]
         letters = [w for t in PROBE for w in t.lower().split() if w.isalpha()]
         self.direct = [self._straight(w.encode()) for w in letters] == [self._plain(w) for w in letters]
@@ -271,12 +254,11 @@ class Encoder:
         data = text.encode("utf-8")
         if not any(x in data for x in DELICATE):
             data = STOP.sub(rb" \1", data.lower())
-        return b"".join(map(self.hot.__getitem__, data.split()))
+        return b"".join(map(self.words.find, data.split()))
 
     def encode(self, text: str | None) -> bytes:
         """The ids of a text as little-endian 32-bit numbers."""
-        if len(self.cold) > COLD_WORDS:
-            self.cold.clear()
+        self.words.trim()
         return (self._by_word if self.by_word else self._plain)(text or "")
 
 

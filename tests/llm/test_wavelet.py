@@ -8,7 +8,7 @@ import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
-from scriptorium.llm import wavelet
+from scriptorium.llm import lookup, wavelet
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 
@@ -38,8 +38,8 @@ def texts():
 
 @pytest.mark.parametrize("name, words, by_word", [("word_bpe_49k.json", 100_000, True), ("word_bpe_49k.json", 50, True), ("byte_bpe_50k.json", 100_000, False)])
 def test_words_encode_like_texts(monkeypatch, name, words, by_word):
-    monkeypatch.setattr(wavelet, "HOT_WORDS", words)
-    monkeypatch.setattr(wavelet, "COLD_WORDS", 20 * words)
+    monkeypatch.setattr(lookup, "HOT_WORDS", words)
+    monkeypatch.setattr(lookup, "COLD_WORDS", 20 * words)
     path = public_tokenizers.path(name)
     t, e = Tokenizer.from_file(path), wavelet.Encoder(path)
     assert e.by_word == by_word
