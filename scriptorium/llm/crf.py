@@ -24,12 +24,12 @@ UPPER = bytes(range(65, 91))
 LETTERS = bytes(range(65, 91)) + bytes(range(97, 123)) + bytes(range(128, 256))
 DIGITS = b"0123456789"
 BLANKS = b" \t\n\r\x0b\f"
-FEATURES = ("bias", "symbols", "capitals", "shouts", "digits", "no letters", "few words", "repeats", "seen before", "repeated words", "no sentence end")
+FEATURES = ("bias", "symbols", "capitals", "shouts", "digits", "no letters", "few words", "repeats", "seen before", "repeated words", "no sentence end", "many words")
 # Prior weights of content against boilerplate, in the order of FEATURES; then stay and change scores of neighbouring lines.
-PRIOR = np.array([2.0, -6.0, -2.0, -6.0, -2.0, -2.0, -0.2, -6.0, -1.5, -4.0, -0.3])
+PRIOR = np.array([1.0, -9.0, -2.0, -8.0, -2.0, -2.0, -0.2, -6.0, -1.5, -4.0, -0.3, 2.0])
 PRIOR_STAY = 0.8
 #: Labels of whole texts would make the chain all of one label; beyond this a line could no longer differ from its text.
-MOST_STAY = 2.0
+MOST_STAY = 1.0
 WINDOW = 8
 FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB], dtype=np.uint64)
 
@@ -76,7 +76,7 @@ def lines_of(text: str | None) -> tuple[tuple[int, int, int, int, int], list[int
         again = line in seen
         seen.add(line)
         dup += again
-        feats.append([1.0, min(1.0, without(line, SYMBOLS) / n), without(line, UPPER) / letters if letters > 3 else 0.0, min(1.0, line.count(b"!") / n), min(1.0, without(line, DIGITS) / n / 4), float(letters == 0), float(n < 5), sum(map(eq, own, own[1:])) / n, float(again), 0.0, float(line.rstrip()[-1:] not in b".!?:;\"')")])
+        feats.append([1.0, min(1.0, without(line, SYMBOLS) / n), without(line, UPPER) / letters if letters > 3 else 0.0, min(1.0, line.count(b"!") / n), min(1.0, without(line, DIGITS) / n / 4), float(letters == 0), float(n < 5), sum(map(eq, own, own[1:])) / n, float(again), 0.0, float(line.rstrip()[-1:] not in b".!?:;\"')"), min(1.0, n / 40)])
         sizes.append(n)
     rep = repeated(words)
     n_repeat = int(rep.sum())
