@@ -81,6 +81,9 @@ def calls(backend: ModelBackend, attempts: int = 3, wait: float = 0.0, pause: fl
             out = []
             for prompt in batch:
                 answer = None
+                if prompt is None:
+                    out.append(None)
+                    continue
                 for k in range(attempts):
                     if k and wait:
                         time.sleep(wait)
@@ -130,11 +133,12 @@ def correct(df: DataFrame, ask, limit: int = 1000, text: str = "text", key: str
     whose call failed keeps its text. ask is a column function of a segment."""
     from scriptorium.functions.text import has_ink
 
-    blank = df.where(~has_ink(F.col(text))).select(key, text, F.lit(0).cast("long").alias("n_failed"))
-    parts = df.where(has_ink(F.col(text))).select(key, F.posexplode(packed(F.col(text), limit)).alias("seg_no", "segment"))
-    asked = parts.withColumn("__a", ask(F.col("segment"))).withColumn("__t", F.coalesce("__a", "segment"))
-    rows = asked.select(key, "seg_no", "__t", F.col("__a").isNull().cast("long").alias("failed"))
-    whole = rows.groupBy(key).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("seg_no", "__t"))), lambda r: r["__t"]), "\n").alias(text), F.sum("failed").alias("n_failed"))
-    return whole.unionByName(blank)
-
-
+    ink = has_ink(F.col(text))
+    # one pass: blank texts go along as they are, in a row without a segment
+    parts = df.select(key, F.when(~ink, F.col(text)).alias("__blank"), F.posexplode_outer(F.when(ink, packed(F.col(text), limit))).alias("seg_no", "segment"))
+    asked = parts.withColumn("__a", ask(F.col("segment")))
+    failed = (F.col("segment").isNotNull() & F.col("__a").isNull()).cast("long")
+    piece = F.when(F.col("segment").isNotNull(), F.struct("seg_no", F.coalesce("__a", "segment").alias("t")))
+    whole = asked.groupBy(key).agg(F.array_sort(F.collect_list(piece)).alias("__s"), F.max("__blank").alias("__b"), F.sum(failed).alias("n_failed"))
+    joined = F.when(F.size("__s") > 0, F.array_join(F.transform("__s", lambda r: r["t"]), "\n")).otherwise(F.col("__b"))
+    return whole.select(key, joined.alias(text), "n_failed")

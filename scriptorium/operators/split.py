@@ -16,8 +16,10 @@ def fixed_chunks(df: DataFrame, size: int = 2000, text: str = "text") -> DataFra
     chunk for an empty or null text."""
     others = [c for c in df.columns if c != text]
     starts = F.sequence(F.lit(0), F.floor((F.char_length(text) - 1) / size).cast("int"))
-    pieces = F.transform(starts, lambda i: F.col(text).substr(i * size + 1, F.lit(size)))
-    return df.where(F.char_length(text) > 0).select(*others, F.posexplode(pieces).alias("pos", "chunk")).select(*others, (F.col("pos") + 1).alias("chunk_no"), "chunk")
+    pieces = F.when(F.char_length(text) > 0, F.transform(starts, lambda i: F.col(text).substr(i * size + 1, F.lit(size))))
+    # the outer form, and the filter after it: a filter on the text would be pushed below and work the text out a second time
+    rows = df.select(*others, F.posexplode_outer(pieces).alias("__pos", "chunk")).where(F.col("__pos").isNotNull())
+    return rows.select(*others, (F.col("__pos") + 1).alias("chunk_no"), "chunk")
 
 
 def resume(df: DataFrame, done: DataFrame, *keys: str) -> DataFrame:

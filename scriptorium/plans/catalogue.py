@@ -16,12 +16,14 @@ CHUNK, LIMIT, LONGEST, OVERLAP = 2000, 1000, 2000, 200
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Dealt out before Python works on long texts: the tables are one row group each, which is one task."""
-    return df.repartition(max(df.sparkSession.sparkContext.defaultParallelism, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    """Dealt out before long work on texts, but only where the scan has fewer tasks than there are cores: a small table is one row
+    group, which is one task; a large one has tasks enough and isn't shuffled."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df._jdf.queryExecution().toRdd().getNumPartitions() >= cores else df.repartition(cores)
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "documents").select("doc_id", "text")
+    return spread(table(spark, folder, "documents").select("doc_id", "text"))
 
 
 # cleaning
@@ -74,11 +76,11 @@ def paragraph_pack(spark, folder):
 
 
 def overlap_windows(spark, folder):
-    return split.overlap_windows(spread(documents(spark, folder)), LONGEST, OVERLAP)
+    return split.overlap_windows(documents(spark, folder), LONGEST, OVERLAP)
 
 
 def windows_clean(spark, folder):
-    return split.overlap_windows(spread(documents(spark, folder)).withColumn("text", clean(F.col("text"))), LONGEST, OVERLAP)
+    return split.overlap_windows(documents(spark, folder).withColumn("text", clean(F.col("text"))), LONGEST, OVERLAP)
 
 
 # correction
@@ -86,13 +88,13 @@ def windows_clean(spark, folder):
 
 def correct_roundtrip(spark, folder):
     same = models.calls(models.RuleBackend(lambda s: s))
-    return models.correct(spread(documents(spark, folder)), same, LIMIT).select("doc_id", "text")
+    return models.correct(documents(spark, folder), same, LIMIT).select("doc_id", "text")
 
 
 def correct_fallback(spark, folder):
     """Segments of an odd number of characters fail and stay; the others get a mark."""
     some = models.calls(models.RuleBackend(lambda s: None if len(s) % 2 else s + "~"), attempts=1)
-    return models.correct(spread(documents(spark, folder)), some, LIMIT)
+    return models.correct(documents(spark, folder), some, LIMIT)
 
 
 # flattening and putting together
@@ -104,7 +106,7 @@ def _pages(spark, folder) -> DataFrame:
     image = lambda path, caption: F.struct(path.alias("path"), F.lit(None).cast("struct<x:int,y:int,width:int,height:int>").alias("position"), F.lit(None).cast("string").alias("analysis"), caption.alias("caption"))
     none = F.lit(None).cast("string")
     images = F.slice(F.array(image(F.concat(F.lit("p/"), d), F.concat(F.lit("first "), d)), image(none, F.concat(F.lit("second "), d)), image(F.concat(F.lit("q/"), d), F.when(n % 2 == 0, F.lit("")))), F.lit(1), (n % 4).cast("int"))
-    docs = table(spark, folder, "documents")
+    docs = spread(table(spark, folder, "documents").select("doc_id", "text", "n_chars"))
     return docs.select("doc_id", F.lit(1).alias("page_number"), F.when(n % 5 != 0, F.col("text")).otherwise(" \n").alias("text"), images.alias("images"))
 
 
@@ -268,7 +270,7 @@ def _ask_book(segment: str) -> str:
 
 def book_pipeline(spark, folder):
     ask = models.calls(models.RuleBackend(_ask_book), attempts=1)
-    return pipelines.books_to_records(spread(documents(spark, folder)), ask, LONGEST, OVERLAP)
+    return pipelines.books_to_records(documents(spark, folder), ask, LONGEST, OVERLAP)
 
 
 def training_data_pipeline(spark, folder):
@@ -286,13 +288,13 @@ def _ask_chunk(chunk: str) -> str:
 
 def chunk_pipeline(spark, folder):
     ask = models.calls(models.RuleBackend(_ask_chunk), attempts=1)
-    good, _ = pipelines.chunks_to_json(pipelines.texts_to_chunks(spread(documents(spark, folder)), CHUNK), ask)
+    good, _ = pipelines.chunks_to_json(pipelines.texts_to_chunks(documents(spark, folder), CHUNK), ask)
     return good.select("doc_id", "chunk_no", "file_name", "json_type")
 
 
 def chunk_quarantine(spark, folder):
     ask = models.calls(models.RuleBackend(_ask_chunk), attempts=1)
-    _, bad = pipelines.chunks_to_json(pipelines.texts_to_chunks(spread(documents(spark, folder)), CHUNK), ask)
+    _, bad = pipelines.chunks_to_json(pipelines.texts_to_chunks(documents(spark, folder), CHUNK), ask)
     return bad.select("doc_id", "chunk_no", "raw")
 
 
