@@ -192,7 +192,7 @@ def train(labelled: DataFrame, **bounds) -> Trees:
 
 
 def fold_of(doc_id: Column | str) -> Column:
-    """crc32 of the id as text, modulo 5; fold 0 is held out."""
+    """crc32 of the id as text, modulo 5; fold 0 is held out. A null id has no fold: it's neither learnt from nor held out."""
     return F.pmod(F.crc32(F.col(doc_id).cast("string") if isinstance(doc_id, str) else doc_id.cast("string")), F.lit(5))
 
 
