@@ -1,6 +1,7 @@
 """Line dedup by winnowing over line hashes.
 
-A text is its sequence of lines that hold a word, compared without outer blanks. From each line on, the shortest run of
+A text is its sequence of lines, a long line being cut after every full stop and space, as a passage may have been put into the
+middle of one. Lines are compared without outer blanks and closing stops; lines without a word don't count. From each line on, the shortest run of
 lines with at least ``min_words`` words is a window. Each window selects the smallest line hash in it, the rightmost of
 equal ones; two texts that share a run of that many words share a window and so select the same line of it: that is the
 guarantee. The selected lines are joined by hash; those found at one place only end there. Around each of the others the
@@ -8,11 +9,12 @@ match is extended both ways, by joining the hashes of whole windows that selecte
 longer shared run does. Windows that occur earlier (smaller doc_id, then earlier in the text) are deleted with all their lines;
 overlapping windows add up to whole runs. The first occurrence stays, and so does a window that overlaps it in its own text.
 
-Shared runs shorter than ``min_words`` words stay everywhere, so common short lines do no harm.
+Shared runs shorter than ``min_words`` words stay everywhere, so common short lines do no harm. 30 words find a passage of over 50 words
+wherever it stands, as its first and last sentence may have grown together with what is around them.
 
-Defined results: a null text stays null. A text whose every line is a later copy becomes empty; its row stays. Texts that
-change are the kept lines (blank ones too) joined by newline; others stay as they are, byte for byte. Rows with the same doc_id and
-text count as one text given several times and are treated alike. A null doc_id comes before all others.
+Defined results: a null text stays null. A text whose every line is a later copy becomes empty; its row stays. In texts that
+change, what is left of a line is joined by spaces, a line of which no word is left goes, and lines are joined by newline; others stay as they are,
+byte for byte. Rows with the same doc_id and text count as one text given several times and are treated alike. A null doc_id comes before all others.
 """
 
 from __future__ import annotations
@@ -27,19 +29,24 @@ from pyspark.sql import functions as F
 
 from scriptorium.llm.storage import discard, materialize
 
-MIN_WORDS = 50
+MIN_WORDS = 30
+#: After it a line is cut.
+CUT = ". "
 
 
 def marked(text: str | None) -> tuple[list[int], list[int], list[int]]:
-    """Line number, hash and number of words of each line with a word."""
+    """Number, hash and number of words of each line with a word, cut lines counted one by one."""
     import xxhash
 
-    where, hashes, words = [], [], []
-    for k, line in enumerate((text or "").encode("utf-8", "surrogatepass").split(b"\n")):
-        if n := len(line.split()):
-            where.append(k)
-            hashes.append(xxhash.xxh64_intdigest(line.strip()))
-            words.append(n)
+    where, hashes, words, k = [], [], [], 0
+    cut = CUT.encode()
+    for line in (text or "").encode("utf-8", "surrogatepass").split(b"\n"):
+        for k, part in enumerate(line.split(cut), k):
+            if n := len(part.split()):
+                where.append(k)
+                hashes.append(xxhash.xxh64_intdigest(part.strip().rstrip(b".")))
+                words.append(n)
+        k += 1
     return where, hashes, words
 
 
@@ -121,13 +128,23 @@ def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 
 
 def without_runs(text: str, runs: list[tuple[int, int]]) -> str:
-    lines = text.split("\n")
-    drop = np.zeros(len(lines) + 1, dtype=np.int64)
+    lines = [line.split(CUT) for line in text.split("\n")]
+    drop = np.zeros(sum(map(len, lines)) + 1, dtype=np.int64)
     for a, b in runs:
         drop[a] += 1
         drop[b + 1] -= 1
-    gone = np.cumsum(drop)
-    return "\n".join(line for line, x in zip(lines, gone) if not x)
+    gone, at, out = np.cumsum(drop).tolist(), 0, []
+    for parts in lines:
+        flags = gone[at : at + len(parts)]
+        at += len(parts)
+        if not any(flags):
+            out.append(CUT.join(parts))
+            continue
+        whole = [p + CUT[0] for p in parts[:-1]] + parts[-1:]
+        left = " ".join([p for p, x in zip(whole, flags) if not x])
+        if left.encode("utf-8", "surrogatepass").split():
+            out.append(left)
+    return "\n".join(out)
 
 
 def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:

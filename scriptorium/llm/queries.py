@@ -147,15 +147,18 @@ FROM c GROUP BY conv_id"""
 
 _BLANK = r"[\x09-\x0d\x20]"
 LINES_SQL = f"""
-WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(0, len(string_split(text, chr(10))))) AS k FROM documents WHERE text IS NOT NULL),
-m AS (SELECT doc_id, k, regexp_replace(line, '^{_BLANK}+|{_BLANK}+$', '', 'g') AS s, len(regexp_extract_all(line, '[^\\x09-\\x0d\\x20]+')) AS n FROM l),
+WITH h AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(0, len(string_split(text, chr(10))))) AS h FROM documents WHERE text IS NOT NULL),
+i AS (SELECT doc_id, h, unnest(string_split(line, '. ')) AS part, unnest(range(0, len(string_split(line, '. ')))) AS j, len(string_split(line, '. ')) AS parts FROM h),
+l AS (SELECT doc_id, h, CASE WHEN j < parts - 1 THEN part || '.' ELSE part END AS piece, row_number() OVER (PARTITION BY doc_id ORDER BY h, j) AS k FROM i),
+m AS (SELECT doc_id, k, rtrim(regexp_replace(piece, '^{_BLANK}+|{_BLANK}+$', '', 'g'), '.') AS s, len(regexp_extract_all(piece, '[^\\x09-\\x0d\\x20]+')) AS n FROM l),
 w AS (SELECT doc_id, k, s, n, row_number() OVER (PARTITION BY doc_id ORDER BY k) AS r, sum(n) OVER (PARTITION BY doc_id ORDER BY k) AS c FROM m WHERE n > 0),
 e AS (SELECT a.doc_id, a.r AS ra, a.k AS first, min(b.r) AS rb FROM w a JOIN w b ON b.doc_id = a.doc_id AND b.r >= a.r AND b.c - a.c + a.n >= {linededup.MIN_WORDS} GROUP BY ALL),
 g AS (SELECT e.doc_id, first, max(w.k) AS last, string_agg(w.s, chr(10) ORDER BY w.r) AS gram FROM e JOIN w ON w.doc_id = e.doc_id AND w.r BETWEEN ra AND rb GROUP BY e.doc_id, first),
 f AS (SELECT gram, min({{'d': doc_id, 'a': first, 'b': last}}) AS p FROM g GROUP BY gram),
 x AS (SELECT g.* FROM g JOIN f USING (gram) WHERE doc_id <> p.d OR first > p.b),
 gone AS (SELECT DISTINCT l.doc_id, l.k FROM l JOIN x ON x.doc_id = l.doc_id AND l.k BETWEEN x.first AND x.last),
-kept AS (SELECT l.doc_id, string_agg(line, chr(10) ORDER BY l.k) FILTER (gone.k IS NULL) AS t FROM l LEFT JOIN gone ON gone.doc_id = l.doc_id AND gone.k = l.k GROUP BY l.doc_id)
+line AS (SELECT l.doc_id, l.h, string_agg(piece, ' ' ORDER BY l.k) FILTER (gone.k IS NULL) AS t, count(gone.k) AS lost FROM l LEFT JOIN gone ON gone.doc_id = l.doc_id AND gone.k = l.k GROUP BY l.doc_id, l.h),
+kept AS (SELECT doc_id, string_agg(t, chr(10) ORDER BY h) FILTER (lost = 0 OR regexp_matches(t, '[^\\x09-\\x0d\\x20]')) AS t FROM line GROUP BY doc_id)
 SELECT doc_id, coalesce(t, '') AS text, greatest(1, len(string_split(coalesce(t, ''), chr(10))))::BIGINT AS n_lines FROM kept"""
 
 ORACLES: dict[str, str] = {"op6_line_dedup": LINES_SQL, "op1_warc": WARC_SQL, "op5_chat": CHAT_SQL, "op9_packing": _packing_sql(packing.BUCKETS, packing.BUDGET)}

@@ -3,15 +3,28 @@ import random
 from scriptorium.llm import linededup
 
 
+def pieces(text):
+    """(line, piece) of each piece of each line, full stops where they belong."""
+    out = []
+    for k, line in enumerate(text.split("\n")):
+        parts = line.split(". ")
+        out += [(k, p + "." * (j < len(parts) - 1)) for j, p in enumerate(parts)]
+    return out
+
+
+def words(s):
+    return len(s.encode().split())
+
+
 def brute(rows, least):
     """Every window of every text against all windows before it; no hashes, no selection."""
     order = sorted(range(len(rows)), key=lambda i: (rows[i][0] is not None, rows[i][0] or 0))
-    first, spans = {}, {}
+    first, gone = {}, {}
     for i in order:
         doc_id, text = rows[i]
         if text is None:
             continue
-        marked = [(k, line.strip(), len(line.split())) for k, line in enumerate(text.split("\n")) if line.split()]
+        marked = [(k, p.strip(" \t\r\x0b\x0c").rstrip("."), words(p)) for k, (_, p) in enumerate(pieces(text)) if words(p)]
         for a in range(len(marked)):
             total, b = 0, a
             while b < len(marked) and total < least:
@@ -21,17 +34,21 @@ def brute(rows, least):
                 break
             gram = tuple(x[1] for x in marked[a:b])
             lo, hi = marked[a][0], marked[b - 1][0]
-            one = first.setdefault(gram, (doc_id, text, hi, lo))
-            if (one[0], one[1]) == (doc_id, text):
-                if lo > one[2]:
-                    spans.setdefault(i, []).append((lo, hi))
-            else:
-                spans.setdefault(i, []).append((lo, hi))
+            one = first.setdefault(gram, (doc_id, text, hi))
+            if (one[0], one[1]) != (doc_id, text) or lo > one[2]:
+                gone.setdefault(i, set()).update(range(lo, hi + 1))
     out = []
     for i, (_, text) in enumerate(rows):
-        if i in spans:
-            gone = {k for a, b in spans[i] for k in range(a, b + 1)}
-            text = "\n".join(x for k, x in enumerate(text.split("\n")) if k not in gone)
+        if i in gone:
+            lines = {}
+            for k, (line, p) in enumerate(pieces(text)):
+                lines.setdefault(line, []).append((p, k in gone[i]))
+            kept = []
+            for parts in lines.values():
+                left = " ".join(p for p, x in parts if not x)
+                if words(left) or not any(x for _, x in parts):
+                    kept.append(left)
+            text = "\n".join(kept)
         out.append(text)
     return out
 
@@ -49,6 +66,8 @@ def corpus():
             kind = rng.random()
             lines += rng.choice(passages) if kind < 0.4 else [rng.choice(common)] if kind < 0.6 else ["", line(rng.randint(1, 20))]
         rows.append((i, "\n".join(lines)))
+    inner = "Here it starts. " + ". ".join(line(rng.randint(3, 9)) for _ in range(9)) + ". The end"
+    rows += [(90 + k, f"{line(5)} {inner}{' ' if k % 2 else '. '}{line(7)}. {line(4)}.\n{line(3)}. ") for k in range(6)]
     rows += [(100, rows[0][1]), (101, rows[0][1] + "\nmore"), (102, None), (103, ""), (104, "\n".join(["la la la la"] * 40)), (105, " \n \n")]
     return rows
 
@@ -61,6 +80,14 @@ def test_against_brute_force(spark):
         assert got == {i: t for (i, _), t in zip(rows, brute(rows, least))}
 
 
+def test_passage_inside_lines(spark):
+    passage = "It is said here once. " + " ".join(f"Word{k} and some more words of it." for k in range(8))
+    rows = [(k, f"Own begin{k} of the text {passage} Own end{k}. And on.\nNext line {k}.") for k in range(4)]
+    got = {r.doc_id: r.text for r in linededup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[0] == rows[0][1]
+    assert got[2] == "Own begin2 of the text It is said here once. Own end2. And on.\nNext line 2."
+
+
 def test_windows_select_rightmost_minimum():
     got = list(linededup.windows([5, 3, 3, 9, 1], [2, 2, 2, 2, 2], 6))
     assert got == [(0, 2, 2), (1, 3, 2), (2, 4, 4)]

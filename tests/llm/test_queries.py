@@ -118,7 +118,7 @@ def test_pipeline(spark, sf_dir):
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     field = crf.train(spark.createDataFrame([(d, t) for d, t, _ in data], "doc_id long, text string"), labels)
     data = [x for x in data if crf.judge(x[1], field, 0.5)[-1]]
-    texts = test_linededup.brute([(d, t) for d, t, _ in data], 50)
+    texts = test_linededup.brute([(d, t) for d, t, _ in data], 30)
     sets = [shingles(t) for t in texts]
     root = list(range(len(data)))
 
