@@ -13,7 +13,8 @@ holds more than ``block_rows`` fingerprints is dealt out as pairs of blocks, so
 
 For the wider radius that a similarity of 0.8 needs (fingerprints of such texts differ in up to 14 of 64 bits, where an index
 over segments no longer prunes), :func:`near_duplicate_groups` takes longer fingerprints, finds candidates by band keys of
-minimal shingle hashes, and confirms links by the shingle sets; check and search in a bucket are alike.
+minimal shingle hashes, and confirms links by the shingle sets; check and search in a bucket are alike. What is apart in a bucket after that
+is compared by shingle sets alone.
 
 Defined results: a null or blank text has fingerprint zero and is linked like any other; rows with a null doc_id take
 part, but a component's id is its smallest non-null doc_id (null if there is none); rows that repeat a doc_id give a row
@@ -374,17 +375,27 @@ def band_rows(docs: DataFrame, words: int, lanes: int) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, node long, fp binary, bands array<long>, prints binary")
 
 
-def similar_links(nodes: DataFrame, lanes: int, tight: int, max_bits: int, block_rows: int = 50_000) -> DataFrame:
+def shared_keys(nodes: DataFrame) -> DataFrame:
+    """key, n of the band keys that several nodes have."""
+    keys = nodes.select(F.explode("bands").alias("key"))
+    return keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+
+
+def in_blocks(rows: DataFrame, block_rows: int) -> DataFrame:
+    """Rows (key, n, node, ...) with a block each; those of a key that more than block_rows nodes share once for every pair of blocks they're in."""
+    rows = rows.withColumn("blocks", F.ceil(F.col("n") / block_rows)).withColumn("own", F.pmod(F.xxhash64("node"), "blocks"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    block = F.shiftleft(F.least("own", "other"), 31).bitwiseOR(F.greatest("own", "other"))
+    return rows.withColumn("block", block).drop("n", "blocks", "own", "other")
+
+
+def similar_links(nodes: DataFrame, counts: DataFrame, lanes: int, tight: int, max_bits: int, block_rows: int = 50_000) -> DataFrame:
     """Links between distinct nodes that share a band key and differ in max_bits or fewer of 64 * lanes bits: of each bucket a spanning
     forest by shortest links. A key that more than block_rows nodes share is dealt out as pairs of blocks."""
     keys = nodes.select("node", "fp", F.explode("bands").alias("key"))
-    counts = keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    counts = materialize(counts, "simhash-bands")
     # one plan at every size: keys that texts share grow with the texts
-    rows = keys.join(counts.hint("merge"), "key").withColumn("blocks", F.ceil(F.col("n") / block_rows)).withColumn("own", F.pmod(F.xxhash64("node"), "blocks"))
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    block = F.shiftleft(F.least("own", "other"), 31).bitwiseOR(F.greatest("own", "other"))
-    rows = rows.select("key", block.alias("block"), F.lit(False).alias("kind"), F.col("node").alias("id"), "fp")
+    rows = in_blocks(keys.join(counts.hint("merge"), "key"), block_rows)
+    rows = rows.select("key", "block", F.lit(False).alias("kind"), F.col("node").alias("id"), "fp")
     dealt = rows.repartition(_parts(nodes), "key", "block").sortWithinPartitions("key", "block")
     return dealt.mapInArrow(lambda it: sorted_buckets(it, lanes, max_bits, None, tight), "a long, b long")
 
@@ -398,12 +409,10 @@ def similarity(a: bytes, b: bytes) -> float:
     return common / (len(x) + len(y) - common)
 
 
-def confirmed(links: DataFrame, nodes: DataFrame, least: float) -> DataFrame:
+def confirmed(links: DataFrame, prints: DataFrame, least: float) -> DataFrame:
     """The links whose texts have that shingle similarity."""
-    ends = links.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    few = materialize(nodes.select("node", "prints").join(ends.hint("merge"), "node", "left_semi"), "simhash-prints")
-    one = links.join(few.select(F.col("node").alias("a"), F.col("prints").alias("pa")).hint("merge"), "a")
-    two = one.join(few.select(F.col("node").alias("b"), F.col("prints").alias("pb")).hint("merge"), "b").select("a", "b", "pa", "pb")
+    one = links.join(prints.select(F.col("node").alias("a"), F.col("prints").alias("pa")).hint("merge"), "a")
+    two = one.join(prints.select(F.col("node").alias("b"), F.col("prints").alias("pb")).hint("merge"), "b").select("a", "b", "pa", "pb")
 
     def run(batches):
         for batch in batches:
@@ -413,19 +422,85 @@ def confirmed(links: DataFrame, nodes: DataFrame, least: float) -> DataFrame:
     return two.mapInArrow(run, "a long, b long")
 
 
+def set_links(ids: list[int], roots: list[int], prints: list[bytes], least: float) -> list[tuple[int, int]]:
+    """Links that join the groups (equal roots) of a bucket wherever two members of different ones have that similarity. Members of the
+    largest group are compared with those of others only; what two members have in common is counted by shingle."""
+    label = np.unique(np.array(roots), return_inverse=True)[1]
+    if not label.any():
+        return []
+    sets = [np.frombuffer(x, dtype="<u4") for x in prints]
+    sizes, n = np.array([len(x) for x in sets]), len(sets)
+    known, each = np.unique(np.concatenate(sets), return_inverse=True)
+    holders = np.repeat(np.arange(n), sizes)[np.argsort(each, kind="stable")]
+    stops = np.cumsum(np.bincount(each, minlength=len(known)))
+    starts, ends, links = np.concatenate(([0], stops[:-1])), np.cumsum(sizes), []
+    for i in np.flatnonzero(label != np.bincount(label).argmax()):
+        if (label == label[i]).all():
+            break
+        common, own = np.zeros(n, dtype=np.int64), each[ends[i] - sizes[i] : ends[i]]
+        for at in range(0, len(own), 1024):
+            first, many = starts[own[at : at + 1024]], (stops - starts)[own[at : at + 1024]]
+            places = np.arange(many.sum()) + np.repeat(first - np.cumsum(many) + many, many)
+            common += np.bincount(holders[places], minlength=n)
+        either = sizes + sizes[i] - common
+        for j in np.flatnonzero((common / np.maximum(either, 1) >= least) & (label != label[i])):
+            if label[j] != label[i]:
+                links.append((ids[i], ids[j]))
+                label[label == label[j]] = label[i]
+    return links
+
+
+def remaining_links(nodes: DataFrame, counts: DataFrame, prints: DataFrame, sure: DataFrame, least: float, block_rows: int = 4_000) -> DataFrame:
+    """Links of that similarity between nodes that share a band key and that the links found (sure) leave apart. Every such pair is decided
+    by its shingle sets, except where other links have joined it. Keys with the same nodes count once."""
+    stars = star_components(sure)
+    keys = nodes.select("node", F.explode("bands").alias("key")).join(counts.hint("merge"), "key").select("key", "node")
+    members = keys.join(stars.hint("merge"), "node", "left").withColumn("root", F.coalesce("root", "node"))
+    members = materialize(members, "simhash-members")
+    sums = members.groupBy("key").agg(F.count("*").alias("n"), F.bit_xor("node").alias("x"), F.bit_xor(F.xxhash64("node")).alias("y"), (F.min("root") != F.max("root")).alias("apart"))
+    apart = materialize(sums.where("apart").groupBy("n", "x", "y").agg(F.min("key").alias("key")).select("key", "n"), "simhash-apart")
+    rows = in_blocks(members.join(apart.hint("merge"), "key"), block_rows).join(prints.hint("merge"), "node").select("key", "block", "node", "root", "prints")
+    dealt = rows.repartition(_parts(nodes), "key", "block").sortWithinPartitions("key", "block")
+
+    def run(batches):
+        def links():
+            found = set_links(ids, roots, sets, least) if len(ids) > 1 else []
+            return pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.int64()), pa.array([y for _, y in found], pa.int64())], ["a", "b"])
+
+        bucket, ids, roots, sets = None, [], [], []
+        for batch in batches:
+            for key, block, node, root, own in zip(*(batch.column(k).to_pylist() for k in range(5))):
+                if (key, block) != bucket:
+                    yield links()
+                    bucket, ids, roots, sets = (key, block), [], [], []
+                ids.append(node)
+                roots.append(root)
+                sets.append(own)
+        yield links()
+
+    out = materialize(dealt.mapInArrow(run, "a long, b long"), "simhash-rest")
+    discard(members)
+    discard(apart)
+    return out
+
+
 def near_duplicate_groups(docs: DataFrame, words: int = 5, least: float = 0.8, lanes: int = 4, tight: int = 20, max_bits: int = 56) -> DataFrame:
     """doc_id, component_id: texts link where the Jaccard similarity of their shingle sets is at least 0.8.
 
     Such texts share 0.89 of their shingles, so at 0.8 exactly 15 % of SimHash bits differ (39 of 256, deviation 6), against half between
-    unrelated texts. 16 bands of four minima make such a pair a candidate with probability 0.9998, and 56 bits let it pass the Hamming check with 0.998;
-    the sets themselves then decide. A bucket's links are its shortest ones, so a link that the sets refuse is the best there was between its clusters in that
-    bucket; 20 bits, within which links are taken as they come, is 3 deviations nearer than 0.8."""
+    unrelated texts. 16 bands of four minima make such a pair a candidate with probability 0.9998. The shortest links of a bucket, of at most 56 bits, are
+    confirmed by the sets first, which joins most of a dense bucket at little cost. As a refused link may have stood for true ones, and bits may lie too far apart
+    by chance, every pair of a bucket that is still apart then is decided by its sets, whatever its bits."""
     own = materialize(band_rows(docs, words, lanes), "simhash-bandrows")
     nodes = materialize(own.groupBy("node").agg(F.any_value("fp").alias("fp"), F.any_value("bands").alias("bands"), F.any_value("prints").alias("prints")), "simhash-nodes")
-    links = materialize(similar_links(nodes, lanes, tight, max_bits).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "simhash-links")
-    sure = materialize(confirmed(links, nodes, least), "simhash-sure")
-    labels = labelled(own.select("doc_id", "node"), sure)
+    counts = materialize(shared_keys(nodes), "simhash-bands")
+    links = materialize(similar_links(nodes, counts, lanes, tight, max_bits).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "simhash-links")
+    ends = nodes.select("node", F.explode("bands").alias("key")).join(counts.hint("merge"), "key", "left_semi").select("node").distinct()
+    prints = materialize(nodes.select("node", "prints").join(ends.hint("merge"), "node", "left_semi"), "simhash-prints")
+    sure = materialize(confirmed(links, prints, least), "simhash-sure")
+    rest = remaining_links(nodes, counts, prints, sure, least)
+    labels = labelled(own.select("doc_id", "node"), sure.unionByName(rest))
     out = materialize(own.select("doc_id", "node").join(labels.hint("merge"), "node").select("doc_id", "component_id"), "simhash-groups")
-    for df in (own, nodes, links, sure, labels):
+    for df in (own, nodes, counts, links, prints, sure, rest, labels):
         discard(df)
     return out

@@ -107,6 +107,61 @@ def test_similar_groups(spark):
         assert r.component_id == group[r.doc_id] * 5
 
 
+def sets_of(text):
+    w = text.encode().lower().split()
+    return {b" ".join(w[i : i + 5]) for i in range(len(w) - 4)}
+
+
+def by_sets(rows):
+    """The smallest id of each text's group, by the sets of all pairs."""
+    sets, root = [sets_of(t) for _, t in rows], list(range(len(rows)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in range(len(rows)):
+        for j in range(i):
+            if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
+                a, b = find(i), find(j)
+                root[max(a, b)] = min(a, b)
+    return {rows[i][0]: rows[find(i)][0] for i in range(len(rows))}
+
+
+def test_refused_links_hide_no_true_ones(spark):
+    rng = random.Random(7)
+    rows = []
+    for f in range(12):
+        base = [f"f{f}w{rng.randrange(2000)}" for _ in range(300)]
+        for _ in range(40):
+            w = list(base)
+            for at in rng.sample(range(300), rng.randint(2, 6)):
+                w[at] = f"e{rng.randrange(10**9)}"
+            rows.append((len(rows), " ".join(w)))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert {r.doc_id: r.component_id for r in simhash.near_duplicate_groups(df).collect()} == by_sets(rows)
+
+
+def test_set_links_against_all_pairs():
+    rng = random.Random(2)
+    for _ in range(30):
+        sets = [sorted(rng.sample(range(40), rng.randint(0, 12))) for _ in range(25)]
+        sets += [sorted({*x, 99}) for x in sets[:5]]
+        ids, roots = list(range(100, 100 + len(sets))), [rng.randrange(12) for _ in sets]
+        prints = [np.array(x, dtype="<u4").tobytes() for x in sets]
+        links = simhash.set_links(ids, roots, prints, 0.6)
+        assert all(simhash.similarity(prints[a - 100], prints[b - 100]) >= 0.6 for a, b in links)
+        group = list(roots)
+        for a, b in links:
+            x, y = group[a - 100], group[b - 100]
+            group = [x if g == y else g for g in group]
+        for i in range(len(sets)):
+            for j in range(i):
+                if sets[i] and sets[j] and simhash.similarity(prints[i], prints[j]) >= 0.6:
+                    assert group[i] == group[j]
+
+
 def test_empty(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert simhash.near_duplicates(df).collect() == []
