@@ -339,7 +339,7 @@ BANDS, ROWS = 16, 4
 
 
 def band_rows(docs: DataFrame, words: int, lanes: int) -> DataFrame:
-    """doc_id, node (a hash of the whole fingerprint and minima: equal for copies), fp (binary), bands (16 keys of 4 minima), prints (the text's distinct
+    """doc_id, node (a hash of the whole fingerprint and minima: equal for copies), fp (binary; of the distinct shingles), bands (16 keys of 4 minima), prints (the text's distinct
     shingles as sorted 32-bit hashes)."""
     kind = docs.schema["doc_id"].dataType.simpleString()
     factors = MIX[120 : 120 + BANDS * ROWS][None, :]
@@ -352,22 +352,24 @@ def band_rows(docs: DataFrame, words: int, lanes: int) -> DataFrame:
                 batch = whole.slice(start, 512)
                 out: tuple[list, list, list, list] = ([], [], [], [])
                 for x in batch.column(1):
-                    ones, total, own = np.zeros((lanes, 64), dtype=np.int64), 0, [np.array([], dtype=np.uint32)]
-                    least = np.full(BANDS * ROWS, 0xFFFFFFFF, dtype=np.uint32)
-                    for h in shingle_hashes(x.as_py(), words):
-                        total += len(h)
-                        own.append(np.unique((h >> np.uint64(32)).astype(np.uint32)))
+                    ones, least = np.zeros((lanes, 64), dtype=np.int64), np.full(BANDS * ROWS, 0xFFFFFFFF, dtype=np.uint32)
+                    # each shingle once, as in the sets that decide: a run of one word repeated doesn't outweigh the rest
+                    slabs = [np.unique(h) for h in shingle_hashes(x.as_py(), words)]
+                    distinct = np.unique(np.concatenate(slabs)) if len(slabs) > 1 else slabs[0] if slabs else np.array([], dtype=np.uint64)
+                    for at in range(0, len(distinct), 1024):
+                        part = (distinct[at : at + 1024, None] * factors) >> np.uint64(32)
+                        least = np.minimum(least, part.astype(np.uint32).min(axis=0))
+                    for at in range(0, len(distinct), SLAB):
+                        h = distinct[at : at + SLAB]
                         for k in range(lanes):
                             ones[k] += np.unpackbits(mixed(h, k).view(np.uint8), bitorder="little").reshape(-1, 64).sum(axis=0, dtype=np.int64)
-                        for at in range(0, len(h), 1024):
-                            part = (h[at : at + 1024, None] * factors) >> np.uint64(32)
-                            least = np.minimum(least, part.astype(np.uint32).min(axis=0))
+                    total = len(distinct)
                     fp = np.packbits(ones * 2 > total, axis=1, bitorder="little").tobytes()
                     keys = [xxhash.xxh64_intdigest(least[b * ROWS : (b + 1) * ROWS].tobytes(), b) for b in range(BANDS)]
                     out[0].append(xxhash.xxh64_intdigest(fp + least.tobytes(), SEED))
                     out[1].append(fp)
                     out[2].append(np.array(keys, dtype=np.uint64).view(np.int64))
-                    out[3].append((np.unique(np.concatenate(own)) if len(own) > 2 else own[-1]).astype("<u4").tobytes())
+                    out[3].append(np.unique((distinct >> np.uint64(32)).astype("<u4")).tobytes())
                 node = pa.array(np.array(out[0], dtype=np.uint64).view(np.int64))
                 bands = pa.ListArray.from_arrays(pa.array(np.arange(0, BANDS * (len(out[0]) + 1), BANDS), pa.int32()), pa.array(np.concatenate(out[2]) if out[2] else np.array([], dtype=np.int64)))
                 yield pa.RecordBatch.from_arrays([batch.column(0), node, pa.array(out[1], pa.binary()), bands, pa.array(out[3], pa.binary())], ["doc_id", "node", "fp", "bands", "prints"])

@@ -143,6 +143,18 @@ def test_refused_links_hide_no_true_ones(spark):
     assert {r.doc_id: r.component_id for r in simhash.near_duplicate_groups(df).collect()} == by_sets(rows)
 
 
+def test_repeated_words_outweigh_nothing(spark):
+    rng = random.Random(11)
+    rows = []
+    for k in range(20):
+        w = [f"t{k}w{rng.randrange(5000)}" for _ in range(700)]
+        rows += [(2 * k, " ".join(w)), (2 * k + 1, " ".join(w[:300] + ["again"] * 98 + w[300:]))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    bits = [np.frombuffer(r.fp, dtype=np.uint64) for r in simhash.band_rows(df, 5, 4).orderBy("doc_id").collect()]
+    assert all(np.bitwise_count(a ^ b).sum() <= 56 for a, b in zip(bits[::2], bits[1::2]))
+    assert {r.doc_id: r.component_id for r in simhash.near_duplicate_groups(df).collect()} == {i: i // 2 * 2 for i, _ in rows}
+
+
 def test_set_links_against_all_pairs():
     rng = random.Random(2)
     for _ in range(30):
