@@ -2,13 +2,13 @@
 
 Each language gets a tree of byte contexts of up to ``order`` bytes with symbol counts from a bounded sample of labelled
 texts. A symbol unseen after a context costs an escape to the next shorter one; symbols of the longer contexts are excluded
-there, and the last resort is uniform, so code lengths are exact. After training the statistics are frozen and all trees
-are compiled to one automaton: a state is the longest context that any tree knows, and a table holds the code length of
-every symbol there for every language. As a state depends on the last ``order`` bytes only, a text can be cut anywhere
+there, and the last resort is uniform, so code lengths are exact. After training the statistics are frozen and the trees of
+every four languages are compiled to one automaton: a state is the longest context that any of them knows, and a table holds the code length of
+every symbol there for each of them. As a state depends on the last ``order`` bytes only, a text can be cut anywhere
 and its pieces scored side by side, each warmed up on the bytes before it; code lengths don't change by it.
 
-Sample bounds (documented parameters): the 64 most frequent languages, 300 texts each, taken by a hash of the text, of
-20,000 characters at most; 4,000 contexts a language. Prediction reads whole texts, and nothing but texts.
+Every language is learnt. Sample bounds (documented parameters): 300 texts a language, taken by a hash of the text, of longer ones the first
+20,000 characters; 4,000 contexts a language. Prediction reads whole texts, and nothing but texts.
 
 Defined results: ``und`` with score 0 for a null text, one without letters, or when there was nothing to learn from.
 The score is the posterior of the best language under equal priors. Equal code lengths: the language first by name.
@@ -28,6 +28,8 @@ SPACE = 32
 FOLD = np.array([b if b >= 128 or 97 <= b <= 122 else b + 32 if 65 <= b <= 90 else SPACE for b in range(256)], dtype=np.uint8)
 #: Symbols scored at a time, and the length of the pieces that are walked side by side.
 SLICE, PIECE = 1 << 19, 128
+#: Languages with one automaton. A table is states x symbols x languages, so memory grows with the languages and not with their square.
+TOGETHER = 4
 
 
 def folded(text: str) -> np.ndarray:
@@ -44,7 +46,7 @@ def has_letters(text: str | None) -> bool:
 
 
 class Trees:
-    """Frozen statistics of all languages as an automaton."""
+    """Frozen statistics of all languages as automata, one for every few languages."""
 
     def __init__(self, texts: dict[str, list[str]], order: int = 4, contexts: int = 4000, least: int = 4):
         self.langs, self.order = sorted(texts), order
@@ -53,21 +55,27 @@ class Trees:
         self.symbol = np.zeros(256, dtype=np.int32)  # 0: a byte that no sample has
         self.symbol[seen] = np.arange(1, len(seen) + 1)
         self.width = len(seen) + 1
-        vectors = {lang: {c: self._vector(n) for c, n in tree.items()} for lang, tree in counted.items()}
-        states = sorted({c for tree in counted.values() for c in tree} | {b""}, key=lambda c: (len(c), c))
-        self.states = {c: i for i, c in enumerate(states)}
-        self.cost = np.empty((len(states) * self.width, len(self.langs)), dtype=np.float32)
-        self.next = np.zeros(len(states) * self.width, dtype=np.int32)
-        for c, i in self.states.items():
-            for k, lang in enumerate(self.langs):
-                tree = vectors[lang]
+        groups = [self.langs[k : k + TOGETHER] for k in range(0, len(self.langs), TOGETHER)]
+        #: (next state, cost of every symbol for the group's languages) of each group
+        self.tables = [self._compile([counted[lang] for lang in group], seen) for group in groups]
+
+    def _compile(self, trees: list[dict[bytes, dict[int, int]]], seen: list[int]) -> tuple[np.ndarray, np.ndarray]:
+        """The automaton of some languages; a code length depends on its own tree and on all symbols seen only, not on the group."""
+        vectors = [{c: self._vector(n) for c, n in tree.items()} for tree in trees]
+        found = sorted({c for tree in trees for c in tree} | {b""}, key=lambda c: (len(c), c))
+        states = {c: i for i, c in enumerate(found)}
+        cost = np.empty((len(states) * self.width, len(trees)), dtype=np.float32)
+        follow = np.zeros(len(states) * self.width, dtype=np.int32)
+        for c, i in states.items():
+            for k, tree in enumerate(vectors):
                 chain = [tree[c[j:]] for j in range(len(c) + 1) if c[j:] in tree]
-                self.cost[i * self.width : (i + 1) * self.width, k] = self._lengths(chain)
+                cost[i * self.width : (i + 1) * self.width, k] = self._lengths(chain)
             for b in seen:
-                s = (c + bytes([b]))[-order:]
-                while s not in self.states:
+                s = (c + bytes([b]))[-self.order :]
+                while s not in states:
                     s = s[1:]
-                self.next[i * self.width + self.symbol[b]] = self.states[s]
+                follow[i * self.width + self.symbol[b]] = states[s]
+        return follow, cost
 
     def _count(self, texts: list[str], contexts: int, least: int) -> dict[bytes, dict[int, int]]:
         gap = np.full(self.order, SPACE, dtype=np.uint8)
@@ -108,8 +116,8 @@ class Trees:
             out[free] = spent + np.log2(free.sum())
         return out
 
-    def walk(self, symbols: np.ndarray) -> np.ndarray:
-        """For each position the row of the cost table; positions before the first count as spaces."""
+    def walk(self, symbols: np.ndarray, follow: np.ndarray) -> np.ndarray:
+        """For each position the row of a group's cost table; positions before the first count as spaces."""
         d, n = self.order, len(symbols)
         pieces = -(-n // PIECE)
         padded = np.full(d + pieces * PIECE, self.symbol[SPACE], dtype=np.int32)
@@ -118,7 +126,7 @@ class Trees:
         state, at = np.zeros(pieces, dtype=np.int32), np.empty((PIECE, pieces), dtype=np.int32)
         for step in range(d + PIECE):
             where = state * np.int32(self.width) + rows[step]
-            state = self.next[where]
+            state = follow[where]
             if step >= d:
                 at[step - d] = where
         return at.T.ravel()[:n]
@@ -132,14 +140,16 @@ class Trees:
             stream = self.symbol[np.concatenate([*parts, gap])]
             for a in range(0, len(stream), SLICE):
                 warm = min(a, self.order)
-                costs = self.cost[self.walk(stream[a - warm : a + SLICE])[warm:]]
-                z = a + len(costs)
+                z = min(a + SLICE, len(stream))
                 for_now = [(i, max(s, a) - a, min(e, z) - a) for i, s, e in spans if s < z and e > a]
-                if for_now:
-                    cuts = np.array([x for _, s, e in for_now for x in (s, e)])
+                if not for_now:
+                    continue
+                cuts = np.array([x for _, s, e in for_now for x in (s, e)])
+                for g, (follow, cost) in enumerate(self.tables):
+                    costs = cost[self.walk(stream[a - warm : a + SLICE], follow)[warm:]]
                     sums = np.add.reduceat(np.concatenate([costs, costs[:1]]), cuts, axis=0, dtype=np.float64)[::2]
                     for (i, s, e), total in zip(for_now, sums):
-                        out[i] += total
+                        out[i, g * TOGETHER : g * TOGETHER + len(total)] += total
             parts.clear()
             spans.clear()
 
@@ -170,11 +180,11 @@ class Trees:
         return langs, scores
 
 
-def sample(labelled: DataFrame, text: str = "text", lang: str = "lang", languages: int = 64, per_language: int = 300, longest: int = 20_000) -> dict[str, list[str]]:
-    """A bounded sample of the rows with a label: texts by language, chosen by a hash of the text."""
+def sample(labelled: DataFrame, text: str = "text", lang: str = "lang", per_language: int = 300, longest: int = 20_000) -> dict[str, list[str]]:
+    """A bounded sample of the rows of every label: texts by language, chosen by a hash of the text; of long texts the beginning."""
     rows = labelled.select(F.col(text).alias("text"), F.col(lang).alias("lang")).where("text is not null and lang is not null and lang <> ''").where(F.col("lang") != UNKNOWN)
-    fit = rows.where(F.char_length("text") <= longest)
-    counts = {r["lang"]: r["n"] for r in fit.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(languages).collect()}
+    fit = rows.withColumn("text", F.left("text", F.lit(longest)))
+    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     if not counts:
         return {}
     h = F.xxhash64("text")

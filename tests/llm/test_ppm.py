@@ -1,4 +1,5 @@
 import math
+import random
 import zlib
 
 import duckdb
@@ -73,6 +74,27 @@ def test_held_out_accuracy(trees):
     assert all(0 <= s <= 1 for s in scores)
 
 
+def test_every_language_is_learnt(spark):
+    rng = random.Random(4)
+    vocabulary = {f"l{k:02}": ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=5)) for _ in range(30)] for k in range(70)}
+    text = lambda lang, n: " ".join(rng.choices(vocabulary[lang], k=n))
+    rows = [(text(lang, 40), lang) for lang in vocabulary for _ in range(4)] + [("ωμέγα άλφα βήτα " * 2000, "long")] * 2
+    found = ppm.train(spark.createDataFrame(rows, "text string, lang string"))
+    assert found.langs == [*vocabulary, "long"]
+    langs, _ = found.predict([text(lang, 40) for lang in vocabulary] + ["βήτα ωμέγα"])
+    assert langs == found.langs
+
+
+def test_groups_change_nothing(trees, monkeypatch):
+    by = {}
+    for d, t, lang in docs():
+        if zlib.crc32(str(d).encode()) % 5:
+            by.setdefault(lang, []).append(t)
+    monkeypatch.setattr(ppm, "TOGETHER", 3)
+    texts = [t for _, t, _ in docs()[:40]]
+    assert abs(ppm.Trees({k: v[:60] for k, v in by.items()}, contexts=800).bits(texts) - trees.bits(texts)).max() < 0.05
+
+
 def test_undetermined(trees):
     langs, scores = trees.predict([None, "", "12 34 \n", "!?", "é", "漢"])
     assert langs[:4] == ["und"] * 4 and list(scores[:4]) == [0] * 4
