@@ -2,7 +2,8 @@
 
 A text's words (runs without the six ASCII blanks) give a rolling hash for every k of them; of every window of w neighbouring hashes
 the smallest is selected, the rightmost of equal ones, with its position. Two texts that share w + k - 1 words in a row
-share a selected hash. A hash (32 bits) and its position are held in one long, hash above and position counted down below, so that the
+share a selected hash. Some texts have no blanks between words, so a word of over 64 code points, or with over 8 of scripts written without
+blanks, counts as its code points, one word each: shared runs of more than 64, or with more than 8 of such scripts, are found wherever they stand. A hash (32 bits) and its position are held in one long, hash above and position counted down below, so that the
 smallest long is the smallest hash at its rightmost place.
 
 Next documents are found without one task seeing all: ids are cut into ranges at quantiles, each range is a window of its
@@ -19,6 +20,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 K, WINDOW = 5, 4
+BLANK = r"\x20\x09-\x0D"
+SCRIPTS = r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}"
+#: A word with a match is cut into code points.
+UNSPACED = rf"[^{BLANK}]{{65}}|(?:[{SCRIPTS}][^{BLANK}{SCRIPTS}]*+){{9}}"
 LAST = (1 << 31) - 1
 
 
@@ -28,7 +33,9 @@ def let(value: Column, body) -> Column:
 
 
 def words(text: Column) -> Column:
-    return F.array_remove(F.split(text, r"[\x20\x09-\x0D]+", -1), "")
+    found = F.array_remove(F.split(text, f"[{BLANK}]+", -1), "")
+    cut = F.flatten(F.transform(found, lambda w: F.when(w.rlike(UNSPACED), F.split(w, "", -1)).otherwise(F.array(w))))
+    return F.when(text.rlike(UNSPACED), cut).otherwise(found)
 
 
 def selected(text: Column, k: int = K, window: int = WINDOW) -> Column:
@@ -43,7 +50,7 @@ def selected(text: Column, k: int = K, window: int = WINDOW) -> Column:
         slid = F.transform(F.sequence(F.lit(0), F.size(g) - window), lambda i: F.least(*[F.get(g, i + j) for j in range(window)]))
         return F.when(F.size(g) > window, F.array_distinct(slid)).when(F.size(g) > 0, F.array(F.array_min(g))).otherwise(g)
 
-    return let(let(words(F.coalesce(text, F.lit(""))), grams), minima)
+    return let(let(let(F.coalesce(text, F.lit("")), words), grams), minima)
 
 
 def hashes(prints: Column) -> Column:
@@ -51,7 +58,7 @@ def hashes(prints: Column) -> Column:
 
 
 def positions(prints: Column) -> Column:
-    """array<struct<hash, pos>>: pos is the number of the first word, from 0."""
+    """array<struct<hash, pos>>: pos is the number of the first word (or code point that counts as one), from 0."""
     return F.transform(prints, lambda x: F.struct(F.shiftright(x, 31).alias("hash"), (F.lit(LAST) - x.bitwiseAND(F.lit(LAST))).cast("int").alias("pos")))
 
 

@@ -80,6 +80,20 @@ def test_match_guarantee():
         assert {x for x, _ in brute(a)} & {x for x, _ in brute(b)}
 
 
+def test_texts_without_blanks(spark):
+    rng = random.Random(3)
+    han = lambda n: "".join(chr(0x4E00 + rng.randrange(3000)) for _ in range(n))
+    dense = lambda n: "".join(rng.choice("abcdefgh0123456789+/😀") for _ in range(n))
+    shared, code = f"{han(4)}，{han(5)}", dense(65)
+    rows = [(1, han(400)), (2, dense(400)), (3, han(30) + shared + han(20)), (4, f"{han(5)} {han(7)}{shared} x"), (5, dense(90) + code), (6, f"a {code}{dense(8)} b")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    prints = {r.doc_id: [(p.hash, p.pos) for p in r.prints] for r in winnow.fingerprints(df).collect()}
+    assert prints[1] == brute(" ".join(rows[0][1])) and prints[2] == brute(" ".join(rows[1][1]))
+    assert {x for x, _ in prints[3]} & {x for x, _ in prints[4]} and {x for x, _ in prints[5]} & {x for x, _ in prints[6]}
+    got = {r.doc_id: r for r in winnow.compare_edits(df).collect()}
+    assert got[1].near_edited > 0.5 > got[1].near_next and got[2].near_edited > 0.5 > got[2].near_next
+
+
 def test_odd_rows(spark):
     df = spark.createDataFrame([(None, "n"), (2, "b c"), (2, "a"), (2, "a"), (5, "z")], "doc_id long, text string")
     got = sorted((r.doc_id or 0, r.n_chars) for r in winnow.compare_edits(df).collect())
