@@ -9,8 +9,8 @@ match is extended both ways, by joining the hashes of whole windows that selecte
 longer shared run does. Windows that occur earlier (smaller doc_id, then earlier in the text) are deleted with all their lines;
 overlapping windows add up to whole runs. The first occurrence stays, and so does a window that overlaps it in its own text.
 
-Shared runs shorter than ``min_words`` words stay everywhere, so common short lines do no harm. 30 words find a passage of over 50 words
-wherever it stands, as its first and last sentence may have grown together with what is around them.
+Shared runs shorter than ``min_words`` words stay everywhere, so common short lines do no harm. 30 words rather than 50, as the first and
+last sentence of a passage may have grown together with what is around them; a passage with fewer than 30 words in the whole sentences between isn't found.
 
 Defined results: a null text stays null. A text whose every line is a later copy becomes empty; its row stays. In texts that
 change, what is left of a line is joined by spaces, a line of which no word is left goes, and lines are joined by newline; others stay as they are,
