@@ -7,7 +7,7 @@ equal ones; two texts that share a run of that many words share a window and so
 guarantee. The selected lines are joined by hash; those found at one place only end there. Around each of the others the
 match is extended both ways, by joining the hashes of whole windows that selected the line, which every window of a
 longer shared run does. Windows that occur earlier (smaller doc_id, then earlier in the text) are deleted with all their lines;
-overlapping windows add up to whole runs. The first occurrence stays, and so does a window that overlaps it in its own text.
+overlapping windows add up, but equal lines after the last whole window (fewer than ``min_words`` words) stay. The first occurrence stays, and so does a window that overlaps it in its own text.
 
 Shared runs shorter than ``min_words`` words stay everywhere, so common short lines do no harm. 30 words rather than 50, as the first and
 last sentence of a passage may have grown together with what is around them; a passage with fewer than 30 words in the whole sentences between isn't found.
