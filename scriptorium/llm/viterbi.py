@@ -5,6 +5,9 @@ back pointers of a window only: a boundary further back than the longest piece c
 paths (from each of the last ``longest`` boundaries) all run through one boundary, the ids before it are final, are given out and forgotten. So memory
 depends on how long paths disagree, not on the text.
 
+That is the encoding of a unigram model. Scores of a BPE model are ranks of merges; the search takes them as they are, so its ids aren't those that the
+library gives for such a model, though they decode to the same text.
+
 Normalisation is the model's own (white space marked by U+2581, one put before the text; nothing else changed). A code point that is no
 piece costs ``UNKNOWN`` below the least score and becomes its UTF-8 byte pieces. Ties go to the longer last piece.
 
