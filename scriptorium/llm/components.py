@@ -14,13 +14,16 @@ from scriptorium.llm.storage import discard, materialize
 
 
 def star_components(links: DataFrame) -> DataFrame:
-    """Links (a, b) -> (node, root): the smallest node reachable, for every node that a link names."""
+    """Links (a, b) -> (node, root): the smallest node reachable, for every node that a link names; a written table."""
     edges = materialize(links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "star")
     seen = None
     while True:
         state = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if tuple(state) == seen or not state[0]:
-            return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(edges.select(F.col("b").alias("node"), F.col("b").alias("root"))).distinct()
+            both = edges.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(edges.select(F.col("b").alias("node"), F.col("b").alias("root")))
+            out = materialize(both.distinct(), "star-roots")
+            discard(edges)
+            return out
         seen = tuple(state)
         large = _large_star(edges)
         small = _small_star(large)

@@ -8,8 +8,8 @@ index key is segment i exactly together with segment i + 1 up to one bit, about
 the full Hamming check.
 
 Within a bucket a breadth-first search over the members not yet reached gives a spanning forest, not all pairs: a dense
-bucket costs and emits about as many links as it has members, and connectivity is the same. A bucket whose first segment
-holds more than ``block_rows`` fingerprints is dealt out as pairs of blocks, so a task holds at most two blocks of it.
+bucket costs and emits about as many links as it has members, and connectivity is the same. A key that too many fingerprints share is made finer
+by further bits (see :func:`hamming_links`); how many rows a fingerprint has in the index doesn't depend on how many fingerprints there are.
 
 For the wider radius that a similarity of 0.8 needs (fingerprints of such texts differ in up to 14 of 64 bits, where an index
 over segments no longer prunes), :func:`near_duplicate_groups` takes longer fingerprints, finds candidates by band keys of
@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scriptorium.llm.components import star_components
-from scriptorium.llm.storage import discard, materialize
+from scriptorium.llm.storage import discard, materialize, reading, tables
 
 SEED = 42
 #: Shingles hashed at a time, so a very long text needs no more memory than a short one beside its words.
@@ -102,21 +102,53 @@ def _segments(fps: np.ndarray, cuts: list[tuple[int, int]]) -> list[np.ndarray]:
     return [(fps >> np.uint64(at)) & np.uint64((1 << width) - 1) for at, width in cuts]
 
 
-def ring_keys(fps: np.ndarray, cuts: list[tuple[int, int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Index rows of 64-bit fingerprints: key, kind (0 as it is, 1 with a zero bit of the second segment set), the
-    fingerprint, and the first segment's bucket. Of two fingerprints one bit apart there, exactly one has the zero bit."""
-    parts, keys, kinds, who, coarse = _segments(fps, cuts), [], [], [], []
+#: A key's top bits name the segment that it starts from.
+START = np.uint64(56)
+
+
+def ring_keys(fps: np.ndarray, cuts: list[tuple[int, int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Index rows of 64-bit fingerprints: key, kind (0 as it is, 1 with a zero bit of the second segment set) and the
+    fingerprint. Of two fingerprints one bit apart there, exactly one has the zero bit."""
+    parts, keys, kinds, who = _segments(fps, cuts), [], [], []
     for i in range(len(cuts)):
         first, second, width = parts[i], parts[(i + 1) % len(cuts)], cuts[(i + 1) % len(cuts)][1]
-        bucket = np.uint64(i << 16) | first
+        bucket = (np.uint64(i) << START) | (first << np.uint64(16))
         for bit in range(-1, width):
             take = np.arange(len(fps)) if bit < 0 else np.flatnonzero((second >> np.uint64(bit)) & np.uint64(1) == 0)
-            flipped = second[take] | (np.uint64(0) if bit < 0 else np.uint64(1 << bit))
-            keys.append((bucket[take] << np.uint64(16)) | flipped)
+            keys.append(bucket[take] | second[take] | (np.uint64(0) if bit < 0 else np.uint64(1 << bit)))
             kinds.append(np.full(len(take), bit >= 0))
             who.append(fps[take])
-            coarse.append(bucket[take])
-    return np.concatenate(keys), np.concatenate(kinds), np.concatenate(who), np.concatenate(coarse)
+    return np.concatenate(keys), np.concatenate(kinds), np.concatenate(who)
+
+
+def _mask(at: int, width: int) -> int:
+    return ((1 << width) - 1) << at
+
+
+def chain_masks(cuts: list[tuple[int, int]], start: int) -> list[np.uint64]:
+    """The bits of each chain from a start segment, shortest first; the last is the whole ring."""
+    out, held = [], 0
+    for step in range(len(cuts)):
+        held |= _mask(*cuts[(start + step) % len(cuts)])
+        out.append(np.uint64(held))
+    return out
+
+
+def finer_keys(key: np.ndarray, fps: np.ndarray, used: np.ndarray, pieces: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, key, used) of the rows of keys that too many share, so many times each: the bits that no key of theirs holds yet are cut in pieces, one of
+    which is equal for two fingerprints that differ in fewer bits than there are pieces."""
+    rows, keys, held = [], [], []
+    for known in np.unique(used).tolist():
+        at = np.flatnonzero(used == known)
+        free = [k for k in range(64) if not known >> k & 1]
+        for number, bits in enumerate(np.array_split(free, pieces)):
+            mask = np.uint64(sum(1 << int(k) for k in bits))
+            with np.errstate(over="ignore"):
+                h = mixed(mixed(key[at], 11) + mixed((fps[at] & mask) + np.uint64(number), 13), 17)
+            rows.append(at)
+            keys.append((key[at] >> START << START) | (h >> np.uint64(8)))
+            held.append(np.full(len(at), np.uint64(known) | mask))
+    return np.concatenate(rows), np.concatenate(keys), np.concatenate(held)
 
 
 def near(one: np.ndarray, many: np.ndarray, max_bits: int) -> np.ndarray:
@@ -124,22 +156,19 @@ def near(one: np.ndarray, many: np.ndarray, max_bits: int) -> np.ndarray:
     return np.bitwise_count(many ^ one).sum(axis=1, dtype=np.int64) <= max_bits
 
 
-def chained(a: np.ndarray, b: np.ndarray, start: np.ndarray, cuts: list[tuple[int, int]], max_bits: int) -> np.ndarray:
-    """Which pairs keep every chain from their start segment within its budget; the last chain is the whole ring."""
-    x, m = a ^ b, len(cuts)
-    per = np.stack([np.bitwise_count(s) for s in _segments(x, cuts)], axis=1).astype(np.int64)
-    alive, run = np.arange(len(x)), np.zeros(len(x), dtype=np.int64)
-    for step in range(m):
-        run = run + per[alive, (start[alive] + step) % m]
-        ok = run <= (step + 1) * max_bits // m
-        alive, run = alive[ok], run[ok]
+def chained(x: np.ndarray, masks: list[np.uint64], max_bits: int) -> np.ndarray:
+    """Which differences (64 bits) keep every chain within its share of max_bits: each chain sees those only that the shorter ones have left, and
+    the last is the whole fingerprint."""
+    alive = np.arange(len(x))
+    for step, mask in enumerate(masks, 1):
+        alive = alive[np.bitwise_count(x[alive] & mask) <= step * max_bits // len(masks)]
     out = np.zeros(len(x), dtype=bool)
     out[alive] = True
     return out
 
 
-def forest(ids: np.ndarray, fps: np.ndarray, max_bits: int) -> list[tuple[int, int]]:
-    """Links of a spanning forest of the graph that joins members at max_bits or fewer bits: breadth first, comparing
+def forest(ids: np.ndarray, fps: np.ndarray, masks: list[np.uint64], max_bits: int) -> list[tuple[int, int]]:
+    """Links of a spanning forest of the graph that joins members whose chains pass: breadth first, comparing
     each member only with those not yet reached."""
     ids, at = np.unique(ids, return_index=True)
     fps, left, links = fps[at], np.arange(len(ids)), []
@@ -147,7 +176,7 @@ def forest(ids: np.ndarray, fps: np.ndarray, max_bits: int) -> list[tuple[int, i
         queue, left = [left[0]], left[1:]
         while queue and len(left):
             one = queue.pop()
-            hit = near(fps[one], fps[left], max_bits)
+            hit = chained(fps[left] ^ fps[one], masks, max_bits)
             found, left = left[hit], left[~hit]
             links += [(int(ids[one]), int(ids[j])) for j in found]
             queue += found.tolist()
@@ -208,6 +237,7 @@ def bucket_links(key: np.ndarray, kind: np.ndarray, ids: np.ndarray, fps: np.nda
     sizes = np.diff(edges)
     size_of = np.repeat(sizes, sizes)
     small = np.flatnonzero((size_of > 1) & (size_of <= SMALL))
+    rings = [chain_masks(cuts, i) for i in range(len(cuts))] if cuts else []
     left, right = [], []
     for step in range(1, SMALL):
         a = small[small + step < len(key)]
@@ -217,7 +247,10 @@ def bucket_links(key: np.ndarray, kind: np.ndarray, ids: np.ndarray, fps: np.nda
         if not len(a):
             continue
         if cuts:
-            ok = chained(fps[a, 0], fps[b, 0], (key[a] >> np.uint64(32)).astype(np.int64), cuts, max_bits)
+            ok, start = np.zeros(len(a), dtype=bool), (key[a] >> START).astype(np.int64)
+            for i, masks in enumerate(rings):
+                here = np.flatnonzero(start == i)
+                ok[here] = chained(fps[a[here], 0] ^ fps[b[here], 0], masks, max_bits)
         else:
             ok = np.bitwise_count(fps[a] ^ fps[b]).sum(axis=1, dtype=np.int64) <= max_bits
         left += ids[a[ok]].tolist()
@@ -226,7 +259,7 @@ def bucket_links(key: np.ndarray, kind: np.ndarray, ids: np.ndarray, fps: np.nda
         rows = slice(edges[g], edges[g + 1])
         if kind[rows.start]:
             continue  # no member of kind 0
-        for a, b in forest(ids[rows], fps[rows], max_bits) if tight is None else least_forest(ids[rows], fps[rows], tight, max_bits):
+        for a, b in forest(ids[rows], fps[rows, 0], rings[int(key[rows.start] >> START)], max_bits) if tight is None else least_forest(ids[rows], fps[rows], tight, max_bits):
             left.append(a)
             right.append(b)
     return left, right
@@ -246,7 +279,7 @@ def sorted_buckets(batches: Iterator[pa.RecordBatch], lanes: int, max_bits: int,
             return None
         change = np.concatenate(([0], np.cumsum((key[1:] != key[:-1]) | (block[1:] != block[:-1]))))
         # buckets of one key but other blocks count as buckets of their own; the start segment stays readable in the key
-        group = (key & np.uint64(0xFFFFFFFF00000000)) | change.astype(np.uint64) if cuts else change.astype(np.uint64)
+        group = (key >> START << START) | change.astype(np.uint64) if cuts else change.astype(np.uint64)
         a, b = bucket_links(group, kind, ids, fps, max_bits, cuts, tight)
         return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"]) if a else None
 
@@ -266,47 +299,67 @@ def sorted_buckets(batches: Iterator[pa.RecordBatch], lanes: int, max_bits: int,
         yield out
 
 
-def hamming_links(unique: DataFrame, max_bits: int = 4, segments: int = 5, block_rows: int = 100_000) -> DataFrame:
-    """Links (a, b) between distinct 64-bit fingerprints (column fp): a spanning forest of each bucket, so the connected
-    components are those of all pairs at max_bits or fewer bits. Needs max_bits < segments, so that the first segment of
-    a chain is equal and the second at most one bit off."""
-    if not max_bits < segments or 2 * max_bits // segments > 1:
-        raise ValueError("the index takes a first segment without and a second with at most one difference")
-    cuts = ring(64, segments)
+#: Times that keys which too many fingerprints share are made finer.
+FINER = 2
 
-    def first_segments(batches):
-        for batch in batches:
-            parts = _segments(batch.column(0).to_numpy().view(np.uint64), cuts)
-            bucket = np.concatenate([np.uint64(i << 16) | p for i, p in enumerate(parts)]).view(np.int64)
-            values, counts = np.unique(bucket, return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(values), pa.array(counts)], ["bucket", "n"])
 
-    widest = max(w for _, w in cuts)
-    # at most segments * 2**width rows reach the driver, whatever the input: 40,960
-    counts = unique.select("fp").mapInArrow(first_segments, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).where(F.col("n") * (widest + 1) > block_rows)
-    blocks = {r["bucket"]: -(-r["n"] * (widest + 1) // block_rows) for r in counts.collect()}
+def index_rows(unique: DataFrame, cuts: list[tuple[int, int]]) -> DataFrame:
+    """key, kind, fp, used (the bits that the key holds) of every fingerprint: about 37 rows each, however many there are."""
 
-    def index(batches):
+    def run(batches):
         for batch in batches:
             fps = batch.column(0).to_numpy().view(np.uint64)
             for at in range(0, len(fps), 4096):
-                key, kind, who, coarse = ring_keys(fps[at : at + 4096], cuts)
-                block = np.zeros(len(key), dtype=np.int64)
-                if blocks:
-                    n = np.fromiter((blocks.get(c, 1) for c in coarse.tolist()), dtype=np.int64, count=len(coarse))
-                    own = (mixed(who, 7) % n.astype(np.uint64)).astype(np.int64)
-                    rows = np.repeat(np.arange(len(key)), n)
-                    other = np.arange(len(rows)) - np.repeat(np.cumsum(n) - n, n)
-                    own = own[rows]
-                    block = (np.minimum(own, other) << 31) | np.maximum(own, other)
-                    key, kind, who = key[rows], kind[rows], who[rows]
-                signed = pa.array(who.view(np.int64))
-                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(block), pa.array(kind), signed, signed], ["key", "block", "kind", "id", "fp"])
-
-    # a fingerprint becomes about 37 index rows: dealt out first, as the few bytes of the table would make few tasks
-    rows = unique.select("fp").repartition(_parts(unique)).mapInArrow(index, "key long, block long, kind boolean, id long, fp long")
-    dealt = rows.repartition(_parts(unique), "key", "block").sortWithinPartitions("key", "block", "kind")
-    return dealt.mapInArrow(lambda it: sorted_buckets(it, 1, max_bits, cuts), "a long, b long")
+                key, kind, who = ring_keys(fps[at : at + 4096], cuts)
+                used = np.array([_mask(*cuts[i]) | _mask(*cuts[(i + 1) % len(cuts)]) for i in range(len(cuts))], dtype=np.uint64)[(key >> START).astype(np.int64)]
+                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(kind), pa.array(who.view(np.int64)), pa.array(used.view(np.int64))], ["key", "kind", "fp", "used"])
+
+    # dealt out first, as the few bytes of the table would make few tasks
+    return unique.select("fp").repartition(_parts(unique)).mapInArrow(run, "key long, kind boolean, fp long, used long")
+
+
+def finer_rows(rows: DataFrame, crowded: DataFrame, pieces: int) -> DataFrame:
+    """The rows, those of crowded keys under finer keys."""
+
+    def run(batches):
+        for batch in batches:
+            key, kind, fp, used = (batch.column(k).to_numpy(zero_copy_only=False) for k in range(4))
+            many = batch.column(4).is_valid().to_numpy(zero_copy_only=False)
+            yield batch.filter(pa.array(~many)).select(["key", "kind", "fp", "used"])
+            at = np.flatnonzero(many)
+            if len(at):
+                row, finer, held = finer_keys(key[at].view(np.uint64), fp[at].view(np.uint64), used[at].view(np.uint64), pieces)
+                yield pa.RecordBatch.from_arrays([pa.array(finer.view(np.int64)), pa.array(kind[at[row]]), pa.array(fp[at[row]]), pa.array(held.view(np.int64))], ["key", "kind", "fp", "used"])
+
+    return rows.join(crowded.hint("merge"), "key", "left").mapInArrow(run, "key long, kind boolean, fp long, used long")
+
+
+def hamming_links(unique: DataFrame, max_bits: int = 4, segments: int = 5, block_rows: int = 100_000) -> DataFrame:
+    """Links (a, b) between distinct 64-bit fingerprints (column fp), a written table: a spanning forest of each bucket, so the connected
+    components are those of all pairs at max_bits or fewer bits. Needs max_bits < segments, so that the first segment of
+    a chain is equal and the second at most one bit off.
+
+    A key that more than block_rows fingerprints share is made finer by the bits that it doesn't hold, ``FINER`` times at most; fingerprints so much alike that
+    they crowd even those keys are dealt out as pairs of blocks, so that a task holds two blocks of a key."""
+    if not max_bits < segments or 2 * max_bits // segments > 1:
+        raise ValueError("the index takes a first segment without and a second with at most one difference")
+    cuts = ring(64, segments)
+    with tables() as keep:
+        rows = keep(index_rows(unique, cuts), "simhash-index")
+        for level in range(FINER + 1):
+            crowded = keep(rows.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > block_rows), "simhash-crowded")
+            if crowded.isEmpty():
+                rows = rows.withColumn("block", F.lit(0).cast("long"))
+            elif level < FINER:
+                rows = keep(finer_rows(rows, crowded, max_bits + 1), "simhash-index")
+                continue
+            else:
+                rows = rows.withColumnRenamed("fp", "node").join(crowded.hint("merge"), "key", "left").withColumn("n", F.coalesce("n", F.lit(1)))
+                rows = in_blocks(rows, block_rows).withColumnRenamed("node", "fp")
+            break
+        dealt = rows.select("key", "block", "kind", F.col("fp").alias("id"), "fp").repartition(_parts(unique), "key", "block").sortWithinPartitions("key", "block", "kind")
+        found = dealt.mapInArrow(lambda it: sorted_buckets(it, 1, max_bits, cuts), "a long, b long")
+        return materialize(found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "simhash-links")
 
 
 def _parts(df: DataFrame) -> int:
@@ -314,25 +367,26 @@ def _parts(df: DataFrame) -> int:
 
 
 def labelled(rows: DataFrame, links: DataFrame) -> DataFrame:
-    """doc_id, node -> node, component_id: the smallest doc_id of the nodes that links join."""
-    stars = star_components(links)
-    ids = rows.groupBy("node").agg(F.min("doc_id").alias("least"))
-    # written before they're joined by root, so that Spark can split the partition of a root with very many nodes
-    known = materialize(ids.join(stars, "node", "left").withColumn("root", F.coalesce("root", "node")), "simhash-roots")
-    least = materialize(known.groupBy("root").agg(F.min("least").alias("component_id")), "simhash-least")
-    return materialize(known.join(least, "root").select("node", "component_id"), "simhash-labels")
+    """doc_id, node -> node, component_id: the smallest doc_id of the nodes that links join; a written table."""
+    with tables() as keep:
+        stars = star_components(links)
+        ids = rows.groupBy("node").agg(F.min("doc_id").alias("least"))
+        # written before they're joined by root, so that Spark can split the partition of a root with very many nodes
+        known = keep(ids.join(stars.hint("merge"), "node", "left").withColumn("root", F.coalesce("root", "node")), "simhash-roots")
+        discard(stars)
+        least = keep(known.groupBy("root").agg(F.min("least").alias("component_id")), "simhash-least")
+        return materialize(known.join(least.hint("merge"), "root").select("node", "component_id"), "simhash-labels")
 
 
 def near_duplicates(docs: DataFrame, words: int = 4, max_bits: int = 4) -> DataFrame:
     """doc_id, fingerprint (16 hex digits), component_id: fingerprints link at max_bits or fewer differing bits."""
-    own = materialize(fingerprints(docs, words), "simhash-own")
-    unique = materialize(own.select("fp").distinct(), "simhash-unique")
-    links = materialize(hamming_links(unique, max_bits).distinct(), "simhash-links")
-    labels = labelled(own.withColumnRenamed("fp", "node"), links)
-    discard(links)
-    discard(unique)
+    with tables() as keep:
+        unique = keep((own := materialize(fingerprints(docs, words), "simhash-own")).select("fp").distinct(), "simhash-unique")
+        links = hamming_links(unique, max_bits)
+        labels = labelled(own.withColumnRenamed("fp", "node"), links)
+        discard(links)
     hexed = F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint")
-    return own.join(labels, own["fp"] == labels["node"]).select("doc_id", hexed, "component_id")
+    return reading(own.join(labels.hint("merge"), own["fp"] == labels["node"]).select("doc_id", hexed, "component_id"), own, labels)
 
 
 BANDS, ROWS = 16, 4
@@ -481,8 +535,8 @@ def remaining_links(nodes: DataFrame, counts: DataFrame, prints: DataFrame, sure
         yield links()
 
     out = materialize(dealt.mapInArrow(run, "a long, b long"), "simhash-rest")
-    discard(members)
-    discard(apart)
+    for df in (stars, members, apart):
+        discard(df)
     return out
 
 
@@ -493,16 +547,17 @@ def near_duplicate_groups(docs: DataFrame, words: int = 5, least: float = 0.8, l
     unrelated texts. 16 bands of four minima make such a pair a candidate with probability 0.9998. The shortest links of a bucket, of at most 56 bits, are
     confirmed by the sets first, which joins most of a dense bucket at little cost. As a refused link may have stood for true ones, and bits may lie too far apart
     by chance, every pair of a bucket that is still apart then is decided by its sets, whatever its bits."""
-    own = materialize(band_rows(docs, words, lanes), "simhash-bandrows")
-    nodes = materialize(own.groupBy("node").agg(F.any_value("fp").alias("fp"), F.any_value("bands").alias("bands"), F.any_value("prints").alias("prints")), "simhash-nodes")
-    counts = materialize(shared_keys(nodes), "simhash-bands")
-    links = materialize(similar_links(nodes, counts, lanes, tight, max_bits).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "simhash-links")
-    ends = nodes.select("node", F.explode("bands").alias("key")).join(counts.hint("merge"), "key", "left_semi").select("node").distinct()
-    prints = materialize(nodes.select("node", "prints").join(ends.hint("merge"), "node", "left_semi"), "simhash-prints")
-    sure = materialize(confirmed(links, prints, least), "simhash-sure")
-    rest = remaining_links(nodes, counts, prints, sure, least)
-    labels = labelled(own.select("doc_id", "node"), sure.unionByName(rest))
-    out = materialize(own.select("doc_id", "node").join(labels.hint("merge"), "node").select("doc_id", "component_id"), "simhash-groups")
-    for df in (own, nodes, counts, links, prints, sure, rest, labels):
-        discard(df)
-    return out
+    with tables() as keep:
+        own = keep(band_rows(docs, words, lanes), "simhash-bandrows")
+        nodes = keep(own.groupBy("node").agg(F.any_value("fp").alias("fp"), F.any_value("bands").alias("bands"), F.any_value("prints").alias("prints")), "simhash-nodes")
+        counts = keep(shared_keys(nodes), "simhash-bands")
+        links = keep(similar_links(nodes, counts, lanes, tight, max_bits).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "simhash-links")
+        ends = nodes.select("node", F.explode("bands").alias("key")).join(counts.hint("merge"), "key", "left_semi").select("node").distinct()
+        prints = keep(nodes.select("node", "prints").join(ends.hint("merge"), "node", "left_semi"), "simhash-prints")
+        sure = keep(confirmed(links, prints, least), "simhash-sure")
+        rest = remaining_links(nodes, counts, prints, sure, least)
+        labels = labelled(own.select("doc_id", "node"), sure.unionByName(rest))
+        out = materialize(own.select("doc_id", "node").join(labels.hint("merge"), "node").select("doc_id", "component_id"), "simhash-groups")
+        for df in (rest, labels):
+            discard(df)
+        return out

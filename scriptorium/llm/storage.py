@@ -10,6 +10,8 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -42,10 +44,34 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
     return out
 
 
+def reading(df: DataFrame, *tables: DataFrame) -> DataFrame:
+    """df, with a note of the written tables that it still reads."""
+    df._reads = tables
+    return df
+
+
 def discard(df: DataFrame) -> None:
-    """Deletes what materialize() wrote; to be called when nothing reads it any more."""
+    """Deletes what materialize() wrote, and what reading() noted; to be called when nothing reads it any more."""
     if path := getattr(df, "_scratch", None):
         remove(df.sparkSession, path)
+    for table in getattr(df, "_reads", ()):
+        discard(table)
+
+
+@contextmanager
+def tables() -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+    """Gives a function like materialize() whose tables are deleted at the end of the block, whether it failed or not."""
+    held: list[DataFrame] = []
+
+    def keep(df: DataFrame, tag: str) -> DataFrame:
+        held.append(materialize(df, tag))
+        return held[-1]
+
+    try:
+        yield keep
+    finally:
+        for df in held:
+            discard(df)
 
 
 def remove(spark: SparkSession, path: str) -> None:

@@ -80,7 +80,7 @@ def test_dense_ball_and_blocks(spark):
     for i in range(len(fps)):
         want.setdefault(find(i), set()).add(fps[i])
     df = spark.createDataFrame([(int(np.uint64(x).view(np.int64)),) for x in fps], "fp long")
-    for block_rows in (100_000, 300):
+    for block_rows in (100_000, 300, 50):
         links = simhash.hamming_links(df, block_rows=block_rows)
         roots = {r.node: r.root for r in simhash.star_components(links).collect()}
         got = {}
@@ -90,6 +90,34 @@ def test_dense_ball_and_blocks(spark):
         assert sorted(map(sorted, got.values())) == sorted(map(sorted, want.values()))
 
 
+def test_index_rows_for_a_fingerprint_do_not_depend_on_how_many_there_are(spark):
+    rng, per, cuts = np.random.default_rng(4), [], simhash.ring(64, 5)
+    for n in (500, 50_000):
+        df = spark.createDataFrame([(int(x),) for x in rng.integers(-(2**63), 2**63 - 1, size=n)], "fp long")
+        rows = simhash.index_rows(df, cuts)
+        per.append(rows.count() / n)
+        # keys far over the bound here: each level gives so many rows for one, whatever their number
+        crowded = rows.groupBy("key").count().where("count > 1").withColumnRenamed("count", "n")
+        held = rows.join(crowded, "key", "left_semi").count()
+        assert simhash.finer_rows(rows, crowded, 5).count() == rows.count() + 4 * held
+    assert abs(per[0] - per[1]) < 1 and 30 < per[1] < 45
+
+
+def test_chains_prune_before_the_whole_is_compared():
+    """Of 4 bits in one place the chain from there has too many, another chain of the ring doesn't."""
+    cuts = simhash.ring(64, 5)
+    for start in range(5):
+        masks = simhash.chain_masks(cuts, start)
+        at, _ = cuts[(start + 2) % 5]
+        four, one = np.array([15 << at], dtype=np.uint64), np.array([1 << at], dtype=np.uint64)
+        assert not simhash.chained(four, masks, 4)[0] and simhash.chained(one, masks, 4)[0]
+    rng = np.random.default_rng(2)
+    for _ in range(2000):
+        x = sum(1 << int(b) for b in rng.choice(64, size=rng.integers(0, 7), replace=False))
+        found = any(simhash.chained(np.array([x], dtype=np.uint64), simhash.chain_masks(cuts, s), 4)[0] for s in range(5))
+        assert found == (bin(x).count("1") <= 4)
+
+
 def test_similar_groups(spark):
     rng = random.Random(3)
     words = [f"w{i}" for i in range(2000)]
