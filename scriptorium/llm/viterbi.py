@@ -87,7 +87,8 @@ class Model:
         if self.merges:
             self._trees()
         self._automaton([p for p in pieces if not self.merges or len(p) == 1 or self.left[self.index[p]] >= 0])
-        self.pair_keys, self.pair_ok = np.full(PAIRS, -1, dtype=np.int64), np.zeros(PAIRS, dtype=bool)
+        #: of pairs met so far: twice the pair's number, and 1 if a step may lead through it
+        self.pairs = np.full(PAIRS, -1, dtype=np.int64)
         #: code points searched, steps of the search, and boundaries held at most, so far
         self.searched, self.steps, self.widest = 0, 0, 0
 
@@ -167,7 +168,7 @@ class Model:
                 self.shorter[i] = -1 if len(s) == 1 else f
             elif i:
                 self.piece[i], self.shorter[i] = self.piece[f], self.shorter[f]
-        self.table = table.ravel()
+        self.table = (table.astype(np.uint16) if len(states) <= 1 << 16 else table).ravel()
         #: which classes stand next to each other in a piece
         self.meet = np.zeros((self.wide, self.wide), dtype=bool)
         for p in pieces:
@@ -176,21 +177,15 @@ class Model:
 
     def apart(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Which pairs of pieces a step may lead through."""
-        key = a.astype(np.int64) * (self.start + 1) + b
+        key = a * np.int64(self.start + 1) + b
         slot = (key * 0x9E3779B1 >> 7) & (PAIRS - 1)
-        new = np.flatnonzero(self.pair_keys[slot] != key)
-        if len(new):
-            for k in new.tolist():
-                x, y = int(a[k]), int(b[k])
-                self.pair_keys[slot[k]] = key[k]
-                self.pair_ok[slot[k]] = x >= self.none or y >= self.none or self._apart(x, y)
-            if len(np.unique(slot)) < len(slot):  # two pairs in one place
-                out = self.pair_ok[slot]
-                for k in np.flatnonzero(self.pair_keys[slot] != key).tolist():
-                    x, y = int(a[k]), int(b[k])
-                    out[k] = x >= self.none or y >= self.none or self._apart(x, y)
-                return out
-        return self.pair_ok[slot]
+        known = self.pairs[slot]
+        new = np.flatnonzero(known >> 1 != key)
+        for k in new.tolist():
+            x, y = int(a[k]), int(b[k])
+            known[k] = 2 * key[k] + (x >= self.none or y >= self.none or self._apart(x, y))
+        self.pairs[slot[new]] = known[new]
+        return known & 1 == 1
 
     def encode_all(self, texts: list[str | None]) -> list[np.ndarray]:
         """The ids of each whole text."""
