@@ -105,12 +105,12 @@ QUERIES = {
 
 
 def _packing_sql(buckets: int, budget: int) -> str:
-    """The dynamic programme level by level, without the histogram's bins being summed in another way."""
+    """The dynamic programme level by level, over all lengths up to the budget."""
     parts = [
-        "WITH d AS (SELECT doc_id, coalesce(octet_length(encode(text)), 0)::BIGINT + 1 AS n FROM documents)",
-        "b AS (SELECT CASE WHEN n <= 32 THEN n - 1 ELSE (length(bin(n - 1)) - 6) * 16 + 16 + ((n - 1) >> (length(bin(n - 1)) - 5)::BIGINT) END AS bin, count(*) AS c, max(n) AS longest FROM d GROUP BY 1)",
-        "h AS (SELECT row_number() OVER (ORDER BY bin) AS j, sum(c) OVER (ORDER BY bin) AS upto, longest FROM b)",
-        "p AS (SELECT 0::BIGINT AS j, 0::HUGEINT AS upto, 0::BIGINT AS longest UNION ALL SELECT j, upto, longest FROM h)",
+        "WITH RECURSIVE d AS (SELECT doc_id, coalesce(octet_length(encode(text)), 0)::BIGINT + 1 AS n FROM documents)",
+        f"b AS (SELECT n AS longest, count(*) AS c FROM d WHERE n <= {budget} GROUP BY n)",
+        "h AS (SELECT row_number() OVER (ORDER BY longest) AS j, sum(c) OVER (ORDER BY longest) AS upto, longest FROM b)",
+        "p AS (SELECT 0::BIGINT AS j, 0::HUGEINT AS upto UNION ALL SELECT j, upto FROM h)",
         "l1 AS (SELECT h.j, {'c': h.upto * h.longest, 'i': 0::BIGINT} AS v FROM h)",
     ]
     for k in range(2, buckets + 1):
@@ -119,10 +119,10 @@ def _packing_sql(buckets: int, budget: int) -> str:
     parts.append(f"lv AS ({every})")
     parts.append("best AS (SELECT k, j FROM lv WHERE j = (SELECT max(j) FROM h) ORDER BY v.c, k LIMIT 1)")
     parts.append("path AS (SELECT k, j FROM best UNION ALL SELECT path.k - 1, lv.v.i FROM path JOIN lv ON lv.k = path.k AND lv.j = path.j WHERE lv.v.i > 0)")
-    parts.append("e AS (SELECT (row_number() OVER (ORDER BY h.longest) - 1)::INTEGER AS bucket, h.longest AS size, greatest(1, " + str(budget) + " // h.longest) AS room FROM path JOIN h ON h.j = path.j)")
+    parts.append(f"e AS (SELECT (row_number() OVER (ORDER BY h.longest) - 1)::INTEGER AS bucket, h.longest AS size, {budget} // h.longest AS room FROM path JOIN h ON h.j = path.j)")
     parts.append("w AS (SELECT d.doc_id, d.n, (SELECT min(e.bucket) FROM e WHERE e.size >= d.n) AS bucket FROM d)")
-    parts.append("x AS (SELECT w.*, e.size, e.room, row_number() OVER (PARTITION BY w.bucket ORDER BY w.doc_id, w.n) - 1 AS place FROM w JOIN e ON e.bucket = w.bucket)")
-    return ", ".join(parts).replace("WITH d AS", "WITH RECURSIVE d AS", 1) + " SELECT doc_id, n AS n_tokens, bucket, size AS bucket_tokens, place // room AS batch, place % room AS slot, size - n AS padding FROM x"
+    parts.append("x AS (SELECT w.doc_id, w.n, coalesce(w.bucket, (SELECT count(*) FROM e))::INTEGER AS bucket, coalesce(e.size, w.n) AS size, coalesce(e.room, 1) AS room, row_number() OVER (PARTITION BY w.bucket ORDER BY w.doc_id, w.n) - 1 AS place FROM w LEFT JOIN e ON e.bucket = w.bucket)")
+    return ", ".join(parts) + " SELECT doc_id, n AS n_tokens, bucket, size AS bucket_tokens, place // room AS batch, place % room AS slot, size - n AS padding FROM x"
 
 
 _BASE32 = " || ".join(f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((('0x' || substr(s, {5 * k + 1}, 5))::BIGINT >> {shift}) & 31)::INTEGER + 1, 1)" for k in range(8) for shift in (15, 10, 5, 0))

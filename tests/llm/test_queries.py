@@ -3,6 +3,7 @@
 import os
 import sys
 import zlib
+from collections import Counter
 
 import duckdb
 import numpy as np
@@ -133,18 +134,15 @@ def test_pipeline(spark, sf_dir):
                 a, b = find(i), find(j)
                 root[max(a, b)] = min(a, b)
     kept = [(data[i][0], len(texts[i].encode()) + 1) for i in range(len(data)) if find(i) == i]
-    bins = {}
-    for _, n in kept:
-        k = n - 1 if n <= 32 else ((n - 1).bit_length() - 6) * 16 + 16 + ((n - 1) >> ((n - 1).bit_length() - 5))
-        c, total, most = bins.get(k, (0, 0, 0))
-        bins[k] = (c + 1, total + n, max(most, n))
-    ends = packing.optimal_lengths([bins[k] for k in sorted(bins)], packing.BUCKETS)
+    counts = Counter(n for _, n in kept if n <= packing.BUDGET)
+    ends = packing.optimal_lengths(sorted(counts.items()), packing.BUCKETS)
     want, held = set(), {}
     for d, n in kept:
-        b = next(k for k, e in enumerate(ends) if n <= e)
-        place, room = held.get(b, 0), max(1, packing.BUDGET // ends[b])
+        b = next((k for k, e in enumerate(ends) if n <= e), len(ends))
+        end = ends[b] if b < len(ends) else n
+        place, room = held.get(b, 0), max(1, packing.BUDGET // end)
         held[b] = place + 1
-        want.add((d, n, b, ends[b], place // room, place % room, ends[b] - n))
+        want.add((d, n, b, end, place // room, place % room, end - n))
     got = corpus_pipeline.run(spark, sf_dir).select("doc_id", "n_tokens", "bucket", "bucket_tokens", "batch", "slot", "padding").collect()
     assert {tuple(r) for r in got} == want and len(got) == len(want)
     docs_now = frame
