@@ -1,155 +1,276 @@
-"""Line dedup by winnowing over line hashes.
-
-A text is its sequence of lines, a long line being cut after every full stop and space, as a passage may have been put into the
-middle of one. Lines are compared without outer blanks and closing stops; lines without a word don't count. From each line on, the shortest run of
-lines with at least ``min_words`` words is a window. Each window selects the smallest line hash in it, the rightmost of
-equal ones; two texts that share a run of that many words share a window and so select the same line of it: that is the
-guarantee. The selected lines are joined by hash; those found at one place only end there. Around each of the others the
-match is extended both ways, by joining the hashes of whole windows that selected the line, which every window of a
-longer shared run does. Windows that occur earlier (smaller doc_id, then earlier in the text) are deleted with all their lines;
-overlapping windows add up, but equal lines after the last whole window (fewer than ``min_words`` words) stay. The first occurrence stays, and so does a window that overlaps it in its own text.
-
-Shared runs shorter than ``min_words`` words stay everywhere, so common short lines do no harm. 30 words rather than 50, as the first and
-last sentence of a passage may have grown together with what is around them; a passage with fewer than 30 words in the whole sentences between isn't found.
-
-Defined results: a null text stays null. A text whose every line is a later copy becomes empty; its row stays. In texts that
-change, what is left of a line is joined by spaces, a line of which no word is left goes, and lines are joined by newline; others stay as they are,
-byte for byte. Rows with the same doc_id and text count as one text given several times and are treated alike. A null doc_id comes before all others.
+"""Line dedup by winnowing over hashes of lines.
+
+A text is its sequence of pieces: its lines, where a line of more than ``SPAN`` words is cut at places that its own words choose, as a passage may have been put into
+the middle of one. Of every SPAN words in a row in a line the longest is selected (of equally long ones the one whose first ``HEAD`` bytes are
+greater, then the rightmost), and the line is cut after each selected word: a cut depends on the words around it only, and no piece has more than SPAN words. Pieces are equal
+if their words are. From each piece on, the shortest run with at least ``min_words`` words is a window, and so is the shortest such run up to each piece.
+
+Each window selects the piece of the smallest hash in it, the rightmost of equal ones: texts that share a window select the same piece of it. A selected piece is a row: its
+hash, position, and the pieces around it that its windows reach. These rows are joined by hash, those found at one place only end there, and of the others the
+windows are compared. Windows from a piece on reach from the first piece of a shared run, windows up to a piece to its last one: so a match is extended both ways to all
+whole pieces that are shared. What occurs earlier (smaller doc_id, then earlier in the text) is deleted; the first occurrence stays, and so does a window that
+overlaps it in its own text.
+
+A shared passage of ``min_words + 2 * (SPAN - 1)`` words (50) is always found, wherever it stands; of the words at either end of it fewer than SPAN may stay, where they have
+grown together with others to one piece. Shared runs of fewer than ``min_words`` words stay everywhere, so common short lines do no harm.
+
+Defined results: a null text stays null. A text all of whose words are in later copies becomes empty; its row stays. In a line that
+loses words, the words left keep the blanks between them and lose outer ones; a line of which no word is left goes; other lines, and other texts, stay as they are,
+byte for byte. Rows with the same doc_id and text count as one text given several times and are treated alike. A null doc_id comes before all others. Very long texts are
+read whole. An empty table gives no rows. Columns of any name go along as they are.
 """
 
 from __future__ import annotations
 
-from collections import deque
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scriptorium.llm.storage import discard, materialize
+from scriptorium.llm.storage import materialize, reading, tables
 
 MIN_WORDS = 30
-#: After it a line is cut.
-CUT = ". "
-
-
-def marked(text: str | None) -> tuple[list[int], list[int], list[int]]:
-    """Number, hash and number of words of each line with a word, cut lines counted one by one."""
-    import xxhash
-
-    where, hashes, words, k = [], [], [], 0
-    cut = CUT.encode()
-    for line in (text or "").encode("utf-8", "surrogatepass").split(b"\n"):
-        for k, part in enumerate(line.split(cut), k):
-            if n := len(part.split()):
-                where.append(k)
-                hashes.append(xxhash.xxh64_intdigest(part.strip().rstrip(b".")))
-                words.append(n)
-        k += 1
-    return where, hashes, words
-
-
-def windows(hashes: list[int], words: list[int], least: int) -> Iterator[tuple[int, int, int]]:
-    """(first, last, selected) of each window: a sliding minimum, the rightmost of equal hashes."""
-    queue: deque[int] = deque()
-    end, held = 0, 0
-    for first in range(len(hashes)):
-        while end < len(hashes) and held < least:
-            while queue and hashes[queue[-1]] >= hashes[end]:
-                queue.pop()
-            queue.append(end)
-            held += words[end]
-            end += 1
-        if held < least:
-            return
-        while queue[0] < first:
-            queue.popleft()
-        yield first, end - 1, queue[0]
-        held -= words[first]
-
-
-def selections(text: str | None, least: int) -> list[tuple[int, list[tuple[int, int, int]]]]:
-    """(hash of a selected line, its windows as (first line, last line, hash of the window)); neighbours with one choice together."""
-    import xxhash
-
-    where, hashes, words = marked(text)
-    raw = np.array(hashes, dtype=np.uint64)
-    out: list[tuple[int, list]] = []
-    last = -1
-    for a, b, pick in windows(hashes, words, least):
-        if pick != last:
-            out.append((hashes[pick], []))
-            last = pick
-        out[-1][1].append((where[a], where[b], xxhash.xxh64_intdigest(raw[a : b + 1].tobytes())))
-    return out
+#: Words in a row of which one is a cut, and the bytes of a word that are compared.
+SPAN, HEAD = 11, 6
+#: Bytes of texts that are cut at a time, save for a longer single text.
+SLAB = 1 << 20
+BLANKS = b" \t\n\r\x0b\x0c"
+_ODD = 0x9E3779B97F4A7C15
+_BACK = pow(_ODD, -1, 1 << 64)
 
 
-def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """id, h (xxhash64 of the text), runs: the line spans (first, last) to delete, of each text that has any."""
+_KNOWN: dict[int, np.ndarray] = {}
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    if base not in _KNOWN or len(_KNOWN[base]) < n:
+        out = np.full(max(n, 2 * SLAB), base, dtype=np.uint64)
+        out[0] = 1
+        _KNOWN[base] = np.cumprod(out)
+    return _KNOWN[base][:n]
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(31))) * np.uint64(0xD6E8FEB86659FD93)
+    return x ^ (x >> np.uint64(32))
+
+
+def run_hashes(values: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each run values[start:stop]: a polynomial by prefix sums, mixed with the length."""
+    n = len(values) + 1
+    sums = np.zeros(n, dtype=np.uint64)
+    np.cumsum((values.astype(np.uint64) + np.uint64(1)) * _powers(_ODD, n)[1:], out=sums[1:])
+    return _mixed((sums[stops] - sums[starts]) * _powers(_BACK, n)[starts] + (stops - starts).astype(np.uint64) * np.uint64(0xA0761D6478BD642F))
+
+
+@dataclass
+class Pieces:
+    """Words and pieces of some texts, one after the other: places in data, and which text, line and piece a word is of."""
+
+    data: bytes
+    bounds: np.ndarray  # where each text begins in data; the last is after the end
+    start: np.ndarray  # of each word
+    stop: np.ndarray
+    line: np.ndarray
+    first: np.ndarray  # of each piece: its first word; the last is after the end
+    text: np.ndarray  # of each piece
+    hash: np.ndarray  # of each piece
+
+    @property
+    def words(self) -> np.ndarray:
+        return np.diff(self.first)
+
+    @classmethod
+    def of(cls, texts: list[bytes]) -> Pieces:
+        data = b"\n".join(texts)
+        bounds = np.concatenate(([0], np.cumsum(np.array([len(t) + 1 for t in texts], dtype=np.int64))))
+        raw = np.frombuffer(data, dtype=np.uint8)
+        blank = np.concatenate(([True], (raw == 32) | ((raw >= 9) & (raw <= 13)), [True]))
+        start, stop = np.flatnonzero(blank[:-1] & ~blank[1:]), np.flatnonzero(~blank[:-1] & blank[1:])
+        n, size = len(start), stop - start
+        line = np.searchsorted(np.flatnonzero(raw == 10), start)
+        key = np.minimum(size, 0xFFFF).astype(np.uint64) << np.uint64(8 * HEAD)
+        for k in range(HEAD):
+            at = np.flatnonzero(size > k)
+            key[at] |= raw[start[at] + k].astype(np.uint64) << np.uint64(8 * (HEAD - 1 - k))
+        begin = np.flatnonzero(line[: max(0, n - SPAN + 1)] == line[SPAN - 1 :])
+        best, at = key[begin], begin.copy()
+        for k in range(1, SPAN):
+            here = key[begin + k]
+            later = here >= best
+            best[later], at[later] = here[later], begin[later] + k
+        fresh = np.zeros(n + 1, dtype=bool)  # words that begin a piece
+        fresh[at + 1] = True
+        fresh[:1] = True
+        fresh[1:n] |= line[1:] != line[:-1]
+        fresh[n] = True
+        first = np.flatnonzero(fresh)
+        of_words = run_hashes(raw, start, stop)
+        return cls(data, bounds, start, stop, line, first, np.searchsorted(bounds, start[first[:-1]], side="right") - 1, run_hashes(of_words, first[:-1], first[1:]))
+
+
+def windows(words: np.ndarray, text: np.ndarray, small: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(first, last, selected) piece of each window, from the pieces' numbers of words, texts and 32-bit hashes."""
+    n = len(words)
+    upto = np.concatenate(([0], np.cumsum(words, dtype=np.int64)))
+    a = np.arange(n)
+    b = np.searchsorted(upto, upto[:-1] + least) - 1
+    ok = b < n
+    ok[ok] = text[b[ok]] == text[a[ok]]
+    from_on = np.where(ok, b, -1)
+    e = np.arange(n)
+    i = np.searchsorted(upto, upto[1:] - least, side="right") - 1
+    ok = upto[1:] >= least
+    ok[ok] = text[i[ok]] == text[e[ok]]
+    ok[ok] = from_on[i[ok]] != e[ok]
+    first = np.concatenate((a[from_on >= 0], i[ok]))
+    last = np.concatenate((from_on[from_on >= 0], e[ok]))
+    if not len(first):
+        return first, last, first
+    # minima of runs of 1, 2, 4, ... pieces: smallest hash, then rightmost place
+    key = (small.astype(np.uint64) << np.uint64(32)) | (np.uint64(0xFFFFFFFF) - a.astype(np.uint64))
+    level = np.frexp((last - first + 1).astype(np.float64))[1] - 1
+    pick, run = np.zeros(len(first), dtype=np.uint64), key
+    for k in range(int(level.max()) + 1):
+        at = np.flatnonzero(level == k)
+        pick[at] = np.minimum(run[first[at]], run[last[at] - (1 << k) + 1])
+        if len(run) > 1 << k:
+            run = np.minimum(run[: -(1 << k)], run[1 << k :])
+    return first, last, (np.uint64(0xFFFFFFFF) - (pick & np.uint64(0xFFFFFFFF))).astype(np.int64)
+
+
+def _spans(first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All places of the spans, one after the other, and where each begins among them."""
+    sizes = last - first + 1
+    ends = np.cumsum(sizes)
+    return np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(first - ends + sizes, sizes), np.concatenate(([0], ends))
+
+
+def _binary(values: np.ndarray, edges: np.ndarray) -> pa.Array:
+    raw = np.ascontiguousarray(values)
+    return pa.Array.from_buffers(pa.binary(), len(edges) - 1, [None, pa.py_buffer((edges * raw.itemsize).astype(np.int32).tobytes()), pa.py_buffer(raw.tobytes())])
+
+
+def _slabs(texts: pa.Array) -> Iterator[tuple[int, list[bytes]]]:
+    """The texts some at a time, with the number of the first."""
+    begin, held, size = 0, [], 0
+    for x in texts:
+        held.append(x.as_py().encode("utf-8", "surrogatepass"))
+        size += len(held[-1])
+        if size >= SLAB:
+            yield begin, held
+            begin, held, size = begin + len(held), [], 0
+    if held:
+        yield begin, held
+
+
+def selections(docs: DataFrame, min_words: int) -> DataFrame:
+    """id, h (xxhash64 of the text), pick (hash of a selected piece), first (number of the first piece around it), at (pieces before the selected one), hashes and words (of
+    each piece around it): a row for each selected piece of each text."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        window = pa.struct([("first", pa.int32()), ("last", pa.int32()), ("gram", pa.int64())])
         for batch in batches:
-            rows, picks, firsts, lasts, grams, sizes = [], [], [], [], [], []
-            for k, x in enumerate(batch.column(2)):
-                for pick, spans in selections(x.as_py(), min_words):
-                    rows.append(k)
-                    picks.append(pick)
-                    sizes.append(len(spans))
-                    for a, b, g in spans:
-                        firsts.append(a)
-                        lasts.append(b)
-                        grams.append(g)
-            signed = lambda x: pa.array(np.array(x, dtype=np.uint64).view(np.int64))
-            items = pa.StructArray.from_arrays([pa.array(firsts, pa.int32()), pa.array(lasts, pa.int32()), signed(grams)], fields=list(window))
-            spans = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(sizes, dtype=np.int64))), pa.int32()), items)
-            at = pa.array(rows, pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), signed(picks), spans], ["id", "h", "pick", "spans"])
-
-    schema = f"id {kind}, h long, pick long, spans array<struct<first:int,last:int,gram:long>>"
+            for begin, texts in _slabs(batch.column(2)):
+                p = Pieces.of(texts)
+                small, words = p.hash.astype(np.uint32), p.words
+                first, last, pick = windows(words, p.text, small, min_words)
+                if not len(pick):
+                    continue
+                order = np.argsort(pick, kind="stable")
+                picks, at = np.unique(pick[order], return_index=True)
+                low, high = np.minimum.reduceat(first[order], at), np.maximum.reduceat(last[order], at)
+                places, edges = _spans(low, high)
+                text = p.text[picks]
+                row = pa.array(begin + text)
+                number = low - np.searchsorted(p.text, text)  # within its text
+                columns = [batch.column(0).take(row), batch.column(1).take(row), pa.array(p.hash[picks].view(np.int64)), pa.array(number, pa.int32()), pa.array(picks - low, pa.int32()), _binary(small[places], edges), _binary(words[places].astype(np.uint8), edges)]
+                yield pa.RecordBatch.from_arrays(columns, ["id", "h", "pick", "first", "at", "hashes", "words"])
+
     keyed = docs.where("text is not null").select(F.col("doc_id").alias("id"), F.xxhash64("text").alias("h"), "text")
-    found = materialize(keyed.mapInArrow(run, schema), "lines-found")
-    shared = materialize(found.groupBy("pick").agg(F.count("*").alias("n")).where("n > 1").select("pick"), "lines-shared")
-    grown = found.join(shared.hint("merge"), "pick").select("id", "h", F.explode("spans").alias("w")).select("id", "h", "w.*")
-    grown = materialize(grown, "lines-windows")
-    place = F.struct("id", "first", "last", "h")
-    first = grown.groupBy("gram").agg(F.min(place).alias("least"), F.count("*").alias("n")).where("n > 1").select("gram", "least")
-    first = materialize(first, "lines-first")
-    both = grown.join(first.hint("merge"), "gram")
-    same_text = F.col("id").eqNullSafe(F.col("least.id")) & (F.col("h") == F.col("least.h"))
-    later = both.where(F.when(same_text, F.col("first") > F.col("least.last")).otherwise(True))
-    runs = later.groupBy("id", "h").agg(F.array_sort(F.collect_set(F.struct("first", "last"))).alias("runs"))
-    out = materialize(runs, "lines-runs")
-    for df in (found, shared, grown, first):
-        discard(df)
-    return out
+    return keyed.mapInArrow(run, f"id {kind}, h long, pick long, first int, at int, hashes binary, words binary")
+
+
+def selecting_windows(found: DataFrame, min_words: int) -> DataFrame:
+    """id, h, first, last (pieces), gram: the windows that each row's piece was selected by."""
+    kind = found.schema["id"].dataType.simpleString()
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for start in range(0, whole.num_rows, 20_000):
+                batch = whole.slice(start, 20_000)
+                small = np.frombuffer(b"".join(batch.column(4).to_pylist()), dtype=np.uint32)
+                words = np.frombuffer(b"".join(batch.column(5).to_pylist()), dtype=np.uint8).astype(np.int64)
+                sizes = np.array([len(x.as_buffer()) for x in batch.column(5)], dtype=np.int64)
+                begins = np.cumsum(sizes) - sizes
+                row = np.repeat(np.arange(len(sizes)), sizes)
+                first, last, pick = windows(words, row, small, min_words)
+                own = row[first]
+                mine = pick == begins[own] + batch.column(3).to_numpy()[own]
+                first, last, own = first[mine], last[mine], own[mine]
+                shift = batch.column(2).to_numpy()[own] - begins[own]
+                at = pa.array(own)
+                columns = [batch.column(0).take(at), batch.column(1).take(at), pa.array(first + shift, pa.int32()), pa.array(last + shift, pa.int32()), pa.array(run_hashes(small, first, last + 1).view(np.int64))]
+                yield pa.RecordBatch.from_arrays(columns, ["id", "h", "first", "last", "gram"])
+
+    return found.select("id", "h", "first", "at", "hashes", "words").mapInArrow(run, f"id {kind}, h long, first int, last int, gram long")
+
+
+def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """id, h (xxhash64 of the text), runs: the spans of pieces (first, last) to delete, of each text that has any; a written table."""
+    with tables() as keep:
+        found = keep(selections(docs, min_words), "lines-found")
+        shared = keep(found.groupBy("pick").agg(F.count("*").alias("n")).where("n > 1").select("pick"), "lines-shared")
+        # one plan at every size: what is shared grows with the texts
+        grown = keep(selecting_windows(found.join(shared.hint("merge"), "pick"), min_words), "lines-windows")
+        place = F.struct("id", "first", "last", "h")
+        first = grown.groupBy("gram").agg(F.min(place).alias("least"), F.count("*").alias("n")).where("n > 1").select("gram", "least")
+        first = keep(first, "lines-first")
+        both = grown.join(first.hint("merge"), "gram")
+        same_text = F.col("id").eqNullSafe(F.col("least.id")) & (F.col("h") == F.col("least.h"))
+        later = both.where(F.when(same_text, F.col("first") > F.col("least.last")).otherwise(True))
+        return materialize(later.groupBy("id", "h").agg(F.array_sort(F.collect_set(F.struct("first", "last"))).alias("runs")), "lines-runs")
 
-def without_runs(text: str, runs: list[tuple[int, int]]) -> str:
-    lines = [line.split(CUT) for line in text.split("\n")]
-    drop = np.zeros(sum(map(len, lines)) + 1, dtype=np.int64)
-    for a, b in runs:
-        drop[a] += 1
-        drop[b + 1] -= 1
-    gone, at, out = np.cumsum(drop).tolist(), 0, []
-    for parts in lines:
-        flags = gone[at : at + len(parts)]
-        at += len(parts)
-        if not any(flags):
-            out.append(CUT.join(parts))
+
+def without_runs(texts: list[bytes], runs: list[list[tuple[int, int]]], most: float = 1.0) -> list[bytes]:
+    """The texts without the pieces of their runs; one that would lose more than that share of its words stays whole."""
+    p, out = Pieces.of(texts), []
+    upto = np.searchsorted(p.text, np.arange(len(texts) + 1))
+    zero = np.searchsorted(np.flatnonzero(np.frombuffer(p.data, dtype=np.uint8) == 10), p.bounds)
+    for k, text in enumerate(texts):
+        begin, end = int(upto[k]), int(upto[k + 1])
+        drop = np.zeros(end - begin + 1, dtype=np.int64)
+        for a, b in runs[k]:
+            drop[a] += 1
+            drop[b + 1] -= 1
+        gone = np.repeat(np.cumsum(drop)[:-1] > 0, np.diff(p.first[begin : end + 1]))  # word by word
+        if not gone.any() or gone.mean() > most:
+            out.append(text)
+            continue
+        if gone.all():
+            out.append(b"")
             continue
-        whole = [p + CUT[0] for p in parts[:-1]] + parts[-1:]
-        left = " ".join([p for p, x in zip(whole, flags) if not x])
-        if left.encode("utf-8", "surrogatepass").split():
-            out.append(left)
-    return "\n".join(out)
+        w = int(p.first[begin])
+        start, stop, line = (x[w : w + len(gone)] for x in (p.start, p.stop, p.line))
+        lines: list[bytes | None] = list(text.split(b"\n"))
+        for number in np.unique(line[gone]).tolist():
+            low, high = np.searchsorted(line, [number, number + 1])
+            kept = np.flatnonzero(~gone[low:high]) + low
+            # words that stay take the blanks along that come after them
+            left = b"".join([p.data[start[x] : start[x + 1] if x + 1 < high else stop[x]] for x in kept.tolist()])
+            lines[number - int(zero[k])] = left.rstrip(BLANKS) or None
+        out.append(b"\n".join([x for x in lines if x is not None]))
+    return out
 
 
-def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """The rows of docs with later copies of runs of lines deleted from text; all other columns as they are."""
-    runs = repeated_runs(docs, min_words).select(F.struct("id", "h").alias("__place"), F.col("runs").alias("__runs"))
+def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, most: float = 1.0) -> DataFrame:
+    """The rows of docs with later copies of runs deleted from text; all other columns as they are. A text that would lose more than the share most of its
+    words is a copy as a whole and stays as it is."""
+    runs = repeated_runs(docs, min_words)
+    placed = runs.select(F.struct("id", "h").alias("__place"), F.col("runs").alias("__runs"))
     names = docs.columns
     # positional names, so that no column of docs can clash
     plain = docs.toDF(*[f"c{k}" for k in range(len(names))])
@@ -157,16 +278,21 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     keyed = plain.withColumn("__k", F.xxhash64(text)).alias("d")
     match = F.col(doc_id).eqNullSafe(F.col("__place.id")) & (F.col("__k") == F.col("__place.h"))
     # one plan at every size: the spans grow with the texts, so they aren't broadcast where they happen to be few
-    joined = keyed.join(runs.hint("merge"), match, "left").drop("__k", "__place")
+    joined = keyed.join(placed.hint("merge"), match, "left").drop("__k", "__place")
     at, inner = names.index("text"), plain.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            columns = batch.columns[:-1]
-            edits = batch.column(len(inner))
-            if edits.null_count < len(edits):
-                new = [x.as_py() if not e.is_valid else without_runs(x.as_py(), [(w["first"], w["last"]) for w in e.as_py()]) for x, e in zip(columns[at], edits)]
-                columns[at] = pa.array(new, columns[at].type)
-            yield pa.RecordBatch.from_arrays(columns, names=inner)
-
-    return joined.mapInArrow(run, plain.schema).toDF(*names)
+        for whole in batches:
+            for start in range(0, whole.num_rows, 512):
+                batch = whole.slice(start, 512)
+                columns, edits = batch.columns[:-1], batch.column(len(inner))
+                rows = np.flatnonzero(edits.is_valid().to_numpy(zero_copy_only=False)).tolist()
+                if rows:
+                    new = columns[at].to_pylist()
+                    changed = without_runs([new[k].encode("utf-8", "surrogatepass") for k in rows], [[(w["first"], w["last"]) for w in edits[k].as_py()] for k in rows], most)
+                    for k, x in zip(rows, changed):
+                        new[k] = x.decode("utf-8", "surrogatepass")
+                    columns[at] = pa.array(new, columns[at].type)
+                yield pa.RecordBatch.from_arrays(columns, names=inner)
+
+    return reading(joined.mapInArrow(run, plain.schema).toDF(*names), runs)

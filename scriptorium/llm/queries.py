@@ -63,7 +63,7 @@ def op5_chat(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op6_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    """Every document without later copies of runs of lines of 50 words and more: doc_id, text, n_lines."""
+    """Every document without later copies of runs of 30 words and more in whole lines or pieces of lines: doc_id, text, n_lines."""
     docs = linededup.dedup_lines(_read(spark, folder, "documents").select("doc_id", "text"))
     return docs.select("doc_id", "text", F.size(F.split("text", "\n", -1)).cast("long").alias("n_lines"))
 
@@ -146,19 +146,29 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
 FROM c GROUP BY conv_id"""
 
 _BLANK = r"[\x09-\x0d\x20]"
+_WORD = r"[^\x09-\x0d\x20]+"
+_SPAN, _MIN = linededup.SPAN, linededup.MIN_WORDS
 LINES_SQL = f"""
 WITH h AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(0, len(string_split(text, chr(10))))) AS h FROM documents WHERE text IS NOT NULL),
-i AS (SELECT doc_id, h, unnest(string_split(line, '. ')) AS part, unnest(range(0, len(string_split(line, '. ')))) AS j, len(string_split(line, '. ')) AS parts FROM h),
-l AS (SELECT doc_id, h, CASE WHEN j < parts - 1 THEN part || '.' ELSE part END AS piece, row_number() OVER (PARTITION BY doc_id ORDER BY h, j) AS k FROM i),
-m AS (SELECT doc_id, k, rtrim(regexp_replace(piece, '^{_BLANK}+|{_BLANK}+$', '', 'g'), '.') AS s, len(regexp_extract_all(piece, '[^\\x09-\\x0d\\x20]+')) AS n FROM l),
-w AS (SELECT doc_id, k, s, n, row_number() OVER (PARTITION BY doc_id ORDER BY k) AS r, sum(n) OVER (PARTITION BY doc_id ORDER BY k) AS c FROM m WHERE n > 0),
-e AS (SELECT a.doc_id, a.r AS ra, a.k AS first, min(b.r) AS rb FROM w a JOIN w b ON b.doc_id = a.doc_id AND b.r >= a.r AND b.c - a.c + a.n >= {linededup.MIN_WORDS} GROUP BY ALL),
-g AS (SELECT e.doc_id, first, max(w.k) AS last, string_agg(w.s, chr(10) ORDER BY w.r) AS gram FROM e JOIN w ON w.doc_id = e.doc_id AND w.r BETWEEN ra AND rb GROUP BY e.doc_id, first),
-f AS (SELECT gram, min({{'d': doc_id, 'a': first, 'b': last}}) AS p FROM g GROUP BY gram),
-x AS (SELECT g.* FROM g JOIN f USING (gram) WHERE doc_id <> p.d OR first > p.b),
-gone AS (SELECT DISTINCT l.doc_id, l.k FROM l JOIN x ON x.doc_id = l.doc_id AND l.k BETWEEN x.first AND x.last),
-line AS (SELECT l.doc_id, l.h, string_agg(piece, ' ' ORDER BY l.k) FILTER (gone.k IS NULL) AS t, count(gone.k) AS lost FROM l LEFT JOIN gone ON gone.doc_id = l.doc_id AND gone.k = l.k GROUP BY l.doc_id, l.h),
-kept AS (SELECT doc_id, string_agg(t, chr(10) ORDER BY h) FILTER (lost = 0 OR regexp_matches(t, '[^\\x09-\\x0d\\x20]')) AS t FROM line GROUP BY doc_id)
-SELECT doc_id, coalesce(t, '') AS text, greatest(1, len(string_split(coalesce(t, ''), chr(10))))::BIGINT AS n_lines FROM kept"""
+t AS (SELECT doc_id, h, unnest(regexp_extract_all(line, '{_WORD}{_BLANK}*')) AS tok, unnest(range(0, len(regexp_extract_all(line, '{_WORD}{_BLANK}*')))) AS j FROM h),
+v AS (SELECT *, regexp_extract(tok, '{_WORD}') AS word, row_number() OVER (PARTITION BY doc_id ORDER BY h, j) AS r FROM t),
+key AS (SELECT *, {{'n': octet_length(encode(word)), 'head': rpad(substr(hex(encode(word)), 1, {2 * linededup.HEAD}), {2 * linededup.HEAD}, '0'), 'r': r}} AS k FROM v),
+best AS (SELECT doc_id, j, max(k) OVER (PARTITION BY doc_id, h ORDER BY j ROWS BETWEEN {_SPAN - 1} PRECEDING AND CURRENT ROW) AS k FROM key),
+cut AS (SELECT DISTINCT doc_id, k.r AS r FROM best WHERE j >= {_SPAN - 1}),
+f AS (SELECT v.*, CASE WHEN v.j = 0 OR cut.r IS NOT NULL THEN 1 ELSE 0 END AS fresh FROM v LEFT JOIN cut ON cut.doc_id = v.doc_id AND cut.r = v.r - 1),
+w AS (SELECT *, sum(fresh) OVER (PARTITION BY doc_id ORDER BY r) AS p FROM f),
+pc AS (SELECT doc_id, p, count(*) AS n, string_agg(word, ' ' ORDER BY r) AS s FROM w GROUP BY doc_id, p),
+c AS (SELECT *, sum(n) OVER (PARTITION BY doc_id ORDER BY p) AS c FROM pc),
+near AS (SELECT a.doc_id, a.p AS pa, b.p AS pb FROM c a JOIN c b ON b.doc_id = a.doc_id AND b.p BETWEEN a.p AND a.p + {_MIN} AND b.c - a.c + a.n >= {_MIN}),
+e AS (SELECT doc_id, pa, min(pb) AS pb FROM near GROUP BY doc_id, pa UNION SELECT doc_id, max(pa), pb FROM near GROUP BY doc_id, pb),
+g AS (SELECT e.doc_id, pa, pb, string_agg(c.s, chr(10) ORDER BY c.p) AS gram FROM e JOIN c ON c.doc_id = e.doc_id AND c.p BETWEEN pa AND pb GROUP BY e.doc_id, pa, pb),
+f1 AS (SELECT gram, min({{'d': doc_id, 'a': pa, 'b': pb}}) AS p FROM g GROUP BY gram HAVING count(*) > 1),
+x AS (SELECT g.doc_id, pa, pb FROM g JOIN f1 USING (gram) WHERE doc_id <> f1.p.d OR pa > f1.p.b),
+gone AS (SELECT DISTINCT c.doc_id, c.p FROM c JOIN x ON x.doc_id = c.doc_id AND c.p BETWEEN x.pa AND x.pb),
+kept AS (SELECT w.doc_id, w.h, count(gone.p) AS lost, count(*) - count(gone.p) AS words, string_agg(w.tok, '' ORDER BY w.r) FILTER (gone.p IS NULL) AS t
+         FROM w LEFT JOIN gone ON gone.doc_id = w.doc_id AND gone.p = w.p GROUP BY w.doc_id, w.h),
+line AS (SELECT h.doc_id, h.h, CASE WHEN coalesce(lost, 0) = 0 THEN h.line WHEN words > 0 THEN regexp_replace(t, '{_BLANK}+$', '') END AS line, coalesce(lost, 0) AS lost, coalesce(words, 0) AS words FROM h LEFT JOIN kept USING (doc_id, h)),
+o AS (SELECT doc_id, CASE WHEN sum(lost) > 0 AND sum(words) = 0 THEN '' ELSE string_agg(line, chr(10) ORDER BY h) END AS text FROM line GROUP BY doc_id)
+SELECT doc_id, text, len(string_split(text, chr(10)))::BIGINT AS n_lines FROM o"""
 
 ORACLES: dict[str, str] = {"op6_line_dedup": LINES_SQL, "op1_warc": WARC_SQL, "op5_chat": CHAT_SQL, "op9_packing": _packing_sql(packing.BUCKETS, packing.BUDGET)}

@@ -1,54 +1,69 @@
 import random
+import re
+
+import numpy as np
 
 from scriptorium.llm import linededup
 
 
 def pieces(text):
-    """(line, piece) of each piece of each line, full stops where they belong."""
+    """Lists of (line, word, word with the blanks after it), a list for each piece of each line."""
     out = []
-    for k, line in enumerate(text.split("\n")):
-        parts = line.split(". ")
-        out += [(k, p + "." * (j < len(parts) - 1)) for j, p in enumerate(parts)]
+    for k, line in enumerate(text.encode().split(b"\n")):
+        tokens = re.findall(rb"[^ \t-\r]+[ \t-\r]*", line)
+        words = [t.split()[0] for t in tokens]
+        cuts = {max(range(a, a + 11), key=lambda i: (len(words[i]), words[i][:6], i)) for a in range(len(words) - 10)}
+        piece = []
+        for i, t in enumerate(tokens):
+            piece.append((k, words[i], t))
+            if i in cuts or i == len(tokens) - 1:
+                out.append(piece)
+                piece = []
     return out
 
 
-def words(s):
-    return len(s.encode().split())
+def runs_of(sizes, least):
+    """From each piece on, and up to each piece, the shortest run of so many words."""
+    found = set()
+    for a in range(len(sizes)):
+        for b in range(a, len(sizes)):
+            if sum(sizes[a : b + 1]) >= least:
+                found.add((a, b))
+                break
+    for b in range(len(sizes)):
+        for a in range(b, -1, -1):
+            if sum(sizes[a : b + 1]) >= least:
+                found.add((a, b))
+                break
+    return sorted(found)
 
 
-def brute(rows, least):
+def brute(rows, least, most=1.0):
     """Every window of every text against all windows before it; no hashes, no selection."""
     order = sorted(range(len(rows)), key=lambda i: (rows[i][0] is not None, rows[i][0] or 0))
-    first, gone = {}, {}
+    first, gone, cut = {}, {}, {}
     for i in order:
         doc_id, text = rows[i]
         if text is None:
             continue
-        marked = [(k, p.strip(" \t\r\x0b\x0c").rstrip("."), words(p)) for k, (_, p) in enumerate(pieces(text)) if words(p)]
-        for a in range(len(marked)):
-            total, b = 0, a
-            while b < len(marked) and total < least:
-                total += marked[b][2]
-                b += 1
-            if total < least:
-                break
-            gram = tuple(x[1] for x in marked[a:b])
-            lo, hi = marked[a][0], marked[b - 1][0]
-            one = first.setdefault(gram, (doc_id, text, hi))
-            if (one[0], one[1]) != (doc_id, text) or lo > one[2]:
-                gone.setdefault(i, set()).update(range(lo, hi + 1))
+        cut[i] = pieces(text)
+        for a, b in runs_of([len(p) for p in cut[i]], least):
+            gram = tuple(tuple(w for _, w, _ in p) for p in cut[i][a : b + 1])
+            one = first.setdefault(gram, (doc_id, text, b))
+            if (one[0], one[1]) != (doc_id, text) or a > one[2]:
+                gone.setdefault(i, set()).update(range(a, b + 1))
     out = []
     for i, (_, text) in enumerate(rows):
         if i in gone:
-            lines = {}
-            for k, (line, p) in enumerate(pieces(text)):
-                lines.setdefault(line, []).append((p, k in gone[i]))
-            kept = []
-            for parts in lines.values():
-                left = " ".join(p for p, x in parts if not x)
-                if words(left) or not any(x for _, x in parts):
-                    kept.append(left)
-            text = "\n".join(kept)
+            total, lost = sum(map(len, cut[i])), sum(len(cut[i][k]) for k in gone[i])
+            if lost == total and most >= 1:
+                text = ""
+            elif lost <= most * total:
+                lines = dict(enumerate(text.encode().split(b"\n")))
+                for line in {cut[i][k][0][0] for k in gone[i]}:
+                    left = b"".join(t for k, p in enumerate(cut[i]) for n, _, t in p if n == line and k not in gone[i])
+                    lines[line] = left.rstrip() if left.strip() else None
+                text = b"\n".join(x for x in lines.values() if x is not None).decode()
         out.append(text)
     return out
 
@@ -74,23 +89,42 @@ def corpus():
 
 def test_against_brute_force(spark):
     rows = corpus()
-    for least in (50, 8):
+    for least, most in ((50, 1.0), (8, 1.0), (30, 0.5)):
         df = spark.createDataFrame([(i, t, 1) for i, t in rows], "doc_id long, text string, runs int")
-        got = {r.doc_id: r.text for r in linededup.dedup_lines(df, least).collect()}
-        assert got == {i: t for (i, _), t in zip(rows, brute(rows, least))}
-
-
-def test_passage_inside_lines(spark):
-    passage = "It is said here once. " + " ".join(f"Word{k} and some more words of it." for k in range(8))
-    rows = [(k, f"Own begin{k} of the text {passage} Own end{k}. And on.\nNext line {k}.") for k in range(4)]
-    got = {r.doc_id: r.text for r in linededup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
-    assert got[0] == rows[0][1]
-    assert got[2] == "Own begin2 of the text It is said here once. Own end2. And on.\nNext line 2."
+        got = {r.doc_id: r.text for r in linededup.dedup_lines(df, least, most).collect()}
+        assert got == {i: t for (i, _), t in zip(rows, brute(rows, least, most))}
+
+
+def test_passages_inside_lines_are_found_wherever_they_stand(spark):
+    """51 words in a row, with other words grown to both ends, without a stop or a line's end."""
+    rng = random.Random(8)
+    word = lambda n=5000: f"w{rng.randrange(n)}" if rng.random() < 0.7 else "the"
+    rows, planted = [], []
+    for k in range(200):
+        passage = [word() for _ in range(51)]
+        planted.append(passage)
+        for c in range(2):
+            own = lambda: [f"own{k}x{c}x{rng.randrange(10**6)}" for _ in range(rng.randint(0, 30))]  # noqa: E731,B023
+            rows.append((1000 * c + k, " ".join(own() + passage + own())))
+    got = {r.doc_id: r.text.split() for r in linededup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for k, passage in enumerate(planted):
+        assert got[k] == rows[2 * k][1].split()
+        left = [w for w in got[1000 + k] if not w.startswith("own")]
+        assert len(left) <= 20 and len(got[1000 + k]) - len(left) >= len(rows[2 * k + 1][1].split()) - 51 - 20
+
+
+def test_selected_pieces_are_fewer_than_pieces(spark):
+    rng = random.Random(1)
+    rows = [(k, " ".join(f"w{rng.randrange(10**6)}" for _ in range(600))) for k in range(50)]
+    found = linededup.selections(spark.createDataFrame(rows, "doc_id long, text string"), 30).count()
+    cut = sum(len(pieces(t)) for _, t in rows)
+    assert 0.15 * cut < found < 0.45 * cut
 
 
 def test_windows_select_rightmost_minimum():
-    got = list(linededup.windows([5, 3, 3, 9, 1], [2, 2, 2, 2, 2], 6))
-    assert got == [(0, 2, 2), (1, 3, 2), (2, 4, 4)]
+    small = np.array([5, 3, 3, 9, 1], dtype=np.uint32)
+    first, last, pick = linededup.windows(np.array([2, 2, 2, 2, 3]), np.zeros(5, dtype=np.int64), small, 6)
+    assert sorted(zip(first.tolist(), last.tolist(), pick.tolist())) == [(0, 2, 2), (1, 3, 2), (2, 4, 4)]
 
 
 def test_null_ids_and_repeated_rows(spark):
@@ -98,4 +132,5 @@ def test_null_ids_and_repeated_rows(spark):
     df = spark.createDataFrame([(None, text), (3, text), (3, text), (4, text + "\nown")], "doc_id long, text string")
     got = sorted(((r.doc_id or 0), r.text) for r in linededup.dedup_lines(df).collect())
     assert got == [(0, text), (3, ""), (3, ""), (4, "own")]
+    assert sorted(((r.doc_id or 0), r.text) for r in linededup.dedup_lines(df, most=0.5).collect()) == sorted(((r.doc_id or 0), r.text) for r in df.collect())
     assert linededup.dedup_lines(df.where("false")).collect() == []

@@ -41,7 +41,9 @@ def test_language_and_quality(docs):
 
 def test_lines(docs, rows):
     got = {r.doc_id: r.text for r in linededup.dedup_lines(docs).collect()}
-    assert got[2] == rows[1][1] and got[3] == "" and got[7] == rows[6][1].rsplit("\n", 1)[1] and got[6] == rows[5][1]
+    assert got[2] == rows[1][1] and got[3] == "" and got[6] == rows[5][1]
+    # the last piece, which has grown together with another word, stays
+    assert rows[6][1].endswith(got[7]) and got[7].endswith(" end") and len(got[7].split()) <= linededup.SPAN
 
 
 def test_tokens(spark, docs, rows):

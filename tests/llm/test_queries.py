@@ -118,7 +118,7 @@ def test_pipeline(spark, sf_dir):
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     field = crf.train(spark.createDataFrame([(d, t) for d, t, _ in data], "doc_id long, text string"), labels)
     data = [x for x in data if crf.judge(x[1], field, 0.5)[-1]]
-    texts = test_linededup.brute([(d, t) for d, t, _ in data], 30)
+    texts = test_linededup.brute([(d, t) for d, t, _ in data], 30, corpus_pipeline.WHOLE)
     sets = [shingles(t) for t in texts]
     root = list(range(len(data)))
 
@@ -145,6 +145,7 @@ def test_pipeline(spark, sf_dir):
         want.add((d, n, b, end, place // room, place % room, end - n))
     got = corpus_pipeline.run(spark, sf_dir).select("doc_id", "n_tokens", "bucket", "bucket_tokens", "batch", "slot", "padding").collect()
     assert {tuple(r) for r in got} == want and len(got) == len(want)
+    assert all(len(texts[i].split()) >= 20 for i in range(len(data)) if find(i) == i)
     docs_now = frame
     for _, stage in corpus_pipeline.STAGES[:-1]:
         docs_now = stage(spark, docs_now, sf_dir)
