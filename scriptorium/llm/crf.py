@@ -16,7 +16,7 @@ from operator import eq
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SYMBOLS = b"#*$%&|<>"
@@ -88,8 +88,16 @@ def lines_of(text: str | None) -> tuple[tuple[int, int, int, int, int], list[int
     return (len(words), chars, without(data, SYMBOLS), dup, n_repeat), sizes, feats
 
 
+LEAST_WORDS = 20
+
+
+def n_words(text: Column) -> Column:
+    """Words of a text, as lines_of() counts them."""
+    return F.size(F.array_remove(F.split(text, r"[\x20\x09-\x0D]+", -1), ""))
+
+
 def base_failed(n_words: int, n_repeat: int) -> bool:
-    return n_words < 20 or 100 * n_repeat > 30 * n_words
+    return n_words < LEAST_WORDS or 100 * n_repeat > 30 * n_words
 
 
 class Field:

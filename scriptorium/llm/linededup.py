@@ -219,24 +219,29 @@ def selecting_windows(found: DataFrame, min_words: int) -> DataFrame:
     return found.select("id", "h", "first", "at", "hashes", "words").mapInArrow(run, f"id {kind}, h long, first int, last int, gram long")
 
 
-def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS, groups: DataFrame | None = None) -> DataFrame:
     """id, h (xxhash64 of the text), runs: the spans of pieces (first, last) to delete, of each text that has any; a written table."""
     with tables() as keep:
         found = keep(selections(docs, min_words), "lines-found")
         shared = keep(found.groupBy("pick").agg(F.count("*").alias("n")).where("n > 1").select("pick"), "lines-shared")
         # one plan at every size: what is shared grows with the texts
-        grown = keep(selecting_windows(found.join(shared.hint("merge"), "pick"), min_words), "lines-windows")
-        place = F.struct("id", "first", "last", "h")
-        first = grown.groupBy("gram").agg(F.min(place).alias("least"), F.count("*").alias("n")).where("n > 1").select("gram", "least")
+        grown = selecting_windows(found.join(shared.hint("merge"), "pick"), min_words)
+        place, other = F.struct("id", "first", "last", "h"), F.lit(True)
+        if groups is not None:
+            own = groups.groupBy(F.col("doc_id").alias("__id")).agg(F.min("component_id").alias("g"))
+            grown = grown.join(own.hint("merge"), F.col("id").eqNullSafe(F.col("__id")), "left").drop("__id")
+            place, other = F.when(F.col("id").eqNullSafe(F.col("g")), place), ~F.col("g").eqNullSafe(F.col("least.id"))
+        grown = keep(grown, "lines-windows")
+        first = grown.groupBy("gram").agg(F.min(place).alias("least"), F.count("*").alias("n")).where("n > 1 and least is not null").select("gram", "least")
         first = keep(first, "lines-first")
         both = grown.join(first.hint("merge"), "gram")
         same_text = F.col("id").eqNullSafe(F.col("least.id")) & (F.col("h") == F.col("least.h"))
-        later = both.where(F.when(same_text, F.col("first") > F.col("least.last")).otherwise(True))
+        later = both.where(F.when(same_text, F.col("first") > F.col("least.last")).otherwise(other))
         return materialize(later.groupBy("id", "h").agg(F.array_sort(F.collect_set(F.struct("first", "last"))).alias("runs")), "lines-runs")
 
 
-def without_runs(texts: list[bytes], runs: list[list[tuple[int, int]]], most: float = 1.0) -> list[bytes]:
-    """The texts without the pieces of their runs; one that would lose more than that share of its words stays whole."""
+def without_runs(texts: list[bytes], runs: list[list[tuple[int, int]]]) -> list[bytes]:
+    """The texts without the pieces of their runs."""
     p, out = Pieces.of(texts), []
     upto = np.searchsorted(p.text, np.arange(len(texts) + 1))
     zero = np.searchsorted(np.flatnonzero(np.frombuffer(p.data, dtype=np.uint8) == 10), p.bounds)
@@ -247,9 +252,6 @@ def without_runs(texts: list[bytes], runs: list[list[tuple[int, int]]], most: fl
             drop[a] += 1
             drop[b + 1] -= 1
         gone = np.repeat(np.cumsum(drop)[:-1] > 0, np.diff(p.first[begin : end + 1]))  # word by word
-        if not gone.any() or gone.mean() > most:
-            out.append(text)
-            continue
         if gone.all():
             out.append(b"")
             continue
@@ -266,10 +268,12 @@ def without_runs(texts: list[bytes], runs: list[list[tuple[int, int]]], most: fl
     return out
 
 
-def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, most: float = 1.0) -> DataFrame:
-    """The rows of docs with later copies of runs deleted from text; all other columns as they are. A text that would lose more than the share most of its
-    words is a copy as a whole and stays as it is."""
-    runs = repeated_runs(docs, min_words)
+def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, groups: DataFrame | None = None) -> DataFrame:
+    """The rows of docs with later copies of runs deleted from text; all other columns as they are.
+
+    groups (doc_id, component_id: the smallest id of its group): documents that are copies as a whole and of which one is to be kept. What they share with each other
+    doesn't count, and only the document of the smallest id can be the first occurrence of anything."""
+    runs = repeated_runs(docs, min_words, groups)
     placed = runs.select(F.struct("id", "h").alias("__place"), F.col("runs").alias("__runs"))
     names = docs.columns
     # positional names, so that no column of docs can clash
@@ -289,7 +293,7 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, most: float = 1.0)
                 rows = np.flatnonzero(edits.is_valid().to_numpy(zero_copy_only=False)).tolist()
                 if rows:
                     new = columns[at].to_pylist()
-                    changed = without_runs([new[k].encode("utf-8", "surrogatepass") for k in rows], [[(w["first"], w["last"]) for w in edits[k].as_py()] for k in rows], most)
+                    changed = without_runs([new[k].encode("utf-8", "surrogatepass") for k in rows], [[(w["first"], w["last"]) for w in edits[k].as_py()] for k in rows])
                     for k, x in zip(rows, changed):
                         new[k] = x.decode("utf-8", "surrogatepass")
                     columns[at] = pa.array(new, columns[at].type)

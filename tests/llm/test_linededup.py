@@ -38,27 +38,29 @@ def runs_of(sizes, least):
     return sorted(found)
 
 
-def brute(rows, least, most=1.0):
-    """Every window of every text against all windows before it; no hashes, no selection."""
+def brute(rows, least, group=None):
+    """Every window of every text against all windows before it; no hashes, no selection. group: the smallest id of each id's group."""
     order = sorted(range(len(rows)), key=lambda i: (rows[i][0] is not None, rows[i][0] or 0))
-    first, gone, cut = {}, {}, {}
-    for i in order:
-        doc_id, text = rows[i]
-        if text is None:
-            continue
-        cut[i] = pieces(text)
-        for a, b in runs_of([len(p) for p in cut[i]], least):
-            gram = tuple(tuple(w for _, w, _ in p) for p in cut[i][a : b + 1])
-            one = first.setdefault(gram, (doc_id, text, b))
-            if (one[0], one[1]) != (doc_id, text) or a > one[2]:
-                gone.setdefault(i, set()).update(range(a, b + 1))
+    first, gone = {}, {}
+    cut = {i: pieces(rows[i][1]) for i in order if rows[i][1] is not None}
+    grams = {i: [(tuple(tuple(w for _, w, _ in p) for p in cut[i][a : b + 1]), a, b) for a, b in runs_of([len(p) for p in cut[i]], least)] for i in cut}
+    for i in cut:
+        for gram, _, b in grams[i]:
+            if group is None or group[rows[i][0]] == rows[i][0]:
+                first.setdefault(gram, (*rows[i], b))
+    for i in cut:
+        for gram, a, b in grams[i]:
+            if one := first.get(gram):
+                same = (one[0], one[1]) == rows[i]
+                if a > one[2] if same else group is None or group[rows[i][0]] != one[0]:
+                    gone.setdefault(i, set()).update(range(a, b + 1))
     out = []
     for i, (_, text) in enumerate(rows):
         if i in gone:
             total, lost = sum(map(len, cut[i])), sum(len(cut[i][k]) for k in gone[i])
-            if lost == total and most >= 1:
+            if lost == total:
                 text = ""
-            elif lost <= most * total:
+            else:
                 lines = dict(enumerate(text.encode().split(b"\n")))
                 for line in {cut[i][k][0][0] for k in gone[i]}:
                     left = b"".join(t for k, p in enumerate(cut[i]) for n, _, t in p if n == line and k not in gone[i])
@@ -89,10 +91,12 @@ def corpus():
 
 def test_against_brute_force(spark):
     rows = corpus()
-    for least, most in ((50, 1.0), (8, 1.0), (30, 0.5)):
+    group = {i: 0 if i in (100, 101) else i // 3 * 3 if 30 <= i < 60 else i for i, _ in rows}
+    groups = spark.createDataFrame(list(group.items()), "doc_id long, component_id long")
+    for least, one in ((50, None), (8, None), (8, group)):
         df = spark.createDataFrame([(i, t, 1) for i, t in rows], "doc_id long, text string, runs int")
-        got = {r.doc_id: r.text for r in linededup.dedup_lines(df, least, most).collect()}
-        assert got == {i: t for (i, _), t in zip(rows, brute(rows, least, most))}
+        got = {r.doc_id: r.text for r in linededup.dedup_lines(df, least, groups if one else None).collect()}
+        assert got == {i: t for (i, _), t in zip(rows, brute(rows, least, one))}
 
 
 def test_passages_inside_lines_are_found_wherever_they_stand(spark):
@@ -132,5 +136,6 @@ def test_null_ids_and_repeated_rows(spark):
     df = spark.createDataFrame([(None, text), (3, text), (3, text), (4, text + "\nown")], "doc_id long, text string")
     got = sorted(((r.doc_id or 0), r.text) for r in linededup.dedup_lines(df).collect())
     assert got == [(0, text), (3, ""), (3, ""), (4, "own")]
-    assert sorted(((r.doc_id or 0), r.text) for r in linededup.dedup_lines(df, most=0.5).collect()) == sorted(((r.doc_id or 0), r.text) for r in df.collect())
+    groups = spark.createDataFrame([(None, 3), (3, 3), (3, 3), (4, 4)], "doc_id long, component_id long")
+    assert sorted(((r.doc_id or 0), r.text) for r in linededup.dedup_lines(df, groups=groups).collect()) == [(0, text), (3, text), (3, text), (4, "own")]
     assert linededup.dedup_lines(df.where("false")).collect() == []

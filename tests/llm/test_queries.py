@@ -107,32 +107,40 @@ def shingles(t):
     return {b" ".join(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
 
 
-def test_pipeline(spark, sf_dir):
-    import corpus_pipeline
-
-    frame = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    trees = ppm.train(frame.where(ppm.fold_of("doc_id") != 0))
-    data = docs(sf_dir)
-    langs, scores = trees.predict([t for _, t, _ in data])
-    data = [x for x, lang, score in zip(data, langs, scores) if lang != "und" and score >= 0.5]
-    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    field = crf.train(spark.createDataFrame([(d, t) for d, t, _ in data], "doc_id long, text string"), labels)
-    data = [x for x in data if crf.judge(x[1], field, 0.5)[-1]]
-    texts = test_linededup.brute([(d, t) for d, t, _ in data], 30, corpus_pipeline.WHOLE)
-    sets = [shingles(t) for t in texts]
-    root = list(range(len(data)))
+def joined(texts):
+    """The first of each text's group, by the shingle sets of all pairs."""
+    sets, root = [shingles(t) for t in texts], list(range(len(texts)))
 
     def find(i):
         while root[i] != i:
             i = root[i]
         return i
 
-    for i in range(len(data)):
+    for i in range(len(texts)):
         for j in range(i):
             either = len(sets[i] | sets[j])
             if not either or len(sets[i] & sets[j]) / either >= 0.8:
                 a, b = find(i), find(j)
                 root[max(a, b)] = min(a, b)
+    return find
+
+
+def test_pipeline(spark, sf_dir):
+    import corpus_pipeline
+
+    frame = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    trees = ppm.train(frame.where(ppm.fold_of("doc_id") != 0))
+    data = docs(sf_dir)
+    langs, scores = trees.predict([t for _, t, _ in data])
+    data = [x for x, lang, score in zip(data, langs, scores) if lang != "und" and score >= 0.5]
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    field = crf.train(spark.createDataFrame([(d, t) for d, t, _ in data], "doc_id long, text string"), labels)
+    data = [x for x in data if crf.judge(x[1], field, 0.5)[-1]]
+    group = joined([t for _, t, _ in data])
+    texts = test_linededup.brute([(d, t) for d, t, _ in data], 30, {data[i][0]: data[group(i)][0] for i in range(len(data))})
+    left = [i for i, t in enumerate(texts) if t == data[i][1] or len(t.split()) >= 20]
+    data, texts = [data[i] for i in left], [texts[i] for i in left]
+    find = joined(texts)
     kept = [(data[i][0], len(texts[i].encode()) + 1) for i in range(len(data)) if find(i) == i]
     counts = Counter(n for _, n in kept if n <= packing.BUDGET)
     ends = packing.optimal_lengths(sorted(counts.items()), packing.BUCKETS)
