@@ -2,16 +2,19 @@
 
 Each language gets a tree of byte contexts of up to ``order`` bytes with symbol counts from a bounded sample of labelled
 texts. A symbol unseen after a context costs an escape to the next shorter one; symbols of the longer contexts are excluded
-there, and the last resort is uniform, so code lengths are exact. After training the statistics are frozen and the trees of
+there, and the last resort is uniform, so code lengths are exact: those of the folded bytes, in which A-Z are in lower case and every run of other ASCII (digits,
+punctuation, blanks) is one space. After training the statistics are frozen and the trees of
 every four languages are compiled to one automaton: a state is the longest context that any of them knows, and a table holds the code length of
 every symbol there for each of them. As a state depends on the last ``order`` bytes only, a text can be cut anywhere
 and its pieces scored side by side, each warmed up on the bytes before it; code lengths don't change by it.
 
-Every language is learnt. Sample bounds (documented parameters): 300 texts a language, taken by a hash of the text, of longer ones the first
-20,000 characters; 4,000 contexts a language. Prediction reads whole texts, and nothing but texts.
+Every language is learnt, however many there are. Bounds (documented parameters), shared out evenly between the languages: a sample of 300 texts a language and of
+``SAMPLE_CHARS`` code points in all, taken by a hash of the text, of long texts the beginning; 4,000 contexts a language, and ``CELLS`` numbers in all tables together (64 languages: under
+100 MB), which is what every executor gets. Prediction reads whole texts, and nothing but texts.
 
 Defined results: ``und`` with score 0 for a null text, one without letters, or when there was nothing to learn from.
-The score is the posterior of the best language under equal priors. Equal code lengths: the language first by name.
+The score is the posterior of the best language under equal priors. Equal code lengths: the language first by name. Repeated rows and rows of one id give a row each;
+texts that are equal count once in the sample. An empty table gives no rows. Columns other than the id and the text are not read by :func:`identify` and go along in :func:`accepted`.
 """
 
 from __future__ import annotations
@@ -30,6 +33,8 @@ FOLD = np.array([b if b >= 128 or 97 <= b <= 122 else b + 32 if 65 <= b <= 90 el
 SLICE, PIECE = 1 << 19, 128
 #: Languages with one automaton. A table is states x symbols x languages, so memory grows with the languages and not with their square.
 TOGETHER = 4
+#: Numbers (of 4 bytes) in all tables, and code points of all samples together.
+CELLS, SAMPLE_CHARS = 20_000_000, 8_000_000
 
 
 def folded(text: str) -> np.ndarray:
@@ -50,7 +55,10 @@ class Trees:
 
     def __init__(self, texts: dict[str, list[str]], order: int = 4, contexts: int = 4000, least: int = 4):
         self.langs, self.order = sorted(texts), order
-        counted = {lang: self._count(texts[lang], contexts, least) for lang in self.langs}
+        #: contexts of a language, so that all tables keep their bound: a state has a cost of each symbol for every language of its group, and the next state
+        kinds = len(np.unique(np.concatenate([np.unique(folded(t)) for each in texts.values() for t in each] or [FOLD[:0]]))) + 1
+        self.contexts = max(1, min(contexts, CELLS // (kinds * (TOGETHER + 1) * max(1, len(texts)))))
+        counted = {lang: self._count(texts[lang], self.contexts, least) for lang in self.langs}
         seen = sorted({b for tree in counted.values() for b in tree.get(b"", {})})
         self.symbol = np.zeros(256, dtype=np.int32)  # 0: a byte that no sample has
         self.symbol[seen] = np.arange(1, len(seen) + 1)
@@ -65,17 +73,23 @@ class Trees:
         found = sorted({c for tree in trees for c in tree} | {b""}, key=lambda c: (len(c), c))
         states = {c: i for i, c in enumerate(found)}
         cost = np.empty((len(states) * self.width, len(trees)), dtype=np.float32)
-        follow = np.zeros(len(states) * self.width, dtype=np.int32)
+        follow = np.zeros((len(states), self.width), dtype=np.int32)
         for c, i in states.items():
             for k, tree in enumerate(vectors):
                 chain = [tree[c[j:]] for j in range(len(c) + 1) if c[j:] in tree]
                 cost[i * self.width : (i + 1) * self.width, k] = self._lengths(chain)
-            for b in seen:
-                s = (c + bytes([b]))[-self.order :]
+        # where a context goes: as its longest suffix that's a state goes (shorter contexts come first), but for those that are one byte longer
+        for c, i in states.items():
+            if c:
+                s = c[1:]
                 while s not in states:
                     s = s[1:]
-                follow[i * self.width + self.symbol[b]] = states[s]
-        return follow, cost
+                follow[i] = follow[states[s]]
+            if len(c) < self.order:
+                for b in seen:
+                    if (s := c + bytes([b])) in states:
+                        follow[i, self.symbol[b]] = states[s]
+        return follow.ravel(), cost
 
     def _count(self, texts: list[str], contexts: int, least: int) -> dict[bytes, dict[int, int]]:
         gap = np.full(self.order, SPACE, dtype=np.uint8)
@@ -181,15 +195,18 @@ class Trees:
 
 
 def sample(labelled: DataFrame, text: str = "text", lang: str = "lang", per_language: int = 300, longest: int = 20_000) -> dict[str, list[str]]:
-    """A bounded sample of the rows of every label: texts by language, chosen by a hash of the text; of long texts the beginning."""
+    """A bounded sample of the rows of every label: different texts by language, chosen by a hash of the text; of long texts the beginning. No more than SAMPLE_CHARS
+    code points come to the driver."""
     rows = labelled.select(F.col(text).alias("text"), F.col(lang).alias("lang")).where("text is not null and lang is not null and lang <> ''").where(F.col("lang") != UNKNOWN)
-    fit = rows.withColumn("text", F.left("text", F.lit(longest)))
+    h = F.xxhash64("text")
     counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     if not counts:
         return {}
-    h = F.xxhash64("text")
+    longest = max(1, min(longest, SAMPLE_CHARS // (per_language * len(counts))))
     share = F.create_map(*[x for k, n in counts.items() for x in (F.lit(k), F.lit(min(1.0, 3 * per_language / n)))])
-    few = fit.withColumn("h", h).where(F.pmod("h", F.lit(1 << 20)) < F.try_element_at(share, F.col("lang")) * (1 << 20))
+    few = rows.withColumn("h", h).where(F.pmod("h", F.lit(1 << 20)) < F.try_element_at(share, F.col("lang")) * (1 << 20))
+    # copies count once: they'd all be below the bound if one is
+    few = few.groupBy("lang", "h").agg(F.min(F.left("text", F.lit(longest))).alias("text"))
     first = few.withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy(F.pmod("h", F.lit(1 << 20)), "h"))).where(F.col("r") <= per_language)
     out: dict[str, list[str]] = {}
     for r in first.select("lang", "text").orderBy("lang", "r").collect():

@@ -1,6 +1,9 @@
 import math
+import pickle
 import random
+import time
 import zlib
+from collections import Counter
 
 import duckdb
 import pytest
@@ -21,14 +24,25 @@ def trees():
     return ppm.Trees({k: v[:60] for k, v in by.items()}, contexts=800)
 
 
-def brute_bits(texts, lang, trees, text):
-    """Code length by walking the counts symbol by symbol."""
-    tree = trees._count(texts[lang], 800, 4)
-    width = trees.width
-    symbols = {b for b in range(256) if trees.symbol[b]}
+def contexts_of(texts, most, least=4, order=4):
+    """Symbols counted after every context of up to order bytes, with as many blanks between texts; those of the most frequent contexts."""
+    tree, gap = {}, b" " * order
+    line = gap + b"".join(bytes(ppm.folded(t)) + gap for t in texts)
+    for i in range(len(line)):
+        for k in range(min(order, i) + 1):
+            c = line[i - k : i]
+            if b"  " not in c:
+                tree.setdefault(c, Counter())[line[i]] += 1
+    totals = sorted((sum(n.values()) for n in tree.values()), reverse=True)
+    floor = max(least, totals[most] + 1 if len(totals) > most else 0)
+    return {c: n for c, n in tree.items() if not c or sum(n.values()) >= floor}
+
+
+def brute_bits(tree, symbols, text, order=4):
+    """Code length by walking the counts symbol by symbol. symbols: all that any sample has."""
     total, before = 0.0, b" "
     for b in ppm.folded(text).tolist():
-        context = before[-trees.order :]
+        context = before[-order:]
         out, excluded = 0.0, set()
         for j in range(len(context) + 1):
             counts = {s: n for s, n in tree.get(context[j:], {}).items() if s not in excluded}
@@ -41,23 +55,28 @@ def brute_bits(texts, lang, trees, text):
             out -= math.log2(q / (n + q))
             excluded |= set(counts)
         else:
-            out += math.log2(width - len(excluded & symbols))
+            out += math.log2(len(symbols) + 1 - len(excluded & symbols))
         total += out
         before += bytes([b])
     return total
 
 
+def brute_trees(by, contexts):
+    out = {lang: contexts_of(texts, contexts) for lang, texts in by.items()}
+    return out, {b for tree in out.values() for b in tree[b""]}
+
+
 def test_code_lengths_are_exact(trees):
     by = {}
     for d, t, lang in docs():
         if zlib.crc32(str(d).encode()) % 5:
             by.setdefault(lang, []).append(t)
-    by = {k: v[:60] for k, v in by.items()}
+    counted, symbols = brute_trees({k: v[:60] for k, v in by.items()}, 800)
     texts = ["Anble anes. Über!", "漢字 zz 123 q", "a", "the " * 300 + "è" * 700]
     got = trees.bits(texts)
     for i, t in enumerate(texts):
         for k, lang in enumerate(trees.langs):
-            assert got[i, k] == pytest.approx(brute_bits(by, lang, trees, t), rel=1e-4)
+            assert got[i, k] == pytest.approx(brute_bits(counted[lang], symbols, t), rel=1e-4)
 
 
 def test_cutting_texts_changes_nothing(trees, monkeypatch):
@@ -85,6 +104,23 @@ def test_every_language_is_learnt(spark):
     assert langs == found.langs
 
 
+def test_sixty_four_languages_keep_the_bounds(spark):
+    """Invented languages over 16 scripts: tables under 100 MB, built within a minute."""
+    rng = random.Random(3)
+    scripts = [range(0x61, 0x7B), range(0xE0, 0xFF), range(0x3B1, 0x3CA), range(0x430, 0x450), range(0x561, 0x587), range(0x5D0, 0x5EB), range(0x621, 0x64B), range(0x905, 0x93A), range(0x985, 0x9BA), range(0xA05, 0xA3A), range(0xB05, 0xB3A), range(0xE01, 0xE31), range(0x10D0, 0x10F1), range(0x3042, 0x3097), range(0x4E00, 0x4F00), range(0xAC00, 0xAD00)]
+    words = {f"l{k:02}": ["".join(chr(rng.choice(scripts[k % 16])) for _ in range(rng.randint(2, 8))) for _ in range(400)] for k in range(64)}
+    text = lambda lang, n: " ".join(rng.choices(words[lang], k=n))
+    rows = [(text(lang, 300), lang) for lang in words for _ in range(40)] + [("same " * 50, "l00")] * 50
+    began = time.process_time()
+    drawn = ppm.sample(spark.createDataFrame(rows, "text string, lang string").repartition(4))
+    assert sum(len(t) for each in drawn.values() for t in each) <= ppm.SAMPLE_CHARS and all(len(set(each)) == len(each) for each in drawn.values())
+    found = ppm.Trees(drawn)
+    assert time.process_time() - began < 60 and len(found.langs) == 64
+    assert sum(x.nbytes for pair in found.tables for x in pair) < 100e6 and len(pickle.dumps(found)) < 100e6
+    langs, _ = found.predict([text(lang, 30) for lang in words for _ in range(3)])
+    assert sum(a == b for a, b in zip(langs, [lang for lang in words for _ in range(3)])) >= 0.98 * 192
+
+
 def test_groups_change_nothing(trees, monkeypatch):
     by = {}
     for d, t, lang in docs():

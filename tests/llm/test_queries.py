@@ -17,6 +17,7 @@ from scriptorium.llm import crf, packing, ppm, queries
 sys.path.insert(0, os.path.dirname(__file__))
 import test_crf  # noqa: E402
 import test_linededup  # noqa: E402
+import test_ppm  # noqa: E402
 import test_simhash as simhash_rows  # noqa: E402
 import test_winnow  # noqa: E402
 
@@ -63,10 +64,17 @@ def test_sentencepiece(spark, sf_dir):
 
 
 def test_language(spark, sf_dir):
+    """Languages and scores of all documents by plain counts, walked symbol by symbol."""
     got = rows(spark, sf_dir, "op4_language_id")
+    frame = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    counted, symbols = test_ppm.brute_trees(ppm.sample(frame.where(ppm.fold_of("doc_id") != 0)), 4000)
     held = right = 0
     for d, t, lang in docs(sf_dir):
         assert got[d].held_out == (zlib.crc32(str(d).encode()) % 5 == 0) and 0 <= got[d].score <= 1
+        if len(t) < 4000:
+            bits = {k: test_ppm.brute_bits(counted[k], symbols, t) for k in counted}
+            best = min(bits, key=lambda k: (bits[k], k))
+            assert got[d].lang_pred == best and got[d].score == pytest.approx(1 / sum(2 ** max(-1000, bits[best] - x) for x in bits.values()), rel=1e-3)
         if got[d].held_out:
             held += 1
             right += got[d].lang_pred == lang
