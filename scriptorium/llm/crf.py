@@ -1,17 +1,23 @@
 """Quality rules: a linear-chain conditional random field labels each line content or boilerplate.
 
 Viterbi decoding finds the best label sequence of a text's lines; the share of words in content lines decides whether the
-text stays. Weights are fitted by maximum conditional likelihood on a bounded sample of labelled texts (300 a class, chosen
-by a hash of the id, of 20,000 characters at most; lines of a text take the text's label) and drawn towards a fixed
-prior, which is also what holds where there are no labels. Four counts over the whole text come before (:func:`base`).
+text stays. Four counts over the whole text come before (:func:`base`).
+
+Labels are known of texts and not of lines, so the lines' own are latent: of a good text at least ``GOOD`` of the words are taken to be content, of a bad one at most ``BAD``. Fitting
+alternates (posterior regularisation): given the weights, each text's line probabilities are moved as little as brings its share within its bound, by one number a text that its
+lines' words are weighted with; given these probabilities, the weights climb the conditional likelihood, from zero and with a pull to zero. So a line of
+a bad text that looks like those of good ones is content. Bounds of the sample (documented parameters): 300 labelled texts a class, chosen by a hash of the id,
+of a long text the first 20,000 characters and 200 lines. Where there are not both labels, ``UNFITTED`` holds.
 
 Defined results: a null text counts as empty, has no words and fails the base rules. Lines without a word have no label.
-A text whose content and boilerplate lines hold equally many words stays. Repeated rows are judged alike.
+A text whose content and boilerplate lines hold equally many words stays. Repeated rows are judged alike; of rows with one id in the sample the least text counts.
+Very long texts are judged whole. An empty table gives no rows. Columns other than the id and the text are not read by :func:`assess` and go along in :func:`accepted`.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from operator import eq
 
 import numpy as np
@@ -25,11 +31,11 @@ LETTERS = bytes(range(65, 91)) + bytes(range(97, 123)) + bytes(range(128, 256))
 DIGITS = b"0123456789"
 BLANKS = b" \t\n\r\x0b\f"
 FEATURES = ("bias", "symbols", "capitals", "shouts", "digits", "no letters", "few words", "repeats", "seen before", "repeated words", "no sentence end", "many words")
-# Prior weights of content against boilerplate, in the order of FEATURES; then stay and change scores of neighbouring lines.
-PRIOR = np.array([1.0, -9.0, -2.0, -8.0, -2.0, -2.0, -0.2, -6.0, -1.5, -4.0, -0.3, 2.0])
-PRIOR_STAY = 0.8
-#: Labels of whole texts would make the chain all of one label; beyond this a line could no longer differ from its text.
-MOST_STAY = 1.0
+# Weights of content against boilerplate where nothing is labelled, in the order of FEATURES; then the gain of neighbouring lines having one label.
+UNFITTED = np.array([1.0, -9.0, -2.0, -8.0, -2.0, -2.0, -0.2, -6.0, -1.5, -4.0, -0.3, 2.0])
+UNFITTED_STAY = 0.8
+#: Least share of content in a text labelled good, and greatest in one labelled bad.
+GOOD, BAD = 0.9, 0.3
 WINDOW = 8
 FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB], dtype=np.uint64)
 
@@ -103,8 +109,8 @@ def base_failed(n_words: int, n_repeat: int) -> bool:
 class Field:
     """Weights of content against boilerplate, and of neighbouring lines having one label."""
 
-    def __init__(self, weights: np.ndarray | None = None, stay: float = PRIOR_STAY):
-        self.weights, self.stay = PRIOR.copy() if weights is None else weights, stay
+    def __init__(self, weights: np.ndarray | None = None, stay: float = UNFITTED_STAY):
+        self.weights, self.stay = UNFITTED.copy() if weights is None else weights, stay
 
     def viterbi(self, gains: list[float]) -> list[bool]:
         """The best labels (true: content) where content on line k gains so much. Ties go to content, and to staying."""
@@ -129,56 +135,91 @@ class Field:
         return sum(n for n, x in zip(sizes, labels) if x) / sum(sizes)
 
     @classmethod
-    def fit(cls, texts: list[str], good: list[bool], steps: int = 150, rate: float = 0.1, pull: float = 2.0) -> Field:
-        """Maximum a posteriori by Adam; forward and backward sums run over all texts at once, line by line."""
+    def fit(cls, texts: list[str], good: list[bool], rounds: int = 12, steps: int = 15, rate: float = 0.15, pull: float = 0.5, longest: int = 200) -> Field:
+        """From texts and whether they're good: rounds of moving line probabilities within the texts' bounds, each with steps of Adam for the weights."""
         if len(set(good)) < 2:
             return cls()
-        data = [(np.array(f), g) for f, g in ((lines_of(t)[2], g) for t, g in zip(texts, good)) if f]
-        data.sort(key=lambda x: -len(x[0]))
-        depth, many = len(data[0][0]), len(data)
-        x = np.zeros((depth, many, len(FEATURES)))
-        live = np.zeros((depth, many))
-        for j, (f, _) in enumerate(data):
-            x[: len(f), j], live[: len(f), j] = f, 1
-        y = np.array([g for _, g in data], dtype=float)
-        theta = np.concatenate([PRIOR, [PRIOR_STAY]])
-        centre, m, v = theta.copy(), np.zeros_like(theta), np.zeros_like(theta)
-        for t in range(1, steps + 1):
-            gain, stay = x @ theta[:-1], theta[-1]
-            alpha = np.zeros((depth, many, 2))  # content, boilerplate
-            beta = np.zeros((depth, many, 2))
-            alpha[0, :, 0] = gain[0]
-            for k in range(1, depth):
-                a, b = alpha[k - 1, :, 0], alpha[k - 1, :, 1]
-                new = np.stack([np.logaddexp(a + stay, b) + gain[k], np.logaddexp(a, b + stay)], axis=1)
-                alpha[k] = np.where(live[k][:, None] > 0, new, alpha[k - 1])
-            for k in range(depth - 2, -1, -1):
-                a, b = beta[k + 1, :, 0] + gain[k + 1], beta[k + 1, :, 1]
-                new = np.stack([np.logaddexp(a + stay, b), np.logaddexp(a, b + stay)], axis=1)
-                beta[k] = np.where(live[k + 1][:, None] > 0, new, beta[k + 1])
-            z = np.logaddexp(alpha[-1, :, 0], alpha[-1, :, 1])
-            p = np.exp(alpha[:, :, 0] + beta[:, :, 0] - z) * live
-            grad_w = np.einsum("kj,kjf->f", y[None, :] * live - p, x)
-            both = live[1:]
-            cc = np.exp(alpha[:-1, :, 0] + stay + gain[1:] + beta[1:, :, 0] - z) * both
-            jj = np.exp(alpha[:-1, :, 1] + stay + beta[1:, :, 1] - z) * both
-            grad_stay = (both - cc - jj).sum()
-            grad = np.concatenate([grad_w, [grad_stay]]) / many - pull / many * (theta - centre)
-            m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad**2
-            theta[-1] = min(theta[-1], MOST_STAY)
-            theta = theta + rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
-        return cls(theta[:-1], min(MOST_STAY, max(0.0, float(theta[-1]))))
+        parts = []
+        for text, is_good in zip(texts, good):
+            _, words, feats = lines_of(text)
+            if words:
+                parts.append((np.array(feats[:longest]), np.array(words[:longest], dtype=float), is_good))
+        parts.sort(key=lambda x: -len(x[0]))
+        chains = Chains([x for x, _, _ in parts], [n for _, n, _ in parts])
+        sign = np.array([1.0 if g else -1.0 for _, _, g in parts])
+        bound = np.where(sign > 0, GOOD, BAD)
+        theta, m, v, t = np.zeros(len(FEATURES) + 1), 0.0, 0.0, 0
+        for _ in range(rounds):
+            low, high = np.zeros(len(parts)), np.full(len(parts), 64.0)
+            for _ in range(16):  # the least move that keeps the bound
+                mid = (low + high) / 2 * (high > 1e-3)
+                within = (chains.share(*chains.marginals(theta, sign * mid)[:1]) - bound) * sign >= 0
+                high, low = np.where(within, mid, high), np.where(within, low, mid)
+            q, q_same = chains.marginals(theta, sign * high)
+            for _ in range(steps):
+                p, p_same = chains.marginals(theta, None)
+                grad = np.append(chains.x.T @ (q - p), q_same - p_same) / len(parts) - pull / len(parts) * theta
+                t += 1
+                m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad**2
+                theta = theta + rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
+        return cls(theta[:-1], float(theta[-1]))
+
+
+class Chains:
+    """The lines of many texts, longest text first, one after the other by line: first lines of all, then second lines of those that have one, and so on. Nothing is padded."""
+
+    def __init__(self, feats: list[np.ndarray], words: list[np.ndarray]):
+        sizes = np.array([len(f) for f in feats])
+        live = [int((sizes > k).sum()) for k in range(sizes[0])]
+        self.rows = list(zip(np.cumsum([0, *live[:-1]]).tolist(), live))
+        self.x = np.concatenate([np.stack([f[k] for f in feats[:n]]) for k, n in enumerate(live)])
+        self.text = np.concatenate([np.arange(n) for n in live])
+        total = np.array([w.sum() for w in words])
+        self.part = np.concatenate([[w[k] for w in words[:n]] for k, n in enumerate(live)]) / total[self.text]
+
+    def share(self, p: np.ndarray) -> np.ndarray:
+        """Expected share of words in content lines, of each text."""
+        return np.bincount(self.text, weights=p * self.part)
+
+    def marginals(self, theta: np.ndarray, moved: np.ndarray | None) -> tuple[np.ndarray, float]:
+        """Probability of content for each line, and expected number of neighbours with one label, by forward and backward sums. moved: of each text, what its lines gain by their share of its
+        words."""
+        gain, stay = self.x @ theta[:-1], theta[-1]
+        if moved is not None:
+            gain = gain + moved[self.text] * self.part * np.bincount(self.text)[self.text]
+        content, junk = np.empty(len(gain)), np.empty(len(gain))
+        for k, (at, n) in enumerate(self.rows):
+            here = slice(at, at + n)
+            if not k:
+                content[here], junk[here] = gain[here], 0.0
+            else:
+                a, b = content[before : before + n], junk[before : before + n]  # noqa: F821
+                content[here], junk[here] = np.logaddexp(a + stay, b) + gain[here], np.logaddexp(a, b + stay)
+            before = at
+        after_content, after_junk, same, nxt, more = np.zeros(len(gain)), np.zeros(len(gain)), 0.0, 0, 0
+        for at, n in reversed(self.rows):
+            if more:
+                a, b = after_content[nxt : nxt + more] + gain[nxt : nxt + more], after_junk[nxt : nxt + more]
+                here = slice(at, at + more)
+                after_content[here], after_junk[here] = np.logaddexp(a + stay, b), np.logaddexp(a, b + stay)
+                z = np.logaddexp(content[here] + after_content[here], junk[here] + after_junk[here])
+                same += float((np.exp(content[here] + stay + a - z) + np.exp(junk[here] + stay + b - z)).sum())
+            nxt, more = at, n
+        return 1 / (1 + np.exp(np.clip(junk + after_junk - content - after_content, -700, 700))), same
 
 
 def train(docs: DataFrame, labels: DataFrame, per_class: int = 300, longest: int = 20_000) -> Field:
-    """Fits on a bounded sample of the texts that labels (doc_id, quality 0 or 1) names."""
-    order = Window.partitionBy("quality").orderBy("h", "doc_id")
-    chosen = labels.select("doc_id", "quality").where("doc_id is not null and quality in (0, 1)").withColumn("h", F.xxhash64("doc_id"))
-    # at most 2 * per_class ids
-    chosen = chosen.withColumn("r", F.row_number().over(order)).where(F.col("r") <= per_class).select(F.col("doc_id").alias("chosen"), "quality")
-    texts = docs.select("doc_id", "text").where(F.char_length("text") <= longest)
-    rows = texts.join(F.broadcast(chosen), F.col("doc_id") == F.col("chosen")).select("doc_id", "text", "quality").limit(4 * per_class).collect()
-    rows = sorted(rows, key=lambda r: (r["doc_id"], r["text"], r["quality"]))
+    """Fits on a bounded sample of the texts that labels (doc_id, quality 0 or 1) names: at most 2 * per_class texts come to the driver."""
+    named = labels.select("doc_id", "quality").where("doc_id is not null and quality in (0, 1)").groupBy("doc_id").agg(F.min("quality").alias("quality")).withColumn("h", F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)))
+    counts = {r["quality"]: r["n"] for r in named.groupBy("quality").agg(F.count("*").alias("n")).collect()}
+    if len(counts) < 2:
+        return Field()
+    # about three times as many ids as are taken, so that no window has more of a class
+    few = reduce(Column.__or__, [(F.col("quality") == k) & (F.col("h") < min(1.0, 3 * per_class / n) * (1 << 20)) for k, n in counts.items()])
+    chosen = named.where(few).withColumn("r", F.row_number().over(Window.partitionBy("quality").orderBy("h", "doc_id"))).where(F.col("r") <= per_class)
+    chosen = chosen.select(F.col("doc_id").alias("chosen"), "quality")
+    rows = docs.select("doc_id", F.left("text", F.lit(longest)).alias("text")).join(F.broadcast(chosen), F.col("doc_id") == F.col("chosen"))
+    rows = rows.groupBy("doc_id", "quality").agg(F.min("text").alias("text")).orderBy("doc_id").collect()
     return Field.fit([r["text"] for r in rows], [r["quality"] == 1 for r in rows])
 
 

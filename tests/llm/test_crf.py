@@ -1,7 +1,11 @@
 import itertools
 import random
 import re
+import tracemalloc
+import zlib
 
+import duckdb
+import numpy as np
 import pytest
 
 from scriptorium.llm import crf
@@ -22,6 +26,49 @@ def brute_counts(text):
     return len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)), dup, len(rep)
 
 
+def brute_lines(text):
+    """Words and features of each line with a word, by patterns, letter by letter."""
+    text, out, seen, words = text or "", [], set(), []
+    for line in text.split("\n"):
+        own = re.findall(r"[^\x20\x09-\x0D]+", line)
+        if own:
+            out.append((line, own, line in seen))
+            seen.add(line)
+            words += own
+    at = {}
+    for i in range(len(words) - 7):
+        at.setdefault(tuple(words[i : i + 8]), []).append(i)
+    rep = {i + j for hits in at.values() if len(hits) > 1 for i in hits for j in range(8)}
+    found, done = [], 0
+    for line, own, again in out:
+        n, size = len(own), lambda pattern, line=line: sum(len(x.encode()) for x in re.findall(pattern, line))
+        letters = size("[A-Za-z]|[^\x00-\x7f]")
+        found.append((n, [
+            1.0, min(1.0, size(r"[#*$%&|<>]") / n), size("[A-Z]") / letters if letters > 3 else 0.0, min(1.0, size("!") / n), min(1.0, size("[0-9]") / n / 4), float(not letters), float(n < 5),
+            sum(a == b for a, b in zip(own, own[1:])) / n, float(again), sum(k in rep for k in range(done, done + n)) / n, float(own[-1][-1] not in ".!?:;\"')"), min(1.0, n / 40),
+        ]))
+        done += n
+    return found
+
+
+def brute_share(text, field):
+    """Content share of the best of all label sequences (content first, staying first on ties), by a table of the best sequence to each line and label."""
+    found = brute_lines(text)
+    if not found:
+        return 0.0
+    best = {True: (0.0, []), False: (0.0, [])}
+    for k, (n, f) in enumerate(found):
+        gain = float(np.dot(f, field.weights))
+        new = {}
+        for label in (True, False):
+            stay, change = best[label][0] + (field.stay if k else 0.0), best[not label][0]
+            score, path = (stay, best[label][1]) if stay >= change else (change, best[not label][1])
+            new[label] = (score + (gain if label else 0.0), path + [label])
+        best = new
+    path = best[True][1] if best[True][0] >= best[False][0] else best[False][1]
+    return sum(n for (n, _), x in zip(found, path) if x) / sum(n for n, _ in found)
+
+
 def some_texts():
     rng = random.Random(2)
     out = [None, "", " \n\t", "a", "a\xa0b c\x0bd\x0ce", "# * $ | <b> é漢", "x y z\n" * 9, "\n\na b\n\na b \na b"]
@@ -45,6 +92,62 @@ def test_viterbi_is_the_best_sequence():
         assert score(f.viterbi(gains)) == pytest.approx(best)
 
 
+def test_marginals_are_those_of_all_sequences():
+    rng = np.random.default_rng(3)
+    feats = [rng.normal(size=(n, len(crf.FEATURES))) for n in (5, 4, 4, 1)]
+    words = [rng.integers(1, 9, size=len(f)).astype(float) for f in feats]
+    chains, theta, moved = crf.Chains(feats, words), rng.normal(size=len(crf.FEATURES) + 1), np.array([0.5, -2.0, 0.0, 1.0])
+    p, same = chains.marginals(theta, moved)
+    want, total = {}, 0.0
+    for t, (f, w) in enumerate(zip(feats, words)):
+        gain = f @ theta[:-1] + moved[t] * w / w.sum() * len(f)
+        weight = {y: np.exp(sum(g for g, a in zip(gain, y) if a) + theta[-1] * sum(a == b for a, b in zip(y, y[1:]))) for y in itertools.product([False, True], repeat=len(f))}
+        z = sum(weight.values())
+        total += sum(v * sum(a == b for a, b in zip(y, y[1:])) for y, v in weight.items()) / z
+        for k in range(len(f)):
+            want[t, k] = sum(v for y, v in weight.items() if y[k]) / z
+    seen = dict.fromkeys(range(4), 0)
+    for value, t in zip(p, chains.text):
+        assert value == pytest.approx(want[t, seen[t]])
+        seen[t] += 1
+    assert same == pytest.approx(total)
+
+
+def test_held_out_labels():
+    """Fitted on four fifths of the labelled texts; the others are kept or rejected as labelled."""
+    rows = duckdb.sql("select d.doc_id, quality, text from '/root/testdata/sf0.1/documents.parquet' d join '/root/testdata/sf0.1/labels.parquet' l using(doc_id) order by doc_id").fetchall()
+    fold = lambda r: zlib.crc32(str(r[0]).encode()) % 5
+    by = [[r for r in rows if r[1] == q and fold(r)][:300] for q in (0, 1)]
+    field = crf.Field.fit([t for _, _, t in by[0] + by[1]], [q == 1 for _, q, _ in by[0] + by[1]])
+    judged = [(q, crf.judge(t, field, 0.5)) for _, q, t in (r for r in rows if not fold(r))]
+    judged = [(q, j[7]) for q, j in judged if not j[6]]
+    assert sum(q == 1 and k for q, k in judged) / sum(q for q, _ in judged) > 0.99
+    assert sum(q == 0 and k for q, k in judged) / sum(q == 0 for q, _ in judged) < 0.05
+
+
+def test_lines_of_a_bad_text_may_be_content():
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choices("abcdefgh", k=5))
+    line = lambda: " ".join(word() for _ in range(14)).capitalize() + "."
+    junk = lambda: " | ".join(word() for _ in range(14))
+    good = ["\n".join(line() for _ in range(8)) for _ in range(40)]
+    bad = ["\n".join([line(), line()] + [junk() for _ in range(8)]) for _ in range(40)]
+    f = crf.Field.fit(good + bad, [True] * 40 + [False] * 40)
+    n, feats = crf.lines_of(bad[0])[1:]
+    assert f.viterbi((np.array(feats) @ f.weights).tolist()) == [True] * 2 + [False] * 8
+    assert crf.Field.fit(good, [True] * 40).weights.tolist() == crf.UNFITTED.tolist()
+
+
+def test_fit_of_the_worst_sample_is_small():
+    texts = ["word\n" * 4000] * 30 + ["### ***\n" * 2500] * 30
+    tracemalloc.start()
+    crf.Field.fit(texts, [True] * 30 + [False] * 30, rounds=1, steps=2)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    # a tenth of the texts that the bounds allow
+    assert peak < 20e6
+
+
 def test_gradient_raises_likelihood_and_separates():
     good = ["This is a plain sentence of words.\nAnd here is one more of them." for _ in range(20)]
     bad = ["buy*** now$$$ ###\nCLICK!! HERE!! NOW!!" for _ in range(20)]
@@ -59,6 +162,9 @@ def test_frames(spark, sf_dir):
     field = crf.train(docs, labels)
     rows = {r.doc_id: r for r in crf.assess(docs, field).collect()}
     texts = {r.doc_id: r.text for r in docs.collect()}
+    for d, r in rows.items():
+        share = brute_share(texts[d], field)
+        assert r.content_share == pytest.approx(share) and r.kept == (not r.base_failed and share >= 0.5)
     right = total = 0
     for d, r in rows.items():
         assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == brute_counts(texts[d])

@@ -104,10 +104,14 @@ def test_winnowing(spark, sf_dir):
 
 def test_quality(spark, sf_dir):
     got = rows(spark, sf_dir, "op10_quality_rules")
+    field = crf.train(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    assert len(got) == len(docs(sf_dir))
     for d, t, _ in docs(sf_dir):
         r = got[d]
         assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == test_crf.brute_counts(t)
-        assert r.base_failed == (r.n_words < 20 or 100 * r.n_repeat_words > 30 * r.n_words) and not (r.base_failed and r.kept)
+        assert r.base_failed == (r.n_words < 20 or 100 * r.n_repeat_words > 30 * r.n_words)
+        share = test_crf.brute_share(t, field)
+        assert r.content_share == pytest.approx(share) and r.kept == (not r.base_failed and share >= 0.5)
 
 
 def shingles(t):
