@@ -17,9 +17,17 @@ def brute(text, k=5, w=4):
             seed = xxhash.xxh64_intdigest(x.encode(), seed)
         return seed >> 32
 
+    def turned(x, bits):
+        return (x << bits | x >> 64 - bits) & (1 << 64) - 1
+
     if len(words) < k:
         return [(h(words), 0)] if words else []
-    grams = [h(words[i : i + k]) for i in range(len(words) - k + 1)]
+    grams = []
+    for i in range(len(words) - k + 1):
+        x = 0
+        for j in range(k):
+            x ^= turned(xxhash.xxh64_intdigest(words[i + j].encode(), 42), winnow.TURN * (k - 1 - j) % 64)
+        grams.append(x >> 32)
     out = []
     for i in range(max(1, len(grams) - w + 1)):
         part = grams[i : i + w]
@@ -71,6 +79,24 @@ def test_against_brute_force(spark, parts):
     assert all(len(x) == 1 for x in by_text.values())
 
 
+def test_other_sizes(spark):
+    from pyspark.sql import functions as F
+
+    df = spark.createDataFrame(data(), "doc_id long, text string")
+    for k, w in ((1, 1), (2, 3), (7, 5), (8, 4), (13, 9)):
+        got = {r.doc_id: [(p.hash, p.pos) for p in r.prints] for r in df.select("doc_id", winnow.positions(winnow.selected(F.col("text"), k, w)).alias("prints")).collect()}
+        assert got == {d: brute(t, k, w) for d, t in data()}
+
+
+def test_one_id_and_null_ids_go_to_many_ranges(spark):
+    rows = [(None, f"n{k} word") for k in range(300)] + [(7, f"t{k} word") for k in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = winnow.with_next(df, 8).where("not ghost")
+    assert max(r["count"] for r in found.groupBy("range").count().collect()) < 250
+    got = winnow.compare_edits(df).collect()
+    assert len(got) == 600 and {r.doc_id for r in got} == {None, 7}
+
+
 def test_match_guarantee():
     rng = random.Random(1)
     for _ in range(50):
