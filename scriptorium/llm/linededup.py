@@ -27,6 +27,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -194,29 +195,42 @@ def selections(docs: DataFrame, min_words: int) -> DataFrame:
     return keyed.mapInArrow(run, f"id {kind}, h long, pick long, first int, at int, hashes binary, words binary")
 
 
-def selecting_windows(found: DataFrame, min_words: int) -> DataFrame:
-    """id, h, first, last (pieces), gram: the windows that each row's piece was selected by."""
+def selecting_windows(found: DataFrame, min_words: int, certain: bool) -> DataFrame:
+    """id, h, first, last (pieces), gram: the windows that each row's piece was selected by. certain: rows that meet an earlier id with the same pieces around the same
+    selected one, as copies do, need no comparing: all their pieces are one span, with a null gram."""
     kind = found.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for start in range(0, whole.num_rows, 20_000):
-                batch = whole.slice(start, 20_000)
-                small = np.frombuffer(b"".join(batch.column(4).to_pylist()), dtype=np.uint32)
-                words = np.frombuffer(b"".join(batch.column(5).to_pylist()), dtype=np.uint8).astype(np.int64)
-                sizes = np.array([len(x.as_buffer()) for x in batch.column(5)], dtype=np.int64)
-                begins = np.cumsum(sizes) - sizes
-                row = np.repeat(np.arange(len(sizes)), sizes)
-                first, last, pick = windows(words, row, small, min_words)
-                own = row[first]
-                mine = pick == begins[own] + batch.column(3).to_numpy()[own]
-                first, last, own = first[mine], last[mine], own[mine]
-                shift = batch.column(2).to_numpy()[own] - begins[own]
-                at = pa.array(own)
-                columns = [batch.column(0).take(at), batch.column(1).take(at), pa.array(first + shift, pa.int32()), pa.array(last + shift, pa.int32()), pa.array(run_hashes(small, first, last + 1).view(np.int64))]
-                yield pa.RecordBatch.from_arrays(columns, ["id", "h", "first", "last", "gram"])
-
-    return found.select("id", "h", "first", "at", "hashes", "words").mapInArrow(run, f"id {kind}, h long, first int, last int, gram long")
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            small = np.frombuffer(b"".join(batch.column(5).to_pylist()), dtype=np.uint32)
+            words = np.frombuffer(b"".join(batch.column(6).to_pylist()), dtype=np.uint8)
+            sizes = pc.binary_length(batch.column(6)).to_numpy(zero_copy_only=False).astype(np.int64)
+            begins, at = np.cumsum(sizes) - sizes, batch.column(4).to_numpy().astype(np.int64)
+            begin, known = batch.column(3).to_numpy().astype(np.int64), np.zeros(len(sizes), dtype=bool)
+            if certain:
+                around = run_hashes(small, begins, begins + sizes) ^ _mixed(run_hashes(words, begins, begins + sizes) + at.astype(np.uint64)) ^ batch.column(2).to_numpy().view(np.uint64)
+                place = pc.rank(batch.column(0), null_placement="at_start", tiebreaker="min").to_numpy()
+                _, group = np.unique(around, return_inverse=True)
+                least = np.full(group.max() + 1, len(sizes) + 1, dtype=place.dtype)
+                np.minimum.at(least, group, place)
+                known = place > least[group]
+            row = np.repeat(np.arange(len(sizes)), sizes)
+            open_ = ~known[row]
+            small, row, words = small[open_], row[open_], words[open_].astype(np.int64)
+            begins = np.cumsum(np.where(known, 0, sizes)) - np.where(known, 0, sizes)
+            first, last, pick = windows(words, row, small, min_words)
+            own = row[first]
+            mine = pick == begins[own] + at[own]
+            first, last, own = first[mine], last[mine], own[mine]
+            shift, whole = begin[own] - begins[own], np.flatnonzero(known)
+            rows = pa.array(np.concatenate((own, whole)))
+            grams = pa.array(np.concatenate((run_hashes(small, first, last + 1).view(np.int64), np.zeros(len(whole), dtype=np.int64))), mask=np.concatenate((np.zeros(len(own), dtype=bool), np.ones(len(whole), dtype=bool))))
+            spans = [pa.array(np.concatenate(x), pa.int32()) for x in ((first + shift, begin[whole]), (last + shift, begin[whole] + sizes[whole] - 1))]
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(rows), batch.column(1).take(rows), *spans, grams], ["id", "h", "first", "last", "gram"])
+
+    return found.select("id", "h", "pick", "first", "at", "hashes", "words").mapInArrow(run, f"id {kind}, h long, first int, last int, gram long")
 
 
 def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS, groups: DataFrame | None = None) -> DataFrame:
@@ -225,19 +239,20 @@ def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS, groups: DataFrame
         found = keep(selections(docs, min_words), "lines-found")
         shared = keep(found.groupBy("pick").agg(F.count("*").alias("n")).where("n > 1").select("pick"), "lines-shared")
         # one plan at every size: what is shared grows with the texts
-        grown = selecting_windows(found.join(shared.hint("merge"), "pick"), min_words)
+        grown = selecting_windows(found.join(shared.hint("merge"), "pick"), min_words, groups is None)
         place, other = F.struct("id", "first", "last", "h"), F.lit(True)
         if groups is not None:
             own = groups.groupBy(F.col("doc_id").alias("__id")).agg(F.min("component_id").alias("g"))
             grown = grown.join(own.hint("merge"), F.col("id").eqNullSafe(F.col("__id")), "left").drop("__id")
             place, other = F.when(F.col("id").eqNullSafe(F.col("g")), place), ~F.col("g").eqNullSafe(F.col("least.id"))
         grown = keep(grown, "lines-windows")
-        first = grown.groupBy("gram").agg(F.min(place).alias("least"), F.count("*").alias("n")).where("n > 1 and least is not null").select("gram", "least")
+        first = grown.where("gram is not null").groupBy("gram").agg(F.min(place).alias("least"), F.count("*").alias("n")).where("n > 1 and least is not null").select("gram", "least")
         first = keep(first, "lines-first")
         both = grown.join(first.hint("merge"), "gram")
         same_text = F.col("id").eqNullSafe(F.col("least.id")) & (F.col("h") == F.col("least.h"))
         later = both.where(F.when(same_text, F.col("first") > F.col("least.last")).otherwise(other))
-        return materialize(later.groupBy("id", "h").agg(F.array_sort(F.collect_set(F.struct("first", "last"))).alias("runs")), "lines-runs")
+        spans = later.select("id", "h", "first", "last").unionByName(grown.where("gram is null").select("id", "h", "first", "last"))
+        return materialize(spans.groupBy("id", "h").agg(F.array_sort(F.collect_set(F.struct("first", "last"))).alias("runs")), "lines-runs")
 
 
 def without_runs(texts: list[bytes], runs: list[list[tuple[int, int]]]) -> list[bytes]:
