@@ -1,16 +1,19 @@
 """Web archives (WARC 1.1): writing with revisits, reading, and assembly of transactions.
 
 Writing: pages of equal payload (SHA-1 and length) keep one copy, in a response record of the smallest page_id; the others are
-revisit records that refer to it. Every page also gets a request record and a metadata record (its page_id as a field);
-both name the response or revisit by WARC-Concurrent-To. Each record is a gzip member of its own; files close at about 32 MB of
-blocks. Reading streams a file record by record, whatever a file's size.
+revisit records that refer to it, with its address and date. Every page also gets a request record and a metadata record (its page_id as a field);
+both name the response or revisit by WARC-Concurrent-To. Each record is a gzip member of its own; a file begins with a warcinfo record and closes at about 32 MB of
+blocks. Reading streams a file record by record, whatever a file's size, plain or gzip.
 
 Assembly: a capture is a response, revisit or resource record with all records joined to it through concurrent-to identifiers, whichever side
 names the other, directly or through one member more. It's one nested row. Members without a capture come as rows with a null hub.
 
+Damaged archives don't end a job: a record has a status. ``truncated``: the file ends before the record does; ``damaged``: no record header, or no length, where one should be (a plain file is
+read on from the next header), or a gzip member that can't be unpacked (the rest of that file is given up). Such rows have a null payload and no part in assembly.
+
 Defined results: null html is an empty payload. Repeated rows (equal page_id and payload) get records of their own with equal
 roles. Rows of one page_id with other payloads are other captures of it. A null page_id is written as such; it becomes the response only of a payload that no page with an
-id has.
+id has. An empty table gives no files and no rows. Very long payloads are one record each. Columns other than page_id, url and html are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -18,6 +21,7 @@ from __future__ import annotations
 import base64
 import gzip
 import hashlib
+import io
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -26,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scriptorium.llm.storage import materialize, scratch, task_fs, task_write
+from scriptorium.llm.storage import discard, materialize, reading, scratch, tables, task_fs, task_write
 
 FILE_BYTES = 32 << 20
 DATE = "2024-01-01T00:00:00Z"
@@ -58,20 +62,24 @@ def _line(value) -> str:
 
 
 def roles(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
-    """page_id, sha1 (hex), role, refers_to: a row for each page_id and payload. Payloads under min_bytes are all responses."""
+    """page_id, sha1 (hex), role, refers_to, refers_url: a row for each page_id and payload, a written table. Payloads under min_bytes are all responses."""
     payload = F.encode(F.coalesce("html", F.lit("")), "utf-8")
-    narrow = materialize(pages.select("page_id", F.sha1(payload).alias("sha1"), F.octet_length(payload).alias("bytes")).distinct(), "warc-narrow")
-    first = materialize(narrow.groupBy("sha1", "bytes").agg(F.min("page_id").alias("first")), "warc-first")
-    own = narrow.join(first, ["sha1", "bytes"])
-    revisit = ~F.col("page_id").eqNullSafe(F.col("first")) & (F.col("bytes") >= min_bytes)
-    return own.select("page_id", "sha1", F.when(revisit, "revisit").otherwise("response").alias("role"), F.when(revisit, F.col("first")).alias("refers_to"))
+    with tables() as keep:
+        narrow = keep(pages.select("page_id", "url", F.sha1(payload).alias("sha1"), F.octet_length(payload).alias("bytes")).distinct(), "warc-narrow")
+        named = F.when(F.col("page_id").isNotNull(), F.struct("page_id", "url"))
+        first = keep(narrow.groupBy("sha1", "bytes").agg(F.min(named).alias("first")), "warc-first")
+        own = narrow.drop("url").distinct().join(first.hint("merge"), ["sha1", "bytes"])
+        revisit = ~F.col("page_id").eqNullSafe(F.col("first.page_id")) & (F.col("bytes") >= min_bytes)
+        out = own.select("page_id", "sha1", F.when(revisit, "revisit").otherwise("response").alias("role"), F.when(revisit, F.col("first.page_id")).alias("refers_to"), F.when(revisit, F.col("first.url")).alias("refers_url"))
+        return materialize(out, "warc-roles")
 
 
 def write_archives(pages: DataFrame, folder: str | None = None, min_bytes: int = 0, file_bytes: int = FILE_BYTES) -> DataFrame:
     """Writes page_id, url, html; returns the table of files: path, n_records."""
     spark = pages.sparkSession
     folder = folder or scratch(spark, "warc")
-    known = roles(pages, min_bytes).select("page_id", F.lit(None).cast("string").alias("url"), F.lit(None).cast("binary").alias("payload"), "role", "refers_to", F.col("sha1").alias("s"))
+    told = roles(pages, min_bytes)
+    known = told.select("page_id", F.col("refers_url").alias("url"), F.lit(None).cast("binary").alias("payload"), "role", "refers_to", F.col("sha1").alias("s"))
     payload = F.encode(F.coalesce("html", F.lit("")), "utf-8")
     none = F.lit(None).cast("string").alias("role"), F.lit(None).cast(pages.schema["page_id"].dataType).alias("refers_to")
     own = pages.select("page_id", "url", payload.alias("payload"), *none).withColumn("s", F.sha1("payload"))
@@ -83,15 +91,19 @@ def write_archives(pages: DataFrame, folder: str | None = None, min_bytes: int =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        part, out, size, n, again, given, refers_to = TaskContext.get().partitionId(), [], 0, 0, 0, "", None
+        part, out, size, n, again, given, refers_to, refers_url = TaskContext.get().partitionId(), [], 0, 0, 0, "", None, None
         done = lambda: pa.RecordBatch.from_pydict({"path": [task_write(folder, f"{part:06d}", b"".join(out))], "n_records": [n]}, pa.schema([("path", pa.string()), ("n_records", pa.int64())]))
         for batch in batches:
             for k in range(batch.num_rows):
                 page, url, payload, role, refers, sha1 = (c[k].as_py() for c in batch.columns)
                 if role:
-                    given, refers_to, again = role, refers, -1
+                    given, refers_to, refers_url, again = role, refers, url, -1
                     continue
                 again += 1
+                if not out:
+                    about = b"software: scriptorium\r\nformat: WARC File Format 1.1\r\n"
+                    out.append(record("warcinfo", record_id("warcinfo", part, page, sha1, again), about, Content_Type="application/warc-fields"))
+                    n += 1
                 hub, target = record_id("page", page, sha1, again), url or f"urn:page:{page}"
                 digest = "sha1:" + base32_sha1(payload)
                 head = HTTP % len(payload)
@@ -99,7 +111,7 @@ def write_archives(pages: DataFrame, folder: str | None = None, min_bytes: int =
                     out.append(record("response", hub, head + payload, WARC_Target_URI=target, Content_Type="application/http; msgtype=response", WARC_Payload_Digest=digest))
                     size += len(payload)
                 else:
-                    out.append(record("revisit", hub, head, WARC_Target_URI=target, Content_Type="application/http; msgtype=response", WARC_Payload_Digest=digest, WARC_Profile=PROFILE, WARC_Refers_To=record_id("page", refers_to, sha1, 0)))
+                    out.append(record("revisit", hub, head, WARC_Target_URI=target, Content_Type="application/http; msgtype=response", WARC_Payload_Digest=digest, WARC_Profile=PROFILE, WARC_Refers_To=record_id("page", refers_to, sha1, 0), WARC_Refers_To_Target_URI=refers_url or f"urn:page:{refers_to}", WARC_Refers_To_Date=DATE))
                 asked = f"GET {_line(target)} HTTP/1.1\r\n\r\n".encode()
                 out.append(record("request", record_id("request", page, sha1, again), asked, WARC_Target_URI=target, Content_Type="application/http; msgtype=request", WARC_Concurrent_To=hub))
                 fields = f"page-id: {'' if page is None else page}\r\n".encode()
@@ -111,24 +123,51 @@ def write_archives(pages: DataFrame, folder: str | None = None, min_bytes: int =
         if out:
             yield done()
 
-    return materialize(rows.mapInArrow(run, "path string, n_records long"), "warc-files")
-
-
-FIELDS = "record_id string, type string, concurrent_to array<string>, target string, refers_to string, payload_digest string, payload_bytes long, payload_sha1 string, fields map<string,string>"
-
-
-def records(stream) -> Iterator[tuple[dict[str, list[str]], bytes]]:
-    """Header fields (lower-case names) and block of each record of an open archive, plain or gzip."""
-    while line := stream.readline():
-        if not line.strip():
-            continue
-        if not line.startswith(b"WARC/"):
-            raise ValueError("not a WARC record")
-        head: dict[str, list[str]] = {}
-        while (line := stream.readline()).strip():
-            name, _, value = line.decode("utf-8", "replace").partition(":")
-            head.setdefault(name.strip().lower(), []).append(value.strip())
-        yield head, stream.read(int(head["content-length"][0]))
+    files = materialize(rows.mapInArrow(run, "path string, n_records long"), "warc-files")
+    discard(told)
+    return files
+
+
+FIELDS = "record_id string, type string, concurrent_to array<string>, target string, refers_to string, payload_digest string, payload_bytes long, payload_sha1 string, fields map<string,string>, status string"
+BROKEN = (EOFError, zlib.error, gzip.BadGzipFile)
+
+
+def records(stream) -> Iterator[tuple[dict[str, list[str]], bytes, str]]:
+    """Header fields (lower-case names), block and status of each record of an open archive, already unpacked."""
+    head: dict[str, list[str]] = {}
+    lost = False  # between a damaged place and the next header
+    try:
+        while line := stream.readline():
+            if not line.strip():
+                continue
+            if not line.startswith(b"WARC/"):
+                if not lost:
+                    yield {}, b"", "damaged"
+                lost = True
+                continue
+            lost, head = False, {}
+            while (line := stream.readline()).strip():
+                name, _, value = line.decode("utf-8", "replace").partition(":")
+                head.setdefault(name.strip().lower(), []).append(value.strip())
+            size = head.get("content-length", [""])[0]
+            if not line:
+                yield head, b"", "truncated"
+            elif not size.isdecimal():
+                yield head, b"", "damaged"
+                lost = True
+            else:
+                block = stream.read(int(size))
+                yield (head, block, "ok") if len(block) == int(size) else (head, b"", "truncated")
+            head = {}
+    except BROKEN as e:
+        yield head, b"", "truncated" if isinstance(e, EOFError) else "damaged"
+
+
+def unpacked(raw):
+    """An open archive as it's meant to be read: gzip members unpacked, plain ones as they are."""
+    start = raw.read(2)
+    raw.seek(0)
+    return gzip.GzipFile(fileobj=raw) if start == b"\x1f\x8b" else io.BufferedReader(raw)
 
 
 def payload_of(head: dict[str, list[str]], block: bytes) -> bytes:
@@ -140,20 +179,22 @@ def read_archives(spark: SparkSession, files: DataFrame, with_payload: bool = Fa
     """A row for each record of the files that column path names: FIELDS, and the payload if asked for."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = [("record_id", pa.string()), ("type", pa.string()), ("concurrent_to", pa.list_(pa.string())), ("target", pa.string()), ("refers_to", pa.string()), ("payload_digest", pa.string()), ("payload_bytes", pa.int64()), ("payload_sha1", pa.string()), ("fields", pa.map_(pa.string(), pa.string()))]
+        kinds = [("record_id", pa.string()), ("type", pa.string()), ("concurrent_to", pa.list_(pa.string())), ("target", pa.string()), ("refers_to", pa.string()), ("payload_digest", pa.string()), ("payload_bytes", pa.int64()), ("payload_sha1", pa.string()), ("fields", pa.map_(pa.string(), pa.string())), ("status", pa.string())]
         schema = pa.schema(kinds + [("payload", pa.binary())] * with_payload)
         rows, size = [], 0
         for batch in batches:
             for path in batch.column(0).to_pylist():
                 system, name = task_fs(path)
-                with system.open_input_stream(name, compression=None) as raw, gzip.GzipFile(fileobj=raw) as stream:
-                    for head, block in records(stream):
+                with system.open_input_file(name) as raw, unpacked(raw) as stream:
+                    for head, block, status in records(stream):
                         one = lambda k, head=head: head.get(k, [None])[0]
                         payload, kind = payload_of(head, block), one("warc-type")
                         pairs = [x.partition(":")[::2] for x in block.decode("utf-8", "replace").splitlines() if ":" in x] if "warc-fields" in (one("content-type") or "") else []
                         row = {"record_id": one("warc-record-id"), "type": kind, "concurrent_to": head.get("warc-concurrent-to", []), "target": one("warc-target-uri"), "refers_to": one("warc-refers-to"), "payload_digest": one("warc-payload-digest")}
-                        row |= {"payload_bytes": len(payload), "payload_sha1": base32_sha1(payload), "fields": list({k.strip(): v.strip() for k, v in pairs}.items())}
-                        rows.append(row | {"payload": payload} if with_payload else row)
+                        row |= {"payload_bytes": len(payload), "payload_sha1": base32_sha1(payload), "fields": list({k.strip(): v.strip() for k, v in pairs}.items()), "status": status}
+                        if status != "ok":
+                            row |= {"payload_bytes": None, "payload_sha1": None}
+                        rows.append(row | {"payload": payload if status == "ok" else None} if with_payload else row)
                         size += len(payload) * with_payload + 500
                         if size > 4 << 20:
                             yield pa.RecordBatch.from_pylist(rows, schema)
@@ -169,6 +210,7 @@ def assemble(found: DataFrame) -> DataFrame:
     """A row for each capture: hub (record id), type, target, payload_digest, payload_bytes, payload_sha1, refers_to, request
     (one nested row, the smallest id if there are several), metadata and others (arrays of nested rows). Members without a capture come together in rows of
     a null hub, one for each record they name."""
+    found = found.where("status = 'ok' and type <> 'warcinfo'")
     is_hub = F.col("type").isin(*HUBS)
     hubs = found.where(is_hub)
     rest = found.where(~is_hub)
@@ -192,14 +234,14 @@ def assemble(found: DataFrame) -> DataFrame:
 def captures(spark: SparkSession, files: DataFrame) -> DataFrame:
     """page_id, payload_bytes, payload_digest, record_type, refers_to of each capture, from the archives alone: a revisit's
     payload is that of the response it refers to."""
-    found = materialize(read_archives(spark, files), "warc-records")
-    whole = assemble(found).where("hub is not null")
-    page = F.try_element_at(F.get("metadata", F.lit(0))["fields"], F.lit("page-id"))
-    rows = whole.select("hub", "type", "payload_digest", "payload_bytes", "payload_sha1", F.col("refers_to").alias("ref"), F.when(page != "", page.cast("long")).alias("page_id"))
-    rows = materialize(rows, "warc-captures")
+    with tables() as keep:
+        whole = assemble(keep(read_archives(spark, files), "warc-records")).where("hub is not null")
+        page = F.try_element_at(F.get("metadata", F.lit(0))["fields"], F.lit("page-id"))
+        rows = whole.select("hub", "type", "payload_digest", "payload_bytes", "payload_sha1", F.col("refers_to").alias("ref"), F.when(page != "", page.cast("long")).alias("page_id"))
+        rows = materialize(rows, "warc-captures")
     kept = rows.where("type = 'response'").select(F.col("hub").alias("r_hub"), F.col("page_id").alias("r_page"), F.col("payload_bytes").alias("r_bytes"), F.col("payload_sha1").alias("r_sha1"))
-    out = rows.join(kept, F.col("ref") == F.col("r_hub"), "left")
+    out = rows.join(kept.hint("merge"), F.col("ref") == F.col("r_hub"), "left")
     revisit = F.col("type") == "revisit"
     either = lambda a, b: F.when(revisit, F.col(a)).otherwise(F.col(b))
-    return out.select("page_id", either("r_bytes", "payload_bytes").alias("payload_bytes"), either("r_sha1", "payload_sha1").alias("payload_digest"), F.col("type").alias("record_type"), F.when(revisit, F.col("r_page")).alias("refers_to"))
-
+    out = out.select("page_id", either("r_bytes", "payload_bytes").alias("payload_bytes"), either("r_sha1", "payload_sha1").alias("payload_digest"), F.col("type").alias("record_type"), F.when(revisit, F.col("r_page")).alias("refers_to"))
+    return reading(out, rows)

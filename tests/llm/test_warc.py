@@ -38,33 +38,74 @@ def test_payloads_come_back(spark):
     df = spark.createDataFrame(PAGES, "page_id long, url string, html string")
     rows = warc.read_archives(spark, warc.write_archives(df), with_payload=True).collect()
     assert {bytes(r.payload) for r in rows if r.type == "response"} == {(h or "").encode() for _, _, h in PAGES}
-    assert len(rows) == 3 * len(PAGES)
+    assert len(rows) - sum(r.type == "warcinfo" for r in rows) == 3 * len(PAGES) and {r.status for r in rows} == {"ok"}
 
 
 def test_record_format():
     raw = warc.record("response", "<urn:x>", b"HTTP/1.1 200 OK\r\n\r\nab\r\n\r\ncd", Content_Type="application/http; msgtype=response", WARC_Concurrent_To="<urn:y>")
     plain = gzip.decompress(raw)
     assert plain.startswith(b"WARC/1.1\r\nWARC-Type: response\r\n") and plain.endswith(b"cd\r\n\r\n")
-    ((head, block),) = list(warc.records(gzip.GzipFile(fileobj=io.BytesIO(raw))))
-    assert head["warc-concurrent-to"] == ["<urn:y>"] and warc.payload_of(head, block) == b"ab\r\n\r\ncd"
+    ((head, block, status),) = list(warc.records(gzip.GzipFile(fileobj=io.BytesIO(raw))))
+    assert head["warc-concurrent-to"] == ["<urn:y>"] and status == "ok" and warc.payload_of(head, block) == b"ab\r\n\r\ncd"
 
 
 def test_assembly_by_either_side_and_through_members(spark):
     rows = [
         ("a", "response", ["ra"], 10), ("ra", "request", [], 1), ("ma", "metadata", ["ra"], 2),
         ("b", "revisit", [], 0), ("rb", "request", ["b"], 1), ("rb2", "request", ["b"], 1), ("mb", "metadata", ["b"], 2), ("mb2", "metadata", ["rb"], 3),
-        ("c", "response", [], 5), ("lost", "metadata", ["nowhere"], 1), ("w", "warcinfo", [], 1),
+        ("c", "response", [], 5), ("lost", "metadata", ["nowhere"], 1), ("w", "warcinfo", [], 1), ("v", "conversion", [], 1),
     ]
-    df = spark.createDataFrame([(i, t, c, "t", None, "d", n, "s", {"k": i}) for i, t, c, n in rows], warc.FIELDS)
+    df = spark.createDataFrame([(i, t, c, "t", None, "d", n, "s", {"k": i}, "ok") for i, t, c, n in rows], warc.FIELDS)
     got = {r.hub: (r.request and r.request.record_id, [m.record_id for m in r.metadata or []]) for r in warc.assemble(df).collect() if r.hub}
     assert got == {"a": ("ra", ["ma"]), "b": ("rb", ["mb", "mb2"]), "c": (None, [])}
     rest = [r for r in warc.assemble(df).collect() if not r.hub]
-    assert sorted(m.record_id for r in rest for m in [*r.metadata, *r.others]) == ["lost", "w"]
+    assert sorted(m.record_id for r in rest for m in [*r.metadata, *r.others]) == ["lost", "v"]
+    cut = df.unionByName(spark.createDataFrame([("z", "response", [], "t", None, "d", None, None, {}, "truncated"), (None, None, [], None, None, None, None, None, {}, "damaged")], warc.FIELDS))
+    assert warc.assemble(cut).count() == warc.assemble(df).count()
 
 
 def test_files_close(spark):
     df = spark.createDataFrame(PAGES, "page_id long, url string, html string")
     files = warc.write_archives(df, file_bytes=1)
-    assert files.count() == len(PAGES) and {r.n_records for r in files.collect()} == {3}
+    assert files.count() == len(PAGES) and {r.n_records for r in files.collect()} == {4}
     got = warc.captures(spark, files)
     assert sorted((tuple(r) for r in got.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to").collect()), key=repr) == brute(PAGES)
+
+
+def test_revisits_name_what_they_refer_to(spark):
+    df = spark.createDataFrame(PAGES, "page_id long, url string, html string")
+    heads = []
+    for r in warc.write_archives(df.where("page_id in (1, 2)")).collect():
+        with open(r.path.removeprefix("file://"), "rb") as f, warc.unpacked(f) as stream:
+            heads += [h for h, _, _ in warc.records(stream)]
+    (revisit,) = [h for h in heads if h["warc-type"] == ["revisit"]]
+    assert revisit["warc-refers-to-target-uri"] == ["http://a/1"] and revisit["warc-refers-to-date"] == [warc.DATE]
+    assert heads[0]["warc-type"] == ["warcinfo"]
+
+
+def test_plain_and_damaged_archives(spark, tmp_path):
+    one = lambda k, n: (f"WARC/1.1\r\nWARC-Type: resource\r\nWARC-Record-ID: <{k}>\r\nContent-Length: {n}\r\n\r\n" + "x" * n + "\r\n\r\n").encode()
+    packed = warc.record("resource", "<g>", b"y" * 1019)
+    noise = bytes(range(256)) * 40
+    files = {
+        "plain": one("a", 5) + one("b", 7),
+        "packed": gzip.compress(one("c", 5)) + packed,
+        "cut plain": one("d", 5) + one("e", 50)[:-30],
+        "cut packed": packed + warc.record("resource", "<h>", noise)[:-200],
+        "cut head": one("f", 5) + b"WARC/1.1\r\nWARC-Type: resource\r\n",
+        "no length": one("i", 3) + b"WARC/1.1\r\nWARC-Type: resource\r\nWARC-Record-ID: <j>\r\n\r\nlost\r\n\r\n" + one("k", 4),
+        "garbage": b"<html>\nnot an archive\n" + one("l", 4),
+        "bad member": packed + b"\x1f\x8b\x08" + noise[:300],
+        "bad bits": packed[:60] + bytes([packed[60] ^ 255]) + packed[61:],
+        "empty": b"",
+    }
+    for name, data in files.items():
+        (tmp_path / name.replace(" ", "_")).write_bytes(data)
+    df = spark.createDataFrame([(f"file://{tmp_path}/{name.replace(chr(32), chr(95))}", name) for name in files], "path string, status string")
+    rows = warc.read_archives(spark, df, with_payload=True).collect()
+    good = sorted((r.record_id, r.payload_bytes) for r in rows if r.status == "ok")
+    assert good[:7] == [("<a>", 5), ("<b>", 7), ("<c>", 5), ("<d>", 5), ("<f>", 5), ("<g>", 1019), ("<g>", 1019)]
+    assert [x for x, _ in good if x > "<g>"] == ["<i>", "<k>", "<l>"]
+    bad = sorted((r.status, r.record_id or "") for r in rows if r.status != "ok")
+    assert ("truncated", "<e>") in bad and ("truncated", "<h>") in bad and ("truncated", "") in bad and ("damaged", "<j>") in bad
+    assert all(r.payload is None and r.payload_bytes is None for r in rows if r.status != "ok") and sum(s == "damaged" for s, _ in bad) >= 3
