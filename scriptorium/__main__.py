@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.observation import Observation
 
 from scriptorium.functions.text import clean
-from scriptorium.operators import models, qa
+from scriptorium.operators import assemble, models, prompts, qa
 from scriptorium.plans import pipelines
 from scriptorium.sources import config, files, sinks
 
@@ -58,28 +58,26 @@ def _asked(df: DataFrame, prompt: str, backend, table: str | None) -> DataFrame:
 def run(spark: SparkSession, args: argparse.Namespace, backend: models.ModelBackend | None = None) -> dict[str, int]:
     """Does what a command asks for; backend: instead of the service that the settings name."""
     settings = config.load(args.config) if args.config else config.Settings()
-    pairs = settings.qa_generation
-    backend = backend or models.HttpBackend(pairs.endpoint, pairs.model_name)
+    pairs, fix = settings.qa_generation, settings.text_correction
     if args.command == "clean":
         texts = files.read_any_texts(spark, args.input)
         return _write(texts.where("text is not null").withColumn("text", clean(F.col("text"))), texts.where("text is null").select("doc_id"), args.output)
     if args.command == "rows":
-        rows = pipelines.pages_to_training_rows(spark.read.parquet(args.input))
+        ask = models.calls(backend or prompts.CORRECT.backend(fix.endpoint, fix.model_name), fix.max_retries, fix.retry_delay, 0.0 if backend else prompts.PAUSE) if fix.enable else None
+        rows = pipelines.pages_to_training_rows(spark.read.parquet(args.input), correct=ask, limit=fix.batch_size, prompt=prompts.CORRECT.prompt)
         return _write(rows, rows.where("false"), args.output)
     if args.command == "book":
         segments = pipelines.book_segments(files.read_texts(spark, args.input), pairs.max_segment_length, pairs.overlap_length)
-        found = qa.parse_answers(_asked(segments, "segment", backend, args.answers).drop("segment"))
-        return _write(*_records(found, qa.BOOK_SYSTEM), args.output)
+        asked = _asked(segments.withColumn("segment", prompts.PAIRS.prompt(F.col("segment"))), "segment", backend or prompts.PAIRS.backend(pairs.endpoint, pairs.model_name), args.answers)
+        return _write(*_records(qa.parse_answers(asked.drop("segment")), qa.BOOK_SYSTEM), args.output)
     if args.command == "chunks":
         chunks = pipelines.texts_to_chunks(files.read_texts(spark, args.input), start_index=args.start_index)
-        return _write(*qa.any_json(_asked(chunks, "chunk", backend, args.answers).drop("chunk")), args.output)
+        asked = _asked(chunks.withColumn("chunk", prompts.CHUNK.prompt(F.col("chunk"))), "chunk", backend or prompts.CHUNK.backend(pairs.endpoint, pairs.model_name), args.answers)
+        return _write(*qa.any_json(asked.drop("chunk")), args.output)
     if args.command == "merge":
         good, unnumbered = files.read_numbered(spark, args.input)
-        found = qa.parse_answers(good)
-        bad = qa.quarantine(found, "instruction").unionByName(unnumbered.select("name", F.lit(None).cast("int").alias("file_no"), F.lit("no_number").alias("reason"), F.lit(None).cast("int").alias("item_no"), "raw"))
-        system = F.try_element_at("i.fields", F.lit("system"))
-        rows = found.select("file_no", F.explode("items").alias("i")).where(F.map_contains_key("i.fields", "instruction") & F.map_contains_key("i.fields", "output"))
-        return _write(rows.select("file_no", F.col("i.no").alias("item_no"), F.try_element_at("i.fields", F.lit("instruction")).alias("instruction"), F.try_element_at("i.fields", F.lit("output")).alias("output"), system.alias("system")), bad, args.output)
+        rows, broken = assemble.merged(good)
+        return _write(rows, broken.select("file_no", F.lit("not_list").alias("reason"), "raw").unionByName(unnumbered.select(F.lit(None).cast("int").alias("file_no"), F.lit("no_number").alias("reason"), "raw")), args.output)
     if args.command == "convert":
         good, unnumbered = files.read_numbered(spark, args.input, files.PAIRS_GLOB, files.PAIRS_NUMBER)
         return _write(qa.convert_legacy(good), unnumbered, args.output)

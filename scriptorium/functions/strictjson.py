@@ -43,6 +43,22 @@ def parsed(text: Column) -> Column:
     return F.pandas_udf(run, PARSED)(text)
 
 
+def list_elements(text: str | None) -> list[str] | None:
+    """The elements of a JSON list, each whole, as JSON of its own; None for anything else."""
+    try:
+        value = json.loads((text or "").strip())
+    except (ValueError, RecursionError):
+        return None
+    return [json.dumps(x, ensure_ascii=False, separators=(",", ":")) for x in value] if isinstance(value, list) else None
+
+
+def elements(text: Column) -> Column:
+    def run(texts: pd.Series) -> pd.Series:
+        return texts.map(list_elements)
+
+    return F.pandas_udf(run, "array<string>")(text)
+
+
 def json_kind(text: str | None) -> str | None:
     """object, array, string, number, boolean or null; None for what isn't JSON."""
     try:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from scriptorium.functions.strictjson import elements
+
 
 def ordered_concat(df: DataFrame, keys: list[str], order: list[str], text: str, out: str, between: str = "", after: str = "") -> DataFrame:
     """keys, out: the texts of a key in order, joined by between, each followed by after; nulls are skipped, none gives ''."""
@@ -43,3 +45,11 @@ def merge_numbered(files: DataFrame, pattern: str, name: str = "name") -> tuple[
     """Files with file_no, and those whose name has no number. A bag: nothing is deduplicated; order is in the keys."""
     marked = files.withColumn("file_no", number(F.col(name), pattern))
     return marked.where("file_no is not null"), marked.where("file_no is null").drop("file_no")
+
+
+def merged(files: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """file_no, item_no (from 1), item: every element of numbered files (file_no, raw), each whole as JSON of its own, whatever its fields; and the files that
+    aren't a JSON list. The order of the merged list is by file_no, item_no."""
+    read = files.withColumn("__e", elements(F.col("raw")))
+    rows = read.select("file_no", F.posexplode("__e").alias("__k", "item")).select("file_no", (F.col("__k") + 1).alias("item_no"), "item")
+    return rows, read.where("__e is null").drop("__e")

@@ -8,7 +8,7 @@ paid call on re-computation; rows that are already in the table aren't asked aga
 from __future__ import annotations
 
 import time
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 from typing import Protocol
 
@@ -49,10 +49,18 @@ class HttpBackend:
     model: str
     system: str = ""
     key_variable: str = "MODEL_API_KEY"
-    temperature: float = 0.7
-    top_p: float = 0.9
-    max_tokens: int = 4096
+    temperature: float | None = 0.7
+    top_p: float | None = 0.9
+    max_tokens: int | None = 4096
     timeout: float = 120.0
+    strip: bool = False
+    stream: bool = False
+
+    def body(self, prompt: str) -> dict:
+        """What is sent; settings that aren't given are left to the service."""
+        messages = [{"role": "system", "content": self.system}] * bool(self.system) + [{"role": "user", "content": prompt}]
+        given = {"temperature": self.temperature, "top_p": self.top_p, "max_tokens": self.max_tokens, "stream": self.stream or None}
+        return {"model": self.model, "messages": messages, **{k: v for k, v in given.items() if v is not None}}
 
     def complete(self, prompts: list[str | None]) -> list[str | None]:
         import os
@@ -61,41 +69,65 @@ class HttpBackend:
 
         out: list[str | None] = []
         for p in prompts:
-            messages = [{"role": "system", "content": self.system}] * bool(self.system) + [{"role": "user", "content": p}]
-            body = {"model": self.model, "messages": messages, "temperature": self.temperature, "top_p": self.top_p, "max_tokens": self.max_tokens}
             try:
-                r = requests.post(self.url, json=body, timeout=self.timeout, headers={"Authorization": f"Bearer {os.environ.get(self.key_variable, '')}"})
+                r = requests.post(self.url, json=self.body(p), timeout=self.timeout, stream=self.stream, headers={"Authorization": f"Bearer {os.environ.get(self.key_variable, '')}"})
                 r.raise_for_status()
-                out.append(r.json()["choices"][0]["message"]["content"] or None)
+                told = streamed(r.iter_lines()) if self.stream else r.json()["choices"][0]["message"]["content"]
+                out.append((told.strip() if self.strip and told else told) or None)
             except (requests.RequestException, KeyError, IndexError, ValueError):
                 out.append(None)
         return out
 
 
+def streamed(lines: Iterable[bytes]) -> str:
+    """The text of server-sent events, a JSON object each, until [DONE]: pieces without a choice or without content add nothing."""
+    import json
+
+    parts = []
+    for line in lines:
+        name, _, data = line.partition(b":")
+        if name != b"data" or not data.strip():
+            continue
+        if data.strip() == b"[DONE]":
+            break
+        for choice in json.loads(data).get("choices") or []:
+            parts.append((choice.get("delta") or {}).get("content") or "")
+            break
+    return "".join(parts)
+
+
+def _asked(backend: ModelBackend, prompt: str | None, attempts: int, wait: float, pause: float) -> str | None:
+    if prompt is None:
+        return None
+    answer = None
+    for k in range(attempts):
+        if k and wait:
+            time.sleep(wait)
+        answer = backend.complete([prompt])[0]
+        if answer is not None:
+            break
+    if pause:
+        time.sleep(pause)
+    return answer
+
+
 def calls(backend: ModelBackend, attempts: int = 3, wait: float = 0.0, pause: float = 0.0):
-    """A column function: the backend's answer to each prompt, asked up to so many times; null where all failed."""
+    """A column function: the backend's answer to each prompt, asked up to so many times; null where all failed. Its attribute each does the same for
+    arrays of prompts, so that the parts of a text needn't be rows."""
 
     @F.pandas_udf("string")
     def ask(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in batches:
-            out = []
-            for prompt in batch:
-                answer = None
-                if prompt is None:
-                    out.append(None)
-                    continue
-                for k in range(attempts):
-                    if k and wait:
-                        time.sleep(wait)
-                    answer = backend.complete([prompt])[0]
-                    if answer is not None:
-                        break
-                if pause:
-                    time.sleep(pause)
-                out.append(answer)
-            yield pd.Series(out, dtype=object)
-
-    return ask.asNondeterministic()
+            yield pd.Series([_asked(backend, p, attempts, wait, pause) for p in batch], dtype=object)
+
+    @F.pandas_udf("array<string>")
+    def each(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in batches:
+            yield pd.Series([None if ps is None else [_asked(backend, p, attempts, wait, pause) for p in ps] for ps in batch], dtype=object)
+
+    out = ask.asNondeterministic()
+    out.each = each.asNondeterministic()
+    return out
 
 
 def prompt_key(prompt: Column) -> Column:
@@ -103,8 +135,10 @@ def prompt_key(prompt: Column) -> Column:
 
 
 def replay(df: DataFrame, recorded: DataFrame, prompt: str = "prompt", out: str = "raw") -> DataFrame:
-    """df with the recorded answers (prompt_hash, response) of its prompts; null where none is recorded."""
-    known = recorded.select(F.col("prompt_hash").alias("__h"), F.col("response").alias(out))
+    """df with the recorded answers (prompt_hash, response) of its prompts; null where none is recorded. Of several answers to one prompt the least counts, so
+    there are as many rows as before. A column of that name in df gives way."""
+    known = recorded.groupBy(F.col("prompt_hash").alias("__h")).agg(F.min("response").alias(out))
+    df = df.drop(out) if out != prompt else df
     return df.join(known, prompt_key(F.col(prompt)) == F.col("__h"), "left").drop("__h")
 
 
@@ -124,21 +158,24 @@ def answer(df: DataFrame, backend: ModelBackend, table: str, prompt: str = "prom
         new = new.repartition(parallel, "__h")
     asked = new.select(F.col("__h").alias("prompt_hash"), calls(backend, **policy)(F.col(prompt)).alias("response"))
     asked.where("response is not null").write.mode("append").parquet(table)
-    done = spark.read.schema(schema).parquet(table).select(F.col("prompt_hash").alias("__k"), F.col("response").alias(out))
+    done = spark.read.schema(schema).parquet(table).groupBy(F.col("prompt_hash").alias("__k")).agg(F.min("response").alias(out))
     return hashed.join(done, F.col("__h") == F.col("__k"), "left").drop("__h", "__k")
 
 
-def correct(df: DataFrame, ask, limit: int = 1000, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """key, text (corrected), n_failed. Blank texts stay as they are; others are packed into segments, corrected, and joined again; a segment
-    whose call failed keeps its text. ask is a column function of a segment."""
+def corrected(df: DataFrame, ask, limit: int = 1000, text: str = "text", failed: str | None = None, prompt: Callable[[Column], Column] = lambda s: s) -> DataFrame:
+    """The rows of df with text corrected, all other columns as they are, and the number of failed segments in a column of that name if one is given. Blank texts stay as
+    they are; others are packed into segments, corrected, and joined again; a segment whose call failed keeps its text. ask is what calls() gives, prompt what is said
+    around a segment. Each row is worked out by itself, so rows of one id stay rows of their own and nothing is shuffled."""
     from scriptorium.functions.text import has_ink
 
-    ink = has_ink(F.col(text))
-    # one pass: blank texts go along as they are, in a row without a segment
-    parts = df.select(key, F.when(~ink, F.col(text)).alias("__blank"), F.posexplode_outer(F.when(ink, packed(F.col(text), limit))).alias("seg_no", "segment"))
-    asked = parts.withColumn("__a", ask(F.col("segment")))
-    failed = (F.col("segment").isNotNull() & F.col("__a").isNull()).cast("long")
-    piece = F.when(F.col("segment").isNotNull(), F.struct("seg_no", F.coalesce("__a", "segment").alias("t")))
-    whole = asked.groupBy(key).agg(F.array_sort(F.collect_list(piece)).alias("__s"), F.max("__blank").alias("__b"), F.sum(failed).alias("n_failed"))
-    joined = F.when(F.size("__s") > 0, F.array_join(F.transform("__s", lambda r: r["t"]), "\n")).otherwise(F.col("__b"))
-    return whole.select(key, joined.alias(text), "n_failed")
+    parts = df.withColumn("__s", F.when(has_ink(F.col(text)), packed(F.col(text), limit)))
+    asked = parts.withColumn("__a", ask.each(F.transform("__s", prompt)))
+    whole = F.array_join(F.zip_with("__s", "__a", lambda s, a: F.coalesce(a, s)), "\n")
+    lost = F.coalesce(F.size(F.filter("__a", lambda a: a.isNull())), F.lit(0)).cast("long")
+    out = asked.withColumn(text, F.when(F.col("__s").isNotNull(), whole).otherwise(F.col(text)))
+    return (out.withColumn(failed, F.when(F.col("__s").isNotNull(), lost).otherwise(0)) if failed else out).drop("__s", "__a")
+
+
+def correct(df: DataFrame, ask, limit: int = 1000, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """key, text (corrected), n_failed of each row; see corrected()."""
+    return corrected(df.select(key, text), ask, limit, text, "n_failed")

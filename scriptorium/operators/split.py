@@ -1,4 +1,7 @@
-"""Text splitters: fixed chunks, paragraphs packed greedily, and overlapping windows that seek a boundary."""
+"""Text splitters: fixed chunks, paragraphs packed greedily, and overlapping windows that seek a boundary.
+
+The columns that a splitter adds take the place of columns of those names in its input.
+"""
 
 from __future__ import annotations
 
@@ -11,10 +14,14 @@ from pyspark.sql import functions as F
 SEGMENT = "array<struct<seg_no:int,start:int,end:int,text:string>>"
 
 
+def _others(df: DataFrame, *taken: str) -> list[str]:
+    return [c for c in df.columns if c not in taken]
+
+
 def fixed_chunks(df: DataFrame, size: int = 2000, text: str = "text") -> DataFrame:
     """The other columns, chunk_no (from 1), chunk: consecutive pieces of so many characters, the last one short. No
     chunk for an empty or null text."""
-    others = [c for c in df.columns if c != text]
+    others = _others(df, text, "chunk_no", "chunk")
     starts = F.sequence(F.lit(0), F.floor((F.char_length(text) - 1) / size).cast("int"))
     pieces = F.when(F.char_length(text) > 0, F.transform(starts, lambda i: F.col(text).substr(i * size + 1, F.lit(size))))
     # the outer form, and the filter after it: a filter on the text would be pushed below and work the text out a second time
@@ -42,9 +49,9 @@ def packed(text: Column, limit: int = 1000) -> Column:
 
 def paragraph_pack(df: DataFrame, limit: int = 1000, text: str = "text") -> DataFrame:
     """The other columns, seg_no (from 1), segment."""
-    others = [c for c in df.columns if c != text]
-    out = df.where(F.col(text).isNotNull()).select(*others, F.posexplode(packed(F.col(text), limit)).alias("pos", "segment"))
-    return out.select(*others, (F.col("pos") + 1).alias("seg_no"), "segment")
+    others = _others(df, text, "seg_no", "segment")
+    out = df.where(F.col(text).isNotNull()).select(*others, F.posexplode(packed(F.col(text), limit)).alias("__pos", "segment"))
+    return out.select(*others, (F.col("__pos") + 1).alias("seg_no"), "segment")
 
 
 # Sentence ends at which a window may close, and how near a newline must be (characters before, after).
@@ -65,33 +72,35 @@ def boundaries(text: str) -> list[int]:
     return found
 
 
+def closing(marks: list[int], start: int, longest: int, overlap: int) -> int:
+    """The last position of the window that begins at start: the last boundary within reach, if the next window then begins further on."""
+    from bisect import bisect_right
+
+    reach = start + longest
+    last = marks[k - 1] if (k := bisect_right(marks, reach)) else 0
+    return last if last > start + overlap else reach
+
+
 def windows(text: str, longest: int, overlap: int) -> list[tuple[int, int, int, str]]:
     """(number from 1, start, end exclusive, text). A window closes after the last boundary within reach; where there is
     none, or where closing there would not move the next start forward, after longest + 1 characters. The next window
-    starts overlap characters before the last character of this one."""
-    from bisect import bisect_right
-
+    starts overlap characters before the last character of this one; the last one holds what is left."""
     if not 0 <= overlap < longest or longest < 20:
         raise ValueError("0 <= overlap < longest and longest >= 20 are needed")
-    out, start, marks = [], 0, None
-    while start < len(text):
-        if start + longest >= len(text):
-            out.append((len(out) + 1, start, len(text), text[start:]))
-            break
-        marks = boundaries(text) if marks is None else marks
-        k = bisect_right(marks, start + longest) - 1
-        end = marks[k] if k >= 0 and marks[k] > start else start + longest
-        if end - overlap <= start:
-            end = start + longest
-        out.append((len(out) + 1, start, end + 1, text[start : end + 1]))
-        start = end - overlap
-    return out
+    starts, ends = [0], []
+    marks = boundaries(text) if len(text) > longest else []
+    while starts[-1] + longest < len(text):
+        last = closing(marks, starts[-1], longest, overlap)
+        ends.append(last + 1)
+        starts.append(last - overlap)
+    spans = list(zip(starts, [*ends, len(text)])) if text else []
+    return [(k, a, b, text[a:b]) for k, (a, b) in enumerate(spans, 1)]
 
 
 def overlap_windows(df: DataFrame, longest: int = 8000, overlap: int = 1000, text: str = "text") -> DataFrame:
     """The other columns, seg_no, start, end, segment. In Python over Arrow batches: looking for boundaries in a JVM
     string starts again from its first byte at each candidate."""
-    others = [c for c in df.columns if c != text]
+    others = _others(df, text, "seg_no", "start", "end", "segment")
 
     @F.pandas_udf(SEGMENT)
     def cut(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -100,5 +109,5 @@ def overlap_windows(df: DataFrame, longest: int = 8000, overlap: int = 1000, tex
 
     if not 0 <= overlap < longest or longest < 20:
         raise ValueError("0 <= overlap < longest and longest >= 20 are needed")
-    out = df.select(*others, F.explode(cut(F.col(text))).alias("w"))
-    return out.select(*others, "w.seg_no", "w.start", "w.end", F.col("w.text").alias("segment"))
+    out = df.select(*others, F.explode(cut(F.col(text))).alias("__w"))
+    return out.select(*others, "__w.seg_no", "__w.start", "__w.end", F.col("__w.text").alias("segment"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from scriptorium.functions import figures
 from scriptorium.functions.text import clean
-from scriptorium.operators import assemble, flatten, models, qa, split
+from scriptorium.operators import assemble, flatten, models, prompts, qa, split
 from scriptorium.plans import pipelines
 from scriptorium.sources.sinks import part_name
 from scriptorium.sources.tables import table
@@ -97,6 +97,25 @@ def correct_fallback(spark, folder):
     return models.correct(documents(spark, folder), some, LIMIT)
 
 
+# what models are asked
+
+
+def prompt_correct(spark, folder):
+    segments = split.paragraph_pack(documents(spark, folder), LIMIT)
+    return segments.select("doc_id", "seg_no", F.lit(prompts.CORRECT.system).alias("system"), prompts.CORRECT.prompt(F.col("segment")).alias("prompt"))
+
+
+def prompt_pairs(spark, folder):
+    segments = pipelines.book_segments(documents(spark, folder), LONGEST, OVERLAP)
+    return segments.select("doc_id", "seg_no", F.lit(prompts.PAIRS.system).alias("system"), prompts.PAIRS.prompt(F.col("segment")).alias("prompt"))
+
+
+def prompt_chunk(spark, folder):
+    chunks = pipelines.texts_to_chunks(documents(spark, folder), CHUNK)
+    said = chunks.withColumn("m", prompts.CHUNK.messages(F.col("chunk")))
+    return said.select("doc_id", "chunk_no", F.col("m")[0]["content"].alias("system"), F.col("m")[1]["content"].alias("prompt"))
+
+
 # flattening and putting together
 
 
@@ -206,6 +225,15 @@ def merge_files(spark, folder):
     return qa.records(qa.parse_answers(good), "").select("file_no", F.col("pair_no").alias("item_no"), "instruction", "output")
 
 
+def merge_whole(spark, folder):
+    """Files of items of any kind, merged without reshaping them."""
+    files, odd = _files(spark, folder), F.lit('[{"other": 1, "n": null}, "text", ')
+    raw = F.when(F.col("raw") == "[]", F.col("raw")).when(F.col("name").endswith("5.json"), F.lit("{}")).otherwise(F.concat(odd, F.substring("raw", 2, 1 << 30)))
+    good, _ = assemble.merge_numbered(files.withColumn("raw", raw), r"success(\d+)\.json$")
+    rows, _ = assemble.merged(good)
+    return rows
+
+
 def unnumbered_files(spark, folder):
     _, bad = assemble.merge_numbered(_files(spark, folder), r"success(\d+)\.json$")
     return bad.select("name")
@@ -308,8 +336,8 @@ def replayed_answers(spark, folder):
 QUERIES = {
     f.__name__: f
     for f in (
-        clean_text, clean_conversations, page_number_filter, fixed_chunks, clean_chunks, resume_chunks, resume_by_table, paragraph_pack, overlap_windows, windows_clean, correct_roundtrip, correct_fallback,
-        training_rows, described_pages, concat_training_text, stream_accumulate, chat_until_exit, parse_qa, format_sft, format_sft_tolerant, quarantine, convert_legacy, merge_files, unnumbered_files, qa_counts,
+        clean_text, clean_conversations, page_number_filter, fixed_chunks, clean_chunks, resume_chunks, resume_by_table, paragraph_pack, overlap_windows, windows_clean, correct_roundtrip, correct_fallback, prompt_correct, prompt_pairs, prompt_chunk,
+        training_rows, described_pages, concat_training_text, stream_accumulate, chat_until_exit, parse_qa, format_sft, format_sft_tolerant, quarantine, convert_legacy, merge_files, merge_whole, unnumbered_files, qa_counts,
         figure_filter, figure_regions, horizontal_lines, figure_description, book_pipeline, training_data_pipeline, chunk_pipeline, chunk_quarantine, replayed_answers,
     )
 }
@@ -374,6 +402,12 @@ lines AS (SELECT k, i, (k * 13 + i * 7) % 200 - 40 AS dx, (k * 5 + i * 3) % 31 A
 flat AS (SELECT k, count(*) AS n FROM lines WHERE abs(atan2(dy, dx) * 180 / pi()) < 10 GROUP BY k),
 hz AS (SELECT p_partkey AS k, p_name, coalesce(n, 0)::INTEGER AS n, p_partkey % 10 <> 0 AND coalesce(n, 0) BETWEEN 6 AND 8 AS hex FROM part LEFT JOIN flat ON k = p_partkey)"""
 
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
 _BOOK_SYSTEM = qa.BOOK_SYSTEM.replace("'", "''")
 _PAGES = "pg AS (SELECT doc_id, n_chars AS n, CASE WHEN n_chars % 5 <> 0 THEN text ELSE ' ' || chr(10) END AS text FROM documents)"
 
@@ -391,6 +425,9 @@ ORACLES: dict[str, str] = {
         SELECT doc_id, (k + 1)::INTEGER AS seg_no, (k * 1800)::INTEGER AS start, least(k * 1800 + 2001, length(t))::INTEGER AS "end", substring(t, k * 1800 + 1, CASE WHEN k * 1800 + 2000 >= length(t) THEN length(t) ELSE 2001 END) AS segment FROM k""",
     "correct_roundtrip": "SELECT doc_id, text FROM documents",
     "correct_fallback": f"WITH RECURSIVE {_PACK.strip()} SELECT doc_id, string_agg(CASE WHEN length(segment) % 2 = 1 THEN segment ELSE segment || '~' END, chr(10) ORDER BY seg_no) AS text, count(*) FILTER (length(segment) % 2 = 1) AS n_failed FROM s GROUP BY doc_id",
+    "prompt_correct": f"WITH RECURSIVE {_PACK.strip()} SELECT doc_id, seg_no::INTEGER AS seg_no, {_quoted(prompts.CORRECT_SYSTEM)} AS system, {_quoted(prompts.CORRECT_BEFORE)} || segment AS prompt FROM s",
+    "prompt_pairs": f'WITH RECURSIVE {_WINDOWS.format(f="documents").strip()} SELECT doc_id, seg_no, {_quoted(prompts.PAIRS_SYSTEM)} AS system, {_quoted(prompts.PAIRS_BEFORE)} || segment || {_quoted(prompts.PAIRS_AFTER)} AS prompt FROM z',
+    "prompt_chunk": f"SELECT doc_id, chunk_no, {_quoted(prompts.CHUNK_SYSTEM)} AS system, chunk AS prompt FROM ({_chunks()})",
     "training_rows": f"""WITH {_PAGES}, r AS (SELECT doc_id, 0 AS o, 'text' AS type, {_clean('text')} AS content, NULL AS image_path FROM pg WHERE {_clean('text')} <> ''
         UNION ALL SELECT doc_id, 1, 'image', 'first ' || doc_id, 'p/' || doc_id FROM pg WHERE n % 4 >= 1 UNION ALL SELECT doc_id, 2, 'image', 'second ' || doc_id, '' FROM pg WHERE n % 4 >= 2)
         SELECT doc_id, (row_number() OVER (PARTITION BY doc_id ORDER BY o) - 1)::INTEGER AS seq, type, content, 1 AS page, image_path FROM r""",
@@ -413,6 +450,10 @@ ORACLES: dict[str, str] = {
         SELECT conv_id, pair_no, item->>'$.question' AS instruction, item->>'$.answer' AS output, '{qa.LEGACY_SYSTEM}' AS system FROM l""",
     "merge_files": f"""WITH {_PAIRS.strip()}, l AS (SELECT conv_id, unnest(range(1, len(x) + 1))::INTEGER AS item_no, unnest(x) AS item FROM (SELECT conv_id, json_extract(j, '$[*]') AS x FROM p WHERE conv_id % 11 <> 0))
         SELECT (conv_id * 3 + 2)::INTEGER AS file_no, item_no, item->>'$.input' AS instruction, item->>'$.output' AS output FROM l""",
+    "merge_whole": f"""WITH {_PAIRS.strip()}, f AS (SELECT conv_id * 3 + 2 AS n, j FROM p WHERE conv_id % 11 <> 0),
+        w AS (SELECT n, CASE WHEN json_array_length(j) = 0 THEN '[]' ELSE '[{{"other":1,"n":null}},"text",' || substring(j::VARCHAR, 2) END AS j FROM f WHERE n % 10 <> 5 OR json_array_length(j) = 0),
+        l AS (SELECT n, unnest(range(1, len(x) + 1))::INTEGER AS item_no, unnest(x) AS item FROM (SELECT n, json_extract(j, '$[*]') AS x FROM w))
+        SELECT n::INTEGER AS file_no, item_no, item::VARCHAR AS item FROM l""",
     "unnumbered_files": "SELECT DISTINCT 'success_x' || conv_id || '.json' AS name FROM conversations WHERE conv_id % 11 = 0",
     "qa_counts": f"WITH {_PAIRS.strip()} SELECT (conv_id * 3 + 2)::INTEGER AS seg_no, printf('part_%03d.json', conv_id * 3 + 2) AS part, json_array_length(j)::BIGINT AS n_pairs FROM p WHERE conv_id % 11 <> 0",
     "figure_filter": f"WITH {_FIGURES.strip()} SELECT k AS p_partkey, (row_number() OVER (PARTITION BY k ORDER BY i) - 1)::INTEGER AS kept_idx, x, y, w, h FROM boxes WHERE w > 100 AND h > 100 AND w / h > 0.8 AND w / h < 1.2",

@@ -9,16 +9,12 @@ from scriptorium.functions.text import clean
 from scriptorium.operators import flatten, models, qa, split
 
 
-def pages_to_training_rows(pages: DataFrame, figures: DataFrame | None = None, correct=None, limit: int = 1000) -> DataFrame:
-    """Figures described (figures: doc_id, path, analysis, caption), texts cleaned and then corrected (correct: a column function of a segment), and all flattened. What
-    the corrector returns is kept as it is."""
+def pages_to_training_rows(pages: DataFrame, figures: DataFrame | None = None, correct=None, limit: int = 1000, prompt=lambda s: s) -> DataFrame:
+    """Figures described (figures: doc_id, path, analysis, caption), texts cleaned and then corrected (correct: what models.calls() gives; prompt: what is said around a
+    segment), and all flattened. What the corrector returns is kept as it is."""
     described = flatten.describe_figures(pages, figures) if figures is not None else pages
     cleaned = described.withColumn("text", clean(F.col("text")))
-    if correct is not None:
-        keyed = cleaned.withColumn("__key", F.struct("doc_id", "page_number"))
-        fixed = models.correct(keyed.select("__key", "text"), correct, limit, key="__key").select("__key", F.col("text").alias("__text"))
-        cleaned = keyed.join(fixed, "__key", "left").withColumn("text", F.col("__text")).drop("__key", "__text")
-    return flatten.training_rows(cleaned)
+    return flatten.training_rows(models.corrected(cleaned, correct, limit, prompt=prompt) if correct is not None else cleaned)
 
 
 def book_segments(books: DataFrame, longest: int = 8000, overlap: int = 1000) -> DataFrame:

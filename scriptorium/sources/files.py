@@ -112,7 +112,11 @@ def read_pages(rendered: DataFrame, read: Reader, find: Finder, keep: Callable =
                 text = read(bytes(png)).strip()
             except Exception:  # noqa: BLE001  a reader's failure is an empty text
                 text = ""
-            rows.append((text, [dict(zip("xywh", map(int, b))) for b in find(bytes(png))]))
+            try:
+                boxes = [dict(zip("xywh", map(int, b))) for b in find(bytes(png))]
+            except Exception:  # noqa: BLE001  a detector's failure is a page without figures
+                boxes = []
+            rows.append((text, boxes))
         return pd.DataFrame(rows, columns=["text", "boxes"])
 
     pages = rendered.withColumn("s", seen("png")).withColumn("boxes", kept_boxes(F.col("s.boxes"), keep or is_figure))

@@ -3,7 +3,7 @@ import json
 import pytest
 
 from scriptorium import __main__ as cli
-from scriptorium.operators import models
+from scriptorium.operators import models, prompts
 from scriptorium.operators.images import Found, describe_images, split_regions
 
 
@@ -14,7 +14,8 @@ def go(spark, *argv, backend=None):
 def test_book_and_its_answers(spark, tmp_path):
     (tmp_path / "a.txt").write_text("x" * 50 + "\r\n" + "y" * 30)
     (tmp_path / "c.yaml").write_text("qa_generation: {max_segment_length: 40, overlap_length: 10}\n")
-    rule = models.RuleBackend(lambda s: json.dumps([{"input": s[:3], "output": "o"}, {"x": 1}]) if "y" not in s else "no json")
+    said = lambda s: s.removeprefix(prompts.PAIRS_BEFORE).removesuffix(prompts.PAIRS_AFTER)
+    rule = models.RuleBackend(lambda s: json.dumps([{"input": said(s)[:3], "output": "o"}, {"x": 1}]) if "y" not in said(s) and said(s) != s else "no json")
     for k in range(2):
         got = go(spark, "--config", tmp_path / "c.yaml", "book", tmp_path / "a.txt", tmp_path / f"out{k}", "--answers", f"file://{tmp_path}/answers", backend=rule)
         assert got == {"written": 1, "set aside": 3}
@@ -31,18 +32,26 @@ def test_chunks(spark, tmp_path):
 def test_merge_convert_reshape_clean(spark, tmp_path):
     for folder in ("m", "c", "r", "t"):
         (tmp_path / folder).mkdir()
-    (tmp_path / "m/success2.json").write_text(json.dumps([{"instruction": "q", "output": "a", "system": "s"}, 5]))
+    (tmp_path / "m/success10.json").write_text(json.dumps([{"instruction": "q", "output": "a", "system": "s", "more": [1, None]}, 5]))
+    (tmp_path / "m/success2.json").write_text('[{"z": "é", "a": 1.0}]')
+    (tmp_path / "m/success3.json").write_text("{}")
     (tmp_path / "m/success_x.json").write_text("[]")
     (tmp_path / "c/qa_pairs_1.json").write_text(json.dumps([json.dumps([{"question": "q", "answer": "a"}])]))
     (tmp_path / "r/any.json").write_text(json.dumps([{"input": "q", "output": "a"}, {"input": "q"}]))
     (tmp_path / "t/x.txt").write_bytes("一\r\n二".encode("gb18030"))
-    assert go(spark, "merge", tmp_path / "m", tmp_path / "om") == {"written": 1, "set aside": 2}
+    assert go(spark, "merge", tmp_path / "m", tmp_path / "om") == {"written": 3, "set aside": 2}
+    merged = spark.read.parquet(f"{tmp_path}/om/good").orderBy("file_no", "item_no").collect()
+    assert [json.loads(r["item"]) for r in merged] == [{"z": "é", "a": 1.0}, {"instruction": "q", "output": "a", "system": "s", "more": [1, None]}, 5] and merged[0]["item"].startswith('{"z"')
     assert go(spark, "convert", tmp_path / "c", tmp_path / "oc") == {"written": 1, "set aside": 0}
     assert go(spark, "reshape", tmp_path / "r", tmp_path / "or", "--system", "s") == {"written": 1, "set aside": 1}
     assert go(spark, "clean", tmp_path / "t", tmp_path / "ot") == {"written": 1, "set aside": 0}
     assert spark.read.parquet(f"{tmp_path}/ot/good").first().text == "一 二"
     spark.createDataFrame([("d", 1, "t", None)], "doc_id string, page_number int, text string, images array<struct<path:string,position:struct<x:int,y:int,width:int,height:int>,analysis:string,caption:string>>").write.parquet(f"{tmp_path}/pages")
     assert go(spark, "rows", tmp_path / "pages", tmp_path / "orows") == {"written": 1, "set aside": 0}
+    (tmp_path / "fix.yaml").write_text("text_correction: {enable: true, max_retries: 1, retry_delay: 0}\n")
+    rule = models.RuleBackend(lambda s: "fixed" if s == prompts.CORRECT_BEFORE + "t" else None)
+    assert go(spark, "--config", tmp_path / "fix.yaml", "rows", tmp_path / "pages", tmp_path / "ofix", backend=rule) == {"written": 1, "set aside": 0}
+    assert spark.read.parquet(f"{tmp_path}/ofix/good").first().content == "fixed"
 
 
 def test_images(spark):

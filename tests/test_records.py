@@ -99,3 +99,26 @@ def test_answers_are_asked_once(spark, tmp_path):
     assert len(open(log).read()) == 4  # a, b, and twice the failing one
     again = models.answer(df.unionByName(spark.createDataFrame([(6, "c")], "id int, prompt string")), Counting(log), table, attempts=1)
     assert again.where("id = 6").first().raw == "c!" and len(open(log).read()) == 6
+
+
+def test_one_answer_for_a_prompt_and_one_row_for_a_row(spark):
+    from pyspark.sql import functions as F
+
+    df = spark.createDataFrame([(1, "p"), (2, "q"), (1, "p")], "doc_id long, prompt string").withColumn("raw", F.lit("old"))
+    key = models.prompt_key(F.col("prompt"))
+    recorded = spark.createDataFrame([("p", "b"), ("p", "a")], "prompt string, response string").select(key.alias("prompt_hash"), "response")
+    assert sorted((r.doc_id, r.prompt, r.raw) for r in models.replay(df, recorded).collect() if r.raw) == [(1, "p", "a"), (1, "p", "a")] and models.replay(df, recorded).count() == 3
+    texts = spark.createDataFrame([(1, "ab"), (1, "cd"), (None, " \n"), (2, None), (3, "")], "doc_id long, text string")
+    got = models.correct(texts, models.calls(models.RuleBackend(lambda s: None if s == "cd" else s.upper()), attempts=1)).collect()
+    assert sorted((r.doc_id or 0, r.text or "", r.n_failed) for r in got) == [(0, " \n", 0), (1, "AB", 0), (1, "cd", 1), (2, "", 0), (3, "", 0)]
+
+
+def test_calls_say_what_they_should():
+    from scriptorium.operators import prompts
+
+    body = prompts.CORRECT.backend("u", "m").body("x")
+    assert body["temperature"] == 0.3 and body["top_p"] == 0.8 and body["max_tokens"] == 2048 and [m["role"] for m in body["messages"]] == ["system", "user"] and "stream" not in body
+    assert prompts.PAIRS.backend("u", "m").body("x")["max_tokens"] == 4096
+    assert set(prompts.CHUNK.backend("u", "m").body("x")) == {"model", "messages", "stream"}
+    events = [b"data: " + x for x in (b'{"choices": [{"delta": {"content": "a"}}]}', b'{"choices": []}', b'{"choices": [{"delta": {"content": null}}]}', b'{"choices": [{"delta": {"content": "b "}}]}', b"[DONE]", b'{"choices": [{"delta": {"content": "no"}}]}')]
+    assert models.streamed([b"", b": ping", *events]) == "ab "
