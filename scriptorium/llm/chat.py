@@ -2,15 +2,16 @@
 
 Training chats come as rows of turns, as message lists, as prompt and response or as instruction, input and output. The nested field paths
 of a record, written as one shape string, are hashed; the hash selects a declarative mapping to canonical turns (role, text).
-A frame's shape comes from its schema, a JSON record's from its own variant schema, so layouts can mix within a table.
+A frame's shape comes from its schema, a JSON record's from its own variant schema, so layouts can mix within a table. Before it's compared with a mapping, a shape is
+narrowed to the fields that the mapping knows, so extra fields do no harm, wherever they are and whatever they're called; of mappings that fit, the one of most fields is taken.
 Records whose shape no mapping has are returned with status ``unmapped``, not dropped.
 
 Template: ``<turn ROLE>``, newline, text, newline, ``</turn>``, newline. In a text, a backslash goes before every backslash and before
 a ``<`` that begins ``<turn`` or ``</turn``, so the end mark between newlines never occurs within a text; roles are percent-encoded
 where they hold ``%``, ``>`` or a newline. Both are undone exactly. The loss mask lists the spans of assistant texts.
 
-Defined results: null texts and roles count as empty; turns are ordered by turn, equal ones by role and text, a null turn first.
-Rows with a null conv_id are one conversation. Fields that no mapping knows are left out of a frame's shape. A conversation is one
+Defined results: null texts and roles count as empty; turns are ordered by turn, equal ones by role and text, a null turn first; repeated rows are turns of their own.
+Rows with a null conv_id are one conversation. Very long texts are formatted whole. An empty table gives no rows. A conversation is one
 string, so its turns meet in one task; that is the result's own shape.
 """
 
@@ -39,6 +40,16 @@ def shape(kind: T.DataType) -> str:
     return "_"
 
 
+def narrowed(kind: T.DataType, like: T.DataType) -> T.DataType:
+    """A type without the fields that like doesn't have, at any depth."""
+    if isinstance(kind, T.StructType) and isinstance(like, T.StructType):
+        known = {f.name: f.dataType for f in like.fields}
+        return T.StructType([T.StructField(f.name, narrowed(f.dataType, known[f.name])) for f in kind.fields if f.name in known])
+    if isinstance(kind, T.ArrayType) and isinstance(like, T.ArrayType):
+        return T.ArrayType(narrowed(kind.elementType, like.elementType))
+    return kind
+
+
 def fingerprint(text: str) -> str:
     return hashlib.sha256(text.encode()).hexdigest()[:16]
 
@@ -83,31 +94,51 @@ class Layout:
         return fingerprint(shape(self.schema))
 
 
-LAYOUTS = (
-    Layout("messages", {"messages": [{"role": "", "content": ""}]}, lambda f: F.transform(f("messages"), lambda m: F.struct(_role(m["role"]).alias("role"), m["content"].alias("text")))),
-    Layout("from_value", {"conversations": [{"from": "", "value": ""}]}, lambda f: F.transform(f("conversations"), lambda m: F.struct(_role(m["from"]).alias("role"), m["value"].alias("text")))),
-    Layout("instruction", {"instruction": "", "input": "", "output": ""}, lambda f: F.array(_turn("user", F.when(_nonblank(f("input")), F.concat(F.coalesce(f("instruction"), F.lit("")), F.lit("\n\n"), f("input"))).otherwise(f("instruction"))), _turn(ASSISTANT, f("output")))),
-    Layout("instruction_system", {"instruction": "", "output": "", "system": ""}, lambda f: F.array(_turn("system", f("system")), _turn("user", f("instruction")), _turn(ASSISTANT, f("output")))),
-    Layout("prompt_response", {"prompt": "", "response": ""}, lambda f: F.array(_turn("user", f("prompt")), _turn(ASSISTANT, f("response")))),
-    Layout("prompt_completion", {"prompt": "", "completion": ""}, lambda f: F.array(_turn("user", f("prompt")), _turn(ASSISTANT, f("completion")))),
-    Layout("question_answer", {"question": "", "answer": ""}, lambda f: F.array(_turn("user", f("question")), _turn(ASSISTANT, f("answer")))),
-)
+def _messages(list_field: str, role: str, text: str):
+    return lambda f: F.transform(f(list_field), lambda m: F.struct(_role(m[role]).alias("role"), m[text].alias("text")))
+
+
+def _asked(f: Callable[[str], Column]) -> Column:
+    """An instruction with its input, where there is one."""
+    both = F.concat(F.coalesce(f("instruction"), F.lit("")), F.lit("\n\n"), f("input"))
+    return _turn("user", F.when(_nonblank(f("input")), both).otherwise(f("instruction")))
+
+
+def _told(name: str, user: str, answer: str) -> list[Layout]:
+    """A question and its answer, with and without a system text."""
+    plain = lambda f: F.array(_turn("user", f(user)), _turn(ASSISTANT, f(answer)))
+    with_system = lambda f: F.array(_turn("system", f("system")), _turn("user", f(user)), _turn(ASSISTANT, f(answer)))
+    return [Layout(f"{name}_system", {user: "", answer: "", "system": ""}, with_system), Layout(name, {user: "", answer: ""}, plain)]
+
+
+_MESSAGES, _FROM = _messages("messages", "role", "content"), _messages("conversations", "from", "value")
+_SYSTEM = lambda f: F.array(_turn("system", f("system")))
+#: Mappings; of those that fit a record, the first with the most fields counts.
+LAYOUTS = tuple(sorted((
+    Layout("messages_system", {"messages": [{"role": "", "content": ""}], "system": ""}, lambda f: F.concat(_SYSTEM(f), _MESSAGES(f))),
+    Layout("messages", {"messages": [{"role": "", "content": ""}]}, _MESSAGES),
+    Layout("from_value_system", {"conversations": [{"from": "", "value": ""}], "system": ""}, lambda f: F.concat(_SYSTEM(f), _FROM(f))),
+    Layout("from_value", {"conversations": [{"from": "", "value": ""}]}, _FROM),
+    Layout("instruction_input_system", {"instruction": "", "input": "", "output": "", "system": ""}, lambda f: F.array(_turn("system", f("system")), _asked(f), _turn(ASSISTANT, f("output")))),
+    Layout("instruction_input", {"instruction": "", "input": "", "output": ""}, lambda f: F.array(_asked(f), _turn(ASSISTANT, f("output")))),
+    *_told("instruction", "instruction", "output"),
+    *_told("prompt_response", "prompt", "response"),
+    *_told("prompt_completion", "prompt", "completion"),
+    *_told("question_answer", "question", "answer"),
+), key=lambda x: -len(x.fields)))
 #: Rows of turns are a layout over several records.
 ROWS = kind_of({"turn": "", "role": "", "text": ""})
-BY_FINGERPRINT = {x.fingerprint: x for x in LAYOUTS}
-KNOWN = {f.name for x in LAYOUTS for f in x.schema} | {f.name for f in ROWS}
 
 
 def from_frame(df: DataFrame) -> DataFrame:
-    """conv_id, turn, role, text of a frame whose schema, beside conv_id and fields that no mapping knows, has a known shape."""
-    own = T.StructType([f for f in df.schema if f.name in KNOWN])
-    mark = fingerprint(shape(own))
-    if mark == fingerprint(shape(ROWS)):
+    """conv_id, turn, role, text of a frame whose schema has a known shape, beside conv_id and any other columns."""
+    own = T.StructType([f for f in df.schema if f.name != ID])
+    if shape(narrowed(own, ROWS)) == shape(ROWS):
         return df.select(ID, F.col("turn").cast("long").alias("turn"), F.col("role").cast("string").alias("role"), F.col("text").cast("string").alias("text"))
-    if mark not in BY_FINGERPRINT:
-        raise ValueError(f"no mapping for the shape {shape(own)}")
-    turns = BY_FINGERPRINT[mark].turns(F.col)
-    return df.select(ID, F.posexplode(turns).alias("turn", "t")).select(ID, F.col("turn").cast("long").alias("turn"), "t.role", "t.text")
+    for x in LAYOUTS:
+        if fingerprint(shape(narrowed(own, x.schema))) == x.fingerprint:
+            return df.select(ID, F.posexplode(x.turns(F.col)).alias("__k", "__t")).select(ID, F.col("__k").cast("long").alias("turn"), F.col("__t.role").alias("role"), F.col("__t.text").alias("text"))
+    raise ValueError(f"no mapping for the shape {shape(own)}")
 
 
 def json_shape(record: Column) -> Column:
@@ -115,17 +146,34 @@ def json_shape(record: Column) -> Column:
     return F.regexp_replace(F.schema_of_variant(record), r"(?<=: |ARRAY<|^)(?!OBJECT<|ARRAY<)[A-Z]+(\(\d+, ?\d+\))?", "_")
 
 
+#: A value in a shape string, nested up to eight levels.
+VALUE = "_"
+for _ in range(8):
+    VALUE = rf"(?:_|ARRAY<{VALUE}>|OBJECT<(?:[^<>:]+: {VALUE}(?:, )?)*+>)" if VALUE != "_" else r"(?:_|ARRAY<_?>|OBJECT<(?:[^<>:]+: _(?:, )?)*+>)"
+
+
+def narrowed_shape(given: Column, like: T.StructType) -> Column:
+    """A shape string without the fields that a type has nowhere."""
+
+    def names(kind: T.DataType) -> set[str]:
+        if isinstance(kind, T.StructType):
+            return {f.name for f in kind} | {n for f in kind for n in names(f.dataType)}
+        return names(kind.elementType) if isinstance(kind, T.ArrayType) else set()
+
+    known = "|".join(sorted(names(like)))
+    return F.regexp_replace(F.regexp_replace(given, rf"(?<=<|, )(?!(?:{known}): )[^<>:]+: {VALUE}(?:, |(?=>))", ""), ", >", ">")
+
+
 def from_json(df: DataFrame, record: str = "record") -> DataFrame:
     """conv_id, layout (null: unmapped), status, turns of each JSON record; the layout is chosen row by row."""
-    parsed = df.select(ID, F.try_parse_json(record).alias("v"))
-    marked = parsed.withColumn("mark", F.substring(F.sha2(json_shape(F.col("v")), 256), 1, 16))
+    parsed = df.select(ID, F.try_parse_json(record).alias("v")).withColumn("shape", json_shape(F.col("v")))
     layout, turns = F.lit(None).cast("string"), F.lit(None).cast(TURNS)
-    for x in LAYOUTS:
+    for x in reversed(LAYOUTS):
         kinds = {f.name: f.dataType.simpleString() for f in x.schema}
         mapped = x.turns(lambda name, kinds=kinds: F.try_variant_get(F.col("v"), f"$.{name}", kinds[name])).cast(TURNS)
-        hit = F.col("mark") == x.fingerprint
+        hit = F.substring(F.sha2(narrowed_shape(F.col("shape"), x.schema), 256), 1, 16) == x.fingerprint
         layout, turns = F.when(hit, F.lit(x.name)).otherwise(layout), F.when(hit, mapped).otherwise(turns)
-    return marked.select(ID, layout.alias("layout"), F.when(layout.isNull(), "unmapped").otherwise("mapped").alias("status"), turns.alias("turns"))
+    return parsed.select(ID, layout.alias("layout"), F.when(layout.isNull(), "unmapped").otherwise("mapped").alias("status"), turns.alias("turns"))
 
 
 def explode_turns(mapped: DataFrame) -> DataFrame:

@@ -50,7 +50,7 @@ def test_layouts_by_fingerprint(spark):
     got = {r.conv_id: (r.layout, r.status, r.turns and [(t.role, t.text) for t in r.turns]) for r in mapped.collect()}
     plain = [("user", "q"), ("assistant", "a")]
     assert got[0] == ("messages", "mapped", plain) and got[1] == ("from_value", "mapped", plain)
-    assert got[2] == ("instruction", "mapped", plain) and got[3][2][0] == ("user", "q\n\nmore")
+    assert got[2] == ("instruction_input", "mapped", plain) and got[3][2][0] == ("user", "q\n\nmore")
     assert got[4] == ("prompt_response", "mapped", plain) and got[5] == ("prompt_completion", "mapped", plain)
     assert got[6] == ("question_answer", "mapped", [("user", "q"), ("assistant", None)])
     assert got[7][2] == [("system", "s"), *plain]
@@ -58,6 +58,29 @@ def test_layouts_by_fingerprint(spark):
     assert chat.explode_turns(mapped).count() == 17
 
 
+def test_extra_fields_do_no_harm(spark):
+    plain = [("user", "q"), ("assistant", "a")]
+    records = [
+        {"id": 7, "messages": [{"role": "user", "content": "q", "name": "n"}, {"role": "assistant", "content": "a", "tool": {"role": 1, "x": [{"y": 2}]}}], "meta": {"role": "x", "deep": [{"messages": [1]}]}},
+        {"instruction": "q", "output": "a"},
+        {"instruction": "q", "output": "a", "prompt": 3, "source": {"input": [[1]]}},
+        {"zz": None, "question": "q", "answer": "a", "aa": []},
+        {"prompt": "q", "response": "a", "system": "s"},
+        {"conversations": [{"from": "human", "value": "q", "weight": 0.5}, {"from": "gpt", "value": "a"}], "system": "s"},
+        {"messages": [{"role": "user", "content": [{"type": "text"}]}]},
+        {"messages": []},
+    ]
+    df = spark.createDataFrame([(i, json.dumps(r)) for i, r in enumerate(records)], "conv_id long, record string")
+    got = {r.conv_id: (r.layout, r.turns and [(t.role, t.text) for t in r.turns]) for r in chat.from_json(df).collect()}
+    assert got[0] == ("messages", plain) and got[1] == ("instruction", plain) and got[2] == ("instruction", plain) and got[3] == ("question_answer", plain)
+    assert got[4] == ("prompt_response_system", [("system", "s"), *plain]) and got[5] == ("from_value_system", [("system", "s"), *plain])
+    assert got[6] == got[7] == (None, None)
+    turns = spark.createDataFrame([(1, 0, "user", "q", "x", "y", "z")], "conv_id long, turn long, role string, text string, input string, messages string, t string")
+    assert [tuple(r) for r in chat.from_frame(turns).collect()] == [(1, 0, "user", "q")]
+    listed = spark.createDataFrame([(1, [("user", "q", "n")], "i", 5)], "conv_id long, messages array<struct<role:string,content:string,name:string>>, input string, turn int")
+    assert [tuple(r) for r in chat.from_frame(listed).collect()] == [(1, 0, "user", "q")]
+
+
 def test_frames_of_other_layouts(spark):
     df = spark.createDataFrame([(1, "q", "a", 5, "x")], "conv_id long, prompt string, completion string, score int, formatted string")
     assert [(r.turn, r.role, r.text) for r in chat.from_frame(df).orderBy("turn").collect()] == [(0, "user", "q"), (1, "assistant", "a")]
