@@ -6,14 +6,16 @@ counting an id up to a position and finding its k-th place each take a step a pl
 
 File: the magic WVM1, the length of a JSON head (little-endian 32 bits), the head (n, width, zeros of each plane, sizes of the
 sections), then zstd sections: document ids (Arrow stream), their starts (64 bits), and for each plane its bits (64-bit words, lowest first) and its rank
-directory (ones before every 512th bit, 32 bits).
+directory (ones before every 512th bit and of all, 32 bits), which is what rank and select go by: 1/16 of a bit for each bit. A plane stays packed until a query needs it.
 
 Writing: documents are put in ranges of ascending doc_id (null first, equal ids by text), each task writes its range
 as files of about ``shard_tokens`` ids, and the table of files that the tasks return is summed to starts. Reading goes by that
 table. A null text counts as empty: the end id alone. No documents: no files, no rows.
 
-Texts are encoded by the tokenizers library. Where a tokenizer never looks across white space, a word has the same ids wherever it
+Texts are encoded by the tokenizers library. Where a tokenizer never looks across white space, which its settings say, a word has the same ids wherever it
 stands, so words are encoded once a worker and looked up from then on (see :class:`Encoder`).
+
+Rows that repeat an id are documents of their own. Very long texts are encoded whole. Columns other than doc_id and text are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -50,18 +52,20 @@ def _unpack(data: bytes) -> bytes:
 
 
 class Plane:
-    """Bits with rank and select."""
+    """Bits with rank and select by a directory of the ones before every 512th bit."""
 
-    def __init__(self, words: np.ndarray, n: int):
-        self.words, self.n = words, n
-        self.before = np.concatenate(([0], np.cumsum(np.bitwise_count(words), dtype=np.int64)))
+    def __init__(self, words: np.ndarray, n: int, before: np.ndarray):
+        self.words, self.n, self.before = words, n, before
 
     @classmethod
     def of(cls, bits: np.ndarray) -> Plane:
         packed = np.packbits(bits, bitorder="little")
-        words = np.zeros(-(-len(packed) // 8) * 8, dtype=np.uint8)
-        words[: len(packed)] = packed
-        return cls(words.view(np.uint64), len(bits))
+        raw = np.zeros(-(-len(packed) // 8) * 8, dtype=np.uint8)
+        raw[: len(packed)] = packed
+        words = raw.view(np.uint64)
+        starts = np.arange(0, len(words), BLOCK // 64)
+        ones = np.add.reduceat(np.bitwise_count(words), starts, dtype=np.int64) if len(words) else starts
+        return cls(words, len(bits), np.concatenate(([0], np.cumsum(ones))).astype("<u4"))
 
     def bits(self) -> np.ndarray:
         return np.unpackbits(self.words.view(np.uint8), count=self.n, bitorder="little").view(bool)
@@ -70,25 +74,58 @@ class Plane:
         return int(self.words[i >> 6] >> np.uint64(i & 63)) & 1
 
     def rank1(self, i: int) -> int:
-        """Ones among the first i bits."""
-        part = int(self.words[i >> 6]) & ((1 << (i & 63)) - 1) if i & 63 else 0
-        return int(self.before[i >> 6]) + part.bit_count()
+        """Ones among the first i bits: those before the block, and those of the block's words."""
+        block = i // BLOCK
+        found = int(self.before[block])
+        for w in range(block * (BLOCK // 64), i >> 6):
+            found += int(self.words[w]).bit_count()
+        return found + ((int(self.words[i >> 6]) & ((1 << (i & 63)) - 1)).bit_count() if i & 63 else 0)
 
     def rank(self, bit: int, i: int) -> int:
         return self.rank1(i) if bit else i - self.rank1(i)
 
     def select(self, bit: int, k: int) -> int:
-        """The place of the k-th (from 0) bit of that value."""
-        held = self.before if bit else np.arange(len(self.before)) * 64 - self.before
-        w = int(np.searchsorted(held, k, side="right")) - 1
-        k -= int(held[w])
-        word = int(self.words[w]) if bit else ~int(self.words[w]) & ((1 << 64) - 1)
+        """The place of the k-th (from 0) bit of that value: the block by a binary search, then word by word."""
+        low, high = 0, len(self.before) - 1
+        held = lambda b: int(self.before[b]) if bit else min(b * BLOCK, self.n) - int(self.before[b])
+        while high - low > 1:
+            mid = (low + high) // 2
+            low, high = (mid, high) if held(mid) <= k else (low, mid)
+        k -= held(low)
+        w = low * (BLOCK // 64)
+        while True:
+            word = int(self.words[w]) if bit else ~int(self.words[w]) & ((1 << 64) - 1)
+            if k < word.bit_count():
+                break
+            k, w = k - word.bit_count(), w + 1
         for _ in range(k):
             word &= word - 1
         return w * 64 + (word & -word).bit_length() - 1
 
     def directory(self) -> bytes:
-        return self.before[:: BLOCK // 64].astype("<u4").tobytes()
+        return self.before.tobytes()
+
+
+class Planes:
+    """The planes of a file, each unpacked when it's first asked for; at() gives one without keeping it."""
+
+    def __init__(self, sections: list[tuple[bytes, bytes]], n: int):
+        self.sections, self.n = sections, n
+        self.open: dict[int, Plane] = {}
+
+    def __len__(self) -> int:
+        return len(self.sections)
+
+    def at(self, k: int) -> Plane:
+        bits, directory = self.sections[k]
+        return Plane(np.frombuffer(_unpack(bits), dtype="<u8"), self.n, np.frombuffer(_unpack(directory), dtype="<u4"))
+
+    def __getitem__(self, k: int) -> Plane:
+        if not 0 <= k < len(self.sections):
+            raise IndexError(k)
+        if k not in self.open:
+            self.open[k] = self.at(k)
+        return self.open[k]
 
 
 def _dealt(bits: np.ndarray, zeros: int, size: int = 1 << 16) -> Iterator[tuple[slice, slice, slice, np.ndarray, np.ndarray]]:
@@ -105,7 +142,7 @@ def _dealt(bits: np.ndarray, zeros: int, size: int = 1 << 16) -> Iterator[tuple[
 class Matrix:
     """A wavelet matrix over n ids of width bits."""
 
-    def __init__(self, n: int, width: int, zeros: list[int], planes: list[Plane]):
+    def __init__(self, n: int, width: int, zeros: list[int], planes: list[Plane] | Planes):
         self.n, self.width, self.zeros, self.planes = n, width, zeros, planes
 
     @classmethod
@@ -165,7 +202,9 @@ class Matrix:
         """All ids: the planes' moves undone from the lowest bit up."""
         kind = np.uint16 if self.width <= 16 else np.uint32
         now, then = np.zeros(self.n, dtype=kind), np.empty(self.n, dtype=kind)
-        for level, (zeros, p) in enumerate(zip(reversed(self.zeros), reversed(self.planes))):
+        once = self.planes.at if isinstance(self.planes, Planes) else self.planes.__getitem__
+        for level, zeros in enumerate(reversed(self.zeros)):
+            p = once(self.width - 1 - level)
             for here, low, high, i, j in _dealt(p.bits(), zeros):
                 part = then[here]
                 part[i], part[j] = now[low], now[high] | kind(1 << level)
@@ -188,30 +227,29 @@ def dump(ids: np.ndarray, doc_ids: pa.Array, starts: np.ndarray) -> bytes:
 
 
 def load(data: bytes) -> tuple[Matrix, pa.Array, np.ndarray]:
-    """The matrix, document ids and starts of a shard file."""
+    """The matrix, document ids and starts of a shard file. Its planes stay packed until they're asked for."""
     if data[:4] != MAGIC:
         raise ValueError("not a token shard")
     size = int.from_bytes(data[4:8], "little")
     head, at, sections = json.loads(data[8 : 8 + size]), 8 + size, []
     for n in head["sizes"]:
-        sections.append(_unpack(data[at : at + n]))
+        sections.append(memoryview(data)[at : at + n])
         at += n
-    doc_ids = pa.ipc.open_stream(sections[0]).read_all().column(0).combine_chunks()
-    planes = []
-    for bits, directory in zip(sections[2::2], sections[3::2]):
-        plane = Plane(np.frombuffer(bits, dtype="<u8"), head["n"])
-        if plane.directory() != directory:
-            raise ValueError("a rank directory doesn't fit its plane")
-        planes.append(plane)
-    return Matrix(head["n"], head["width"], head["zeros"], planes), doc_ids, np.frombuffer(sections[1], dtype="<i8")
+    doc_ids = pa.ipc.open_stream(_unpack(sections[0])).read_all().column(0).combine_chunks()
+    planes = Planes(list(zip(sections[2::2], sections[3::2])), head["n"])
+    return Matrix(head["n"], head["width"], head["zeros"], planes), doc_ids, np.frombuffer(_unpack(sections[1]), dtype="<i8")
 
 
 #: A full stop or comma between an ASCII letter and a blank: a pre-token of its own.
 STOP = re.compile(rb"([.,])(?<=[a-z].)(?=[ \n])")
 #: Begin combining marks, which the normaliser may join to a letter, and special tokens, whose case counts.
 DELICATE = (b"\xcc", b"\xcd", b"<|")
-#: Texts and words on which the short ways must give the ids of the plain one, else they aren't taken.
-PROBE = ("The Ünïted, states. A'b c1d e--f\ng  h i's J", "Über naïve cafés, Straße. l'été")
+# Settings of a tokenizer for which the short ways hold. White space is composed to blanks and dropped, text put in lower case, and cut at letters, digits and other
+# signs, so nothing is looked at across a blank and words of lower-case letters are one piece. They're compared whole with the tokenizer's own.
+WORDS_NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
+WORDS_SPLIT = {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "behavior": "Removed", "invert": True}
+WORDS_BYTES = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}
+WORDS_MODEL = {"type": "BPE", "dropout": None, "unk_token": None, "continuing_subword_prefix": None, "end_of_word_suffix": "</w>", "fuse_unk": False, "byte_fallback": False, "ignore_merges": False}
 
 
 class Encoder:
@@ -233,10 +271,11 @@ class Encoder:
         #: byte-level models show other bytes as the code points from 256 on
         self.shown = {b: 256 + k for k, b in enumerate(b for b in range(256) if b not in shown)}
         self.words = Words(self._word)
-        whole = [self._plain(t) for t in PROBE]
-        letters = [w for t in PROBE for w in t.lower().split() if w.isalpha()]
-        self.direct = [self._straight(w.encode()) for w in letters] == [self._plain(w) for w in letters]
-        self.by_word = [self._by_word(t) for t in PROBE] == whole
+        known = json.loads(self.tokenizer.to_str())
+        model = {k: v for k, v in known["model"].items() if k not in ("vocab", "merges")}
+        specials = all(t["special"] and not t["normalized"] and t["content"].startswith("<|") for t in known["added_tokens"])
+        #: whether words are encoded one by one, and words of letters by the model alone
+        self.by_word = specials and known["normalizer"] == WORDS_NORMALIZER and known["pre_tokenizer"] == {"type": "Sequence", "pretokenizers": [WORDS_SPLIT, WORDS_BYTES]} and model == WORDS_MODEL
 
     def _plain(self, text: str) -> bytes:
         return _packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
@@ -246,7 +285,7 @@ class Encoder:
 
     def _word(self, word: bytes) -> bytes:
         text = word.decode("utf-8")
-        if self.direct and text.isalpha() and text == text.lower() and (word.isascii() or unicodedata.is_normalized("NFC", text)):
+        if text.isalpha() and text == text.lower() and (word.isascii() or unicodedata.is_normalized("NFC", text)):
             return self._straight(word)
         return self._plain(text)
 
