@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from scriptorium.functions import figures
 from scriptorium.functions.text import clean
-from scriptorium.operators import assemble, flatten, models, prompts, qa, split
+from scriptorium.operators import assemble, flatten, images, models, prompts, qa, split
 from scriptorium.plans import pipelines
 from scriptorium.sources.sinks import part_name
 from scriptorium.sources.tables import table
@@ -141,6 +141,15 @@ def described_pages(spark, folder):
     return pipelines.pages_to_training_rows(pages, told, mark, LIMIT)
 
 
+def document_rows(spark, folder):
+    """Documents whose lines stand for pages: every page of a length that 7 divides has a figure."""
+    docs = spread(table(spark, folder, "documents").select(F.format_string("%d.pdf", "doc_id").alias("path"), F.encode("text", "utf-8").alias("content")))
+    return pipelines.documents_to_training_rows(
+        docs, lambda raw: raw.split(b"\n"), lambda png: png.decode(), lambda png: [(0, 0, 150, 150), (0, 0, 9, 9)] if png and len(png) % 7 == 0 else [],
+        lambda png, box: str(len(png)).encode(), lambda png: images.Found(None, [], None, png.decode()), lambda pngs: ["seen"] * len(pngs),
+    )
+
+
 def concat_training_text(spark, folder):
     rows = table(spark, folder, "conversations").select("conv_id", "turn", F.col("text").alias("content"))
     return assemble.training_text(rows, ["conv_id"], ["turn"])
@@ -337,7 +346,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         clean_text, clean_conversations, page_number_filter, fixed_chunks, clean_chunks, resume_chunks, resume_by_table, paragraph_pack, overlap_windows, windows_clean, correct_roundtrip, correct_fallback, prompt_correct, prompt_pairs, prompt_chunk,
-        training_rows, described_pages, concat_training_text, stream_accumulate, chat_until_exit, parse_qa, format_sft, format_sft_tolerant, quarantine, convert_legacy, merge_files, merge_whole, unnumbered_files, qa_counts,
+        training_rows, described_pages, document_rows, concat_training_text, stream_accumulate, chat_until_exit, parse_qa, format_sft, format_sft_tolerant, quarantine, convert_legacy, merge_files, merge_whole, unnumbered_files, qa_counts,
         figure_filter, figure_regions, horizontal_lines, figure_description, book_pipeline, training_data_pipeline, chunk_pipeline, chunk_quarantine, replayed_answers,
     )
 }
@@ -435,6 +444,10 @@ ORACLES: dict[str, str] = {
         UNION ALL SELECT doc_id, 1, 'image', 'told p/' || doc_id, 'p/' || doc_id FROM pg WHERE n % 4 >= 1 UNION ALL SELECT doc_id, 2, 'image', 'second ' || doc_id, '' FROM pg WHERE n % 4 >= 2
         UNION ALL SELECT doc_id, 3, 'image', 'told q/' || doc_id, 'q/' || doc_id FROM pg WHERE n % 4 = 3)
         SELECT doc_id, (row_number() OVER (PARTITION BY doc_id ORDER BY o) - 1)::INTEGER AS seq, type, content, 1 AS page, image_path FROM r""",
+    "document_rows": f"""WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(1, len(string_split(text, chr(10))) + 1))::INTEGER AS page FROM documents),
+        r AS (SELECT doc_id, page, 0 AS o, 'text' AS type, {_clean('line')} AS content, NULL AS image_path FROM l WHERE {_clean('line')} <> ''
+        UNION ALL SELECT doc_id, page, 1, 'image', '图中不完全符合卦象特征。' || chr(10) || '图中包含文字信息：' || octet_length(encode(line)) || chr(10) || '基础图像描述：seen', 'figures/' || doc_id || '.pdf/page_' || printf('%05d', page) || '_figure_000.png' FROM l WHERE octet_length(encode(line)) > 0 AND octet_length(encode(line)) % 7 = 0)
+        SELECT doc_id || '.pdf' AS doc_id, (row_number() OVER (PARTITION BY doc_id, page ORDER BY o) - 1)::INTEGER AS seq, type, content, page, image_path FROM r""",
     "concat_training_text": "SELECT conv_id, coalesce(string_agg(text || chr(10) || chr(10), '' ORDER BY turn), '') AS all_text FROM conversations GROUP BY conv_id",
     "stream_accumulate": "SELECT conv_id AS call_id, coalesce(string_agg(text, '' ORDER BY turn) FILTER ((conv_id + turn) % 5 <> 0 AND (conv_id + turn) % 7 <> 0), '') AS full_text FROM conversations GROUP BY conv_id",
     "chat_until_exit": """WITH s AS (SELECT conv_id, turn, CASE WHEN conv_id % 3 = 0 AND turn = conv_id % 4 + 1 THEN CASE WHEN conv_id % 2 = 0 THEN 'EXIT' ELSE 'Quit' END ELSE text END AS text FROM conversations)

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scriptorium.functions.text import clean
-from scriptorium.operators import flatten, models, qa, split
+from scriptorium.operators import flatten, images, models, qa, split
+from scriptorium.sources import files
 
 
 def pages_to_training_rows(pages: DataFrame, figures: DataFrame | None = None, correct=None, limit: int = 1000, prompt=lambda s: s) -> DataFrame:
@@ -17,6 +18,22 @@ def pages_to_training_rows(pages: DataFrame, figures: DataFrame | None = None, c
     return flatten.training_rows(models.corrected(cleaned, correct, limit, prompt=prompt) if correct is not None else cleaned)
 
 
+def documents_to_training_rows(documents: DataFrame, render, read, find, cut, detect, write=None, prepare=None, correct=None, limit: int = 1000, prompt=lambda s: s, keep=lambda pages: pages) -> DataFrame:
+    """Documents (path, content) to training rows in one go: pages rendered, prepared (a function of an image, if one is given), read, their figures cut out, looked
+    at and captioned, texts cleaned and corrected. What renders, reads, finds, cuts, detects and writes captions is passed in; see sources.files and operators.images. keep writes the
+    pages somewhere and reads them back: without it they're rendered once for the texts and once for the figures."""
+    rendered = files.render_pages(documents, render)
+    pages = keep(files.read_pages(files.prepared(rendered, prepare) if prepare else rendered, read, find))
+    told = images.describe_images(files.cut_figures(pages, cut), detect, write, image="png")
+    return pages_to_training_rows(pages.drop("png"), told.select("doc_id", "path", "analysis", "caption"), correct, limit, prompt)
+
+
+def regions_to_analysis(pictures: DataFrame, find, cut, detect) -> DataFrame:
+    """path, region, status, analysis of each region of pictures (path, content), cut out and looked at by itself."""
+    regions = images.split_regions(pictures, find, cut)
+    return images.describe_images(regions, detect, image="png").drop("caption")
+
+
 def book_segments(books: DataFrame, longest: int = 8000, overlap: int = 1000) -> DataFrame:
     """doc_id, seg_no, segment."""
     return split.overlap_windows(books.select("doc_id", "text"), longest, overlap).select("doc_id", "seg_no", "segment")

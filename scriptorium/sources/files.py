@@ -99,6 +99,22 @@ def render_pages(documents: DataFrame, render: Renderer) -> DataFrame:
     return documents.select("path", "content").mapInPandas(run, "doc_id string, page_number int, png binary")
 
 
+def prepared(rendered: DataFrame, prepare: Callable[[bytes], bytes], image: str = "png") -> DataFrame:
+    """The rows with each image as prepare makes it; where it fails, as it was."""
+
+    @F.pandas_udf("binary")
+    def run(images: pd.Series) -> pd.Series:
+        def one(png):
+            try:
+                return prepare(bytes(png))
+            except Exception:  # noqa: BLE001  an image that can't be prepared is read as it is
+                return png
+
+        return images.map(one)
+
+    return rendered.withColumn(image, run(F.col(image)))
+
+
 def read_pages(rendered: DataFrame, read: Reader, find: Finder, keep: Callable = None) -> DataFrame:
     """doc_id, page_number, text, images: each page's text, and its figures that pass the box test, numbered in the order found; a figure's path is made of
     document, page and number, so none overwrites another's crop. The page keeps its image for cutting the crops."""

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,6 +29,26 @@ def write_texts(df: DataFrame, path: str, name: str = "doc_id", text: str = "tex
     df.select(name, text).write.mode(mode).parquet(path)
 
 
+def write_images(df: DataFrame, folder: str, path: str = "path", image: str = "png") -> DataFrame:
+    """Each image as a file of its own below a folder that all machines share (an address); path, bytes of each. Run by whoever reads the result; a repeated task writes the
+    same files again."""
+
+    def run(batches):
+        from pyarrow import fs
+
+        system, base = fs.FileSystem.from_uri(folder)
+        for batch in batches:
+            sizes = []
+            for name, png in zip(batch[path], batch[image]):
+                system.create_dir(f"{base}/{name}".rpartition("/")[0], recursive=True)
+                with system.open_output_stream(f"{base}/{name}", compression=None) as f:
+                    f.write(bytes(png))
+                sizes.append(len(png))
+            yield pd.DataFrame({"path": batch[path], "bytes": sizes})
+
+    return df.select(path, image).mapInPandas(run, "path string, bytes long")
+
+
 def write_with_quarantine(good: DataFrame, bad: DataFrame, path: str, mode: str = "error") -> None:
     """Good rows and what was set aside, side by side."""
     good.write.mode(mode).parquet(f"{path}/good")

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from scriptorium.operators import flatten
+from scriptorium.operators.images import Found
 from scriptorium.plans import pipelines
 from scriptorium.sources import config, files, sinks
 from scriptorium.streaming import incoming
@@ -96,3 +97,25 @@ def test_resume(spark):
     assert sorted(r.chunk_no for r in pipelines.texts_to_chunks(texts, done=done).collect()) == [1, 2]
     with pytest.raises(ValueError):
         pipelines.texts_to_chunks(texts, start_index=-1)
+
+
+def test_documents_in_one_go_and_image_files(spark, tmp_path):
+    documents = spark.createDataFrame([("x/a.pdf", b"one|two|bad")], "path string, content binary")
+
+    def read(png):
+        if png == b"BAD":
+            raise ValueError
+        return png.decode()
+
+    def find(png):
+        return [(0, 0, 150, 150)] if png == b"TWO" else 1 // 0 if png == b"BAD" else []
+
+    rows = pipelines.documents_to_training_rows(documents, lambda raw: raw.split(b"|"), read, find, lambda png, box: png + b"!", lambda png: Found(None, [], None, png.decode()), lambda pngs: ["seen"] * len(pngs), prepare=lambda png: png.upper())
+    got = [(r.type, r.content, r.page) for r in rows.orderBy("page", "seq").collect()]
+    assert got == [("text", "ONE", 1), ("text", "TWO", 2), ("image", "图中不完全符合卦象特征。\n图中包含文字信息：TWO!\n基础图像描述：seen", 2)]
+    pictures = spark.createDataFrame([("p", b"6")], "path string, content binary")
+    (one,) = pipelines.regions_to_analysis(pictures, lambda png: [(0, 0, 60, 60), (0, 0, 50, 60)], lambda png, b: png + b"x", lambda png: Found([(1, 1, 1)], [], None, png.decode())).collect()
+    assert (one.path, one.region, one.status) == ("p", 0, "ok") and "6x" in one.analysis
+    pngs = spark.createDataFrame([("d/1.png", b"abc"), ("d/2.png", b"")], "path string, png binary")
+    assert sorted((r.path, r.bytes) for r in sinks.write_images(pngs, f"file://{tmp_path}/figures").collect()) == [("d/1.png", 3), ("d/2.png", 0)]
+    assert (tmp_path / "figures/d/1.png").read_bytes() == b"abc"
