@@ -9,6 +9,8 @@ from scriptorium.functions import figures
 from scriptorium.functions.text import clean
 from scriptorium.operators import assemble, flatten, images, models, prompts, qa, split
 from scriptorium.plans import pipelines
+from scriptorium.sources import files, sinks
+from scriptorium.sources.shared import scratch
 from scriptorium.sources.sinks import part_name
 from scriptorium.sources.tables import table
 
@@ -342,12 +344,59 @@ def replayed_answers(spark, folder):
     return models.replay(chunks, recorded).select("doc_id", "chunk_no", "raw")
 
 
+# files written and read again
+
+
+def file_rows(spark, folder):
+    """Training rows as JSON lines."""
+    path = scratch(spark, "rows")
+    sinks.write_lines(training_rows(spark, folder).select("type", "content", "page", "image_path"), path)
+    return files.read_training_rows(spark, path, lines=True)
+
+
+def file_parts(spark, folder):
+    """Question and answer pairs, a folder for each number."""
+    path = scratch(spark, "parts")
+    sinks.write_parts(merge_files(spark, folder).withColumn("part", F.col("file_no") % 10), path, "part")
+    return spark.read.schema("file_no int, item_no int, instruction string, output string, part int").json(path)
+
+
+def _nation_files(spark, folder, name: Column, content: Column) -> str:
+    """A file for each nation; the folder."""
+    path = scratch(spark, "files")
+    written = sinks.write_images(table(spark, folder, "nation").select(name.alias("path"), content.alias("png")), path)
+    written.agg(F.sum("bytes")).collect()
+    return path
+
+
+def text_files(spark, folder):
+    """UTF-8 files, every other one with a byte-order mark, with line ends of two kinds."""
+    text = F.concat(F.col("n_name"), F.lit("\r\n一\r"), F.col("n_nationkey").cast("string"))
+    marked = F.concat(F.when(F.col("n_nationkey") % 2 == 0, F.unhex(F.lit("EFBBBF"))).otherwise(F.unhex(F.lit(""))), F.encode(text, "utf-8"))
+    return files.read_any_texts(spark, _nation_files(spark, folder, F.format_string("%d.txt", "n_nationkey"), marked))
+
+
+def image_files(spark, folder):
+    path = _nation_files(spark, folder, F.format_string("a/page_%05d.png", "n_nationkey"), F.encode("n_name", "utf-8"))
+    return files.read_images(spark, f"{path}/a").select(F.element_at(F.split("path", "/"), -1).alias("name"), F.decode("content", "utf-8").alias("content"))
+
+
+def numbered_files(spark, folder):
+    """success files of one pair each, 2 before 10; those without a number are left out."""
+    key = F.col("n_nationkey")
+    name = F.when(key % 7 == 3, F.format_string("success_x%d.json", key)).otherwise(F.format_string("success%d.json", key))
+    raw = F.to_json(F.array(F.struct(F.col("n_name").alias("input"), key.cast("string").alias("output"))))
+    good, _ = files.read_numbered(spark, _nation_files(spark, folder, name, F.encode(raw, "utf-8")))
+    return qa.records(qa.parse_answers(good), "").select("name", "file_no", "instruction", "output")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         clean_text, clean_conversations, page_number_filter, fixed_chunks, clean_chunks, resume_chunks, resume_by_table, paragraph_pack, overlap_windows, windows_clean, correct_roundtrip, correct_fallback, prompt_correct, prompt_pairs, prompt_chunk,
         training_rows, described_pages, document_rows, concat_training_text, stream_accumulate, chat_until_exit, parse_qa, format_sft, format_sft_tolerant, quarantine, convert_legacy, merge_files, merge_whole, unnumbered_files, qa_counts,
         figure_filter, figure_regions, horizontal_lines, figure_description, book_pipeline, training_data_pipeline, chunk_pipeline, chunk_quarantine, replayed_answers,
+        file_rows, file_parts, text_files, image_files, numbered_files,
     )
 }
 
@@ -482,4 +531,10 @@ ORACLES: dict[str, str] = {
     "chunk_pipeline": f"SELECT doc_id, chunk_no, 'success' || chunk_no || '.json' AS file_name, CASE WHEN length(chunk) % 5 = 1 THEN 'object' ELSE 'array' END AS json_type FROM ({_chunks()}) WHERE length(chunk) % 5 <> 0",
     "chunk_quarantine": f"SELECT doc_id, chunk_no, '{{broken' AS raw FROM ({_chunks()}) WHERE length(chunk) % 5 = 0",
     "replayed_answers": f"WITH c AS ({_chunks()}) SELECT doc_id, chunk_no, CASE WHEN chunk IN (SELECT chunk FROM c WHERE chunk_no = 1) THEN 'answer to ' || left(chunk, 10) END AS raw FROM c",
+    "text_files": "SELECT n_nationkey || '.txt' AS doc_id, n_name || chr(10) || '一' || chr(10) || n_nationkey AS text, 'utf-8' AS encoding FROM nation",
+    "image_files": "SELECT 'page_' || printf('%05d', n_nationkey) || '.png' AS name, n_name AS content FROM nation",
+    "numbered_files": "SELECT 'success' || n_nationkey || '.json' AS name, n_nationkey::INTEGER AS file_no, n_name AS instruction, n_nationkey::VARCHAR AS output FROM nation WHERE n_nationkey % 7 <> 3",
 }
+ORACLES["file_rows"] = f"SELECT type, content, page, image_path FROM ({ORACLES['training_rows']})"
+ORACLES["file_parts"] = f"SELECT *, file_no % 10 AS part FROM ({ORACLES['merge_files']})"
+

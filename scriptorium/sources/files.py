@@ -56,9 +56,9 @@ def read_any_texts(spark: SparkSession, path: str, glob: str = "*") -> DataFrame
     return raw.select(_name().alias("doc_id"), unix_lines(F.col("d.text")).alias("text"), "d.encoding")
 
 
-def read_training_rows(spark: SparkSession, path: str) -> DataFrame:
-    """type, content, page, image_path, from a JSON array or JSON lines."""
-    return spark.read.schema("type string, content string, page int, image_path string").option("multiLine", True).json(path)
+def read_training_rows(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+    """type, content, page, image_path, from files that are a JSON array each, or (lines) an object a line, which Spark can split."""
+    return spark.read.schema("type string, content string, page int, image_path string").option("multiLine", not lines).json(path)
 
 
 def read_file_set(spark: SparkSession, path: str, glob: str = "*.json") -> DataFrame:
