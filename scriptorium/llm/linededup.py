@@ -11,7 +11,7 @@ windows are compared. Windows from a piece on reach from the first piece of a sh
 whole pieces that are shared. What occurs earlier (smaller doc_id, then earlier in the text) is deleted; the first occurrence stays, and so does a window that
 overlaps it in its own text.
 
-A shared passage of ``min_words + 2 * (SPAN - 1)`` words (50) is always found, wherever it stands; of the words at either end of it fewer than SPAN may stay, where they have
+A shared passage of ``min_words + 2 * SPAN - 1`` words (51) is always found, wherever it stands; of the words at either end of it SPAN at most may stay, where they have
 grown together with others to one piece. Shared runs of fewer than ``min_words`` words stay everywhere, so common short lines do no harm.
 
 Defined results: a null text stays null. A text all of whose words are in later copies becomes empty; its row stays. In a line that

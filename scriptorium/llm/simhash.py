@@ -431,10 +431,12 @@ def band_rows(docs: DataFrame, words: int, lanes: int) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, node long, fp binary, bands array<long>, prints binary")
 
 
-def shared_keys(nodes: DataFrame) -> DataFrame:
-    """key, n of the band keys that several nodes have."""
-    keys = nodes.select(F.explode("bands").alias("key"))
-    return keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+def sharing(nodes: DataFrame) -> DataFrame:
+    """key, n, node: the band keys that n > 1 nodes have, and these nodes. Nothing else of a node goes out until this is known."""
+    keys = nodes.select("node", F.explode("bands").alias("key"))
+    counts = keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    # one plan at every size: keys that texts share grow with the texts
+    return keys.join(counts.hint("merge"), "key").select("key", "n", "node")
 
 
 def in_blocks(rows: DataFrame, block_rows: int) -> DataFrame:
@@ -445,12 +447,10 @@ def in_blocks(rows: DataFrame, block_rows: int) -> DataFrame:
     return rows.withColumn("block", block).drop("n", "blocks", "own", "other")
 
 
-def similar_links(nodes: DataFrame, counts: DataFrame, lanes: int, tight: int, max_bits: int, block_rows: int = 50_000) -> DataFrame:
-    """Links between distinct nodes that share a band key and differ in max_bits or fewer of 64 * lanes bits: of each bucket a spanning
+def similar_links(nodes: DataFrame, members: DataFrame, lanes: int, tight: int, max_bits: int, block_rows: int = 50_000) -> DataFrame:
+    """Links between distinct nodes that share a band key (members) and differ in max_bits or fewer of 64 * lanes bits: of each bucket a spanning
     forest by shortest links. A key that more than block_rows nodes share is dealt out as pairs of blocks."""
-    keys = nodes.select("node", "fp", F.explode("bands").alias("key"))
-    # one plan at every size: keys that texts share grow with the texts
-    rows = in_blocks(keys.join(counts.hint("merge"), "key"), block_rows)
+    rows = in_blocks(members, block_rows).join(nodes.select("node", "fp").hint("merge"), "node")
     rows = rows.select("key", "block", F.lit(False).alias("kind"), F.col("node").alias("id"), "fp")
     dealt = rows.repartition(_parts(nodes), "key", "block").sortWithinPartitions("key", "block")
     return dealt.mapInArrow(lambda it: sorted_buckets(it, lanes, max_bits, None, tight), "a long, b long")
@@ -506,17 +506,16 @@ def set_links(ids: list[int], roots: list[int], prints: list[bytes], least: floa
     return links
 
 
-def remaining_links(nodes: DataFrame, counts: DataFrame, prints: DataFrame, sure: DataFrame, least: float, block_rows: int = 4_000) -> DataFrame:
+def remaining_links(shared: DataFrame, prints: DataFrame, sure: DataFrame, least: float, block_rows: int = 4_000) -> DataFrame:
     """Links of that similarity between nodes that share a band key and that the links found (sure) leave apart. Every such pair is decided
     by its shingle sets, except where other links have joined it. Keys with the same nodes count once."""
     stars = star_components(sure)
-    keys = nodes.select("node", F.explode("bands").alias("key")).join(counts.hint("merge"), "key").select("key", "node")
-    members = keys.join(stars.hint("merge"), "node", "left").withColumn("root", F.coalesce("root", "node"))
+    members = shared.select("key", "node").join(stars.hint("merge"), "node", "left").withColumn("root", F.coalesce("root", "node"))
     members = materialize(members, "simhash-members")
     sums = members.groupBy("key").agg(F.count("*").alias("n"), F.bit_xor("node").alias("x"), F.bit_xor(F.xxhash64("node")).alias("y"), (F.min("root") != F.max("root")).alias("apart"))
     apart = materialize(sums.where("apart").groupBy("n", "x", "y").agg(F.min("key").alias("key")).select("key", "n"), "simhash-apart")
     rows = in_blocks(members.join(apart.hint("merge"), "key"), block_rows).join(prints.hint("merge"), "node").select("key", "block", "node", "root", "prints")
-    dealt = rows.repartition(_parts(nodes), "key", "block").sortWithinPartitions("key", "block")
+    dealt = rows.repartition(_parts(shared), "key", "block").sortWithinPartitions("key", "block")
 
     def run(batches):
         def links():
@@ -550,12 +549,11 @@ def near_duplicate_groups(docs: DataFrame, words: int = 5, least: float = 0.8, l
     with tables() as keep:
         own = keep(band_rows(docs, words, lanes), "simhash-bandrows")
         nodes = keep(own.groupBy("node").agg(F.any_value("fp").alias("fp"), F.any_value("bands").alias("bands"), F.any_value("prints").alias("prints")), "simhash-nodes")
-        counts = keep(shared_keys(nodes), "simhash-bands")
-        links = keep(similar_links(nodes, counts, lanes, tight, max_bits).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "simhash-links")
-        ends = nodes.select("node", F.explode("bands").alias("key")).join(counts.hint("merge"), "key", "left_semi").select("node").distinct()
-        prints = keep(nodes.select("node", "prints").join(ends.hint("merge"), "node", "left_semi"), "simhash-prints")
+        members = keep(sharing(nodes), "simhash-bands")
+        links = keep(similar_links(nodes, members, lanes, tight, max_bits).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "simhash-links")
+        prints = keep(nodes.select("node", "prints").join(members.select("node").distinct().hint("merge"), "node", "left_semi"), "simhash-prints")
         sure = keep(confirmed(links, prints, least), "simhash-sure")
-        rest = remaining_links(nodes, counts, prints, sure, least)
+        rest = remaining_links(members, prints, sure, least)
         labels = labelled(own.select("doc_id", "node"), sure.unionByName(rest))
         out = materialize(own.select("doc_id", "node").join(labels.hint("merge"), "node").select("doc_id", "component_id"), "simhash-groups")
         for df in (rest, labels):

@@ -271,7 +271,8 @@ class Encoder:
         #: byte-level models show other bytes as the code points from 256 on
         self.shown = {b: 256 + k for k, b in enumerate(b for b in range(256) if b not in shown)}
         self.words = Words(self._word)
-        known = json.loads(self.tokenizer.to_str())
+        with open(path, encoding="utf-8") as f:
+            known = json.load(f)
         model = {k: v for k, v in known["model"].items() if k not in ("vocab", "merges")}
         specials = all(t["special"] and not t["normalized"] and t["content"].startswith("<|") for t in known["added_tokens"])
         #: whether words are encoded one by one, and words of letters by the model alone

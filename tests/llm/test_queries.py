@@ -180,10 +180,15 @@ def test_stages_take_odd_rows(spark, sf_dir):
         [(None, None, None, None, None, 1), (1, "", "en", "s", 0, 2), (2, good, None, None, None, 3), (2, good, None, None, None, 3), (None, good + " again", "en", "x", 5, 4), (3, "é" * 100_000, "fr", "x", 5, 4)],
         "doc_id long, text string, lang string, source string, n_chars long, kept int",
     )
+    # what each stage alone keeps of them, by id (0: null)
+    alone = {"quality_rules": [0, 2, 2], "line_dedup": [0, 0, 1, 2, 2, 3], "simhash_near_dedup": [1, 2, 2, 3], "packing": [0, 0, 1, 2, 2, 3]}
     for frame in (odd, odd.where("false")):
         docs_now = frame
-        for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
-            alone = stage(spark, frame, sf_dir).collect()
+        for k, (name, stage) in enumerate(corpus_pipeline.STAGES):
+            got = stage(spark, frame, sf_dir).collect()
+            ids = sorted(r.doc_id or 0 for r in got)
+            assert not got or name not in alone or ids == alone[name]
+            assert bool(got) == (frame is odd) and (name != "language_id" or not any(r.text in (None, "") for r in got))
             docs_now = stage(spark, docs_now, sf_dir)
-            assert len(alone) <= 6 and (k == 4 or docs_now.columns == frame.columns)
+            assert k == 4 or docs_now.columns == frame.columns
         assert docs_now.count() <= 6
