@@ -9,7 +9,8 @@ from scriptorium.functions.strictjson import elements
 
 
 def ordered_concat(df: DataFrame, keys: list[str], order: list[str], text: str, out: str, between: str = "", after: str = "") -> DataFrame:
-    """keys, out: the texts of a key in order, joined by between, each followed by after; nulls are skipped, none gives ''."""
+    """keys, out: the texts of a key in order, joined by between, each followed by after; nulls are skipped, none gives ''. The result is one
+    string a key, so a key's texts meet in one task: that's the result's own shape, and keys are documents or calls."""
     rows = F.array_sort(F.collect_list(F.when(F.col(text).isNotNull(), F.struct(*order, F.col(text).alias("__t")))))
     texts = F.transform(rows, lambda r: F.concat(r["__t"], F.lit(after)))
     return df.groupBy(*keys).agg(F.array_join(texts, between).alias(out))
