@@ -249,11 +249,11 @@ def assess(docs: DataFrame, field: Field, least_share: float = 0.5) -> DataFrame
 
 
 def accepted(docs: DataFrame, field: Field, least_share: float = 0.5) -> DataFrame:
-    """The rows that stay, all columns as they are."""
-    at = docs.columns.index("text")
+    """The rows that stay, all columns as they are; only texts go through Python, and none comes back."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    @F.arrow_udf("boolean")
+    def stays(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            yield batch.filter(pa.array([judge(x.as_py(), field, least_share)[-1] for x in batch.column(at)], pa.bool_()))
+            yield pa.array([judge(x.as_py(), field, least_share)[-1] for x in batch], pa.bool_())
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.where(stays(F.col("text")))

@@ -33,6 +33,8 @@ FOLD = np.array([b if b >= 128 or 97 <= b <= 122 else b + 32 if 65 <= b <= 90 el
 SLICE, PIECE = 1 << 19, 128
 #: Languages with one automaton. A table is states x symbols x languages, so memory grows with the languages and not with their square.
 TOGETHER = 4
+#: Texts predicted at a time where only a verdict is asked for.
+ROWS = 2048
 #: Numbers (of 4 bytes) in all tables, and code points of all samples together.
 CELLS, SAMPLE_CHARS = 20_000_000, 8_000_000
 
@@ -237,12 +239,15 @@ def identify(docs: DataFrame, trees: Trees, id_col: str = "doc_id", text: str =
 
 
 def accepted(docs: DataFrame, trees: Trees, least_score: float = 0.5, text: str = "text") -> DataFrame:
-    """The rows whose language is known with at least that score, all columns as they are."""
-    shared, at = docs.sparkSession.sparkContext.broadcast(trees), docs.columns.index(text)
+    """The rows whose language is known with at least that score, all columns as they are; only texts go through Python, and none comes back."""
+    shared = docs.sparkSession.sparkContext.broadcast(trees)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    @F.arrow_udf("boolean")
+    def known(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            langs, scores = shared.value.predict(batch.column(at).to_pylist())
-            yield batch.filter(pa.array([x != UNKNOWN and s >= least_score for x, s in zip(langs, scores.tolist())], pa.bool_()))
+            for at in range(0, len(batch), ROWS):
+                part = batch.slice(at, ROWS)
+                langs, scores = shared.value.predict(part.to_pylist())
+                yield pa.array([x != UNKNOWN and s >= least_score for x, s in zip(langs, scores.tolist())], pa.bool_())
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.where(known(F.col(text)))
