@@ -31,11 +31,14 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scriptorium.llm.storage import materialize, reading, tables
+from scriptorium.llm.storage import arrow_rows, materialize, reading, tables
 
 MIN_WORDS = 30
 #: Words in a row of which one is a cut, and the bytes of a word that are compared.
 SPAN, HEAD = 11, 6
+#: Bits of a place that count the pieces before the selected one; a piece's words are held in four bits of its mark.
+AT = 16
+assert SPAN < 16
 #: Bytes of texts that are cut at a time, save for a longer single text.
 SLAB = 1 << 20
 BLANKS = b" \t\n\r\x0b\x0c"
@@ -113,9 +116,14 @@ class Pieces:
         return cls(data, bounds, start, stop, line, first, np.searchsorted(bounds, start[first[:-1]], side="right") - 1, run_hashes(of_words, first[:-1], first[1:]))
 
 
-def windows(words: np.ndarray, text: np.ndarray, small: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(first, last, selected) piece of each window, from the pieces' numbers of words, texts and 32-bit hashes."""
-    n = len(words)
+def marks(p: Pieces) -> np.ndarray:
+    """What is known of a piece elsewhere, in 32 bits: 28 of its hash, then its number of words."""
+    return (p.hash.astype(np.uint32) & np.uint32(0xFFFFFFF0)) | p.words.astype(np.uint32)
+
+
+def windows(small: np.ndarray, text: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(first, last, selected) piece of each window, from the pieces' marks and texts."""
+    n, words = len(small), (small & np.uint32(15)).astype(np.int64)
     upto = np.concatenate(([0], np.cumsum(words, dtype=np.int64)))
     a = np.arange(n)
     b = np.searchsorted(upto, upto[:-1] + least) - 1
@@ -169,16 +177,16 @@ def _slabs(texts: pa.Array) -> Iterator[tuple[int, list[bytes]]]:
 
 
 def selections(docs: DataFrame, min_words: int) -> DataFrame:
-    """id, h (xxhash64 of the text), pick (hash of a selected piece), first (number of the first piece around it), at (pieces before the selected one), hashes and words (of
-    each piece around it): a row for each selected piece of each text."""
+    """id, h (xxhash64 of the text), pick (hash of a selected piece), place (number of the first piece around it, and in the low bits the pieces before the selected one), pieces (marks of
+    those around it): a row for each selected piece of each text."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for begin, texts in _slabs(batch.column(2)):
                 p = Pieces.of(texts)
-                small, words = p.hash.astype(np.uint32), p.words
-                first, last, pick = windows(words, p.text, small, min_words)
+                small = marks(p)
+                first, last, pick = windows(small, p.text, min_words)
                 if not len(pick):
                     continue
                 order = np.argsort(pick, kind="stable")
@@ -187,12 +195,12 @@ def selections(docs: DataFrame, min_words: int) -> DataFrame:
                 places, edges = _spans(low, high)
                 text = p.text[picks]
                 row = pa.array(begin + text)
-                number = low - np.searchsorted(p.text, text)  # within its text
-                columns = [batch.column(0).take(row), batch.column(1).take(row), pa.array(p.hash[picks].view(np.int64)), pa.array(number, pa.int32()), pa.array(picks - low, pa.int32()), _binary(small[places], edges), _binary(words[places].astype(np.uint8), edges)]
-                yield pa.RecordBatch.from_arrays(columns, ["id", "h", "pick", "first", "at", "hashes", "words"])
+                place = (low - np.searchsorted(p.text, text) << AT) + picks - low
+                columns = [batch.column(0).take(row), batch.column(1).take(row), pa.array(p.hash[picks].view(np.int64)), pa.array(place), _binary(small[places], edges)]
+                yield pa.RecordBatch.from_arrays(columns, ["id", "h", "pick", "place", "pieces"])
 
     keyed = docs.where("text is not null").select(F.col("doc_id").alias("id"), F.xxhash64("text").alias("h"), "text")
-    return keyed.mapInArrow(run, f"id {kind}, h long, pick long, first int, at int, hashes binary, words binary")
+    return keyed.mapInArrow(run, f"id {kind}, h long, pick long, place long, pieces binary")
 
 
 def selecting_windows(found: DataFrame, min_words: int, certain: bool) -> DataFrame:
@@ -204,23 +212,22 @@ def selecting_windows(found: DataFrame, min_words: int, certain: bool) -> DataFr
         for batch in batches:
             if not batch.num_rows:
                 continue
-            small = np.frombuffer(b"".join(batch.column(5).to_pylist()), dtype=np.uint32)
-            words = np.frombuffer(b"".join(batch.column(6).to_pylist()), dtype=np.uint8)
-            sizes = pc.binary_length(batch.column(6)).to_numpy(zero_copy_only=False).astype(np.int64)
-            begins, at = np.cumsum(sizes) - sizes, batch.column(4).to_numpy().astype(np.int64)
-            begin, known = batch.column(3).to_numpy().astype(np.int64), np.zeros(len(sizes), dtype=bool)
+            small = np.frombuffer(b"".join(batch.column(4).to_pylist()), dtype=np.uint32)
+            sizes = pc.binary_length(batch.column(4)).to_numpy(zero_copy_only=False).astype(np.int64) // 4
+            place = batch.column(3).to_numpy()
+            begins, at, begin, known = np.cumsum(sizes) - sizes, place & (1 << AT) - 1, place >> AT, np.zeros(len(sizes), dtype=bool)
             if certain:
-                around = run_hashes(small, begins, begins + sizes) ^ _mixed(run_hashes(words, begins, begins + sizes) + at.astype(np.uint64)) ^ batch.column(2).to_numpy().view(np.uint64)
-                place = pc.rank(batch.column(0), null_placement="at_start", tiebreaker="min").to_numpy()
+                around = run_hashes(small, begins, begins + sizes) ^ _mixed(batch.column(2).to_numpy().view(np.uint64) + at.astype(np.uint64))
+                rank = pc.rank(batch.column(0), null_placement="at_start", tiebreaker="min").to_numpy()
                 _, group = np.unique(around, return_inverse=True)
-                least = np.full(group.max() + 1, len(sizes) + 1, dtype=place.dtype)
-                np.minimum.at(least, group, place)
-                known = place > least[group]
+                least = np.full(group.max() + 1, len(sizes) + 1, dtype=rank.dtype)
+                np.minimum.at(least, group, rank)
+                known = rank > least[group]
             row = np.repeat(np.arange(len(sizes)), sizes)
             open_ = ~known[row]
-            small, row, words = small[open_], row[open_], words[open_].astype(np.int64)
+            small, row = small[open_], row[open_]
             begins = np.cumsum(np.where(known, 0, sizes)) - np.where(known, 0, sizes)
-            first, last, pick = windows(words, row, small, min_words)
+            first, last, pick = windows(small, row, min_words)
             own = row[first]
             mine = pick == begins[own] + at[own]
             first, last, own = first[mine], last[mine], own[mine]
@@ -230,16 +237,19 @@ def selecting_windows(found: DataFrame, min_words: int, certain: bool) -> DataFr
             spans = [pa.array(np.concatenate(x), pa.int32()) for x in ((first + shift, begin[whole]), (last + shift, begin[whole] + sizes[whole] - 1))]
             yield pa.RecordBatch.from_arrays([batch.column(0).take(rows), batch.column(1).take(rows), *spans, grams], ["id", "h", "first", "last", "gram"])
 
-    return found.select("id", "h", "pick", "first", "at", "hashes", "words").mapInArrow(run, f"id {kind}, h long, first int, last int, gram long")
+    return found.select("id", "h", "pick", "place", "pieces").mapInArrow(run, f"id {kind}, h long, first int, last int, gram long")
 
 
 def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS, groups: DataFrame | None = None) -> DataFrame:
     """id, h (xxhash64 of the text), runs: the spans of pieces (first, last) to delete, of each text that has any; a written table."""
     with tables() as keep:
-        found = keep(selections(docs, min_words), "lines-found")
+        with arrow_rows(docs.sparkSession, 1000):  # whole texts go to Python: a batch of few is enough
+            found = keep(selections(docs, min_words), "lines-found")
         shared = keep(found.groupBy("pick").agg(F.count("*").alias("n")).where("n > 1").select("pick"), "lines-shared")
-        # one plan at every size: what is shared grows with the texts
-        grown = selecting_windows(found.join(shared.hint("merge"), "pick"), min_words, groups is None)
+        # one plan at every size, as what is shared grows with the texts: tables of one row a key, hashed partition by partition, so that only what
+        # finds a partner is sorted
+        met = found.join(shared.hint("shuffle_hash"), "pick").sortWithinPartitions("pick")
+        grown = selecting_windows(met, min_words, groups is None)
         place, other = F.struct("id", "first", "last", "h"), F.lit(True)
         if groups is not None:
             own = groups.groupBy(F.col("doc_id").alias("__id")).agg(F.min("component_id").alias("g"))
@@ -248,7 +258,7 @@ def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS, groups: DataFrame
         grown = keep(grown, "lines-windows")
         first = grown.where("gram is not null").groupBy("gram").agg(F.min(place).alias("least"), F.count("*").alias("n")).where("n > 1 and least is not null").select("gram", "least")
         first = keep(first, "lines-first")
-        both = grown.join(first.hint("merge"), "gram")
+        both = grown.join(first.hint("shuffle_hash"), "gram")
         same_text = F.col("id").eqNullSafe(F.col("least.id")) & (F.col("h") == F.col("least.h"))
         later = both.where(F.when(same_text, F.col("first") > F.col("least.last")).otherwise(other))
         spans = later.select("id", "h", "first", "last").unionByName(grown.where("gram is null").select("id", "h", "first", "last"))
@@ -298,20 +308,19 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, groups: DataFrame |
     match = F.col(doc_id).eqNullSafe(F.col("__place.id")) & (F.col("__k") == F.col("__place.h"))
     # one plan at every size: the spans grow with the texts, so they aren't broadcast where they happen to be few
     joined = keyed.join(placed.hint("merge"), match, "left").drop("__k", "__place")
-    at, inner = names.index("text"), plain.columns
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for start in range(0, whole.num_rows, 512):
-                batch = whole.slice(start, 512)
-                columns, edits = batch.columns[:-1], batch.column(len(inner))
-                rows = np.flatnonzero(edits.is_valid().to_numpy(zero_copy_only=False)).tolist()
-                if rows:
-                    new = columns[at].to_pylist()
-                    changed = without_runs([new[k].encode("utf-8", "surrogatepass") for k in rows], [[(w["first"], w["last"]) for w in edits[k].as_py()] for k in rows])
-                    for k, x in zip(rows, changed):
-                        new[k] = x.decode("utf-8", "surrogatepass")
-                    columns[at] = pa.array(new, columns[at].type)
-                yield pa.RecordBatch.from_arrays(columns, names=inner)
-
-    return reading(joined.mapInArrow(run, plain.schema).toDF(*names), runs)
+    @F.arrow_udf("string")
+    def cut(old: pa.Array, spans: pa.Array) -> pa.Array:
+        new, rows = [None] * len(old), np.flatnonzero(spans.is_valid().to_numpy(zero_copy_only=False)).tolist()
+        for start in range(0, len(rows), 512):
+            some = rows[start : start + 512]
+            texts = [old[k].as_py().encode("utf-8", "surrogatepass") for k in some]
+            for k, x in zip(some, without_runs(texts, [[(w["first"], w["last"]) for w in spans[k].as_py()] for k in some])):
+                new[k] = x.decode("utf-8", "surrogatepass")
+        return pa.array(new, pa.string())
+
+    # only texts that lose something go through Python
+    changed = F.col("__runs").isNotNull()
+    out = joined.withColumn("__new", cut(F.when(changed, F.col(text)), F.col("__runs")))
+    out = out.select(*[F.when(changed, F.col("__new")).otherwise(F.col(c)).alias(c) if c == text else F.col(c) for c in plain.columns])
+    return reading(out.toDF(*names), runs)

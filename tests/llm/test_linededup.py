@@ -126,8 +126,8 @@ def test_selected_pieces_are_fewer_than_pieces(spark):
 
 
 def test_windows_select_rightmost_minimum():
-    small = np.array([5, 3, 3, 9, 1], dtype=np.uint32)
-    first, last, pick = linededup.windows(np.array([2, 2, 2, 2, 3]), np.zeros(5, dtype=np.int64), small, 6)
+    small = np.array([5, 3, 3, 9, 1], dtype=np.uint32) * 16 + np.array([2, 2, 2, 2, 3], dtype=np.uint32)
+    first, last, pick = linededup.windows(small, np.zeros(5, dtype=np.int64), 6)
     assert sorted(zip(first.tolist(), last.tolist(), pick.tolist())) == [(0, 2, 2), (1, 3, 2), (2, 4, 4)]
 
 
