@@ -6,10 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scriptorium.llm import chat, crf, linededup, packing, ppm, simhash, viterbi, warc, wavelet, winnow
-from scriptorium.llm.storage import materialize
+from scriptorium.llm.storage import few_texts, materialize
 
 
 def _read(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    few_texts(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scriptorium.llm.components import star_components
-from scriptorium.llm.storage import discard, materialize, reading, tables
+from scriptorium.llm.storage import arrow_rows, discard, materialize, reading, tables
 
 SEED = 42
 #: Shingles hashed at a time, so a very long text needs no more memory than a short one beside its words.
@@ -547,7 +547,8 @@ def near_duplicate_groups(docs: DataFrame, words: int = 5, least: float = 0.8, l
     confirmed by the sets first, which joins most of a dense bucket at little cost. As a refused link may have stood for true ones, and bits may lie too far apart
     by chance, every pair of a bucket that is still apart then is decided by its sets, whatever its bits."""
     with tables() as keep:
-        own = keep(band_rows(docs, words, lanes), "simhash-bandrows")
+        with arrow_rows(docs.sparkSession, 1000):  # whole texts go to Python
+            own = keep(band_rows(docs, words, lanes), "simhash-bandrows")
         nodes = keep(own.groupBy("node").agg(F.any_value("fp").alias("fp"), F.any_value("bands").alias("bands"), F.any_value("prints").alias("prints")), "simhash-nodes")
         members = keep(sharing(nodes), "simhash-bands")
         links = keep(similar_links(nodes, members, lanes, tight, max_bits).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "simhash-links")

@@ -55,16 +55,24 @@ def tables() -> Iterator[Callable[[DataFrame, str], DataFrame]]:
             discard(df)
 
 
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def few_texts(spark: SparkSession, rows: int = 1000) -> None:
+    """From now on so many rows at most go to Python at once, in this session: for queries, whose frames are worked out after they've returned."""
+    if not 0 < int(spark.conf.get(ARROW_ROWS)) <= rows:
+        spark.conf.set(ARROW_ROWS, rows)
+
+
 @contextmanager
 def arrow_rows(spark: SparkSession, rows: int) -> Iterator[None]:
     """For what is written within the block: so many rows at most go to Python at once. A batch of whole texts is held several times over, by the executor and by Python."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(name, None)
-    spark.conf.set(name, rows)
+    before = spark.conf.get(ARROW_ROWS)
+    few_texts(spark, rows)
     try:
         yield
     finally:
-        spark.conf.set(name, before) if before is not None else spark.conf.unset(name)
+        spark.conf.set(ARROW_ROWS, before)
 
 
 def remove(spark: SparkSession, path: str) -> None:
