@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scriptorium.llm import chat, crf, linededup, packing, ppm, simhash, viterbi, warc, wavelet, winnow
+from scriptorium.llm import align, chat, crf, linededup, mixing, packing, ppm, simhash, viterbi, warc, wavelet, whitening, winnow
 from scriptorium.llm.storage import few_texts, materialize
 
 
@@ -91,6 +91,22 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return crf.assess(docs, crf.train(docs, _read(spark, folder, "labels")))
 
 
+def op11_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's tokens by two tokenizers, aligned: doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256."""
+    return align.align(_read(spark, folder, "documents"), _tokenizer("byte_bpe_50k.json"), _tokenizer("piece_bpe_32k.model"))
+
+
+def op12_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    """The mix of all documents by source: doc_id, size, source_size, target, taken."""
+    return mixing.mix(_read(spark, folder, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op13_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    """Every usable embedding on the first four components: vec_id, component, n, deviation, whitened, explained, identity_error."""
+    found = whitening.whiten(_read(spark, folder, "embeddings"))
+    return found.withColumn("deviation", F.col("deviation").try_cast("long"))
+
+
 QUERIES = {
     "op1_warc": op1_warc,
     "op2_simhash": op2_simhash,
@@ -102,6 +118,9 @@ QUERIES = {
     "op8_winnowing": op8_winnowing,
     "op9_packing": op9_packing,
     "op10_quality_rules": op10_quality_rules,
+    "op11_alignment": op11_alignment,
+    "op12_mixing": op12_mixing,
+    "op13_whitening": op13_whitening,
 }
 
 
@@ -172,4 +191,34 @@ line AS (SELECT h.doc_id, h.h, CASE WHEN coalesce(lost, 0) = 0 THEN h.line WHEN
 o AS (SELECT doc_id, CASE WHEN sum(lost) > 0 AND sum(words) = 0 THEN '' ELSE string_agg(line, chr(10) ORDER BY h) END AS text FROM line GROUP BY doc_id)
 SELECT doc_id, text, len(string_split(text, chr(10)))::BIGINT AS n_lines FROM o"""
 
-ORACLES: dict[str, str] = {"op6_line_dedup": LINES_SQL, "op1_warc": WARC_SQL, "op5_chat": CHAT_SQL, "op9_packing": _packing_sql(packing.BUCKETS, packing.BUDGET)}
+
+def _mixing_sql(weights: tuple[int, ...], percent: int, copies: int, block: int, seed: str) -> str:
+    """Targets by raising the level until it holds; the highest quotients from a list of all; blocks one by one."""
+    level = f"({percent} * s.total / 100.0 - coalesce((SELECT sum({copies} * o.source_size) FROM src o WHERE o.ratio < c.ratio), 0)) / (SELECT sum(o.weight) FROM src o WHERE o.ratio >= c.ratio)"
+    hexed = lambda x: f"('0x' || substr({x}, 1, 8))::BIGINT"
+    return f"""
+WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '{_WORD}'))::BIGINT AS size, md5('{seed}:' || coalesce(doc_id::VARCHAR, '') || ':' || md5(coalesce(text, ''))) AS key FROM documents),
+s0 AS (SELECT source, sum(size)::BIGINT AS source_size, count(*) FILTER (size > 0) AS n FROM d GROUP BY source),
+s1 AS (SELECT *, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS rank FROM s0),
+src AS (SELECT *, [{', '.join(map(str, weights))}][rank % {len(weights)} + 1] AS weight, {copies} * source_size / [{', '.join(map(str, weights))}][rank % {len(weights)} + 1] AS ratio FROM s1),
+s AS (SELECT sum(source_size) AS total FROM src),
+-- the least ratio of words to weight at which the level that is left for it and all above is no higher
+lv AS (SELECT min(c.ratio) AS ratio FROM src c, s WHERE {level} <= c.ratio),
+num AS (SELECT ({percent} * s.total / 100.0 - coalesce((SELECT sum({copies} * o.source_size) FROM src o, lv WHERE o.ratio < lv.ratio), 0))::DOUBLE AS num, (SELECT sum(o.weight) FROM src o, lv WHERE o.ratio >= lv.ratio)::DOUBLE AS w FROM s),
+t AS (SELECT src.*, src.ratio < lv.ratio AS filled, CASE WHEN src.ratio < lv.ratio THEN ({copies} * source_size)::DOUBLE ELSE weight * num / w END AS target FROM src, lv, num),
+seats AS (SELECT floor(sum(target) FILTER (NOT filled) / {block} + 0.5)::BIGINT AS seats FROM t),
+q1 AS (SELECT rank, unnest(range(0, ceil(target / {block})::BIGINT + (SELECT count(*) FROM t))) AS k, target FROM t WHERE NOT filled AND target > 0),
+w1 AS (SELECT rank FROM q1 ORDER BY target / (2 * k + 1) DESC, rank, k LIMIT (SELECT seats FROM seats)),
+u AS (SELECT t.*, (SELECT count(*) FROM w1 WHERE w1.rank = t.rank) AS quota, greatest(1, ceil(source_size / {mixing.SHARD_WORDS}), ceil(n / {mixing.SHARD_DOCS}))::BIGINT AS n_shards FROM t),
+x AS (SELECT d.*, u.rank, u.source_size, u.target, u.filled, u.quota, CASE WHEN size > 0 THEN {hexed('key')} % n_shards ELSE -1 END AS shard FROM d JOIN u ON d.source IS NOT DISTINCT FROM u.source),
+h AS (SELECT rank, shard, ceil(sum(size) / {block})::BIGINT AS m, any_value(filled) AS filled, any_value(quota) AS quota FROM x WHERE size > 0 GROUP BY rank, shard),
+q2 AS (SELECT rank, shard, unnest(range(0, {copies} * m + 1 + (SELECT count(*) FROM h))) AS k, m, quota FROM h WHERE NOT filled),
+w2 AS (SELECT rank, shard, count(*) AS q FROM (SELECT *, row_number() OVER (PARTITION BY rank ORDER BY m / (2 * k + 1) DESC, shard, k) AS place FROM q2) WHERE place <= quota GROUP BY rank, shard),
+g AS (SELECT h.rank, h.shard, h.m, CASE WHEN h.filled THEN {copies} * h.m ELSE least(coalesce(q, 0), {copies} * h.m) END AS q, {hexed(f"md5('{seed}:' || h.rank || ':' || h.shard)")} % h.m AS r FROM h LEFT JOIN w2 USING (rank, shard)),
+p AS (SELECT x.*, m, q, r, sum(size) OVER (PARTITION BY rank, shard ORDER BY key, size ROWS UNBOUNDED PRECEDING) - size AS pos FROM x JOIN g USING (rank, shard) WHERE size > 0),
+b AS (SELECT doc_id, size, source_size, target, key, pos, q, r, m, unnest(range((pos // {block})::BIGINT, ((pos + size - 1) // {block})::BIGINT + 1)) AS k FROM p),
+o AS (SELECT doc_id, size, source_size, target, sum((least((k + 1) * {block}, pos + size) - greatest(k * {block}, pos)) * (((k + 1) * q + r) // m - (k * q + r) // m))::BIGINT AS taken FROM b GROUP BY doc_id, size, source_size, target, key, pos)
+SELECT * FROM o UNION ALL SELECT doc_id, size, source_size, target, 0 FROM x WHERE size = 0"""
+
+
+ORACLES: dict[str, str] = {"op12_mixing": _mixing_sql(mixing.WEIGHTS, mixing.PERCENT, mixing.COPIES, mixing.BLOCK, mixing.SEED), "op6_line_dedup": LINES_SQL, "op1_warc": WARC_SQL, "op5_chat": CHAT_SQL, "op9_packing": _packing_sql(packing.BUCKETS, packing.BUDGET)}
