@@ -1,12 +1,12 @@
 """Alignment of two tokenizers' tokens, as joins and windows over tokens in rows.
 
-Neither tokenizer joins anything across a blank that follows a word, so a text is a row of parts, each a word with the blanks before it, whose tokens depend on the part alone. Each different part is encoded once and aligned once:
-its tokens are rows (posexplode), running sums of their byte lengths give their ends, an equi-join on part and end finds the ends that both have, and the running count of those cuts numbers
-the groups. Between two neighbouring ends, of either kind, there's one token of each, so each row of that join, which is outer, is one link: its tokens are the nearest that end there or later, filled in by a window. That's the range
-join of overlapping tokens within a group without a row for any pair that doesn't overlap.
+Some places cut a text so that neither tokenizer joins anything across: before a blank or a line end that follows something that is no white space, and between a letter and a full stop or comma at a word's end. So
+a text is a row of parts whose tokens depend on the part alone. Each different part is encoded once and aligned once: its tokens are rows (posexplode), running sums of their byte lengths give their ends, equal ends of a part
+meet (an outer equi-join on part and end: both sides' tokens in one table, grouped by these), and the running count of ends that both have numbers the groups. Between two neighbouring ends of either kind there's one token
+of each side, so each row of that join is one link, of the nearest tokens that end there or later, filled in by a window. That's the range join of the overlapping tokens of a group, without a row for any pair that doesn't overlap.
 
-A text is then what its parts are, in order. A first pass cuts texts into blocks of a few MB, each with its different parts and, for each document, the numbers of its parts: texts are read once and never shuffled. What a part's alignment says
-meets the blocks by joins on the part; adding up over a document is NumPy within a block. Pairs are counted in two steps, a count for each block and a sum over blocks; the count of a pair goes back to the parts that hold it as two numbers.
+A text is then what its parts are, in order. A first pass cuts texts into blocks of a few MB, each with its different parts and, for each document, the numbers of its parts: texts are read once and never shuffled. Links
+meet the blocks by a join on the part; adding up over a document is NumPy within a block. Pairs are counted in two steps, in a block and over blocks, and a pair's count goes back to the blocks that hold it.
 
 Defined results: null and empty texts, and texts of which the joined bytes of either tokenizer's tokens aren't a blank and the text (U+2581 is read back as a blank), have zeros and an empty groups_sha256, and don't count for any pair. Every row is a
 document of its own, rows of equal, null or repeated ids included; ids are carried along as they are. Ties for an A id's highest count are all best. A very long text is a block of its own; a very long word is one part, whose tokens are
@@ -16,30 +16,51 @@ rows like any other. No rows: no rows. Columns other than the id and the text ar
 from __future__ import annotations
 
 import hashlib
-import re
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from scriptorium.llm.storage import materialize, reading, tables
+from scriptorium.llm.storage import discard, materialize, reading, tables
 
-#: A blank between parts: after something that is no white space, and with something other than blanks behind it.
-CUT = re.compile(r"(?<=\S) (?= *[^ ])")
-#: Code points of a block, about.
-BLOCK = 1 << 23
-#: White space before a blank, with which a text needs the pattern.
-ODD = [chr(c) + " " for c in range(0x3001) if chr(c).isspace()]
-TOKENS = "array<struct<id:int,len:int>>"
+#: Code points of a block, and its documents, about.
+BLOCK, BLOCK_DOCS = 1 << 24, 1 << 18
+#: Stands between parts while a text is cut.
+BAR = "\x01"
+SPACES = "".join(rf"\x{{{c:x}}}" for c in range(0x3001) if chr(c).isspace())
+#: What needs the full pattern: white space before a blank or a line end, also at the beginning, and the bar itself.
+ODD = rf"^[ \n]|[{SPACES}][ \n]|{BAR}"
+CUT = regex.compile(r"(?<=\S)(?=[ \n])", regex.V1)
+MARK = regex.compile(r"(?<=\p{L})(?=[.,]$)")
+#: What's said of a link beside its tokens: that its A token, its B token ends with it.
+A_ENDS, B_ENDS = 2, 1
+TOKEN = "struct<side:int,id:int,len:int>"
 
 
 def parts(text: str) -> list[str]:
-    """The parts of a text, without the blank that each begins with."""
-    if text[0] == " " or text[-1] == " " or any(x in text for x in ODD):
-        return CUT.split(text)
-    return text.split(" ")
+    """The parts of a text; joined they're the text. An empty text has none."""
+    return [x for p in CUT.split(text) for x in MARK.split(p) if x]
+
+
+def cut_texts(texts: pa.Array) -> pa.ListArray:
+    """The parts of a blank and each text; null for null and empty texts."""
+    odd = pc.fill_null(pc.or_(pc.equal(pc.binary_length(texts), 0), pc.match_substring_regex(texts, ODD)), False).to_numpy(zero_copy_only=False)
+    barred = pc.replace_substring(pc.replace_substring(texts, " ", BAR + " "), "\n", BAR + "\n")
+    barred = pc.replace_substring_regex(barred, rf"(\pL)([.,])({BAR}|$)", rf"\1{BAR}\2\3")
+    found = pc.split_pattern(pc.binary_join_element_wise(" ", barred, ""), BAR)
+    if not odd.any():
+        return found
+    rows = [pa.array([parts(" " + text) if text else None], pa.list_(pa.string())) for text in (texts[k].as_py() for k in np.flatnonzero(odd).tolist())]
+    ends = [-1, *np.flatnonzero(odd).tolist()]
+    pieces = []
+    for before, k, row in zip(ends, ends[1:], rows):
+        pieces += [found.slice(before + 1, k - before - 1), row]
+    return pa.concat_arrays([*pieces, found.slice(ends[-1] + 1)])
 
 
 class Pair:
@@ -54,26 +75,33 @@ class Pair:
         # Byte-level entries show bytes that can be printed as themselves, the others from U+0100 on
         shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
         table = {chr(x): x for x in shown} | {chr(256 + k): x for k, x in enumerate(x for x in range(256) if x not in set(shown))}
-        self.a_bytes = {i: bytes(table[c] for c in t) if all(c in table for c in t) else t.encode() for t, i in self.a.get_vocab(with_added_tokens=True).items()}
+        vocabulary = self.a.get_vocab(with_added_tokens=True)
+        self.a_bytes = [b""] * (max(vocabulary.values()) + 1)
+        for entry, i in vocabulary.items():
+            self.a_bytes[i] = bytes(table[c] for c in entry) if all(c in table for c in entry) else entry.encode()
         self.b_bytes = [self._piece(i) for i in range(self.b.get_piece_size())]
+        self.lengths = [np.array([len(x) for x in side], dtype=np.int32) for side in (self.a_bytes, self.b_bytes)]
 
     def _piece(self, i: int) -> bytes:
         piece = self.b.id_to_piece(i)
-        if self.b.is_byte(i):
-            return bytes([int(piece[3:5], 16)])
-        return piece.replace("▁", " ").encode()
-
-    def encode(self, found: list[str]) -> tuple[list, list, list[bool]]:
-        """The tokens of parts, as ids and byte lengths, and whether both give the part back."""
-        ids_a = [e.ids for e in self.a.encode_batch([" " + p for p in found], add_special_tokens=False)]
-        ids_b = self.b.encode(found, num_threads=1)
-        a = [[(i, len(self.a_bytes[i])) for i in ids] for ids in ids_a]
-        b = [[(i, len(self.b_bytes[i])) for i in ids] for ids in ids_b]
-        same = []
-        for p, x, y in zip(found, ids_a, ids_b):
-            raw = (" " + p).encode()
-            same.append(b"".join([self.a_bytes[i] for i in x]) == raw and b"".join([self.b_bytes[i] for i in y]) == raw)
-        return a, b, same
+        return bytes([int(piece[3:5], 16)]) if self.b.is_byte(i) else piece.replace("▁", " ").encode()
+
+    def encode(self, found: list[str]) -> tuple[list[list[int]], list[list[int]]]:
+        """The ids of parts."""
+        a = [e.ids for e in self.a.encode_batch_fast(found, add_special_tokens=False)]
+        # behind a line end, which nothing is joined with, a part stands as it does within a text; the line end and the blank before it are the first two ids
+        return a, [ids[2:] for ids in self.b.encode(["\n" + p for p in found], num_threads=1)]
+
+    def given_back(self, found: list[str], a: list[list[int]], b: list[list[int]]) -> np.ndarray:
+        """Which parts the bytes of both sides' tokens come to."""
+        joined = lambda side, ids: b"".join([side[i] for i in ids])
+        every = "".join(found).encode()
+        if joined(self.a_bytes, itertools.chain.from_iterable(a)) == every == joined(self.b_bytes, itertools.chain.from_iterable(b)):
+            sizes = np.array([len(p.encode()) for p in found])
+            own = [np.array([sum(self.lengths[side][ids]) if ids else 0 for ids in x]) for side, x in ((0, a), (1, b))] if any(not p.isascii() for p in found) else None
+            if own is None or ((own[0] == sizes) & (own[1] == sizes)).all():
+                return np.ones(len(found), dtype=bool)
+        return np.array([joined(self.a_bytes, x) == p.encode() == joined(self.b_bytes, y) for p, x, y in zip(found, a, b)], dtype=bool)
 
 
 _PAIRS: dict[tuple[str, str], Pair] = {}
@@ -85,164 +113,237 @@ def pair_of(a: str, b: str) -> Pair:
     return _PAIRS[a, b]
 
 
-def blocks(docs: DataFrame) -> DataFrame:
-    """block, ids, sizes (parts of each document), codes (32-bit numbers, of each document's parts in order), parts (the different ones, by number): a row for each few MB of texts."""
-    kind = docs.schema["doc_id"].dataType
+def squeezed(numbers: np.ndarray) -> bytes:
+    """Whole numbers, compressed byte plane by byte plane."""
+    import zstandard
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
+    wide = np.ascontiguousarray(numbers.view(np.uint8).reshape(-1, numbers.dtype.itemsize).T)
+    return zstandard.ZstdCompressor(level=1).compress(wide.tobytes())
 
-        part, seq = TaskContext.get().partitionId(), 0
-        ids, sizes, codes, held, known = [], [], [], 0, {}
 
-        def row():
-            own = pa.concat_arrays(ids)
-            lists = [pa.ListArray.from_arrays([0, len(x)], x) for x in (own, pa.array(sizes, pa.int32()), pa.array(list(known), pa.string()))]
-            return pa.RecordBatch.from_arrays([pa.array([part << 32 | seq]), lists[0], lists[1], pa.array([np.concatenate(codes).tobytes() if codes else b""]), lists[2]], ["block", "ids", "sizes", "codes", "parts"])
+def opened(data: bytes, kind: str) -> np.ndarray:
+    import zstandard
 
-        for batch in batches:
-            from_row = 0
-            for k, value in enumerate(batch.column(1)):
-                text = value.as_py()
-                found = parts(text) if text else []
-                sizes.append(len(found))
-                if found:
-                    codes.append(np.array([known.setdefault(p, len(known)) for p in found], dtype="<i4"))
-                    held += len(text)
-                if held >= BLOCK or len(sizes) >= BLOCK >> 4:
-                    ids.append(batch.column(0).slice(from_row, k + 1 - from_row))
-                    yield row()
-                    ids, sizes, codes, held, known, seq, from_row = [], [], [], 0, {}, seq + 1, k + 1
-            if from_row < batch.num_rows:
-                ids.append(batch.column(0).slice(from_row))
-        if sizes:
-            yield row()
-
-    return docs.select("doc_id", "text").mapInArrow(run, f"block long, ids array<{kind.simpleString()}>, sizes array<int>, codes binary, parts array<string>")
-
-
-def encoded(entries: DataFrame, a: str, b: str) -> DataFrame:
-    """part, same, a, b (array<struct<id, len>>) of different parts."""
+    raw, size = zstandard.ZstdDecompressor().decompress(data), np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(raw, dtype=np.uint8).reshape(size, -1).T).view(kind).ravel()
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kind = pa.list_(pa.struct([("id", pa.int32()), ("len", pa.int32())]))
 
-        def column(tokens: list[list[tuple[int, int]]]) -> pa.Array:
-            flat = np.array([x for t in tokens for x in t], dtype=np.int32).reshape(-1, 2)
-            items = pa.StructArray.from_arrays([pa.array(np.ascontiguousarray(flat[:, 0])), pa.array(np.ascontiguousarray(flat[:, 1]))], fields=list(kind.value_type))
-            return pa.ListArray.from_arrays(np.concatenate(([0], np.cumsum([len(t) for t in tokens]))).astype(np.int32), items)
+def blocks(docs: DataFrame) -> DataFrame:
+    """block, ids, sizes (parts of each document), codes (numbers of each document's parts, in order), parts (the different ones, by number): a row for each few MB of texts."""
+    kind = docs.schema["doc_id"].dataType.simpleString()
+
+    def row(number: int, ids: list[pa.Array], cut: list[pa.ListArray]) -> pa.RecordBatch:
+        flat = pa.concat_arrays([x.flatten() for x in cut]).dictionary_encode()
+        sizes = pc.fill_null(pc.list_value_length(pa.concat_arrays(cut)), 0)
+        found, codes = flat.dictionary, flat.indices.to_numpy()
+        # frequent parts have small numbers, which take less room
+        order = np.argsort(-np.bincount(codes, minlength=len(found)), kind="stable")
+        rank = np.empty(len(found), dtype="<i4")
+        rank[order] = np.arange(len(found))
+        lists = [pa.ListArray.from_arrays([0, len(x)], x) for x in (pa.concat_arrays(ids), sizes, found.take(pa.array(order)))]
+        return pa.RecordBatch.from_arrays([pa.array([number]), lists[0], lists[1], pa.array([squeezed(rank[codes])]), lists[2]], ["block", "ids", "sizes", "codes", "parts"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
 
+        numbers = itertools.count(TaskContext.get().partitionId() << 32)
+        ids, cut, held, rows = [], [], 0, 0
         for batch in batches:
-            x, y, same = pair_of(a, b).encode(batch.column(0).to_pylist())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(same), column(x), column(y)], ["part", "same", "a", "b"])
+            for at in range(0, batch.num_rows, 64):
+                some = batch.slice(at, 64)
+                ids.append(some.column(0))
+                cut.append(cut_texts(some.column(1)))
+                held, rows = held + some.column(1).nbytes, rows + some.num_rows
+                if held >= BLOCK or rows >= BLOCK_DOCS:
+                    yield row(next(numbers), ids, cut)
+                    ids, cut, held, rows = [], [], 0, 0
+        if ids:
+            yield row(next(numbers), ids, cut)
 
-    return entries.mapInArrow(run, f"part string, same boolean, a {TOKENS}, b {TOKENS}")
+    return docs.select("doc_id", "text").mapInArrow(run, f"block long, ids array<{kind}>, sizes array<int>, codes binary, parts array<string>")
 
 
-def ended(found: DataFrame, side: str) -> DataFrame:
-    """pid, end, id: the tokens of one side with their ends, running sums of their lengths."""
-    rows = found.select("pid", F.posexplode(side).alias("pos", "t"))
-    end = F.sum("t.len").over(Window.partitionBy("pid").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0))
-    return rows.select("pid", end.alias("end"), F.col("t.id").alias(side))
+def key_of(part: str) -> Column:
+    """A part, or the hash of a long one, so that the rows of its tokens don't carry it."""
+    return F.when(F.octet_length(part) <= 64, F.col(part)).otherwise(F.concat(F.lit("\n\n"), F.sha2(F.col(part).cast("binary"), 256)))
 
 
-def linked(found: DataFrame) -> DataFrame:
-    """pid, end, a, b (the tokens of a link), a_ends, b_ends (the token that ends here, if any), group (from the last one, counted backwards from 1): a row for each link of every part, found by an outer join on part and end."""
-    both = ended(found, "a").withColumnRenamed("a", "a_ends").join(ended(found, "b").withColumnRenamed("b", "b_ends"), ["pid", "end"], "full")
-    back = Window.partitionBy("pid").orderBy(F.desc("end")).rowsBetween(Window.unboundedPreceding, 0)
-    cut = F.when(F.col("a_ends").isNotNull() & F.col("b_ends").isNotNull(), 1).otherwise(0)
-    nearest = lambda c: F.last(c, ignorenulls=True).over(back)
-    return both.select("pid", "end", "a_ends", "b_ends", nearest("a_ends").alias("a"), nearest("b_ends").alias("b"), F.sum(cut).over(back).alias("group"))
+def encoded(found: DataFrame, a: str, b: str) -> DataFrame:
+    """key, tokens (array<struct<side, id, len>>, those of A, which is side 0, first) of different parts; parts that aren't given back have none."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pair = pair_of(a, b)
+        for batch in batches:
+            own = batch.column(1).to_pylist()
+            x, y = pair.encode(own)
+            ok = pair.given_back(own, x, y)
+            if not ok.all():
+                x, y = ([ids if good else [] for ids, good in zip(side, ok)] for side in (x, y))
+            sizes = np.array([[len(i) for i in x], [len(i) for i in y]], dtype=np.int64).reshape(2, -1)
+            flat = np.fromiter(itertools.chain.from_iterable(itertools.chain.from_iterable(zip(x, y))), dtype=np.int32, count=sizes.sum())
+            side = np.repeat(np.tile(np.array([0, 1], dtype=np.int32), len(own)), sizes.T.ravel())
+            length = np.where(side == 0, pair.lengths[0][np.where(side == 0, flat, 0)], pair.lengths[1][np.where(side == 1, flat, 0)]).astype(np.int32)
+            items = pa.StructArray.from_arrays([pa.array(side), pa.array(flat), pa.array(length)], ["side", "id", "len"])
+            ends = np.concatenate(([0], np.cumsum(sizes.sum(axis=0)))).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(ends, items)], ["key", "tokens"])
+
+    return found.select("key", "part").mapInArrow(run, f"key string, tokens array<{TOKEN}>")
+
+
+def linked(tokens: DataFrame) -> DataFrame:
+    """key, end, a, b (the tokens of a link), a_ends, b_ends (the token that ends here, if any), group (counted backwards from the last one, 1): a row for each link of every key, in one partition a key. tokens: as encoded() gives them."""
+    rows = tokens.select("key", F.posexplode("tokens").alias("pos", "t")).select("key", "pos", "t.side", "t.id", "t.len")
+    order = Window.partitionBy("key", "side").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
+    ended = rows.withColumn("end", F.sum("len").over(order))
+    own = lambda side: F.max(F.when(F.col("side") == side, F.col("id")))
+    met = ended.groupBy("key", "end").agg(own(0).alias("a_ends"), own(1).alias("b_ends"))
+    back = Window.partitionBy("key").orderBy(F.desc("end")).rowsBetween(Window.unboundedPreceding, 0)
+    nearest = lambda c: F.last(c, ignorenulls=True).over(back)
+    both = F.when(F.col("a_ends").isNotNull() & F.col("b_ends").isNotNull(), 1).otherwise(0)
+    return met.select("key", "end", nearest("a_ends").alias("a"), nearest("b_ends").alias("b"), "a_ends", "b_ends", F.sum(both).over(back).alias("group"))
 
-def pair_key(a: str | Column, b: str | Column) -> Column:
-    return F.shiftleft(F.col(a).cast("long"), 32).bitwiseOR(F.col(b).cast("long"))
 
+def links_of(tokens: DataFrame) -> DataFrame:
+    """key, links (array<long>, in order): a link's tokens and which of them end with it, as one number."""
+    number = F.shiftleft(F.col("a").cast("long"), 32) + F.shiftleft(F.col("b").cast("long"), 2) + F.when(F.col("a_ends").isNotNull(), A_ENDS).otherwise(0) + F.when(F.col("b_ends").isNotNull(), B_ENDS).otherwise(0)
+    rows = linked(tokens).select("key", F.struct("end", number.alias("link")).alias("s"))
+    return rows.groupBy("key").agg(F.sort_array(F.collect_list("s")).alias("s")).select("key", F.col("s.link").alias("links"))
 
-def aligned_parts(found: DataFrame) -> DataFrame:
-    """pid, n_links, n_groups, groups (its text), pairs (array<long>, one for each link)."""
-    ids = lambda c: F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col(c).isNotNull(), F.struct("end", F.col(c).alias("i"))))), lambda x: x["i"].cast("string")), ",")
-    groups = linked(found).groupBy("pid", "group").agg(F.concat(ids("a_ends"), F.lit("|"), ids("b_ends")).alias("g"), F.collect_list(pair_key("a", "b")).alias("p"))
-    told = groups.groupBy("pid").agg(F.array_sort(F.collect_list(F.struct((-F.col("group")).alias("o"), "g"))).alias("gs"), F.flatten(F.collect_list("p")).alias("pairs"))
-    return told.select("pid", F.size("pairs").cast("long").alias("n_links"), F.size("gs").cast("long").alias("n_groups"), F.array_join(F.col("gs.g"), ";").alias("groups"), "pairs")
 
+def packed(told: DataFrame, rows: int = 1 << 18) -> DataFrame:
+    """of, chunk: the links of a block's parts (of, code, links), many parts to a row."""
 
-def _met(cut: DataFrame, entries: DataFrame, fields: DataFrame, run, schema: str) -> DataFrame:
-    """run(block's row, its parts' fields by number) for every block. fields: part and what's said of it."""
-    told = entries.join(fields.hint("merge"), "part").drop("part").withColumnRenamed("block", "of")
-    return cut.drop("parts").groupBy("block").cogroup(told.groupBy("of")).applyInArrow(lambda x, y: run(x, y), schema)
+    def flush(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import pickle
 
+        whole = pa.Table.from_batches(held)
+        whole = whole.take(np.argsort(whole.column("of").to_numpy(), kind="stable"))
+        of, code = whole.column("of").to_numpy(), whole.column("code").to_numpy()
+        lists = whole.column("links").combine_chunks()
+        sizes, flat = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(), lists.flatten().to_numpy()
+        upto = np.concatenate(([0], np.cumsum(sizes)))
+        begins = [0, *(np.flatnonzero(np.diff(of)) + 1).tolist(), len(of)]
+        for i, j in zip(begins, begins[1:]):
+            chunk = pickle.dumps((squeezed(code[i:j].astype("<i4")), squeezed(sizes[i:j].astype("<i4")), squeezed(flat[upto[i] : upto[j]].astype("<i8"))))
+            yield pa.RecordBatch.from_pydict({"of": [int(of[i])], "chunk": [chunk]})
 
-def _block(x: pa.Table, y: pa.Table) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray, pa.Table]:
-    """ids, document bounds, codes, which documents are given back whole, and the parts' fields in order of their numbers."""
-    ids = x.column("ids").combine_chunks().flatten()
-    sizes = x.column("sizes").combine_chunks().flatten().to_numpy()
-    bounds = np.concatenate(([0], np.cumsum(sizes, dtype=np.int64)))
-    codes = np.frombuffer(x.column("codes")[0].as_py(), dtype="<i4")
-    y = y.take(np.argsort(y.column("code").to_numpy(), kind="stable")) if y.num_rows else y
-    odd = np.zeros(len(codes) + 1, dtype=np.int64)
-    if y.num_rows:
-        np.cumsum(~y.column("same").to_numpy(zero_copy_only=False)[codes], out=odd[1:])
-    return ids, bounds, codes, (sizes > 0) & (odd[bounds[1:]] == odd[bounds[:-1]]), y
-
-
-def _pairs_of_block(x: pa.Table, y: pa.Table) -> pa.Table:
-    """pair, n: in how many of the block's documents each pair is linked."""
-    _, bounds, codes, whole, y = _block(x, y)
-    out = {"pair": pa.array([], pa.int64()), "n": pa.array([], pa.int64())}
-    if whole.any():
-        lists = y.column("pairs").combine_chunks()
-        starts, flat = lists.offsets.to_numpy(), lists.values.to_numpy()
-        pairs, numbers = np.unique(flat, return_inverse=True)
-        seen = np.zeros(len(pairs), dtype=np.int64)
-        # a slice of documents at a time, so that what is held doesn't follow the block's links
-        for docs in np.array_split(np.flatnonzero(whole), max(1, len(codes) >> 19)):
-            each = [np.unique(codes[bounds[d] : bounds[d + 1]]) for d in docs]
-            if not each:
-                continue
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
+        for batch in batches:
+            held.append(batch)
+            n += batch.num_rows
+            if n >= rows:
+                yield from flush(held)
+                held, n = [], 0
+        if n:
+            yield from flush(held)
+
+    return told.select("of", "code", "links").mapInArrow(run, "of long, chunk binary")
+
+
+def _texts(links: np.ndarray, starts: np.ndarray) -> list[str]:
+    """The groups of each part as text: A ids, a bar, B ids; groups in order."""
+    a_ends, b_ends = (links & A_ENDS) > 0, (links & B_ENDS) > 0
+    cut = a_ends & b_ends
+    group = np.cumsum(cut) - cut
+    at = np.concatenate((np.flatnonzero(a_ends), np.flatnonzero(b_ends)))
+    side = np.repeat([0, 1], [a_ends.sum(), b_ends.sum()])
+    order = np.lexsort((at, side, group[at]))
+    at, side = at[order], side[order]
+    ids = np.where(side == 0, links[at] >> 32, (links[at] & 0xFFFFFFFF) >> 2)
+    last = np.concatenate((side[1:] != side[:-1], [True]))
+    after = np.where(~last, ",", np.where(side == 0, "|", ";")) if len(at) else np.array([], dtype=str)
+    joined = pc.binary_join_element_wise(pa.array(ids).cast(pa.string()), pa.array(after, pa.string()), "")
+    # groups end where parts end, so a part's tokens are those of its groups; the last ";" goes
+    sizes = np.add.reduceat(np.concatenate((a_ends.astype(np.int64) + b_ends, [0])), starts[:-1]) * (np.diff(starts) > 0) if len(starts) > 1 else np.zeros(0, dtype=np.int64)
+    lists = pa.ListArray.from_arrays(np.concatenate(([0], np.cumsum(sizes))).astype(np.int32), joined)
+    return [x[:-1] for x in pc.binary_join(lists, "").to_pylist()]
+
+
+def _summed(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Sums of the values between neighbouring bounds."""
+    upto = np.concatenate(([0], np.cumsum(values, dtype=np.int64)))
+    return upto[bounds[1:]] - upto[bounds[:-1]]
+
+
+def _in_documents(codes: np.ndarray, bounds: np.ndarray, whole: np.ndarray, starts: np.ndarray, numbers: np.ndarray, n: int) -> np.ndarray:
+    """In how many whole documents of a block each of n pairs is linked. A slice of documents at a time, so that what is held doesn't follow the block's links."""
+    seen = np.zeros(n, dtype=np.int64)
+    for docs in np.array_split(np.flatnonzero(whole), max(1, len(codes) >> 19)):
+        each = [np.unique(codes[bounds[d] : bounds[d + 1]]) for d in docs]
+        if each:
             own = np.concatenate(each)
             sizes = starts[own + 1] - starts[own]
             at = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes - starts[own], sizes)
             doc = np.repeat(np.repeat(np.arange(len(each)), [len(e) for e in each]), sizes)
-            seen += np.bincount(np.unique(doc * len(pairs) + numbers[at]) % len(pairs), minlength=len(pairs))
-        some = seen > 0
-        out = {"pair": pa.array(pairs[some]), "n": pa.array(seen[some])}
-    return pa.table(out)
+            seen += np.bincount(np.unique(doc * n + numbers[at]) % n, minlength=n)
+    return seen
 
 
-NUMBERS = ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum")
+def _met(x: pa.Table, y: pa.Table) -> pa.Table:
+    """A block with what its parts' links come to, its documents' results as far as they're known, and its pairs."""
+    import pickle
 
-
-def _documents_of_block(x: pa.Table, y: pa.Table) -> pa.Table:
-    ids, bounds, codes, whole, y = _block(x, y)
-    out = {"doc_id": ids}
-    for name in NUMBERS:
-        upto = np.zeros(len(codes) + 1, dtype=np.int64)
-        if y.num_rows:
-            np.cumsum(y.column(name).to_numpy()[codes], out=upto[1:])
-        out[name] = pa.array(np.where(whole, upto[bounds[1:]] - upto[bounds[:-1]], 0))
-    groups = y.column("groups").to_pylist()
-    out["groups_sha256"] = pa.array([hashlib.sha256(";".join([groups[c] for c in codes[a:b].tolist()]).encode()).hexdigest() if ok else "" for a, b, ok in zip(bounds[:-1].tolist(), bounds[1:].tolist(), whole)], pa.string())
-    return pa.table(out)
+    sizes = x.column("sizes").combine_chunks().flatten().to_numpy()
+    bounds, codes = np.concatenate(([0], np.cumsum(sizes, dtype=np.int64))), opened(x.column("codes")[0].as_py(), "<i4")
+    chunks = [tuple(opened(data, kind) for data, kind in zip(pickle.loads(c), ("<i4", "<i4", "<i8"))) for c in y.column("chunk").to_pylist()]
+    code, size, flat = (np.concatenate([c[k] for c in chunks] or [np.zeros(0, dtype=np.int64)]) for k in range(3))
+    # links in order of the parts' numbers, of which there's one of each
+    order = np.argsort(code)
+    begin = (np.cumsum(size) - size)[order]
+    size = size[order].astype(np.int64)
+    starts = np.concatenate(([0], np.cumsum(size)))
+    links = flat[np.arange(starts[-1]) - np.repeat(starts[:-1] - begin, size)].astype(np.int64)
+    whole = (sizes > 0) & (_summed(size[codes] == 0, bounds) == 0)
+    pairs, numbers = np.unique(links >> 2, return_inverse=True)
+    seen = _in_documents(codes, bounds, whole, starts, numbers, len(pairs))
+    by_part = {"n_a": (links & A_ENDS) > 0, "n_b": (links & B_ENDS) > 0, "n_groups": (links & 3) == 3, "n_links": np.ones(len(links), dtype=bool)}
+    texts = _texts(links, starts)
+    told = [hashlib.sha256(";".join([texts[c] for c in codes[a:b].tolist()]).encode()).hexdigest() if ok else "" for a, b, ok in zip(bounds[:-1].tolist(), bounds[1:].tolist(), whole)]
+    lists = {
+        "ids": x.column("ids").combine_chunks().flatten(), "sizes": pa.array(sizes), "whole": pa.array(whole), **{k: pa.array(np.where(whole, _summed(_summed(v, starts)[codes], bounds), 0)) for k, v in by_part.items()},
+        "groups_sha256": pa.array(told, pa.string()), "pairs": pa.array(pairs[seen > 0]), "docs": pa.array(seen[seen > 0]),
+    }
+    # pairs in order, those that count first
+    place = np.cumsum(seen > 0) - 1
+    place[seen == 0] = (seen > 0).sum()
+    row = {"block": x.column("block").combine_chunks()} | {k: pa.ListArray.from_arrays([0, len(v)], v) for k, v in lists.items()}
+    return pa.table(row | {"codes": x.column("codes").combine_chunks(), "starts": pa.array([squeezed(starts.astype("<i8"))]), "numbers": pa.array([squeezed(place[numbers].astype("<i4"))])})
+
+
+def _scored(x: pa.Table, y: pa.Table) -> pa.Table:
+    """A block's documents, with the counts of its pairs (pos, n, best)."""
+    plain = lambda c: x.column(c).combine_chunks().flatten()
+    sizes, whole = plain("sizes").to_numpy(), plain("whole").to_numpy(zero_copy_only=False)
+    bounds, codes = np.concatenate(([0], np.cumsum(sizes, dtype=np.int64))), opened(x.column("codes")[0].as_py(), "<i4")
+    starts, numbers = opened(x.column("starts")[0].as_py(), "<i8"), opened(x.column("numbers")[0].as_py(), "<i4")
+    out = {"doc_id": plain("ids"), **{k: plain(k) for k in ("n_a", "n_b", "n_groups", "n_links")}}
+    for name, field in (("n_best", "best"), ("count_sum", "n")):
+        # one more, for pairs of documents that don't count
+        value = np.zeros(y.num_rows + 1, dtype=np.int64)
+        value[y.column("pos").to_numpy()] = y.column(field).to_numpy()
+        out[name] = pa.array(np.where(whole, _summed(_summed(value[numbers], starts)[codes], bounds), 0))
+    return pa.table(out | {"groups_sha256": plain("groups_sha256")})
 
 
 def align(docs: DataFrame, a: str, b: str) -> DataFrame:
     """doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256 of every document; a: a byte-level BPE for the tokenizers library, b: a sentencepiece model."""
     kind = docs.schema["doc_id"].dataType.simpleString()
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     with tables() as keep:
-        cut = materialize(blocks(docs), "align-blocks")
-        entries = cut.select("block", F.posexplode("parts").alias("code", "part"))
-        found = keep(encoded(entries.select("part").distinct(), a, b).withColumn("pid", F.monotonically_increasing_id()), "align-parts")
-        own = found.select("pid", "part", "same", F.size("a").cast("long").alias("n_a"), F.size("b").cast("long").alias("n_b"))
-        # a part that isn't given back has no links, and what holds it counts for nothing
-        told = own.join(keep(aligned_parts(found.where("same")), "align-links").hint("merge"), "pid", "left")
-        told = keep(told.withColumn("pairs", F.coalesce("pairs", F.array().cast("array<long>"))).withColumn("groups", F.coalesce("groups", F.lit(""))).na.fill(0, ["n_groups", "n_links"]), "align-told")
-        counts = _met(cut, entries, told.select("part", "same", "pairs"), _pairs_of_block, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
-        counts = keep(counts, "align-counts")
-        # at most as many pairs of an A id as B has entries
-        best = counts.withColumn("best", F.when(F.col("n") == F.max("n").over(Window.partitionBy(F.shiftright("pair", 32))), 1).otherwise(0))
-        scores = told.select("pid", F.explode("pairs").alias("pair")).join(best.hint("merge"), "pair").groupBy("pid").agg(F.sum("n").alias("count_sum"), F.sum("best").alias("n_best"))
-        scored = told.drop("pairs").join(scores.hint("merge"), "pid", "left").na.fill(0, ["count_sum", "n_best"])
-        scored = materialize(scored.select("part", "same", "groups", *NUMBERS), "align-scores")
-    out = _met(cut, entries, scored, _documents_of_block, f"doc_id {kind}, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string")
-    return reading(out, cut, scored)
+        cut = keep(blocks(docs), "align-blocks")
+        entries = cut.select(F.col("block").alias("of"), F.posexplode("parts").alias("code", "part")).withColumn("key", key_of("part"))
+        tokens = encoded(entries.select("key", "part").distinct(), a, b).repartition(parts, "key")
+        told = entries.select("of", "code", "key").join(links_of(tokens).hint("merge"), "key", "left")
+        longs = "".join(f", {k} array<long>" for k in ("n_a", "n_b", "n_groups", "n_links"))
+        schema = f"block long, ids array<{kind}>, sizes array<int>, whole array<boolean>{longs}, groups_sha256 array<string>, pairs array<long>, docs array<long>, codes binary, starts binary, numbers binary"
+        met = materialize(cut.drop("parts").groupBy("block").cogroup(packed(told).groupBy("of")).applyInArrow(lambda x, y: _met(x, y), schema), "align-met")
+        discard(cut)
+        counts = met.select(F.explode(F.arrays_zip("pairs", "docs")).alias("p")).groupBy(F.col("p.pairs").alias("pair")).agg(F.sum("p.docs").alias("n"))
+        # an A id has at most as many pairs as B has entries
+        top = F.max("n").over(Window.partitionBy(F.shiftright("pair", 30)))
+        counts = materialize(counts.select("pair", "n", F.when(F.col("n") == top, 1).otherwise(0).alias("best")), "align-counts")
+    held = met.select(F.col("block").alias("of"), F.posexplode("pairs").alias("pos", "pair")).join(counts.hint("merge"), "pair").drop("pair")
+    slim = met.drop("pairs", "docs")
+    out = slim.groupBy("block").cogroup(held.groupBy("of")).applyInArrow(lambda x, y: _scored(x, y), f"doc_id {kind}, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string")
+    return reading(out, met, counts)

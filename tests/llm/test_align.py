@@ -2,7 +2,9 @@ import hashlib
 from bisect import bisect_left, bisect_right
 from collections import Counter, defaultdict
 
+import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from hypothesis import given, settings
@@ -99,23 +101,26 @@ def test_odd_rows(spark, libraries, monkeypatch):
 
 
 @settings(max_examples=400, deadline=None)
-@given(st.text(st.sampled_from("ab e's.1\n\t é字▁ 　 \x1c<|>"), min_size=1, max_size=30))
+@given(st.text(st.sampled_from("ab e's.,1\n\t é字▁ 　 \x1c\x01<|>"), min_size=1, max_size=30))
 def test_parts_are_encoded_like_whole_texts(text):
-    """Joined tokens of the parts are those of the whole text, for every text that is given back."""
+    """Joined tokens of the parts are those of the whole text, for every text that is given back; whole columns are cut like single texts."""
     pair = align.pair_of(A, B)
-    found = align.parts(text)
-    assert " ".join(found) == text
-    a, b, same = pair.encode(found)
-    ids = lambda x: [i for t in x for i, _ in t]
+    found = align.parts(" " + text)
+    assert "".join(found) == " " + text
+    assert align.cut_texts(pa.array(["a b", text, None, "", "c, d.\ne"])).to_pylist() == [[" a", " b"], found, None, None, [" c", ",", " d", ".", "\ne"]]
+    a, b = pair.encode(found)
+    flat = lambda x: [i for t in x for i in t]
     raw = (" " + text).encode()
     whole_a, whole_b = pair.a.encode(" " + text, add_special_tokens=False).ids, pair.b.encode(text)
     back = b"".join(pair.a_bytes[i] for i in whole_a) == raw == b"".join(pair.b_bytes[i] for i in whole_b)
-    assert all(same) == back
-    assert not back or (ids(a), ids(b)) == (whole_a, whole_b)
+    assert pair.given_back(found, a, b).all() == back
+    assert not back or (flat(a), flat(b)) == (whole_a, whole_b)
 
 
 def test_links_of_a_part(spark):
-    tokens = lambda *x: [{"id": i, "len": n} for i, n in x]
-    df = spark.createDataFrame([(1, tokens((1, 2), (2, 3), (3, 4)), tokens((7, 1), (8, 4), (9, 2), (7, 2))), (2, tokens((1, 5)), tokens((4, 5)))], f"pid long, a {align.TOKENS}, b {align.TOKENS}")
-    got = {r.pid: (r.n_links, r.n_groups, r.groups, sorted((p >> 32, p & 0xFFFFFFFF) for p in r.pairs)) for r in align.aligned_parts(df).collect()}
-    assert got == {1: (5, 2, "1,2|7,8;3|9,7", [(1, 7), (1, 8), (2, 8), (3, 7), (3, 9)]), 2: (1, 1, "1|4", [(1, 4)])}
+    tokens = lambda *sides: [{"side": k, "id": i, "len": n} for k, side in enumerate(sides) for i, n in side]
+    df = spark.createDataFrame([("x", tokens([(1, 2), (2, 3), (3, 4)], [(7, 1), (8, 4), (9, 2), (7, 2)])), ("y", tokens([(1, 5)], [(4, 5)])), ("z", [])], f"key string, tokens array<{align.TOKEN}>")
+    rows = sorted((r.key, r.end, r.a, r.b, r.a_ends, r.b_ends, r.group) for r in align.linked(df).collect())
+    assert rows == [("x", 1, 1, 7, None, 7, 2), ("x", 2, 1, 8, 1, None, 2), ("x", 5, 2, 8, 2, 8, 2), ("x", 7, 3, 9, None, 9, 1), ("x", 9, 3, 7, 3, 7, 1), ("y", 5, 1, 4, 1, 4, 1)]
+    links = {r.key: np.array(r.links) for r in align.links_of(df).collect()}
+    assert align._texts(np.concatenate((links["x"], links["y"])), np.array([0, 5, 5, 6])) == ["1,2|7,8;3|9,7", "", "1|4"]
