@@ -6,7 +6,8 @@ meet (an outer equi-join on part and end: both sides' tokens in one table, group
 of each side, so each row of that join is one link, of the nearest tokens that end there or later, filled in by a window. That's the range join of the overlapping tokens of a group, without a row for any pair that doesn't overlap.
 
 A text is then what its parts are, in order. A first pass cuts texts into blocks of a few MB, each with its different parts and, for each document, the numbers of its parts: texts are read once and never shuffled. Links
-meet the blocks by a join on the part; adding up over a document is NumPy within a block. Pairs are counted in two steps, in a block and over blocks, and a pair's count goes back to the blocks that hold it.
+meet the blocks by a join on the part; adding up over a document is NumPy within a block, whose numbers stand in a file of its own, each attempt's under its own name, so they aren't shuffled. Pairs are counted in two steps, in a block and
+over blocks, and a pair's count goes back to the blocks that hold it.
 
 Defined results: null and empty texts, and texts of which the joined bytes of either tokenizer's tokens aren't a blank and the text (U+2581 is read back as a blank), have zeros and an empty groups_sha256, and don't count for any pair. Every row is a
 document of its own, rows of equal, null or repeated ids included; ids are carried along as they are. Ties for an A id's highest count are all best. A very long text is a block of its own; a very long word is one part, whose tokens are
@@ -26,7 +27,8 @@ import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from scriptorium.llm.storage import discard, materialize, reading, tables
+from scriptorium.llm.storage import discard, materialize, reading, tables, task_fs, task_write
+from scriptorium.sources.shared import scratch
 
 #: Code points of a block, and its documents, about.
 BLOCK, BLOCK_DOCS = 1 << 24, 1 << 18
@@ -39,7 +41,8 @@ CUT = regex.compile(r"(?<=\S)(?=[ \n])", regex.V1)
 MARK = regex.compile(r"(?<=\p{L})(?=[.,]$)")
 #: What's said of a link beside its tokens: that its A token, its B token ends with it.
 A_ENDS, B_ENDS = 2, 1
-TOKEN = "struct<side:int,id:int,len:int>"
+#: A token is one number: its side, its length in bytes (31 bits), its id (32 bits).
+SIDE, LENGTH, ID = 63, 32, 0xFFFFFFFF
 
 
 def parts(text: str) -> list[str]:
@@ -128,9 +131,24 @@ def opened(data: bytes, kind: str) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(raw, dtype=np.uint8).reshape(size, -1).T).view(kind).ravel()
 
 
-def blocks(docs: DataFrame) -> DataFrame:
-    """block, ids, sizes (parts of each document), codes (numbers of each document's parts, in order), parts (the different ones, by number): a row for each few MB of texts."""
-    kind = docs.schema["doc_id"].dataType.simpleString()
+def _put(folder: str, name: str, columns: dict[str, pa.Array]) -> str:
+    """In a task: columns of any lengths as a file in the shared folder; its address."""
+    sink = pa.BufferOutputStream()
+    batch = pa.RecordBatch.from_arrays([pa.ListArray.from_arrays([0, len(v)], v) for v in columns.values()], list(columns))
+    with pa.ipc.new_stream(sink, batch.schema) as out:
+        out.write_batch(batch)
+    return task_write(folder, name, sink.getvalue().to_pybytes())
+
+
+def _got(path: str) -> dict[str, pa.Array]:
+    system, name = task_fs(path)
+    with system.open_input_stream(name, compression=None) as f:
+        table = pa.ipc.open_stream(f.read()).read_all()
+    return {c: table.column(c).combine_chunks().flatten() for c in table.column_names}
+
+
+def blocks(docs: DataFrame, folder: str) -> DataFrame:
+    """block, path, parts (the different ones, by number): a row for each few MB of texts. The file has ids and sizes (parts) of the documents and codes, the numbers of their parts in order."""
 
     def row(number: int, ids: list[pa.Array], cut: list[pa.ListArray]) -> pa.RecordBatch:
         flat = pa.concat_arrays([x.flatten() for x in cut]).dictionary_encode()
@@ -140,8 +158,8 @@ def blocks(docs: DataFrame) -> DataFrame:
         order = np.argsort(-np.bincount(codes, minlength=len(found)), kind="stable")
         rank = np.empty(len(found), dtype="<i4")
         rank[order] = np.arange(len(found))
-        lists = [pa.ListArray.from_arrays([0, len(x)], x) for x in (pa.concat_arrays(ids), sizes, found.take(pa.array(order)))]
-        return pa.RecordBatch.from_arrays([pa.array([number]), lists[0], lists[1], pa.array([squeezed(rank[codes])]), lists[2]], ["block", "ids", "sizes", "codes", "parts"])
+        path = _put(folder, f"codes-{number:x}", {"ids": pa.concat_arrays(ids), "sizes": sizes, "codes": pa.array([squeezed(rank[codes])])})
+        return pa.RecordBatch.from_arrays([pa.array([number]), pa.array([path]), pa.ListArray.from_arrays([0, len(found)], found.take(pa.array(order)))], ["block", "path", "parts"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -160,7 +178,7 @@ def blocks(docs: DataFrame) -> DataFrame:
         if ids:
             yield row(next(numbers), ids, cut)
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"block long, ids array<{kind}>, sizes array<int>, codes binary, parts array<string>")
+    return docs.select("doc_id", "text").mapInArrow(run, "block long, path string, parts array<string>")
 
 
 def key_of(part: str) -> Column:
@@ -169,7 +187,7 @@ def key_of(part: str) -> Column:
 
 
 def encoded(found: DataFrame, a: str, b: str) -> DataFrame:
-    """key, tokens (array<struct<side, id, len>>, those of A, which is side 0, first) of different parts; parts that aren't given back have none."""
+    """key, tokens (array<long>, those of A first) of different parts; parts that aren't given back have none."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pair = pair_of(a, b)
@@ -181,22 +199,22 @@ def encoded(found: DataFrame, a: str, b: str) -> DataFrame:
                 x, y = ([ids if good else [] for ids, good in zip(side, ok)] for side in (x, y))
             sizes = np.array([[len(i) for i in x], [len(i) for i in y]], dtype=np.int64).reshape(2, -1)
             flat = np.fromiter(itertools.chain.from_iterable(itertools.chain.from_iterable(zip(x, y))), dtype=np.int32, count=sizes.sum())
-            side = np.repeat(np.tile(np.array([0, 1], dtype=np.int32), len(own)), sizes.T.ravel())
-            length = np.where(side == 0, pair.lengths[0][np.where(side == 0, flat, 0)], pair.lengths[1][np.where(side == 1, flat, 0)]).astype(np.int32)
-            items = pa.StructArray.from_arrays([pa.array(side), pa.array(flat), pa.array(length)], ["side", "id", "len"])
+            side = np.repeat(np.tile(np.array([0, 1]), len(own)), sizes.T.ravel())
+            length = np.where(side == 0, pair.lengths[0][np.where(side == 0, flat, 0)], pair.lengths[1][np.where(side == 1, flat, 0)])
             ends = np.concatenate(([0], np.cumsum(sizes.sum(axis=0)))).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(ends, items)], ["key", "tokens"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(ends, pa.array(side << SIDE | length.astype(np.int64) << LENGTH | flat))], ["key", "tokens"])
 
-    return found.select("key", "part").mapInArrow(run, f"key string, tokens array<{TOKEN}>")
+    return found.select("key", "part").mapInArrow(run, "key string, tokens array<long>")
 
 
 def linked(tokens: DataFrame) -> DataFrame:
     """key, end, a, b (the tokens of a link), a_ends, b_ends (the token that ends here, if any), group (counted backwards from the last one, 1): a row for each link of every key, in one partition a key. tokens: as encoded() gives them."""
-    rows = tokens.select("key", F.posexplode("tokens").alias("pos", "t")).select("key", "pos", "t.side", "t.id", "t.len")
-    order = Window.partitionBy("key", "side").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
+    rows = tokens.select("key", F.posexplode("tokens").alias("pos", "t"))
+    length = F.shiftright("t", LENGTH).bitwiseAND((1 << SIDE - LENGTH) - 1)
+    rows = rows.select("key", "pos", (F.col("t") < 0).alias("of_b"), F.col("t").bitwiseAND(ID).cast("int").alias("id"), length.alias("len"))
+    order = Window.partitionBy("key", "of_b").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
     ended = rows.withColumn("end", F.sum("len").over(order))
-    own = lambda side: F.max(F.when(F.col("side") == side, F.col("id")))
-    met = ended.groupBy("key", "end").agg(own(0).alias("a_ends"), own(1).alias("b_ends"))
+    met = ended.groupBy("key", "end").agg(F.max(F.when(~F.col("of_b"), F.col("id"))).alias("a_ends"), F.max(F.when(F.col("of_b"), F.col("id"))).alias("b_ends"))
     back = Window.partitionBy("key").orderBy(F.desc("end")).rowsBetween(Window.unboundedPreceding, 0)
     nearest = lambda c: F.last(c, ignorenulls=True).over(back)
     both = F.when(F.col("a_ends").isNotNull() & F.col("b_ends").isNotNull(), 1).otherwise(0)
@@ -211,21 +229,22 @@ def links_of(tokens: DataFrame) -> DataFrame:
 
 
 def packed(told: DataFrame, rows: int = 1 << 18) -> DataFrame:
-    """of, chunk: the links of a block's parts (of, code, links), many parts to a row."""
+    """of, chunk: the links of a block's parts (of, code, links), many parts to a row. A block without parts is a row whose code is null."""
 
     def flush(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import pickle
 
         whole = pa.Table.from_batches(held)
         whole = whole.take(np.argsort(whole.column("of").to_numpy(), kind="stable"))
-        of, code = whole.column("of").to_numpy(), whole.column("code").to_numpy()
+        of, code = whole.column("of").to_numpy(), pc.fill_null(whole.column("code"), -1).to_numpy()
         lists = whole.column("links").combine_chunks()
         sizes, flat = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(), lists.flatten().to_numpy()
         upto = np.concatenate(([0], np.cumsum(sizes)))
         begins = [0, *(np.flatnonzero(np.diff(of)) + 1).tolist(), len(of)]
         for i, j in zip(begins, begins[1:]):
+            i = j if code[i] < 0 else i
             chunk = pickle.dumps((squeezed(code[i:j].astype("<i4")), squeezed(sizes[i:j].astype("<i4")), squeezed(flat[upto[i] : upto[j]].astype("<i8"))))
-            yield pa.RecordBatch.from_pydict({"of": [int(of[i])], "chunk": [chunk]})
+            yield pa.RecordBatch.from_pydict({"of": [int(of[j - 1])], "chunk": [chunk]})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n = [], 0
@@ -280,12 +299,14 @@ def _in_documents(codes: np.ndarray, bounds: np.ndarray, whole: np.ndarray, star
     return seen
 
 
-def _met(x: pa.Table, y: pa.Table) -> pa.Table:
-    """A block with what its parts' links come to, its documents' results as far as they're known, and its pairs."""
+def _met(x: pa.Table, y: pa.Table, folder: str) -> pa.Table:
+    """A block with its pairs and in how many of its documents they are. Its documents' results as far as they're known, and where pairs are, go to a file beside that of its codes."""
     import pickle
 
-    sizes = x.column("sizes").combine_chunks().flatten().to_numpy()
-    bounds, codes = np.concatenate(([0], np.cumsum(sizes, dtype=np.int64))), opened(x.column("codes")[0].as_py(), "<i4")
+    block, path = x.column("block")[0].as_py(), x.column("path")[0].as_py()
+    file = _got(path)
+    sizes = file["sizes"].to_numpy()
+    bounds, codes = np.concatenate(([0], np.cumsum(sizes, dtype=np.int64))), opened(file["codes"][0].as_py(), "<i4")
     chunks = [tuple(opened(data, kind) for data, kind in zip(pickle.loads(c), ("<i4", "<i4", "<i8"))) for c in y.column("chunk").to_pylist()]
     code, size, flat = (np.concatenate([c[k] for c in chunks] or [np.zeros(0, dtype=np.int64)]) for k in range(3))
     # links in order of the parts' numbers, of which there's one of each
@@ -300,50 +321,52 @@ def _met(x: pa.Table, y: pa.Table) -> pa.Table:
     by_part = {"n_a": (links & A_ENDS) > 0, "n_b": (links & B_ENDS) > 0, "n_groups": (links & 3) == 3, "n_links": np.ones(len(links), dtype=bool)}
     texts = _texts(links, starts)
     told = [hashlib.sha256(";".join([texts[c] for c in codes[a:b].tolist()]).encode()).hexdigest() if ok else "" for a, b, ok in zip(bounds[:-1].tolist(), bounds[1:].tolist(), whole)]
-    lists = {
-        "ids": x.column("ids").combine_chunks().flatten(), "sizes": pa.array(sizes), "whole": pa.array(whole), **{k: pa.array(np.where(whole, _summed(_summed(v, starts)[codes], bounds), 0)) for k, v in by_part.items()},
-        "groups_sha256": pa.array(told, pa.string()), "pairs": pa.array(pairs[seen > 0]), "docs": pa.array(seen[seen > 0]),
-    }
-    # pairs in order, those that count first
+    # the pairs that count in order; the others, of documents that don't, have one number more
     place = np.cumsum(seen > 0) - 1
     place[seen == 0] = (seen > 0).sum()
-    row = {"block": x.column("block").combine_chunks()} | {k: pa.ListArray.from_arrays([0, len(v)], v) for k, v in lists.items()}
-    return pa.table(row | {"codes": x.column("codes").combine_chunks(), "starts": pa.array([squeezed(starts.astype("<i8"))]), "numbers": pa.array([squeezed(place[numbers].astype("<i4"))])})
+    numbers, starts_data = squeezed(place[numbers].astype("<i4")), squeezed(starts.astype("<i8"))
+    results = {k: pa.array(np.where(whole, _summed(_summed(v, starts)[codes], bounds), 0)) for k, v in by_part.items()}
+    own = _put(folder, f"links-{block:x}", {"whole": pa.array(whole), **results, "groups_sha256": pa.array(told, pa.string()), "numbers": pa.array([numbers]), "starts": pa.array([starts_data])})
+    row = {"block": pa.array([block]), "path": pa.array([path]), "links_path": pa.array([own])}
+    return pa.table(row | {k: pa.ListArray.from_arrays([0, len(v)], pa.array(v)) for k, v in (("pairs", pairs[seen > 0]), ("docs", seen[seen > 0]))})
 
 
 def _scored(x: pa.Table, y: pa.Table) -> pa.Table:
     """A block's documents, with the counts of its pairs (pos, n, best)."""
-    plain = lambda c: x.column(c).combine_chunks().flatten()
-    sizes, whole = plain("sizes").to_numpy(), plain("whole").to_numpy(zero_copy_only=False)
-    bounds, codes = np.concatenate(([0], np.cumsum(sizes, dtype=np.int64))), opened(x.column("codes")[0].as_py(), "<i4")
-    starts, numbers = opened(x.column("starts")[0].as_py(), "<i8"), opened(x.column("numbers")[0].as_py(), "<i4")
-    out = {"doc_id": plain("ids"), **{k: plain(k) for k in ("n_a", "n_b", "n_groups", "n_links")}}
+    file, links = _got(x.column("path")[0].as_py()), _got(x.column("links_path")[0].as_py())
+    whole, codes = links["whole"].to_numpy(zero_copy_only=False), opened(file["codes"][0].as_py(), "<i4")
+    bounds = np.concatenate(([0], np.cumsum(file["sizes"].to_numpy(), dtype=np.int64)))
+    starts, numbers = opened(links["starts"][0].as_py(), "<i8"), opened(links["numbers"][0].as_py(), "<i4")
+    out = {"doc_id": file["ids"], **{k: links[k] for k in ("n_a", "n_b", "n_groups", "n_links")}}
     for name, field in (("n_best", "best"), ("count_sum", "n")):
-        # one more, for pairs of documents that don't count
         value = np.zeros(y.num_rows + 1, dtype=np.int64)
         value[y.column("pos").to_numpy()] = y.column(field).to_numpy()
         out[name] = pa.array(np.where(whole, _summed(_summed(value[numbers], starts)[codes], bounds), 0))
-    return pa.table(out | {"groups_sha256": plain("groups_sha256")})
+    return pa.table(out | {"groups_sha256": links["groups_sha256"]})
 
 
 def align(docs: DataFrame, a: str, b: str) -> DataFrame:
     """doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256 of every document; a: a byte-level BPE for the tokenizers library, b: a sentencepiece model."""
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    with tables() as keep:
-        cut = keep(blocks(docs), "align-blocks")
-        entries = cut.select(F.col("block").alias("of"), F.posexplode("parts").alias("code", "part")).withColumn("key", key_of("part"))
-        tokens = encoded(entries.select("key", "part").distinct(), a, b).repartition(parts, "key")
-        told = entries.select("of", "code", "key").join(links_of(tokens).hint("merge"), "key", "left")
-        longs = "".join(f", {k} array<long>" for k in ("n_a", "n_b", "n_groups", "n_links"))
-        schema = f"block long, ids array<{kind}>, sizes array<int>, whole array<boolean>{longs}, groups_sha256 array<string>, pairs array<long>, docs array<long>, codes binary, starts binary, numbers binary"
-        met = materialize(cut.drop("parts").groupBy("block").cogroup(packed(told).groupBy("of")).applyInArrow(lambda x, y: _met(x, y), schema), "align-met")
-        discard(cut)
+    kind, spark = docs.schema["doc_id"].dataType.simpleString(), docs.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    files = spark.range(0)
+    files._scratch = folder = scratch(spark, "align-files")
+    try:
+        with tables() as keep:
+            cut = keep(blocks(docs, folder), "align-blocks")
+            entries = cut.select(F.col("block").alias("of"), F.posexplode_outer("parts").alias("code", "part"))
+            tokens = encoded(entries.select("part").where("part is not null").distinct().select(key_of("part").alias("key"), "part"), a, b).repartition(parts, "key")
+            told = entries.select("of", "code", key_of("part").alias("key")).join(links_of(tokens).hint("merge"), "key", "left")
+            met = cut.select("block", "path").groupBy("block").cogroup(packed(told).groupBy("of")).applyInArrow(lambda x, y: _met(x, y, folder), "block long, path string, links_path string, pairs array<long>, docs array<long>")
+            met = materialize(met, "align-met")
         counts = met.select(F.explode(F.arrays_zip("pairs", "docs")).alias("p")).groupBy(F.col("p.pairs").alias("pair")).agg(F.sum("p.docs").alias("n"))
         # an A id has at most as many pairs as B has entries
         top = F.max("n").over(Window.partitionBy(F.shiftright("pair", 30)))
         counts = materialize(counts.select("pair", "n", F.when(F.col("n") == top, 1).otherwise(0).alias("best")), "align-counts")
+    except BaseException:
+        discard(files)
+        raise
     held = met.select(F.col("block").alias("of"), F.posexplode("pairs").alias("pos", "pair")).join(counts.hint("merge"), "pair").drop("pair")
-    slim = met.drop("pairs", "docs")
-    out = slim.groupBy("block").cogroup(held.groupBy("of")).applyInArrow(lambda x, y: _scored(x, y), f"doc_id {kind}, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string")
-    return reading(out, met, counts)
+    schema = f"doc_id {kind}, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"
+    out = met.select("block", "path", "links_path").groupBy("block").cogroup(held.groupBy("of")).applyInArrow(lambda x, y: _scored(x, y), schema)
+    return reading(out, met, counts, files)

@@ -118,8 +118,8 @@ def test_parts_are_encoded_like_whole_texts(text):
 
 
 def test_links_of_a_part(spark):
-    tokens = lambda *sides: [{"side": k, "id": i, "len": n} for k, side in enumerate(sides) for i, n in side]
-    df = spark.createDataFrame([("x", tokens([(1, 2), (2, 3), (3, 4)], [(7, 1), (8, 4), (9, 2), (7, 2)])), ("y", tokens([(1, 5)], [(4, 5)])), ("z", [])], f"key string, tokens array<{align.TOKEN}>")
+    tokens = lambda *sides: [int(np.int64(k) << align.SIDE) | n << align.LENGTH | i for k, side in enumerate(sides) for i, n in side]
+    df = spark.createDataFrame([("x", tokens([(1, 2), (2, 3), (3, 4)], [(7, 1), (8, 4), (9, 2), (7, 2)])), ("y", tokens([(1, 5)], [(4, 5)])), ("z", [])], "key string, tokens array<long>")
     rows = sorted((r.key, r.end, r.a, r.b, r.a_ends, r.b_ends, r.group) for r in align.linked(df).collect())
     assert rows == [("x", 1, 1, 7, None, 7, 2), ("x", 2, 1, 8, 1, None, 2), ("x", 5, 2, 8, 2, 8, 2), ("x", 7, 3, 9, None, 9, 1), ("x", 9, 3, 7, 3, 7, 1), ("y", 5, 1, 4, 1, 4, 1)]
     links = {r.key: np.array(r.links) for r in align.links_of(df).collect()}
