@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.observation import Observation
 
 from scriptorium.functions.text import clean
-from scriptorium.operators import assemble, models, prompts, qa
+from scriptorium.operators import assemble, ledger, models, prompts, qa
 from scriptorium.plans import pipelines
 from scriptorium.sources import config, files, sinks
+from scriptorium.sources.shared import remove, scratch
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -28,7 +29,7 @@ def _parser() -> argparse.ArgumentParser:
 
     add("clean", "texts of any encoding, cleaned")
     add("rows", "a Parquet table of pages to training rows")
-    add("book", "texts to question and answer records").add_argument("--answers", help="a table of answers: asked once, kept, read again")
+    add("book", "texts to question and answer records").add_argument("--answers", help="a ledger of attempts: what it answers isn't asked again")
     chunks = add("chunks", "texts in fixed chunks to JSON answers")
     chunks.add_argument("start_index", nargs="?", type=int, default=0)
     chunks.add_argument("--answers")
@@ -48,11 +49,9 @@ def _records(found: DataFrame, system: str, question: str = "input", answer: str
     return qa.records(found, system, question, answer), qa.quarantine(found, question, answer)
 
 
-def _asked(df: DataFrame, prompt: str, backend, table: str | None) -> DataFrame:
-    """df with raw: answers kept in a table if one is given, else asked as they're needed."""
-    if table:
-        return models.answer(df, backend, table, prompt, "raw")
-    return df.withColumn("raw", models.calls(backend)(F.col(prompt)))
+def _asked(df: DataFrame, prompt: str, backend, folder: str, pairs: config.PairSettings) -> DataFrame:
+    """df with raw: every prompt asked once, its attempts written down before anything reads an answer."""
+    return ledger.answered(df, backend, folder, prompt, "raw", ledger.Policy(pairs.max_retries, pairs.retry_delay, pairs.pause, pairs.lanes))
 
 
 def run(spark: SparkSession, args: argparse.Namespace, backend: models.ModelBackend | None = None) -> dict[str, int]:
@@ -63,16 +62,23 @@ def run(spark: SparkSession, args: argparse.Namespace, backend: models.ModelBack
         texts = files.read_any_texts(spark, args.input)
         return _write(texts.where("text is not null").withColumn("text", clean(F.col("text"))), texts.where("text is null").select("doc_id"), args.output)
     if args.command == "rows":
-        ask = models.calls(backend or prompts.CORRECT.backend(fix.endpoint, fix.model_name), fix.max_retries, fix.retry_delay, 0.0 if backend else prompts.PAUSE) if fix.enable else None
+        ask = models.calls(backend or prompts.CORRECT.backend(fix.endpoint, fix.model_name), fix.max_retries, fix.retry_delay, fix.pause) if fix.enable else None
         rows = pipelines.pages_to_training_rows(spark.read.parquet(args.input), correct=ask, limit=fix.batch_size, prompt=prompts.CORRECT.prompt)
         return _write(rows, rows.where("false"), args.output)
+    if args.command in ("book", "chunks") and not args.answers:
+        args.answers = scratch(spark, "answers")
+        try:
+            return run(spark, args, backend)
+        finally:
+            remove(spark, args.answers)
+    answers = getattr(args, "answers", None)
     if args.command == "book":
         segments = pipelines.book_segments(files.read_texts(spark, args.input), pairs.max_segment_length, pairs.overlap_length)
-        asked = _asked(segments.withColumn("segment", prompts.PAIRS.prompt(F.col("segment"))), "segment", backend or prompts.PAIRS.backend(pairs.endpoint, pairs.model_name), args.answers)
+        asked = _asked(segments.withColumn("segment", prompts.PAIRS.prompt(F.col("segment"))), "segment", backend or prompts.PAIRS.backend(pairs.endpoint, pairs.model_name), answers, pairs)
         return _write(*_records(qa.parse_answers(asked.drop("segment")), qa.BOOK_SYSTEM), args.output)
     if args.command == "chunks":
         chunks = pipelines.texts_to_chunks(files.read_texts(spark, args.input), start_index=args.start_index)
-        asked = _asked(chunks.withColumn("chunk", prompts.CHUNK.prompt(F.col("chunk"))), "chunk", backend or prompts.CHUNK.backend(pairs.endpoint, pairs.model_name), args.answers)
+        asked = _asked(chunks.withColumn("chunk", prompts.CHUNK.prompt(F.col("chunk"))), "chunk", backend or prompts.CHUNK.backend(pairs.endpoint, pairs.model_name), answers, pairs)
         return _write(*qa.any_json(asked.drop("chunk")), args.output)
     if args.command == "merge":
         good, unnumbered = files.read_numbered(spark, args.input)

@@ -1,8 +1,7 @@
 """Calls of outside models behind one small interface.
 
 A backend answers a list of prompts; null is a failure. Calls run in an iterator pandas UDF: one client a partition, retries inside, a pause between calls.
-The UDF is marked non-deterministic, and :func:`answer` writes its answers to a table before anything reads them, so Spark never repeats a
-paid call on re-computation; rows that are already in the table aren't asked again.
+The UDF is marked non-deterministic. Paid calls go through operators.ledger, which writes answers down before anything reads them.
 """
 
 from __future__ import annotations
@@ -31,6 +30,9 @@ class RuleBackend:
 
     rule: Callable[[str], str | None]
 
+    def one(self, prompt: str) -> str | None:
+        return self.rule(prompt)
+
     def complete(self, prompts: list[str | None]) -> list[str | None]:
         out: list[str | None] = []
         for p in prompts:
@@ -62,18 +64,25 @@ class HttpBackend:
         given = {"temperature": self.temperature, "top_p": self.top_p, "max_tokens": self.max_tokens, "stream": self.stream or None}
         return {"model": self.model, "messages": messages, **{k: v for k, v in given.items() if v is not None}}
 
-    def complete(self, prompts: list[str | None]) -> list[str | None]:
+    def one(self, prompt: str) -> str | None:
+        """One answer; a failure is raised."""
         import os
 
         import requests
 
+        headers = {"Authorization": f"Bearer {os.environ.get(self.key_variable, '')}"}
+        r = requests.post(self.url, json=self.body(prompt), timeout=self.timeout, stream=self.stream, headers=headers)
+        r.raise_for_status()
+        told = streamed(r.iter_lines()) if self.stream else r.json()["choices"][0]["message"]["content"]
+        return (told.strip() if self.strip and told else told) or None
+
+    def complete(self, prompts: list[str | None]) -> list[str | None]:
+        import requests
+
         out: list[str | None] = []
         for p in prompts:
             try:
-                r = requests.post(self.url, json=self.body(p), timeout=self.timeout, stream=self.stream, headers={"Authorization": f"Bearer {os.environ.get(self.key_variable, '')}"})
-                r.raise_for_status()
-                told = streamed(r.iter_lines()) if self.stream else r.json()["choices"][0]["message"]["content"]
-                out.append((told.strip() if self.strip and told else told) or None)
+                out.append(self.one(p))
             except (requests.RequestException, KeyError, IndexError, ValueError):
                 out.append(None)
         return out
@@ -143,23 +152,10 @@ def replay(df: DataFrame, recorded: DataFrame, prompt: str = "prompt", out: str
 
 
 def answer(df: DataFrame, backend: ModelBackend, table: str, prompt: str = "prompt", out: str = "raw", parallel: int | None = None, **policy) -> DataFrame:
-    """df with the backend's answers, by way of a Parquet table at that address (prompt_hash, response). Prompts that it already answers aren't
-    asked again, equal prompts are asked once, failures are asked again at the next run."""
-    spark = df.sparkSession
-    hashed = df.withColumn("__h", prompt_key(F.col(prompt)))
-    schema = "prompt_hash string, response string"
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    path = jvm.org.apache.hadoop.fs.Path(table)
-    there = path.getFileSystem(conf).exists(path)
-    new = hashed.where(F.col(prompt).isNotNull()).groupBy("__h").agg(F.any_value(prompt).alias(prompt))
-    if there:
-        new = new.join(spark.read.schema(schema).parquet(table), F.col("__h") == F.col("prompt_hash"), "left_anti")
-    if parallel:
-        new = new.repartition(parallel, "__h")
-    asked = new.select(F.col("__h").alias("prompt_hash"), calls(backend, **policy)(F.col(prompt)).alias("response"))
-    asked.where("response is not null").write.mode("append").parquet(table)
-    done = spark.read.schema(schema).parquet(table).groupBy(F.col("prompt_hash").alias("__k")).agg(F.min("response").alias(out))
-    return hashed.join(done, F.col("__h") == F.col("__k"), "left").drop("__h", "__k")
+    """df with the backend's answers, by way of a ledger at that address; see operators.ledger. policy: its settings."""
+    from scriptorium.operators import ledger
+
+    return ledger.answered(df, backend, table, prompt, out, ledger.Policy(**policy, **({"lanes": parallel} if parallel else {})))
 
 
 def corrected(df: DataFrame, ask, limit: int = 1000, text: str = "text", failed: str | None = None, prompt: Callable[[Column], Column] = lambda s: s) -> DataFrame:

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from scriptorium.functions import figures
 from scriptorium.functions.text import clean
-from scriptorium.operators import assemble, flatten, images, models, prompts, qa, split
+from scriptorium.operators import assemble, flatten, images, ledger, models, prompts, qa, split
 from scriptorium.plans import pipelines
 from scriptorium.sources import files, sinks
 from scriptorium.sources.shared import scratch
@@ -344,6 +345,23 @@ def replayed_answers(spark, folder):
     return models.replay(chunks, recorded).select("doc_id", "chunk_no", "raw")
 
 
+def call_slots(spark, folder):
+    """Which call of a run each prompt is, when seven lanes take turns."""
+    prompt = F.sha2("text", 256).alias("prompt_hash")
+    return ledger.slots(documents(spark, folder).select(prompt).distinct(), 7)
+
+
+def ledger_answers(spark, folder):
+    """Chunks answered in two runs: the first asks those of even documents, the second all, of which it asks what is open. Chunks of an odd length fail twice."""
+    chunks = split.fixed_chunks(documents(spark, folder), CHUNK)
+    backend, folder = models.RuleBackend(lambda s: None if len(s) % 2 else s[:10]), scratch(spark, "ledger")
+    policy = ledger.Policy(attempts=2)
+    ledger.answered(chunks.where("doc_id % 2 = 0"), backend, folder, "chunk", "raw", policy)
+    out = ledger.answered(chunks, backend, folder, "chunk", "raw", policy)
+    attempts = ledger.read(spark, folder).groupBy("prompt_hash").agg(F.count("*").alias("n_attempts"))
+    return out.join(attempts, F.sha2("chunk", 256) == F.col("prompt_hash")).select("doc_id", "chunk_no", "raw", "n_attempts")
+
+
 # files written and read again
 
 
@@ -376,6 +394,24 @@ def text_files(spark, folder):
     return files.read_any_texts(spark, _nation_files(spark, folder, F.format_string("%d.txt", "n_nationkey"), marked))
 
 
+#: Letters, and Chinese characters in their place: so that texts of the table can be written in Chinese encodings.
+LETTERS, CHARACTERS = "abcdefghijklmnopqrstuvwxyz", "的一是不在人有我他中上大和地到以要就出可也你生能而子"
+WRITTEN_IN = ("utf-8", "utf-16", "gb18030", "big5")
+
+
+def detected_texts(spark, folder):
+    """Every document in Chinese characters, written in an encoding by its id, and read without knowing which."""
+
+    @F.pandas_udf("binary")
+    def encode(texts: pd.Series, kinds: pd.Series) -> pd.Series:
+        return pd.Series([t.encode(WRITTEN_IN[k]) for t, k in zip(texts, kinds)])
+
+    kept = F.regexp_replace("text", "[^a-z \n]", "")
+    docs = documents(spark, folder).withColumn("text", F.translate(kept, LETTERS, CHARACTERS)).withColumn("kind", (F.col("doc_id") % 4).cast("int"))
+    found = docs.select("doc_id", files.decoded(encode("text", "kind")).alias("d"))
+    return found.select("doc_id", "d.text", "d.encoding")
+
+
 def image_files(spark, folder):
     path = _nation_files(spark, folder, F.format_string("a/page_%05d.png", "n_nationkey"), F.encode("n_name", "utf-8"))
     return files.read_images(spark, f"{path}/a").select(F.element_at(F.split("path", "/"), -1).alias("name"), F.decode("content", "utf-8").alias("content"))
@@ -395,8 +431,8 @@ QUERIES = {
     for f in (
         clean_text, clean_conversations, page_number_filter, fixed_chunks, clean_chunks, resume_chunks, resume_by_table, paragraph_pack, overlap_windows, windows_clean, correct_roundtrip, correct_fallback, prompt_correct, prompt_pairs, prompt_chunk,
         training_rows, described_pages, document_rows, concat_training_text, stream_accumulate, chat_until_exit, parse_qa, format_sft, format_sft_tolerant, quarantine, convert_legacy, merge_files, merge_whole, unnumbered_files, qa_counts,
-        figure_filter, figure_regions, horizontal_lines, figure_description, book_pipeline, training_data_pipeline, chunk_pipeline, chunk_quarantine, replayed_answers,
-        file_rows, file_parts, text_files, image_files, numbered_files,
+        figure_filter, figure_regions, horizontal_lines, figure_description, book_pipeline, training_data_pipeline, chunk_pipeline, chunk_quarantine, replayed_answers, call_slots, ledger_answers,
+        file_rows, file_parts, text_files, detected_texts, image_files, numbered_files,
     )
 }
 
@@ -531,7 +567,13 @@ ORACLES: dict[str, str] = {
     "chunk_pipeline": f"SELECT doc_id, chunk_no, 'success' || chunk_no || '.json' AS file_name, CASE WHEN length(chunk) % 5 = 1 THEN 'object' ELSE 'array' END AS json_type FROM ({_chunks()}) WHERE length(chunk) % 5 <> 0",
     "chunk_quarantine": f"SELECT doc_id, chunk_no, '{{broken' AS raw FROM ({_chunks()}) WHERE length(chunk) % 5 = 0",
     "replayed_answers": f"WITH c AS ({_chunks()}) SELECT doc_id, chunk_no, CASE WHEN chunk IN (SELECT chunk FROM c WHERE chunk_no = 1) THEN 'answer to ' || left(chunk, 10) END AS raw FROM c",
+    "call_slots": """WITH h AS (SELECT DISTINCT sha256(text) AS prompt_hash FROM documents), l AS (SELECT *, ('0x' || left(prompt_hash, 8))::BIGINT % 7 AS lane FROM h),
+        p AS (SELECT *, row_number() OVER (PARTITION BY lane ORDER BY prompt_hash) - 1 AS place FROM l) SELECT *, row_number() OVER (ORDER BY place, lane) - 1 AS slot FROM p""",
+    "ledger_answers": f"""WITH c AS ({_chunks()}), e AS (SELECT chunk, bool_or(doc_id % 2 = 0) AS early FROM c GROUP BY chunk)
+        SELECT doc_id, chunk_no, CASE WHEN length(chunk) % 2 = 0 THEN left(chunk, 10) END AS raw, (CASE WHEN length(chunk) % 2 = 0 THEN 1 WHEN early THEN 4 ELSE 2 END)::BIGINT AS n_attempts FROM c JOIN e USING (chunk)""",
     "text_files": "SELECT n_nationkey || '.txt' AS doc_id, n_name || chr(10) || '一' || chr(10) || n_nationkey AS text, 'utf-8' AS encoding FROM nation",
+    "detected_texts": f"""SELECT doc_id, translate(regexp_replace(text, '[^a-z \\n]', '', 'g'), '{LETTERS}', '{CHARACTERS}') AS text,
+        CASE WHEN NOT regexp_matches(text, '[a-z]') AND doc_id % 4 <> 1 THEN 'utf-8' ELSE {list(WRITTEN_IN)}[(doc_id % 4 + 1)::INTEGER] END AS encoding FROM documents""",
     "image_files": "SELECT 'page_' || printf('%05d', n_nationkey) || '.png' AS name, n_name AS content FROM nation",
     "numbered_files": "SELECT 'success' || n_nationkey || '.json' AS name, n_nationkey::INTEGER AS file_no, n_name AS instruction, n_nationkey::VARCHAR AS output FROM nation WHERE n_nationkey % 7 <> 3",
 }

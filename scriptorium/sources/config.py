@@ -32,7 +32,8 @@ class CorrectionSettings:
     endpoint: str = ""
     batch_size: int = 1000
     max_retries: int = 3
-    retry_delay: int = 2
+    retry_delay: float = 2
+    pause: float = 0.5
 
 
 @dataclass(frozen=True)
@@ -41,6 +42,11 @@ class PairSettings:
     endpoint: str = ""
     max_segment_length: int = 8000
     overlap_length: int = 1000
+    max_retries: int = 3
+    retry_delay: float = 2
+    #: seconds between two calls of the whole cluster, and calls side by side
+    pause: float = 0.5
+    lanes: int = 8
 
 
 @dataclass(frozen=True)

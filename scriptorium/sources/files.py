@@ -11,24 +11,16 @@ from pyspark.sql import functions as F
 
 from scriptorium.functions.text import unix_lines
 from scriptorium.operators.assemble import merge_numbered
+from scriptorium.sources import charsets
 
-# Encodings tried in turn after strict UTF-8.
-ENCODINGS = ("gb18030", "gbk", "gb2312", "utf-8", "utf-16", "big5")
 # Numbered file sets and the patterns of their numbers.
 SUCCESS_GLOB, SUCCESS_NUMBER = "success*.json", r"success(\d+)\.json$"
 PAIRS_GLOB, PAIRS_NUMBER = "qa_pairs_*.json", r"qa_pairs_(\d+)"
 
 
 def decode(content: bytes | None) -> tuple[str | None, str | None]:
-    """Text and encoding: strict UTF-8 (without a byte-order mark), else the first of ENCODINGS that reads all of it; (None, None) if none does."""
-    if content is None:
-        return None, None
-    for name in ("utf-8-sig", *ENCODINGS):
-        try:
-            return content.decode(name), "utf-8" if name == "utf-8-sig" else name
-        except UnicodeError:
-            continue
-    return None, None
+    """Text and encoding, told from all bytes; see sources.charsets."""
+    return charsets.detect(content)
 
 
 def decoded(content: Column) -> Column:

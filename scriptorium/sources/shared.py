@@ -6,7 +6,7 @@ import re
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -26,3 +26,33 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch(spark: SparkSession, tag: str) -> str:
     """A new address below the shared folder; nothing is there yet."""
     return f"{shared_dir(spark)}/scriptorium/{tag}-{uuid.uuid4().hex[:12]}"
+
+
+def _path(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    system, p = _path(spark, path)
+    return system.exists(p)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    system, p = _path(spark, path)
+    system.delete(p, True)
+
+
+def written(df: DataFrame, tag: str) -> DataFrame:
+    """df as a table in the shared folder, read back; discard() deletes it."""
+    path = scratch(df.sparkSession, tag)
+    df.write.parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._scratch = path
+    return out
+
+
+def discard(df: DataFrame) -> None:
+    """Deletes what written() wrote; to be called when nothing reads it any more."""
+    if path := getattr(df, "_scratch", None):
+        remove(df.sparkSession, path)
