@@ -70,15 +70,20 @@ def describe_images(images: DataFrame, detect: Callable[[bytes], Found], write:
 
 
 def split_regions(images: DataFrame, find: Callable[[bytes], list], cut: Callable[[bytes, tuple], bytes], image: str = "content", path: str = "path") -> DataFrame:
-    """path, region (from 0, of those kept), png: the regions of each image with sides over 50, cut out."""
+    """path, region (from 0, of those kept), png: the regions of each image with sides over 50, cut out. An image on which find fails is one row without a region, a region that can't be cut out one without an image."""
+    from scriptorium.sources.files import cropped
 
-    @F.pandas_udf(f"array<{BOX}>")
-    def boxes(pngs: pd.Series) -> pd.Series:
-        return pngs.map(lambda x: [dict(zip("xywh", map(int, b))) for b in find(bytes(x))])
-
-    @F.pandas_udf("binary")
-    def crop(pngs: pd.Series, where: pd.DataFrame) -> pd.Series:
-        return pd.Series([cut(bytes(i), (b.x, b.y, b.w, b.h)) for i, b in zip(pngs, where.itertuples(index=False))])
-
-    rows = images.select(path, image, F.posexplode(kept_boxes(boxes(F.col(image)), is_region)).alias("region", "b"))
-    return rows.select(path, "region", crop(F.col(image), F.col("b")).alias("png"))
+    @F.pandas_udf(f"struct<ok:boolean,boxes:array<{BOX}>>")
+    def found(pngs: pd.Series) -> pd.DataFrame:
+        rows = []
+        for png in pngs:
+            try:
+                rows.append((True, [dict(zip("xywh", map(int, b))) for b in find(bytes(png))]))
+            except Exception:  # noqa: BLE001  a finder's failure is a row with its status
+                rows.append((False, []))
+        return pd.DataFrame(rows, columns=["ok", "boxes"])
+
+    kept = F.transform(kept_boxes(F.col("f.boxes"), is_region), lambda b, k: F.struct(k.alias("region"), b.alias("b")))
+    none = F.array(F.struct(F.lit(None).cast("int").alias("region"), F.lit(None).cast(BOX).alias("b")))
+    rows = images.select(path, image, found(F.col(image)).alias("f")).select(path, image, F.explode(F.when(F.col("f.ok"), kept).otherwise(none)).alias("r"))
+    return rows.select(path, F.col("r.region").alias("region"), cropped(cut)(F.col(image), F.col("r.b")).alias("png"))

@@ -11,7 +11,7 @@ from scriptorium.functions.text import clean
 from scriptorium.operators import assemble, flatten, images, ledger, models, prompts, qa, shapes, split
 from scriptorium.plans import pipelines
 from scriptorium.sources import files, sinks
-from scriptorium.sources.shared import scratch
+from scriptorium.sources.shared import scratch, written
 from scriptorium.sources.sinks import part_name
 from scriptorium.sources.tables import table
 
@@ -299,31 +299,29 @@ def figure_description(spark, folder):
 
 
 def _drawn(spark, folder) -> DataFrame:
-    """path, content: an image for each part, 90 x 24: three rectangles by its key, the first a frame with an island in it, in gray values by the key on darker ground."""
-    key, ground = F.col("p_partkey"), (F.col("p_partkey") % 50).cast("int")
-    rect = lambda k: (k * 30 + 1 + key % 7, 1 + (key + k) % 4, 12 + (key * 3 + k) % 9, 10 + (key * 7 + k) % 8)
+    """path, content: an image for each supplier, 90 x 24: three rectangles by its key, the first a frame with an island in it, in gray values by the key on darker ground."""
+    key = F.col("s_suppkey").cast("int")
+    many = lambda light, n: F.repeat(F.char(F.lit(150 * light) + key % 50), n)
 
-    def inside(k, x, y, inset=0):
-        x0, y0, w, h = rect(k)
-        return (x >= x0 + inset) & (x < x0 + w - inset) & (y >= y0 + inset) & (y < y0 + h - inset)
+    def cell(k, y):
+        """Thirty pixels of a row."""
+        x, top, w, h = 1 + key % 7, 1 + (key + k) % 4, 12 + (key * 3 + k) % 9, 10 + (key * 7 + k) % 8
+        island = F.when((y >= top + 4) & (y < top + h - 4), F.concat(many(0, F.lit(2)), many(1, w - 8), many(0, F.lit(2)))).otherwise(many(0, w - 4))
+        hollow = F.when((y < top + 2) | (y >= top + h - 2), many(1, w)).otherwise(F.concat(many(1, F.lit(2)), island, many(1, F.lit(2))))
+        return F.concat(many(0, x), F.when((y >= top) & (y < top + h), many(1, w) if k else hollow).otherwise(many(0, w)), many(0, 30 - x - w))
 
-    def gray(x, y):
-        first = inside(0, x, y) & (~inside(0, x, y, 2) | inside(0, x, y, 4))
-        return F.when(first | inside(1, x, y) | inside(2, x, y), 150 + ground).otherwise(ground)
-
-    line = lambda y: F.array_join(F.transform(F.sequence(F.lit(0), F.lit(89)), lambda x: F.char(gray(x, y))), "")
-    body = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(23)), line), "")
-    parts = spread(table(spark, folder, "part").select("p_partkey"))
-    return parts.select(key.cast("string").alias("path"), F.encode(F.concat(F.lit("P5\n90 24\n255\n"), body), "ISO-8859-1").alias("content"))
+    body = F.concat(*[cell(k, F.lit(y)) for y in range(24) for k in range(3)])
+    # images are read from somewhere: they're drawn once
+    return written(table(spark, folder, "supplier").select(key.cast("string").alias("path"), F.encode(F.concat(F.lit("P5\n90 24\n255\n"), body), "ISO-8859-1").alias("content")), "images")
 
 
 def image_boxes(spark, folder):
-    return shapes.boxes(_drawn(spark, folder)).select(F.col("path").cast("long").alias("p_partkey"), "x", "y", "w", "h", "pixels")
+    return shapes.boxes(_drawn(spark, folder)).select(F.col("path").cast("long").alias("s_suppkey"), "x", "y", "w", "h", "pixels")
 
 
 def otsu_thresholds(spark, folder):
     counts = shapes.histograms(shapes.pixel_rows(_drawn(spark, folder)))
-    return shapes.otsu(counts).select(F.col("path").cast("long").alias("p_partkey"), "threshold")
+    return shapes.otsu(counts).select(F.col("path").cast("long").alias("s_suppkey"), "threshold")
 
 
 # whole ways
@@ -525,7 +523,7 @@ flat AS (SELECT k, count(*) AS n FROM lines WHERE abs(atan2(dy, dx) * 180 / pi()
 hz AS (SELECT p_partkey AS k, p_name, coalesce(n, 0)::INTEGER AS n, p_partkey % 10 <> 0 AND coalesce(n, 0) BETWEEN 6 AND 8 AS hex FROM part LEFT JOIN flat ON k = p_partkey)"""
 
 
-_DRAWN = "WITH r AS (SELECT p_partkey AS key, k, k * 30 + 1 + p_partkey % 7 AS x, 1 + (p_partkey + k) % 4 AS y, 12 + (p_partkey * 3 + k) % 9 AS w, 10 + (p_partkey * 7 + k) % 8 AS h FROM part, (SELECT unnest([0, 1, 2]) AS k))"
+_DRAWN = "WITH r AS (SELECT s_suppkey AS key, k, k * 30 + 1 + s_suppkey % 7 AS x, 1 + (s_suppkey + k) % 4 AS y, 12 + (s_suppkey * 3 + k) % 9 AS w, 10 + (s_suppkey * 7 + k) % 8 AS h FROM supplier, (SELECT unnest([0, 1, 2]) AS k))"
 
 
 def _quoted(text: str) -> str:
@@ -591,9 +589,9 @@ ORACLES: dict[str, str] = {
         t AS (SELECT hz.k, p_name, CASE WHEN hz.k % 17 = 0 THEN '无法识别卦象特征' ELSE '图中' || CASE WHEN hz.k % 3 = 0 AND r > 0 THEN '包含圆形和方形卦象结构，' WHEN hz.k % 3 = 0 THEN '包含圆形卦象结构，' WHEN r > 0 THEN '包含方形卦象结构，' ELSE '' END
           || CASE WHEN c > 0 THEN '检测到' || c || '条线条，' ELSE '' END || CASE WHEN hex THEN '符合卦象基本特征。' ELSE '不完全符合卦象特征。' END || CASE WHEN hz.k % 5 = 0 AND p_name <> '' THEN chr(10) || '图中包含文字信息：' || p_name ELSE '' END END AS told FROM hz JOIN rc USING (k) JOIN ln USING (k))
         SELECT k AS p_partkey, told AS description, CASE WHEN k % 19 = 0 THEN '图片描述生成失败' ELSE told || chr(10) || '基础图像描述：' || p_name END AS caption FROM t""",
-    "image_boxes": f"{_DRAWN} SELECT key AS p_partkey, x::INTEGER AS x, y::INTEGER AS y, w::INTEGER AS w, h::INTEGER AS h, CASE WHEN k = 0 THEN w * h - (w - 4) * (h - 4) ELSE w * h END::BIGINT AS pixels FROM r",
+    "image_boxes": f"{_DRAWN} SELECT key AS s_suppkey, x::INTEGER AS x, y::INTEGER AS y, w::INTEGER AS w, h::INTEGER AS h, CASE WHEN k = 0 THEN w * h - (w - 4) * (h - 4) ELSE w * h END::BIGINT AS pixels FROM r",
     "otsu_thresholds": f"""{_DRAWN}, n AS (SELECT key, sum(CASE WHEN k = 0 THEN w * h - (w - 4) * (h - 4) + greatest(w - 8, 0) * greatest(h - 8, 0) ELSE w * h END) AS light FROM r GROUP BY key)
-        SELECT key AS p_partkey, (key % 50)::INTEGER AS threshold FROM n WHERE light > 0""",
+        SELECT key AS s_suppkey, (key % 50)::INTEGER AS threshold FROM n WHERE light > 0""",
     "book_pipeline": f"WITH RECURSIVE {_WINDOWS.format(f='documents').strip()} SELECT doc_id, seg_no, 1 AS pair_no, left(segment, 30) AS instruction, right(segment, 50) AS output, '{_BOOK_SYSTEM}' AS system FROM z WHERE length(segment) % 7 <> 0",
     "training_data_pipeline": """WITH a AS (SELECT conv_id AS doc_id, string_agg(text || chr(10) || chr(10), '' ORDER BY turn) AS t FROM conversations WHERE role <> 'system' GROUP BY conv_id)
         SELECT doc_id, 1 AS seg_no, 1 AS pair_no, left(t, 30) AS question, right(t, 50) AS answer FROM a WHERE length(t) % 7 <> 0 AND length(t) <= 100000""",

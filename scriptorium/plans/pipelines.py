@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from scriptorium.functions.text import clean
 from scriptorium.operators import flatten, images, models, qa, split
 from scriptorium.sources import files
+from scriptorium.sources.shared import written
 
 
 def pages_to_training_rows(pages: DataFrame, figures: DataFrame | None = None, correct=None, limit: int = 1000, prompt=lambda s: s) -> DataFrame:
@@ -18,14 +19,17 @@ def pages_to_training_rows(pages: DataFrame, figures: DataFrame | None = None, c
     return flatten.training_rows(models.corrected(cleaned, correct, limit, prompt=prompt) if correct is not None else cleaned)
 
 
-def documents_to_training_rows(documents: DataFrame, render, read, find, cut, detect, write=None, prepare=None, correct=None, limit: int = 1000, prompt=lambda s: s, keep=lambda pages: pages) -> DataFrame:
+def documents_to_training_rows(documents: DataFrame, render, read, find, cut, detect, write=None, prepare=None, correct=None, limit: int = 1000, prompt=lambda s: s, keep=None) -> DataFrame:
     """Documents (path, content) to training rows in one go: pages rendered, prepared (a function of an image, if one is given), read, their figures cut out, looked
-    at and captioned, texts cleaned and corrected. What renders, reads, finds, cuts, detects and writes captions is passed in; see sources.files and operators.images. keep writes the
-    pages somewhere and reads them back: without it they're rendered once for the texts and once for the figures."""
+    at and captioned, texts cleaned and corrected. What renders, reads, finds, cuts, detects and writes captions is passed in; see sources.files and operators.images. Pages are rendered and read once: keep writes them
+    somewhere and reads them back, without it a table in the shared folder does, which the result reads. A page or figure on which one of these fails takes nothing else with it; files.read_pages says what failed."""
     rendered = files.render_pages(documents, render)
-    pages = keep(files.read_pages(files.prepared(rendered, prepare) if prepare else rendered, read, find))
+    read_once = files.read_pages(files.prepared(rendered, prepare) if prepare else rendered, read, find)
+    pages = keep(read_once) if keep else written(read_once, "pages")
     told = images.describe_images(files.cut_figures(pages, cut), detect, write, image="png")
-    return pages_to_training_rows(pages.drop("png"), told.select("doc_id", "path", "analysis", "caption"), correct, limit, prompt)
+    out = pages_to_training_rows(pages.drop("png", "status"), told.select("doc_id", "path", "analysis", "caption"), correct, limit, prompt)
+    out._scratch = getattr(pages, "_scratch", None)
+    return out
 
 
 def regions_to_analysis(pictures: DataFrame, find, cut, detect) -> DataFrame:

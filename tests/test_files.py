@@ -119,3 +119,37 @@ def test_documents_in_one_go_and_image_files(spark, tmp_path):
     pngs = spark.createDataFrame([("d/1.png", b"abc"), ("d/2.png", b"")], "path string, png binary")
     assert sorted((r.path, r.bytes) for r in sinks.write_images(pngs, f"file://{tmp_path}/figures").collect()) == [("d/1.png", 3), ("d/2.png", 0)]
     assert (tmp_path / "figures/d/1.png").read_bytes() == b"abc"
+
+
+def test_failures_are_rows(spark):
+    """A renderer, a reader, a finder, a cutter and a detector that fail take nothing else with them."""
+    documents = spark.createDataFrame([("x/a.pdf", b"one|two"), ("x/bad.pdf", b"first|!"), ("x/c.pdf", b"three|unread|unfound|uncut")], "path string, content binary")
+
+    def render(raw):
+        for page in raw.split(b"|"):
+            if page == b"!":
+                raise OSError("broken")
+            yield page
+
+    def fails_on(word, otherwise):
+        def run(png, *more):
+            if bytes(png) == word:
+                raise ValueError
+            return otherwise(png, *more)
+
+        return run
+
+    read, find = fails_on(b"unread", lambda png: png.decode()), fails_on(b"unfound", lambda png: [(0, 0, 150, 150)])
+    cut = fails_on(b"uncut", lambda png, box: png)
+    pages = files.read_pages(files.render_pages(documents, render), read, find)
+    got = sorted((r.doc_id, r.page_number, r.text, len(r.images), r.status) for r in pages.collect())
+    assert got == [("a.pdf", 1, "one", 1, "ok"), ("a.pdf", 2, "two", 1, "ok"), ("bad.pdf", 1, "first", 1, "ok"), ("bad.pdf", 2, "", 0, "not rendered: OSError"), ("c.pdf", 1, "three", 1, "ok"), ("c.pdf", 2, "", 1, "not read: ValueError"), ("c.pdf", 3, "unfound", 0, "no figures: ValueError"), ("c.pdf", 4, "uncut", 1, "ok")]
+    crops = {r.path: r.png and bytes(r.png) for r in files.cut_figures(pages, cut).collect()}
+    assert len(crops) == 6 and [v for v in crops.values()].count(None) == 1
+    rows = pipelines.documents_to_training_rows(documents, render, read, find, cut, lambda png: Found(None, [], None, png.decode()), lambda pngs: ["seen"] * len(pngs))
+    texts = sorted((r.doc_id, r.page, r.type) for r in rows.collect())
+    assert texts == [("a.pdf", 1, "image"), ("a.pdf", 1, "text"), ("a.pdf", 2, "image"), ("a.pdf", 2, "text"), ("bad.pdf", 1, "image"), ("bad.pdf", 1, "text"), ("c.pdf", 1, "image"), ("c.pdf", 1, "text"), ("c.pdf", 2, "image"), ("c.pdf", 3, "text"), ("c.pdf", 4, "image"), ("c.pdf", 4, "text")]
+    pictures = spark.createDataFrame([("p", b"good"), ("q", b"unfound"), ("r", b"uncut")], "path string, content binary")
+    regions = sorted((r.path, r.region, r.status) for r in pipelines.regions_to_analysis(pictures, find, cut, lambda png: Found(None, [], None, png.decode())).collect())
+    assert regions == [("p", 0, "ok"), ("q", None, "failed"), ("r", 0, "failed")]
+    assert files.render_pages(documents.where("false"), render).collect() == []
