@@ -10,7 +10,7 @@ from scriptorium.functions import figures
 from scriptorium.functions.text import clean
 from scriptorium.operators import assemble, flatten, images, ledger, models, prompts, qa, shapes, split
 from scriptorium.plans import pipelines
-from scriptorium.sources import files, sinks
+from scriptorium.sources import arrays, files, sinks
 from scriptorium.sources.shared import scratch, written
 from scriptorium.sources.sinks import part_name
 from scriptorium.sources.tables import table
@@ -398,6 +398,14 @@ def file_rows(spark, folder):
     return files.read_training_rows(spark, path, lines=True)
 
 
+def array_file(spark, folder):
+    """Training rows as one JSON array in one file, which many tasks write and many read: in ranges of 1 MB."""
+    path = scratch(spark, "array-file") + ".json"
+    rows = training_rows(spark, folder)
+    arrays.write_array(rows.select("doc_id", "seq", "type", "content", "page", "image_path"), path, ["doc_id", "seq"], ["doc_id", "seq"])
+    return arrays.read_large_rows(spark, path, "type string, content string, page int, image_path string", 1 << 20)
+
+
 def file_parts(spark, folder):
     """Question and answer pairs, a folder for each number."""
     path = scratch(spark, "parts")
@@ -458,7 +466,7 @@ QUERIES = {
         clean_text, clean_conversations, page_number_filter, fixed_chunks, clean_chunks, resume_chunks, resume_by_table, paragraph_pack, overlap_windows, windows_clean, correct_roundtrip, correct_fallback, prompt_correct, prompt_pairs, prompt_chunk,
         training_rows, described_pages, document_rows, concat_training_text, stream_accumulate, chat_until_exit, parse_qa, format_sft, format_sft_tolerant, quarantine, convert_legacy, merge_files, merge_whole, unnumbered_files, qa_counts,
         figure_filter, figure_regions, horizontal_lines, figure_description, image_boxes, otsu_thresholds, book_pipeline, training_data_pipeline, chunk_pipeline, chunk_quarantine, replayed_answers, call_slots, ledger_answers,
-        file_rows, file_parts, text_files, detected_texts, image_files, numbered_files,
+        file_rows, array_file, file_parts, text_files, detected_texts, image_files, numbered_files,
     )
 }
 
@@ -608,6 +616,6 @@ ORACLES: dict[str, str] = {
     "image_files": "SELECT 'page_' || printf('%05d', n_nationkey) || '.png' AS name, n_name AS content FROM nation",
     "numbered_files": "SELECT 'success' || n_nationkey || '.json' AS name, n_nationkey::INTEGER AS file_no, n_name AS instruction, n_nationkey::VARCHAR AS output FROM nation WHERE n_nationkey % 7 <> 3",
 }
-ORACLES["file_rows"] = f"SELECT type, content, page, image_path FROM ({ORACLES['training_rows']})"
+ORACLES["array_file"] = ORACLES["file_rows"] = f"SELECT type, content, page, image_path FROM ({ORACLES['training_rows']})"
 ORACLES["file_parts"] = f"SELECT *, file_no % 10 AS part FROM ({ORACLES['merge_files']})"
 
