@@ -8,12 +8,13 @@ from pyspark.sql import functions as F
 
 from scriptorium.functions import figures
 from scriptorium.functions.text import clean
-from scriptorium.operators import assemble, flatten, images, ledger, models, prompts, qa, shapes, split
+from scriptorium.operators import assemble, flatten, hough, images, ledger, models, prompts, qa, shapes, split
 from scriptorium.plans import pipelines
 from scriptorium.sources import arrays, files, sinks
-from scriptorium.sources.shared import scratch, written
+from scriptorium.sources.shared import discard, scratch, written
 from scriptorium.sources.sinks import part_name
 from scriptorium.sources.tables import table
+from scriptorium.streaming import calls
 
 CHUNK, LIMIT, LONGEST, OVERLAP = 2000, 1000, 2000, 200
 
@@ -170,6 +171,38 @@ def chat_until_exit(spark, folder):
     return assemble.until_exit(table(spark, folder, "conversations").select("conv_id", "turn", said.alias("text")))
 
 
+def _streamed(spark, rows, make) -> DataFrame:
+    """What a stream over rows, which arrive in two batches, gives out."""
+    arrived, out = written(rows.withColumn("at", F.timestamp_seconds("seconds")).drop("seconds").repartition(2), "arrived"), scratch(spark, "streamed")
+    # a session of its own for the state store that these streams need
+    other = spark.newSession()
+    calls.state_in_rocksdb(other)
+    source = other.readStream.schema(arrived.schema).option("maxFilesPerTrigger", 1).parquet(arrived._scratch)
+    result = make(source)
+    query = result.writeStream.format("parquet").option("path", out).option("checkpointLocation", scratch(spark, "streamed-mark")).trigger(availableNow=True).start()
+    query.awaitTermination()
+    discard(arrived)
+    return spark.read.schema(result.schema).parquet(out)
+
+
+def streamed_answers(spark, folder):
+    """The deltas of stream_accumulate as a stream, pieces of a call in any order; the last version of each call."""
+    turns = table(spark, folder, "conversations")
+    key = F.col("conv_id") + F.col("turn")
+    last = F.col("turn") == F.max("turn").over(Window.partitionBy("conv_id"))
+    rows = turns.select(F.col("conv_id").alias("call_id"), F.col("turn").alias("seq"), (key % 5 != 0).alias("has_choice"), F.when(key % 7 != 0, F.col("text")).alias("content"), last.alias("last"), F.col("turn").alias("seconds"))
+    found = _streamed(spark, rows, calls.accumulated)
+    return found.groupBy("call_id").agg(F.max_by("full_text", "version").alias("full_text"))
+
+
+def streamed_until_exit(spark, folder):
+    """The turns of chat_until_exit as a stream, in any order."""
+    said = F.when((F.col("conv_id") % 3 == 0) & (F.col("turn") == F.col("conv_id") % 4 + 1), F.when(F.col("conv_id") % 2 == 0, "EXIT").otherwise("Quit")).otherwise(F.col("text"))
+    turns = table(spark, folder, "conversations")
+    first = turns.agg(F.min("turn")).first()[0]
+    return _streamed(spark, turns.select("conv_id", "turn", said.alias("text"), F.col("turn").alias("seconds")), lambda s: calls.until_exit(s, first))
+
+
 # question and answer records
 
 
@@ -324,6 +357,23 @@ def otsu_thresholds(spark, folder):
     return shapes.otsu(counts).select(F.col("path").cast("long").alias("s_suppkey"), "threshold")
 
 
+def line_segments(spark, folder):
+    """Two to four lines of an image of each supplier, by its key, each with a gap in it that's too wide for one segment or not, found again."""
+    key = F.col("s_suppkey").cast("int")
+    dots = lambda light, n: F.repeat(F.char(F.lit(200 if light else 10)), n)
+
+    def row(y):
+        k = y // 9
+        first, gap = 1 + (key + k) % 5, 4 + (key + 3 * k) % 14
+        drawn = F.concat(dots(0, first), dots(1, 55 + (key + k) % 9), dots(0, gap), dots(1, F.lit(52)), dots(0, 142 - first - 55 - (key + k) % 9 - gap - 52))
+        return F.when(F.lit(k) < 2 + key % 3, drawn).otherwise(dots(0, F.lit(142))) if y % 9 == 4 else dots(0, F.lit(142))
+
+    body = F.concat(*[row(y) for y in range(36)])
+    images = written(table(spark, folder, "supplier").select(key.cast("string").alias("path"), F.encode(F.concat(F.lit("P5\n142 36\n255\n"), body), "ISO-8859-1").alias("content")), "images")
+    found = hough.lines(hough.edge_points(images))
+    return found.select(F.col("path").cast("long").alias("s_suppkey"), "x1", "y1", "x2", "y2", "points")
+
+
 # whole ways
 
 
@@ -464,8 +514,8 @@ QUERIES = {
     f.__name__: f
     for f in (
         clean_text, clean_conversations, page_number_filter, fixed_chunks, clean_chunks, resume_chunks, resume_by_table, paragraph_pack, overlap_windows, windows_clean, correct_roundtrip, correct_fallback, prompt_correct, prompt_pairs, prompt_chunk,
-        training_rows, described_pages, document_rows, concat_training_text, stream_accumulate, chat_until_exit, parse_qa, format_sft, format_sft_tolerant, quarantine, convert_legacy, merge_files, merge_whole, unnumbered_files, qa_counts,
-        figure_filter, figure_regions, horizontal_lines, figure_description, image_boxes, otsu_thresholds, book_pipeline, training_data_pipeline, chunk_pipeline, chunk_quarantine, replayed_answers, call_slots, ledger_answers,
+        training_rows, described_pages, document_rows, concat_training_text, stream_accumulate, chat_until_exit, streamed_answers, streamed_until_exit, parse_qa, format_sft, format_sft_tolerant, quarantine, convert_legacy, merge_files, merge_whole, unnumbered_files, qa_counts,
+        figure_filter, figure_regions, horizontal_lines, figure_description, image_boxes, otsu_thresholds, line_segments, book_pipeline, training_data_pipeline, chunk_pipeline, chunk_quarantine, replayed_answers, call_slots, ledger_answers,
         file_rows, array_file, file_parts, text_files, detected_texts, image_files, numbered_files,
     )
 }
@@ -600,6 +650,9 @@ ORACLES: dict[str, str] = {
     "image_boxes": f"{_DRAWN} SELECT key AS s_suppkey, x::INTEGER AS x, y::INTEGER AS y, w::INTEGER AS w, h::INTEGER AS h, CASE WHEN k = 0 THEN w * h - (w - 4) * (h - 4) ELSE w * h END::BIGINT AS pixels FROM r",
     "otsu_thresholds": f"""{_DRAWN}, n AS (SELECT key, sum(CASE WHEN k = 0 THEN w * h - (w - 4) * (h - 4) + greatest(w - 8, 0) * greatest(h - 8, 0) ELSE w * h END) AS light FROM r GROUP BY key)
         SELECT key AS s_suppkey, (key % 50)::INTEGER AS threshold FROM n WHERE light > 0""",
+    "line_segments": """WITH l AS (SELECT s_suppkey AS key, k, 9 * k + 4 AS y, 1 + (s_suppkey + k) % 5 AS x, 55 + (s_suppkey + k) % 9 AS n, 4 + (s_suppkey + 3 * k) % 14 AS gap FROM supplier, (SELECT unnest([0, 1, 2, 3]) AS k) WHERE k < 2 + s_suppkey % 3),
+        s AS (SELECT key, y, x AS x1, CASE WHEN gap + 1 <= 10 THEN x + n + gap + 51 ELSE x + n - 1 END AS x2, CASE WHEN gap + 1 <= 10 THEN n + 52 ELSE n END AS p FROM l UNION ALL SELECT key, y, x + n + gap, x + n + gap + 51, 52 FROM l WHERE gap + 1 > 10)
+        SELECT key AS s_suppkey, x1::INTEGER AS x1, y::INTEGER AS y1, x2::INTEGER AS x2, y::INTEGER AS y2, p::BIGINT AS points FROM s""",
     "book_pipeline": f"WITH RECURSIVE {_WINDOWS.format(f='documents').strip()} SELECT doc_id, seg_no, 1 AS pair_no, left(segment, 30) AS instruction, right(segment, 50) AS output, '{_BOOK_SYSTEM}' AS system FROM z WHERE length(segment) % 7 <> 0",
     "training_data_pipeline": """WITH a AS (SELECT conv_id AS doc_id, string_agg(text || chr(10) || chr(10), '' ORDER BY turn) AS t FROM conversations WHERE role <> 'system' GROUP BY conv_id)
         SELECT doc_id, 1 AS seg_no, 1 AS pair_no, left(t, 30) AS question, right(t, 50) AS answer FROM a WHERE length(t) % 7 <> 0 AND length(t) <= 100000""",
@@ -616,6 +669,7 @@ ORACLES: dict[str, str] = {
     "image_files": "SELECT 'page_' || printf('%05d', n_nationkey) || '.png' AS name, n_name AS content FROM nation",
     "numbered_files": "SELECT 'success' || n_nationkey || '.json' AS name, n_nationkey::INTEGER AS file_no, n_name AS instruction, n_nationkey::VARCHAR AS output FROM nation WHERE n_nationkey % 7 <> 3",
 }
+ORACLES["streamed_answers"], ORACLES["streamed_until_exit"] = ORACLES["stream_accumulate"], ORACLES["chat_until_exit"]
 ORACLES["array_file"] = ORACLES["file_rows"] = f"SELECT type, content, page, image_path FROM ({ORACLES['training_rows']})"
 ORACLES["file_parts"] = f"SELECT *, file_no % 10 AS part FROM ({ORACLES['merge_files']})"
 
