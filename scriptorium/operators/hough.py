@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from scriptorium.operators.shapes import LIGHT, pixel_rows
+from scriptorium.sources.shared import discard, written
 
 # The detectors' settings. Votes of a line, length of a segment, gap within one; radii and least distance of circles.
 LINE_VOTES, LEAST_LENGTH, MOST_GAP = 50, 50, 10
@@ -51,8 +52,9 @@ def _voted(points: DataFrame) -> DataFrame:
 
 def lines(points: DataFrame, votes: int = LINE_VOTES, least: int = LEAST_LENGTH, gap: int = MOST_GAP) -> DataFrame:
     """path, x1, y1, x2, y2 (from left to right, or from top to bottom where upright), points: segments along lines with so many points, no shorter than least, without gaps over gap."""
+    points = written(points, "points")
     voted = _voted(points)
-    strong = voted.groupBy("path", "angle", "rho").agg(F.count("*").alias("n")).where(F.col("n") >= votes)
+    strong = written(voted.groupBy("path", "angle", "rho").agg(F.count("*").alias("n")).where(F.col("n") >= votes), "votes")
     # a line's votes spread over neighbouring angles and distances; past 179 degrees an angle begins again at 0 and the distance turns its sign
     steps = [(a, r) for a in range(-SPREAD, SPREAD + 1) for r in range(-SPREAD, SPREAD + 1) if (a, r) != (0, 0)]
     near = F.explode(F.array(*[F.struct(F.lit(a).alias("a"), F.lit(r).alias("r")) for a, r in steps]))
@@ -69,7 +71,11 @@ def lines(points: DataFrame, votes: int = LINE_VOTES, least: int = LEAST_LENGTH,
     island = on.withColumn("cut", cut).withColumn("island", F.sum("cut").over(order.rowsBetween(Window.unboundedPreceding, 0)))
     end = F.struct("x", "y")
     told = island.groupBy("path", "angle", "rho", "island").agg(F.min(end).alias("a"), F.max(end).alias("b"), (F.max("t") - F.min("t")).alias("length"), F.count("*").alias("points"))
-    return told.where(F.col("length") >= least - 1).select("path", F.col("a.x").alias("x1"), F.col("a.y").alias("y1"), F.col("b.x").alias("x2"), F.col("b.y").alias("y2"), "points")
+    long = told.where(F.col("length") >= least - 1).select("path", F.col("a.x").alias("x1"), F.col("a.y").alias("y1"), F.col("b.x").alias("x2"), F.col("b.y").alias("y2"), "points")
+    out = written(long, "segments")
+    discard(points)
+    discard(strong)
+    return out
 
 
 def circles(points: DataFrame, radii: tuple[int, int] = RADII, distance: int = LEAST_DISTANCE, share: float = ROUND) -> DataFrame:
@@ -81,7 +87,7 @@ def circles(points: DataFrame, radii: tuple[int, int] = RADII, distance: int = L
     around = lambda t, i, j: F.struct((F.round(F.col("x") + F.col("r") * F.cos(F.col("angle") + t)).cast("int") + i).alias("cx"), (F.round(F.col("y") + F.col("r") * F.sin(F.col("angle") + t)).cast("int") + j).alias("cy"))
     allowed = F.array_distinct(F.flatten(F.transform(F.array(*map(F.lit, turns)), lambda t: F.array(*[around(t, i, j) for i in (-1, 0, 1) for j in (-1, 0, 1)]))))
     votes = each.select("path", "r", F.explode(allowed).alias("c")).groupBy("path", "c.cx", "c.cy", "r").agg(F.count("*").alias("votes"))
-    likely = votes.withColumn("share", F.col("votes") / (2 * F.pi() * F.col("r"))).where(F.col("share") >= share)
+    likely = written(votes.withColumn("share", F.col("votes") / (2 * F.pi() * F.col("r"))).where(F.col("share") >= share), "votes")
     # candidates are few and meet in cells as wide as the least distance: a candidate gives way to a better one nearer than that
     rank = F.struct(F.round("share", 6).alias("share"), (-F.col("r")).alias("r"), (-F.col("cx")).alias("x"), (-F.col("cy")).alias("y"))
     ranked = likely.withColumn("rank", rank)
@@ -92,4 +98,6 @@ def circles(points: DataFrame, radii: tuple[int, int] = RADII, distance: int = L
     others = ranked.groupBy("path", "cx", "cy").agg(F.max("rank").alias("other")).withColumn("s", cells).select("path", F.col("cx").alias("ox"), F.col("cy").alias("oy"), "other", (cell("cx") + F.col("s.i")).alias("ux"), (cell("cy") + F.col("s.j")).alias("uy"))
     beaten = own.join(others, ["path", "ux", "uy"]).where((F.col("other") > F.col("rank")) & ((F.col("cx") - F.col("ox")) * (F.col("cx") - F.col("ox")) + (F.col("cy") - F.col("oy")) * (F.col("cy") - F.col("oy")) < distance * distance))
     out = own.join(beaten.select("path", "cx", "cy", "r").distinct(), ["path", "cx", "cy", "r"], "left_anti")
-    return out.select("path", F.col("cx").alias("x"), F.col("cy").alias("y"), "r", "votes")
+    out = out.select("path", F.col("cx").alias("x"), F.col("cy").alias("y"), "r", "votes")
+    out._scratch = likely._scratch
+    return out

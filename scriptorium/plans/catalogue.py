@@ -173,7 +173,7 @@ def chat_until_exit(spark, folder):
 
 def _streamed(spark, rows, make) -> DataFrame:
     """What a stream over rows, which arrive in two batches, gives out."""
-    arrived, out = written(rows.withColumn("at", F.timestamp_seconds("seconds")).drop("seconds").repartition(2), "arrived"), scratch(spark, "streamed")
+    arrived, out = written(rows.withColumn("at", F.timestamp_seconds(F.col("seconds") + 1_000_000_000)).drop("seconds").repartition(2), "arrived"), scratch(spark, "streamed")
     # a session of its own for the state store that these streams need
     other = spark.newSession()
     calls.state_in_rocksdb(other)
@@ -358,8 +358,9 @@ def otsu_thresholds(spark, folder):
 
 
 def line_segments(spark, folder):
-    """Two to four lines of an image of each supplier, by its key, each with a gap in it that's too wide for one segment or not, found again."""
-    key = F.col("s_suppkey").cast("int")
+    """Two to four lines of an image for every ten suppliers, by the sum of their keys, each with a gap in it that's too wide for one segment or not, found again."""
+    tens = table(spark, folder, "supplier").groupBy(F.floor(F.col("s_suppkey") / 10).alias("ten")).agg(F.sum("s_suppkey").cast("int").alias("sum"))
+    key = F.col("sum")
     dots = lambda light, n: F.repeat(F.char(F.lit(200 if light else 10)), n)
 
     def row(y):
@@ -369,9 +370,9 @@ def line_segments(spark, folder):
         return F.when(F.lit(k) < 2 + key % 3, drawn).otherwise(dots(0, F.lit(142))) if y % 9 == 4 else dots(0, F.lit(142))
 
     body = F.concat(*[row(y) for y in range(36)])
-    images = written(table(spark, folder, "supplier").select(key.cast("string").alias("path"), F.encode(F.concat(F.lit("P5\n142 36\n255\n"), body), "ISO-8859-1").alias("content")), "images")
+    images = written(tens.select(F.col("ten").cast("string").alias("path"), F.encode(F.concat(F.lit("P5\n142 36\n255\n"), body), "ISO-8859-1").alias("content")), "images")
     found = hough.lines(hough.edge_points(images))
-    return found.select(F.col("path").cast("long").alias("s_suppkey"), "x1", "y1", "x2", "y2", "points")
+    return found.select(F.col("path").cast("long").alias("ten"), "x1", "y1", "x2", "y2", "points")
 
 
 # whole ways
@@ -650,9 +651,10 @@ ORACLES: dict[str, str] = {
     "image_boxes": f"{_DRAWN} SELECT key AS s_suppkey, x::INTEGER AS x, y::INTEGER AS y, w::INTEGER AS w, h::INTEGER AS h, CASE WHEN k = 0 THEN w * h - (w - 4) * (h - 4) ELSE w * h END::BIGINT AS pixels FROM r",
     "otsu_thresholds": f"""{_DRAWN}, n AS (SELECT key, sum(CASE WHEN k = 0 THEN w * h - (w - 4) * (h - 4) + greatest(w - 8, 0) * greatest(h - 8, 0) ELSE w * h END) AS light FROM r GROUP BY key)
         SELECT key AS s_suppkey, (key % 50)::INTEGER AS threshold FROM n WHERE light > 0""",
-    "line_segments": """WITH l AS (SELECT s_suppkey AS key, k, 9 * k + 4 AS y, 1 + (s_suppkey + k) % 5 AS x, 55 + (s_suppkey + k) % 9 AS n, 4 + (s_suppkey + 3 * k) % 14 AS gap FROM supplier, (SELECT unnest([0, 1, 2, 3]) AS k) WHERE k < 2 + s_suppkey % 3),
+    "line_segments": """WITH g AS (SELECT s_suppkey // 10 AS ten, sum(s_suppkey)::INTEGER AS s FROM supplier GROUP BY ten),
+        l AS (SELECT ten AS key, k, 9 * k + 4 AS y, 1 + (s + k) % 5 AS x, 55 + (s + k) % 9 AS n, 4 + (s + 3 * k) % 14 AS gap FROM g, (SELECT unnest([0, 1, 2, 3]) AS k) WHERE k < 2 + s % 3),
         s AS (SELECT key, y, x AS x1, CASE WHEN gap + 1 <= 10 THEN x + n + gap + 51 ELSE x + n - 1 END AS x2, CASE WHEN gap + 1 <= 10 THEN n + 52 ELSE n END AS p FROM l UNION ALL SELECT key, y, x + n + gap, x + n + gap + 51, 52 FROM l WHERE gap + 1 > 10)
-        SELECT key AS s_suppkey, x1::INTEGER AS x1, y::INTEGER AS y1, x2::INTEGER AS x2, y::INTEGER AS y2, p::BIGINT AS points FROM s""",
+        SELECT key AS ten, x1::INTEGER AS x1, y::INTEGER AS y1, x2::INTEGER AS x2, y::INTEGER AS y2, p::BIGINT AS points FROM s""",
     "book_pipeline": f"WITH RECURSIVE {_WINDOWS.format(f='documents').strip()} SELECT doc_id, seg_no, 1 AS pair_no, left(segment, 30) AS instruction, right(segment, 50) AS output, '{_BOOK_SYSTEM}' AS system FROM z WHERE length(segment) % 7 <> 0",
     "training_data_pipeline": """WITH a AS (SELECT conv_id AS doc_id, string_agg(text || chr(10) || chr(10), '' ORDER BY turn) AS t FROM conversations WHERE role <> 'system' GROUP BY conv_id)
         SELECT doc_id, 1 AS seg_no, 1 AS pair_no, left(t, 30) AS question, right(t, 50) AS answer FROM a WHERE length(t) % 7 <> 0 AND length(t) <= 100000""",
