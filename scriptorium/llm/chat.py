@@ -2,9 +2,9 @@
 
 Training chats come as rows of turns, as message lists, as prompt and response or as instruction, input and output. The nested field paths
 of a record, written as one shape string, are hashed; the hash selects a declarative mapping to canonical turns (role, text).
-A frame's shape comes from its schema, a JSON record's from its own variant schema, so layouts can mix within a table. Before it's compared with a mapping, a shape is
-narrowed to the fields that the mapping knows, so extra fields do no harm, wherever they are and whatever they're called; of mappings that fit, the one of most fields is taken.
-Records whose shape no mapping has are returned with status ``unmapped``, not dropped.
+A frame's shape comes from its schema, a JSON record's from its values along the mapping's own paths, so layouts can mix within a table. Before it's compared with a mapping, a shape is
+narrowed to the fields that the mapping knows, level by level, so extra fields do no harm, wherever they are, whatever they're called and however deep they go; of mappings that fit, the one of most fields is taken.
+Records whose shape no mapping has are returned with status ``unmapped``, not dropped; so are those in which a list or an object stands where a text belongs, in a message or as input or system text. A null system text is no turn.
 
 Template: ``<turn ROLE>``, newline, text, newline, ``</turn>``, newline. In a text, a backslash goes before every backslash and before
 a ``<`` that begins ``<turn`` or ``</turn``, so the end mark between newlines never occurs within a text; roles are percent-encoded
@@ -107,19 +107,20 @@ def _asked(f: Callable[[str], Column]) -> Column:
 def _told(name: str, user: str, answer: str) -> list[Layout]:
     """A question and its answer, with and without a system text."""
     plain = lambda f: F.array(_turn("user", f(user)), _turn(ASSISTANT, f(answer)))
-    with_system = lambda f: F.array(_turn("system", f("system")), _turn("user", f(user)), _turn(ASSISTANT, f(answer)))
+    with_system = lambda f: F.concat(_SYSTEM(f), plain(f))
     return [Layout(f"{name}_system", {user: "", answer: "", "system": ""}, with_system), Layout(name, {user: "", answer: ""}, plain)]
 
 
 _MESSAGES, _FROM = _messages("messages", "role", "content"), _messages("conversations", "from", "value")
-_SYSTEM = lambda f: F.array(_turn("system", f("system")))
+#: A system text is a turn; null is none.
+_SYSTEM = lambda f: F.when(f("system").isNotNull(), F.array(_turn("system", f("system")))).otherwise(F.array().cast(TURNS))
 #: Mappings; of those that fit a record, the first with the most fields counts.
 LAYOUTS = tuple(sorted((
     Layout("messages_system", {"messages": [{"role": "", "content": ""}], "system": ""}, lambda f: F.concat(_SYSTEM(f), _MESSAGES(f))),
     Layout("messages", {"messages": [{"role": "", "content": ""}]}, _MESSAGES),
     Layout("from_value_system", {"conversations": [{"from": "", "value": ""}], "system": ""}, lambda f: F.concat(_SYSTEM(f), _FROM(f))),
     Layout("from_value", {"conversations": [{"from": "", "value": ""}]}, _FROM),
-    Layout("instruction_input_system", {"instruction": "", "input": "", "output": "", "system": ""}, lambda f: F.array(_turn("system", f("system")), _asked(f), _turn(ASSISTANT, f("output")))),
+    Layout("instruction_input_system", {"instruction": "", "input": "", "output": "", "system": ""}, lambda f: F.concat(_SYSTEM(f), F.array(_asked(f), _turn(ASSISTANT, f("output"))))),
     Layout("instruction_input", {"instruction": "", "input": "", "output": ""}, lambda f: F.array(_asked(f), _turn(ASSISTANT, f("output")))),
     *_told("instruction", "instruction", "output"),
     *_told("prompt_response", "prompt", "response"),
@@ -141,37 +142,39 @@ def from_frame(df: DataFrame) -> DataFrame:
     raise ValueError(f"no mapping for the shape {shape(own)}")
 
 
-def json_shape(record: Column) -> Column:
-    """The shape string of a variant, as shape() writes it."""
-    return F.regexp_replace(F.schema_of_variant(record), r"(?<=: |ARRAY<|^)(?!OBJECT<|ARRAY<)[A-Z]+(\(\d+, ?\d+\))?", "_")
+def shape_by_paths(values: Column, like: T.DataType) -> Column:
+    """The shape string of JSON values (array<variant>) as far as a type's own paths go: every other field may be anything. A field is there where any of the values has it. Something nested where a plain value belongs, or the
+    other way round, is X, which no type has."""
+    kind = lambda v: F.substring(F.schema_of_variant(v), 1, 5)
+    none = F.array().cast("array<variant>")
+    if isinstance(like, T.StructType):
 
+        def field(f: T.StructField) -> Column:
+            own = F.filter(F.transform(values, lambda v: F.try_variant_get(v, f"$.{f.name}", "variant")), lambda v: v.isNotNull())
+            return F.when(F.size(own) > 0, F.concat(F.lit(f"{f.name}: "), shape_by_paths(own, f.dataType)))
 
-#: A value in a shape string, nested up to eight levels.
-VALUE = "_"
-for _ in range(8):
-    VALUE = rf"(?:_|ARRAY<{VALUE}>|OBJECT<(?:[^<>:]+: {VALUE}(?:, )?)*+>)" if VALUE != "_" else r"(?:_|ARRAY<_?>|OBJECT<(?:[^<>:]+: _(?:, )?)*+>)"
+        inner = F.array_join(F.array(*[field(f) for f in sorted(like.fields, key=lambda f: f.name)]), ", ")
+        return F.when(F.forall(values, lambda v: kind(v) == "OBJEC"), F.concat(F.lit("OBJECT<"), inner, F.lit(">"))).otherwise("X")
+    if isinstance(like, T.ArrayType):
+        items = F.flatten(F.transform(values, lambda v: F.coalesce(F.try_variant_get(v, "$", "array<variant>"), none)))
+        inside = F.when(F.size(items) > 0, shape_by_paths(items, like.elementType)).otherwise("_")
+        return F.when(F.forall(values, lambda v: kind(v) == "ARRAY"), F.concat(F.lit("ARRAY<"), inside, F.lit(">"))).otherwise("X")
+    return F.when(F.exists(values, lambda v: kind(v).isin("OBJEC", "ARRAY")), "X").otherwise("_")
 
 
-def narrowed_shape(given: Column, like: T.StructType) -> Column:
-    """A shape string without the fields that a type has nowhere."""
-
-    def names(kind: T.DataType) -> set[str]:
-        if isinstance(kind, T.StructType):
-            return {f.name for f in kind} | {n for f in kind for n in names(f.dataType)}
-        return names(kind.elementType) if isinstance(kind, T.ArrayType) else set()
-
-    known = "|".join(sorted(names(like)))
-    return F.regexp_replace(F.regexp_replace(given, rf"(?<=<|, )(?!(?:{known}): )[^<>:]+: {VALUE}(?:, |(?=>))", ""), ", >", ">")
+#: Fields that several layouts have and others lack: a record in which one is nested has no mapping, as another layout would lose what it says.
+OPTIONAL = kind_of({"input": "", "system": ""})
 
 
 def from_json(df: DataFrame, record: str = "record") -> DataFrame:
     """conv_id, layout (null: unmapped), status, turns of each JSON record; the layout is chosen row by row."""
-    parsed = df.select(ID, F.try_parse_json(record).alias("v")).withColumn("shape", json_shape(F.col("v")))
+    parsed = df.select(ID, F.try_parse_json(record).alias("v")).withColumn("vs", F.array("v"))
     layout, turns = F.lit(None).cast("string"), F.lit(None).cast(TURNS)
+    lost = shape_by_paths(F.col("vs"), OPTIONAL).contains("X")
     for x in reversed(LAYOUTS):
         kinds = {f.name: f.dataType.simpleString() for f in x.schema}
         mapped = x.turns(lambda name, kinds=kinds: F.try_variant_get(F.col("v"), f"$.{name}", kinds[name])).cast(TURNS)
-        hit = F.substring(F.sha2(narrowed_shape(F.col("shape"), x.schema), 256), 1, 16) == x.fingerprint
+        hit = F.col("v").isNotNull() & ~lost & (F.substring(F.sha2(shape_by_paths(F.col("vs"), x.schema), 256), 1, 16) == x.fingerprint)
         layout, turns = F.when(hit, F.lit(x.name)).otherwise(layout), F.when(hit, mapped).otherwise(turns)
     return parsed.select(ID, layout.alias("layout"), F.when(layout.isNull(), "unmapped").otherwise("mapped").alias("status"), turns.alias("turns"))
 

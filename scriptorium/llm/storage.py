@@ -55,24 +55,29 @@ def tables() -> Iterator[Callable[[DataFrame, str], DataFrame]]:
             discard(df)
 
 
-ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+ARROW_ROWS, ARROW_BYTES = "spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.execution.arrow.maxBytesPerBatch"
+#: Bytes of texts that go to Python at once: a longer text goes alone.
+TEXT_BYTES = 8 << 20
 
 
 def few_texts(spark: SparkSession, rows: int = 1000) -> None:
-    """From now on so many rows at most go to Python at once, in this session: for queries, whose frames are worked out after they've returned."""
+    """From now on so many rows and 8 MB at most go to Python at once, in this session: for queries, whose frames are worked out after they've returned."""
     if not 0 < int(spark.conf.get(ARROW_ROWS)) <= rows:
         spark.conf.set(ARROW_ROWS, rows)
+    if not 0 < int(spark.conf.get(ARROW_BYTES).rstrip("bB")) <= TEXT_BYTES:
+        spark.conf.set(ARROW_BYTES, f"{TEXT_BYTES}b")
 
 
 @contextmanager
 def arrow_rows(spark: SparkSession, rows: int) -> Iterator[None]:
-    """For what is written within the block: so many rows at most go to Python at once. A batch of whole texts is held several times over, by the executor and by Python."""
-    before = spark.conf.get(ARROW_ROWS)
+    """For what is written within the block: so many rows and 8 MB at most go to Python at once. A batch of whole texts is held several times over, by the executor and by Python."""
+    before = {k: spark.conf.get(k) for k in (ARROW_ROWS, ARROW_BYTES)}
     few_texts(spark, rows)
     try:
         yield
     finally:
-        spark.conf.set(ARROW_ROWS, before)
+        for k, v in before.items():
+            spark.conf.set(k, v)
 
 
 def remove(spark: SparkSession, path: str) -> None:

@@ -105,3 +105,25 @@ def test_native_plan(spark, sf_dir):
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
     assert hashlib.sha256(b"").hexdigest() == out.select(F.sha2(F.lit(""), 256)).first()[0]
+
+
+def test_wrong_kinds_are_unmapped_and_names_do_no_harm(spark):
+    """Nothing is taken for a text that is none, nothing is lost without a word, and extra fields of any name and depth are passed over."""
+    import json
+
+    deep = {}
+    for _ in range(12):
+        deep = {"a": deep, "b: _": [deep]}
+    one = {"role": "user", "content": "q"}
+    records = {
+        1: {"messages": [one, {"role": "assistant", "content": [{"type": "text", "text": "a"}]}]}, 2: {"instruction": "i", "input": ["x"], "output": "o"}, 3: {"messages": [one], "role": "x", "content": [1]},
+        4: {"messages": [{**one, "a<b>: c": 1}], "x: y": {"<": 2}}, 5: {"messages": [one], "meta": deep}, 6: {"prompt": "p", "response": "r", "system": None}, 7: {"messages": [one], "system": {"text": "s"}},
+        8: {"messages": [one, "text"]}, 9: {"messages": {"role": "user", "content": "q"}}, 10: {"prompt": {"a": 1}, "response": "r"}, 11: {"messages": [one, {"role": "assistant"}]}, 12: {"prompt": "p", "completion": 5, "system": "s"},
+        13: [], 14: "text", 15: {"messages": []}, 16: {"instruction": "i", "input": "", "output": "o", "system": "s"},
+    }
+    df = spark.createDataFrame([*((k, json.dumps(v)) for k, v in records.items()), (17, "{broken"), (18, None)], "conv_id long, record string")
+    got = {r.conv_id: (r.layout, [tuple(t) for t in r.turns] if r.turns is not None else None) for r in chat.from_json(df).collect()}
+    user = [("user", "q")]
+    want = {3: ("messages", user), 4: ("messages", user), 5: ("messages", user), 6: ("prompt_response_system", [("user", "p"), ("assistant", "r")]), 11: ("messages", [*user, ("assistant", None)]),
+            12: ("prompt_completion_system", [("system", "s"), ("user", "p"), ("assistant", "5")]), 16: ("instruction_input_system", [("system", "s"), ("user", "i"), ("assistant", "o")])}
+    assert got == {k: want.get(k, (None, None)) for k in range(1, 19)}

@@ -192,3 +192,16 @@ def test_stages_take_odd_rows(spark, sf_dir):
             docs_now = stage(spark, docs_now, sf_dir)
             assert k == 4 or docs_now.columns == frame.columns
         assert docs_now.count() <= 6
+
+
+def test_rows_without_ids_are_told_apart(spark, sf_dir):
+    """A group with an id keeps that, groups without one keep one text each."""
+    import corpus_pipeline
+
+    text = lambda k: " ".join(f"w{k}x{i}" for i in range(60))
+    rows = [(None, text(1)), (5, text(1)), (None, text(2)), (None, text(2) + " more"), (None, text(3)), (7, text(4)), (6, text(4)), (None, text(4))]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = corpus_pipeline.near_duplicates(spark, docs, sf_dir)
+    assert got.columns == docs.columns
+    kept = [(r.doc_id, r.text) for r in got.collect()]
+    assert sorted((i or 0, t[:3]) for i, t in kept) == [(0, "w2x"), (0, "w3x"), (5, "w1x"), (6, "w4x")]
