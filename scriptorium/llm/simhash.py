@@ -480,29 +480,42 @@ def confirmed(links: DataFrame, prints: DataFrame, least: float) -> DataFrame:
 
 def set_links(ids: list[int], roots: list[int], prints: list[bytes], least: float) -> list[tuple[int, int]]:
     """Links that join the groups (equal roots) of a bucket wherever two members of different ones have that similarity. Members of the
-    largest group are compared with those of others only; what two members have in common is counted by shingle."""
+    largest group are compared with those of others only. Two sets so similar share one of the rarest of each: with shingles in order of how many members have them, one among the first size - least * size + 1. So
+    only members that meet there are compared, and shingles that all members share, such as those of a template, bring none together."""
     label = np.unique(np.array(roots), return_inverse=True)[1]
     if not label.any():
         return []
     sets = [np.frombuffer(x, dtype="<u4") for x in prints]
     sizes, n = np.array([len(x) for x in sets]), len(sets)
     known, each = np.unique(np.concatenate(sets), return_inverse=True)
-    holders = np.repeat(np.arange(n), sizes)[np.argsort(each, kind="stable")]
-    stops = np.cumsum(np.bincount(each, minlength=len(known)))
-    starts, ends, links = np.concatenate(([0], stops[:-1])), np.cumsum(sizes), []
+    holder = np.repeat(np.arange(n), sizes)
+    # of each member the rarest shingles first
+    order = np.lexsort((each, np.bincount(each, minlength=len(known))[each], holder))
+    each = each[order]
+    place = np.arange(len(each)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    first = np.where(sizes > 0, sizes - np.ceil(least * sizes - 1e-9).astype(np.int64) + 1, 0)
+    early = place < first[holder]
+    each, holder = each[early], holder[early]
+    by = np.argsort(each, kind="stable")
+    holders, stops = holder[by], np.cumsum(np.bincount(each, minlength=len(known)))
+    starts, ends, links = np.concatenate(([0], stops[:-1])), np.cumsum(np.bincount(holder, minlength=n)), []
+    begins = np.concatenate(([0], ends[:-1]))
     for i in np.flatnonzero(label != np.bincount(label).argmax()):
         if (label == label[i]).all():
             break
-        common, own = np.zeros(n, dtype=np.int64), each[ends[i] - sizes[i] : ends[i]]
+        own = each[begins[i] : ends[i]]
+        many = stops[own] - starts[own]
+        near = np.zeros(n, dtype=bool)
         for at in range(0, len(own), 1024):
-            first, many = starts[own[at : at + 1024]], (stops - starts)[own[at : at + 1024]]
-            places = np.arange(many.sum()) + np.repeat(first - np.cumsum(many) + many, many)
-            common += np.bincount(holders[places], minlength=n)
-        either = sizes + sizes[i] - common
-        for j in np.flatnonzero((common / np.maximum(either, 1) >= least) & (label != label[i])):
+            some = slice(at, at + 1024)
+            near[holders[np.arange(many[some].sum()) + np.repeat(starts[own[some]] - np.cumsum(many[some]) + many[some], many[some])]] = True
+        near &= (label != label[i]) & (np.minimum(sizes, sizes[i]) >= least * np.maximum(sizes, sizes[i]) - 1e-9)
+        for j in np.flatnonzero(near):
             if label[j] != label[i]:
-                links.append((ids[i], ids[j]))
-                label[label == label[j]] = label[i]
+                common = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+                if common / max(sizes[i] + sizes[j] - common, 1) >= least:
+                    links.append((ids[i], ids[j]))
+                    label[label == label[j]] = label[i]
     return links
 
 

@@ -212,3 +212,33 @@ def test_null_and_repeated_ids(spark):
     df = spark.createDataFrame([(None, "a b c d e"), (3, "a b c d e"), (3, "a b c d e"), (None, "zz")], "doc_id long, text string")
     got = sorted((r.doc_id or -1, r.component_id or -1) for r in simhash.near_duplicates(df).collect())
     assert got == [(-1, -1), (-1, 3), (3, 3), (3, 3)]
+
+
+def test_links_of_sets_like_all_pairs_and_templates_cost_little():
+    """Groups joined as by all pairs; a thousand sets of which half is common to all have no pair to compare."""
+    import random
+    import time
+
+    import numpy as np
+
+    rng = random.Random(6)
+    for _ in range(60):
+        base = [rng.sample(range(300), rng.randrange(1, 40)) for _ in range(4)]
+        sets = [set(rng.choice(base)) ^ set(rng.sample(range(300), rng.randrange(0, 6))) for _ in range(rng.randrange(2, 25))]
+        roots = [rng.randrange(len(sets)) for _ in sets]
+        prints = [np.array(sorted(x), dtype="<u4").tobytes() for x in sets]
+        links = simhash.set_links(list(range(len(sets))), roots, prints, 0.8)
+        alike = [(a, b) for a in range(len(sets)) for b in range(a) if sets[a] | sets[b] and len(sets[a] & sets[b]) / len(sets[a] | sets[b]) >= 0.8]
+
+        def groups(pairs):
+            label = list(roots)
+            for a, b in pairs:
+                label = [label[a] if x == label[b] else x for x in label]
+            return {frozenset(k for k, y in enumerate(label) if y == x) for x in label}
+
+        assert groups(links) == groups(alike) and all((a, b) in alike or (b, a) in alike for a, b in links)
+    common = np.arange(2500, dtype=np.uint32)
+    prints = [np.concatenate((common, np.arange(10_000 + 2500 * k, 12_500 + 2500 * k, dtype=np.uint32))).astype("<u4").tobytes() for k in range(1000)]
+    began = time.process_time()
+    assert simhash.set_links(list(range(1000)), list(range(1000)), prints, 0.8) == []
+    assert time.process_time() - began < 4
