@@ -5,11 +5,13 @@ revisit records that refer to it, with its address and date. Every page also get
 both name the response or revisit by WARC-Concurrent-To. Each record is a gzip member of its own; a file begins with a warcinfo record and closes at about 32 MB of
 blocks. Reading streams a file record by record, whatever a file's size, plain or gzip.
 
-Assembly: a capture is a response, revisit or resource record with all records joined to it through concurrent-to identifiers, whichever side
-names the other, directly or through one member more. It's one nested row. Members without a capture come as rows with a null hub.
+Assembly: concurrent-to identifiers link records, whichever side names the other and over however many members; what they link (a connected component) is
+a capture, one nested row, if a response, revisit or resource record is among it. The first of these kinds that is there is its hub, of several records the one of smallest id; the others of them are
+in ``others``. An identifier that no record has links those that name it all the same. Members without a capture come as rows of their own, with a null hub. A capture's members meet in
+one task, as they're one row; nothing else is gathered.
 
 Damaged archives don't end a job: a record has a status. ``truncated``: the file ends before the record does; ``damaged``: no record header, or no length, where one should be (a plain file is
-read on from the next header), or a gzip member that can't be unpacked (the rest of that file is given up). Such rows have a null payload and no part in assembly.
+read on from the next header), or a gzip member that can't be unpacked (the rest of that file is given up). Such rows have a null payload and no part in assembly. Records of one id are one node: the links of all of them count, and a hub that is there twice is one capture, the smaller of the two. A record without an id is a row with a null hub; equal ones are one row.
 
 Defined results: null html is an empty payload. Repeated rows (equal page_id and payload) get records of their own with equal
 roles. Rows of one page_id with other payloads are other captures of it. A null page_id is written as such; it becomes the response only of a payload that no page with an
@@ -30,6 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from scriptorium.llm.components import star_components
 from scriptorium.llm.storage import discard, materialize, reading, scratch, tables, task_fs, task_write
 
 FILE_BYTES = 32 << 20
@@ -206,39 +209,62 @@ def read_archives(spark: SparkSession, files: DataFrame, with_payload: bool = Fa
     return files.select("path").repartition(parts, "path").mapInArrow(run, FIELDS + ", payload binary" * with_payload)
 
 
+def places(found: DataFrame) -> DataFrame:
+    """id, hub: every record id, and those that are only named, with the hub of its component (null: none has been found); a written table of ids."""
+    named = F.array_except(F.coalesce("concurrent_to", F.array().cast("array<string>")), F.array("record_id"))
+    mark = lambda ident, out, told, rank: F.struct(ident.alias("id"), out.cast("string").alias("out"), F.lit(told).alias("told"), rank.cast("int").alias("rank"))
+    rank = F.array_position(F.array(*map(F.lit, HUBS)), F.col("type"))
+    none = F.lit(None)
+    own = F.array(mark(F.col("record_id"), none, False, F.when(rank > 0, rank)))
+    links = F.flatten(F.transform(named, lambda o: F.array(mark(F.col("record_id"), o, False, none), mark(o, none, True, none))))
+    marks = found.where("record_id is not null").select(F.inline(F.concat(own, links)))
+    with tables() as keep:
+        # a leaf names one record and is named by none: it belongs wherever that one belongs. Most members are leaves,
+        # so only what is left has to go through rounds of components
+        leaf = (F.min("out") == F.max("out")) & ~F.bool_or("told")
+        ids = keep(marks.groupBy("id").agg(F.when(leaf, F.min("out")).otherwise(F.col("id")).alias("anchor"), F.min("rank").alias("rank"), F.min("out").isNotNull().alias("names")), "warc-ids")
+        inner = ids.where("names and anchor = id").select("id")
+        links = found.select(F.col("record_id").alias("a"), F.explode(named).alias("b"))
+        roots = star_components(links.join(inner, F.col("a") == F.col("id"), "left_semi"))
+        placed = ids.join(roots, F.col("anchor") == F.col("node"), "left").select("id", "rank", F.coalesce("root", "anchor").alias("group"))
+        heads = placed.where("rank is not null").groupBy("group").agg(F.min(F.struct("rank", "id"))["id"].alias("hub"))
+        out = materialize(placed.join(heads.hint("merge"), "group", "left").select("id", "hub"), "warc-places")
+        discard(roots)
+        return out
+
+
 def assemble(found: DataFrame) -> DataFrame:
-    """A row for each capture: hub (record id), type, target, payload_digest, payload_bytes, payload_sha1, refers_to, request
-    (one nested row, the smallest id if there are several), metadata and others (arrays of nested rows). Members without a capture come together in rows of
-    a null hub, one for each record they name."""
+    """A row for each capture: hub (record id), type, target, payload_digest, payload_bytes, payload_sha1, refers_to, and requests, metadata and others, arrays of nested rows by
+    record id. A member without a capture is in a row of its own, with a null hub."""
     found = found.where("status = 'ok' and type <> 'warcinfo'")
-    is_hub = F.col("type").isin(*HUBS)
-    hubs = found.where(is_hub)
-    rest = found.where(~is_hub)
-    ids = hubs.select(F.col("record_id").alias("hub"))
-    own = rest.select("record_id", F.explode("concurrent_to").alias("other"))
-    # links that a member names, links that a capture names, and members of members
-    named = own.join(ids, own["other"] == ids["hub"]).select("record_id", "hub")
-    naming = hubs.select(F.explode("concurrent_to").alias("record_id"), F.col("record_id").alias("hub"))
-    direct = named.unionByName(naming).distinct()
-    through = own.join(direct.select(F.col("record_id").alias("other"), "hub"), "other").select("record_id", "hub")
-    links = direct.unionByName(through).groupBy("record_id").agg(F.min("hub").alias("hub"))
-    placed = rest.join(links, "record_id", "left").withColumn("group", F.coalesce("hub", F.get("concurrent_to", F.lit(0)), "record_id"))
-    ordered = lambda what: F.array_sort(F.collect_list(F.when(what, F.struct("record_id", "target", "payload_bytes", F.map_entries("fields").alias("fields")))))
-    restored = lambda a: F.transform(a, lambda x: F.struct(x["record_id"].alias("record_id"), x["target"].alias("target"), F.map_from_entries(x["fields"]).alias("fields"), x["payload_bytes"].alias("payload_bytes")))
-    members = placed.groupBy("group").agg(ordered(F.col("type") == "request").alias("requests"), ordered(F.col("type") == "metadata").alias("metadata"), ordered(~F.col("type").isin("request", "metadata")).alias("others"))
-    nested = members.select("group", F.get(restored("requests"), F.lit(0)).alias("request"), restored("metadata").alias("metadata"), restored("others").alias("others"))
-    capture = hubs.select(F.col("record_id").alias("hub"), "type", "target", "payload_digest", "payload_bytes", "payload_sha1", "refers_to")
-    return capture.join(nested, capture["hub"] == nested["group"], "full_outer").drop("group")
+    where = places(found)
+    placed = found.join(where.hint("merge"), found["record_id"] == where["id"], "left")
+    # a capture's members meet; what has no capture stays apart, however many records name the same missing one
+    alone = F.coalesce("record_id", F.concat(F.lit("no id "), F.sha2(F.to_json(F.struct(*found.columns)), 256)))
+    placed = placed.withColumn("group", F.coalesce("hub", alone))
+    about = ("type", "target", "payload_digest", "payload_bytes", "payload_sha1", "refers_to")
+    nested = F.struct("record_id", "type", "target", "payload_bytes", F.map_entries("fields").alias("fields"))
+    ordered = lambda what: F.array_sort(F.collect_list(F.when(what, nested)))
+    restored = lambda a: F.transform(a, lambda x: F.struct(x["record_id"].alias("record_id"), x["type"].alias("type"), x["target"].alias("target"), F.map_from_entries(x["fields"]).alias("fields"), x["payload_bytes"].alias("payload_bytes")))
+    is_head = F.coalesce(F.col("record_id") == F.col("hub"), F.lit(False))
+    kinds = {"requests": F.col("type") == "request", "metadata": F.col("type") == "metadata", "others": ~F.col("type").isin("request", "metadata") & ~is_head}
+    head = F.min(F.when(is_head, F.struct(*about))).alias("head")
+    rows = placed.groupBy("group").agg(F.max("hub").alias("hub"), head, *[ordered(what).alias(name) for name, what in kinds.items()])
+    out = rows.select("hub", *[F.col("head")[name].alias(name) for name in about], *[restored(name).alias(name) for name in kinds])
+    return reading(out, where)
 
 
 def captures(spark: SparkSession, files: DataFrame) -> DataFrame:
     """page_id, payload_bytes, payload_digest, record_type, refers_to of each capture, from the archives alone: a revisit's
     payload is that of the response it refers to."""
     with tables() as keep:
-        whole = assemble(keep(read_archives(spark, files), "warc-records")).where("hub is not null")
+        whole = assemble(keep(read_archives(spark, files), "warc-records"))
         page = F.try_element_at(F.get("metadata", F.lit(0))["fields"], F.lit("page-id"))
-        rows = whole.select("hub", "type", "payload_digest", "payload_bytes", "payload_sha1", F.col("refers_to").alias("ref"), F.when(page != "", page.cast("long")).alias("page_id"))
-        rows = materialize(rows, "warc-captures")
+        rows = whole.where("hub is not null").select("hub", "type", "payload_digest", "payload_bytes", "payload_sha1", F.col("refers_to").alias("ref"), F.when(page != "", page.cast("long")).alias("page_id"))
+        try:
+            rows = materialize(rows, "warc-captures")
+        finally:
+            discard(whole)
     kept = rows.where("type = 'response'").select(F.col("hub").alias("r_hub"), F.col("page_id").alias("r_page"), F.col("payload_bytes").alias("r_bytes"), F.col("payload_sha1").alias("r_sha1"))
     out = rows.join(kept.hint("merge"), F.col("ref") == F.col("r_hub"), "left")
     revisit = F.col("type") == "revisit"

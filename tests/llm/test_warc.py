@@ -2,6 +2,7 @@ import base64
 import gzip
 import hashlib
 import io
+import random
 
 import pytest
 
@@ -49,19 +50,72 @@ def test_record_format():
     assert head["warc-concurrent-to"] == ["<urn:y>"] and status == "ok" and warc.payload_of(head, block) == b"ab\r\n\r\ncd"
 
 
+def found(spark, rows):
+    return spark.createDataFrame([(i, t, c, "t", None, "d", n, "s", {"k": i or ""}, "ok") for i, t, c, n in rows], warc.FIELDS)
+
+
+def assembled(df):
+    named = lambda x: [m.record_id for m in x]
+    return sorted(((r.hub, r.type, named(r.requests), named(r.metadata), named(r.others)) for r in warc.assemble(df).collect()), key=repr)
+
+
 def test_assembly_by_either_side_and_through_members(spark):
     rows = [
         ("a", "response", ["ra"], 10), ("ra", "request", [], 1), ("ma", "metadata", ["ra"], 2),
-        ("b", "revisit", [], 0), ("rb", "request", ["b"], 1), ("rb2", "request", ["b"], 1), ("mb", "metadata", ["b"], 2), ("mb2", "metadata", ["rb"], 3),
-        ("c", "response", [], 5), ("lost", "metadata", ["nowhere"], 1), ("w", "warcinfo", [], 1), ("v", "conversion", [], 1),
+        ("b", "revisit", [], 0), ("rb", "request", ["b"], 1), ("rb2", "request", ["b"], 1), ("mb", "metadata", ["b"], 2), ("mb2", "metadata", ["rb"], 3), ("mb3", "metadata", ["mb2"], 3), ("mb4", "metadata", ["mb3", "mb4"], 3),
+        ("c", "response", [], 5), ("lost", "metadata", ["nowhere"], 1), ("w", "warcinfo", ["c"], 1), ("v", "conversion", [], 1),
+        ("m", "metadata", ["told", "d"], 1), ("told", "metadata", [], 1), ("d", "resource", [], 4), ("e", "response", ["gone"], 1), ("f", "request", ["gone"], 1), ("e2", "resource", ["f"], 1),
+    ]
+    df = found(spark, rows)
+    whole = [
+        ("a", "response", ["ra"], ["ma"], []), ("b", "revisit", ["rb", "rb2"], ["mb", "mb2", "mb3", "mb4"], []), ("c", "response", [], [], []),
+        ("d", "resource", [], ["m", "told"], []), ("e", "response", ["f"], [], ["e2"]), (None, None, [], ["lost"], []), (None, None, [], [], ["v"]),
     ]
-    df = spark.createDataFrame([(i, t, c, "t", None, "d", n, "s", {"k": i}, "ok") for i, t, c, n in rows], warc.FIELDS)
-    got = {r.hub: (r.request and r.request.record_id, [m.record_id for m in r.metadata or []]) for r in warc.assemble(df).collect() if r.hub}
-    assert got == {"a": ("ra", ["ma"]), "b": ("rb", ["mb", "mb2"]), "c": (None, [])}
-    rest = [r for r in warc.assemble(df).collect() if not r.hub]
-    assert sorted(m.record_id for r in rest for m in [*r.metadata, *r.others]) == ["lost", "v"]
+    assert assembled(df) == sorted(whole, key=repr)
     cut = df.unionByName(spark.createDataFrame([("z", "response", [], "t", None, "d", None, None, {}, "truncated"), (None, None, [], None, None, None, None, None, {}, "damaged")], warc.FIELDS))
-    assert warc.assemble(cut).count() == warc.assemble(df).count()
+    assert assembled(cut) == assembled(df)
+    assert assembled(df.where("false")) == []
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_assembly_against_brute_force(spark, seed):
+    rng = random.Random(seed)
+    ids = [f"<{k:03d}>" for k in range(160)]
+    rows = [(i, rng.choice(["response", "revisit", "resource", "request", "metadata", "conversion"]), rng.sample(ids, rng.choice([0, 0, 1, 1, 1, 2])) + rng.choice([[], [], ["<gone>"], [i]]) * (k % 9 == 0), k) for k, i in enumerate(ids[:120])]
+    # a chain of metadata with the capture at its far end
+    rows += [("chain00", "response", [], 1)] + [(f"chain{k:02d}", "metadata", [f"chain{k - 1:02d}"], 1) for k in range(1, 40)]
+    root = {}
+
+    def top(x):
+        while root.setdefault(x, x) != x:
+            x = root[x]
+        return x
+
+    for i, _, names, _ in rows:
+        for o in names:
+            root[top(i)] = top(o)
+    groups = {}
+    for i, kind, _, _ in rows:
+        groups.setdefault(top(i), []).append((i, kind))
+    want = []
+    for members in groups.values():
+        hubs = sorted((warc.HUBS.index(k), i) for i, k in members if k in warc.HUBS)
+        of = lambda some, what: sorted(i for i, k in some if what(k))
+        for hub, some in [(hubs[0][1], members)] if hubs else [(None, [m]) for m in members]:
+            want.append((hub, dict(some).get(hub), of(some, lambda k: k == "request"), of(some, lambda k: k == "metadata"), sorted(i for i, k in some if k not in ("request", "metadata") and i != hub)))
+    assert assembled(found(spark, rows).repartition(3)) == sorted(want, key=repr)
+
+
+def test_records_of_one_id_or_none(spark):
+    rows = [("a", "response", [], 7), ("a", "response", ["r"], 5), ("r", "request", [], 1), ("x", "metadata", ["r"], 1), ("x", "metadata", ["b"], 2), ("b", "revisit", [], 1), (None, "response", ["a"], 1), (None, "request", ["a"], 1)]
+    got = assembled(found(spark, rows))
+    assert got == sorted([("a", "response", ["r"], ["x", "x"], ["b"]), (None, None, [None], [], []), (None, None, [], [], [None])], key=repr)
+    assert [r.payload_bytes for r in warc.assemble(found(spark, rows)).collect() if r.hub] == [5]
+
+
+def test_many_that_name_a_missing_record_do_not_meet(spark):
+    rows = [(f"m{k}", "metadata", ["nowhere"], 1) for k in range(500)]
+    assert [len(m) for _, _, _, m, _ in assembled(found(spark, rows))] == [1] * 500
 
 
 def test_files_close(spark):
