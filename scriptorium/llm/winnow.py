@@ -21,6 +21,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from scriptorium.llm.storage import materialize, reading
+
 K, WINDOW = 5, 4
 BLANK = r"\x20\x09-\x0D"
 SCRIPTS = r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}"
@@ -117,42 +119,47 @@ def fingerprints(docs: DataFrame, text: str = "text", k: int = K, window: int =
     return docs.select("doc_id", positions(selected(F.col(text), k, window)).alias("prints"))
 
 
-def ranges(keys: DataFrame, parts: int) -> Column:
-    """The number of a row's range in the order of key (a struct, smallest null fields first): ranges hold about equally many rows."""
-    # a row for each part
+def range_ends(keys: DataFrame, parts: int) -> DataFrame:
+    """Cuts the order of column key (a struct, null fields first) into ranges of about equally many rows: a written table of the least key of each."""
     dealt = keys.select("key").repartitionByRange(parts, "key").withColumn("part", F.spark_partition_id())
-    ends = [r["least"] for r in dealt.groupBy("part").agg(F.min("key").alias("least")).orderBy("least").collect()][1:]
-    if not ends:
-        return F.lit(0)
-    kind = keys.schema["key"].dataType
-    held = F.array(*[F.struct(*[F.lit(e[f.name]).cast(f.dataType).alias(f.name) for f in kind]) for e in ends])
-    steps = [1 << i for i in range(len(ends).bit_length() - 1, -1, -1)]
-    # a binary search: as many ends as are no greater than the key
-    return let(held, lambda h: F.aggregate(F.lit(steps), F.lit(0), lambda low, step: F.when(F.get(h, low + step - 1) <= F.col("key"), low + step).otherwise(low)))
+    return materialize(dealt.groupBy("part").agg(F.min("key").alias("least")).select("least"), "range-ends")
+
+
+def with_range(rows: DataFrame, ends: DataFrame, parts: int) -> DataFrame:
+    """rows with column range, the number of their key's range. The ends are one value of a subquery, looked up by halves: nothing in the plan grows with their number."""
+    # the first range begins wherever the order does
+    held = rows.withColumn("ends", ends.agg(F.slice(F.array_sort(F.collect_list("least")), 2, REST)).scalar())
+    steps = [1 << i for i in range(parts.bit_length() - 1, -1, -1)]
+    # as many ends as are no greater than the key
+    found = F.aggregate(F.lit(steps), F.lit(0), lambda low, step: F.when(F.get("ends", low + step - 1) <= F.col("key"), low + step).otherwise(low))
+    return held.withColumn("range", found).drop("ends")
 
 
 def with_next(docs: DataFrame, parts: int) -> DataFrame:
     """key (doc_id and the text's hash), text (null: empty) of every row, its range, and whether it's there only as the next one of the range before."""
     rows = docs.select(F.coalesce("text", F.lit("")).alias("text"), F.struct("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("h")).alias("key"))
-    rows = rows.withColumn("range", ranges(rows, parts))
+    ends = range_ends(rows, parts)
+    rows = with_range(rows, ends, parts)
     # a row for each range
     least = rows.groupBy("range").agg(F.min("key").alias("first"))
     order = Window.orderBy("range")
     back = least.withColumn("before", F.coalesce(F.lag("range").over(order), F.max("range").over(order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))))
     same = rows.join(F.broadcast(back.withColumnRenamed("range", "own")), (F.col("range") == F.col("own")) & F.col("key").eqNullSafe(F.col("first")))
     ghosts = same.groupBy("before", "first").agg(F.min("text").alias("text")).select("text", F.col("first").alias("key"), F.col("before").alias("range"), F.lit(True).alias("ghost"))
-    return rows.withColumn("ghost", F.lit(False)).unionByName(ghosts)
+    return reading(rows.withColumn("ghost", F.lit(False)).unionByName(ghosts), ends)
 
 
 def compare_edits(docs: DataFrame) -> DataFrame:
     """For each row its fingerprint, that of its text with the last quarter taken from the next document, and likenesses."""
     parts = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     order = Window.partitionBy("range").orderBy("ghost", "key", "text")
-    rows = with_next(docs, parts).withColumn("next", F.lead("text").over(order)).withColumn("place", F.row_number().over(order)).withColumn("n", F.char_length("text"))
+    found = with_next(docs, parts)
+    rows = found.withColumn("next", F.lead("text").over(order)).withColumn("place", F.row_number().over(order)).withColumn("n", F.char_length("text"))
     cut = F.floor(F.col("n") / 4).cast("int")
     edited = F.concat(F.left("text", F.col("n") - cut), F.left(F.coalesce("next", F.lit("")), cut))
     prints = rows.select("range", "place", "ghost", "key.doc_id", F.col("n").cast("long").alias("n_chars"), F.sha2(edited, 256).alias("edited_sha256"), selected(F.col("text")).alias("p"), selected(edited).alias("e"))
     own = prints.select("range", "place", "ghost", "doc_id", "n_chars", "edited_sha256", digest(F.col("p")).alias("fingerprint"), digest(F.col("e")).alias("edited_fingerprint"), F.size("p").cast("long").alias("n_prints"), hashes(F.col("p")).alias("ph"), hashes(F.col("e")).alias("eh"))
     # the same order by number: no text goes into the second window
     out = own.withColumn("nh", F.lead("ph").over(Window.partitionBy("range").orderBy("place"))).where(~F.col("ghost"))
-    return out.select("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", likeness(F.col("ph"), F.col("eh")).alias("near_edited"), likeness(F.col("ph"), F.col("nh")).alias("near_next"), "n_prints")
+    out = out.select("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", likeness(F.col("ph"), F.col("eh")).alias("near_edited"), likeness(F.col("ph"), F.col("nh")).alias("near_next"), "n_prints")
+    return reading(out, found)

@@ -1,9 +1,12 @@
+import collections
 import hashlib
 import random
 import re
+import time
 
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from scriptorium.llm import winnow
 
@@ -80,8 +83,6 @@ def test_against_brute_force(spark, parts):
 
 
 def test_other_sizes(spark):
-    from pyspark.sql import functions as F
-
     df = spark.createDataFrame(data(), "doc_id long, text string")
     for k, w in ((1, 1), (2, 3), (7, 5), (8, 4), (13, 9)):
         got = {r.doc_id: [(p.hash, p.pos) for p in r.prints] for r in df.select("doc_id", winnow.positions(winnow.selected(F.col("text"), k, w)).alias("prints")).collect()}
@@ -97,6 +98,24 @@ def test_one_id_and_null_ids_go_to_many_ranges(spark):
     assert len(got) == 600 and {r.doc_id for r in got} == {None, 7}
 
 
+def test_plans_do_not_grow_with_ranges(spark):
+    rows = [(k if k % 7 else None, f"text {k} with some words") for k in range(3000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    keys = df.select(F.struct("doc_id", F.xxhash64("text").alias("h")).alias("key"))
+    plans = []
+    for parts in (10, 3000):
+        ends = winnow.range_ends(keys, parts)
+        began = time.monotonic()
+        found = winnow.with_range(keys, ends, parts)
+        plans.append(found._jdf.queryExecution().optimizedPlan().toString())
+        got = sorted(((r.key.doc_id is not None, r.key.doc_id, r.key.h), r.range) for r in found.collect())
+        assert time.monotonic() - began < 20
+        # in order, and about equally many rows in each
+        assert [r for _, r in got] == sorted(r for _, r in got) and {r for _, r in got} == set(range(ends.count()))
+        assert ends.count() > parts * 0.6 and max(collections.Counter(r for _, r in got).values()) < 8 * 3000 / parts
+    assert len(plans[1]) < len(plans[0]) + 200
+
+
 def test_match_guarantee():
     rng = random.Random(1)
     for _ in range(50):
