@@ -8,7 +8,7 @@ File: the magic WVM1, the length of a JSON head (little-endian 32 bits), the hea
 sections), then zstd sections: document ids (Arrow stream), their starts (64 bits), and for each plane its bits (64-bit words, lowest first) and its rank
 directory (ones before every 512th bit and of all, 32 bits), which is what rank and select go by: 1/16 of a bit for each bit. A plane stays packed until a query needs it.
 
-Writing: documents are put in ranges of ascending doc_id (null first, equal ids by text), each task writes its range
+Writing: documents are put in ranges of ascending doc_id (null first, equal ids by a hash of the text, so rows of one id may be in many ranges), each task writes its range
 as files of about ``shard_tokens`` ids, and the table of files that the tasks return is summed to starts. Reading goes by that
 table. A null text counts as empty: the end id alone. No documents: no files, no rows.
 
@@ -348,7 +348,9 @@ def write_shards(docs: DataFrame, tokenizer: str, end_id: int, shard_tokens: int
             yield flush()
 
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    dealt = docs.select("doc_id", "text").repartitionByRange(parts, F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
+    # rows of one id, or without one, are told apart by their texts, so they aren't all one task's
+    order = F.col("doc_id").asc_nulls_first(), F.xxhash64(F.coalesce("text", F.lit("")))
+    dealt = docs.select("doc_id", "text").repartitionByRange(parts, *order).sortWithinPartitions(*order, "text")
     files = materialize(dealt.mapInArrow(run, "part long, seq long, path string, n_docs long, n_tokens long"), "shard-files")
     # a row for each part, at most as many as partitions; files are numbered within their part
     parts = files.groupBy("part").agg(F.sum("n_tokens").alias("t"), F.count("*").alias("f"))

@@ -6,6 +6,7 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from scriptorium.llm import lookup, wavelet
@@ -57,7 +58,9 @@ def test_files(spark, shard):
     files = wavelet.write_shards(df, PATH, end_id=2, shard_tokens=shard)
     got = sorted((tuple(r) for r in wavelet.read_shards(spark, files).collect()), key=lambda r: r[1])
     tok, start, want = Tokenizer.from_file(PATH), 0, []
-    for d, x, _ in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, (r[1] or "").encode())):
+    hashed = {r.doc_id: r.h for r in df.where("doc_id is null or doc_id < 5000").select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("h")).collect()}
+    hashed |= {(5000, x): spark.range(1).select(F.xxhash64(F.lit(x))).first()[0] for x in "ab"}
+    for d, x, _ in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, hashed[(5000, r[1]) if r[0] == 5000 else r[0]])):
         ids = [*tok.encode(x or "", add_special_tokens=False).ids, 2]
         want.append((d, start, len(ids), zlib.crc32(np.array(ids, dtype="<u4").tobytes())))
         start += len(ids)
@@ -69,3 +72,17 @@ def test_files(spark, shard):
 def test_nothing(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert wavelet.read_shards(spark, wavelet.write_shards(df, PATH, 2)).collect() == []
+
+
+def test_rows_of_one_id_go_to_many_tasks(spark):
+    texts = [f"text {k} of many" for k in range(400)]
+    df = spark.createDataFrame([(None, x) for x in texts] + [(7, x) for x in texts], "doc_id long, text string").repartition(3)
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    try:
+        files = wavelet.write_shards(df, PATH, end_id=2)
+        assert max(r.n_docs for r in files.collect()) < 300
+        rows = sorted(wavelet.read_shards(spark, files).collect(), key=lambda r: r.start)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert [r.doc_id for r in rows] == [None] * 400 + [7] * 400 and all(b.start == a.start + a.n_tokens for a, b in zip(rows, rows[1:]))
