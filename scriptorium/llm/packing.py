@@ -11,7 +11,7 @@ runs over a whole bucket, which may hold most rows. Texts don't move; only id an
 together, as one row of equally long sequences.
 
 Defined results: a null text counts as empty; every sequence has an end token, so the shortest length is 1. Very long texts are counted whole.
-Rows with equal doc_id are ordered by length; equal rows get places in any order. A null
+Rows with equal doc_id are ordered by length; equal rows get places in any order, and however many they are, they're many tasks' work. A null
 doc_id comes first. An empty table gives no rows. Other columns are not read, whatever their names.
 """
 
@@ -90,7 +90,9 @@ def pack(docs: DataFrame, buckets: int = BUCKETS, budget: int = BUDGET, length:
     least 1; without it those of the byte vocabulary and an end token."""
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     with tables() as keep:
-        own = keep(docs.select("doc_id", (n_tokens() if length is None else length).cast("long").alias("n_tokens")), "packing")
+        counted = (n_tokens() if length is None else length).cast("long").alias("n_tokens")
+        # rows of one id, or without one, are told apart by a number, fixed as it's written, so they aren't all one task's
+        own = keep(docs.select("doc_id", counted, F.monotonically_increasing_id().alias("salt")), "packing")
         ends = bucket_lengths(own, buckets, budget)
         bucket, size, room = F.lit(len(ends)), F.col("n_tokens"), F.lit(1).cast("long")
         for k, end in reversed(list(enumerate(ends))):
@@ -98,7 +100,7 @@ def pack(docs: DataFrame, buckets: int = BUCKETS, budget: int = BUDGET, length:
             bucket = F.when(fits, F.lit(k)).otherwise(bucket)
             size = F.when(fits, F.lit(end).cast("long")).otherwise(size)
             room = F.when(fits, F.lit(budget // end).cast("long")).otherwise(room)
-        dealt = own.withColumns({"bucket": bucket, "bucket_tokens": size, "room": room}).repartitionByRange(parts, F.col("doc_id").asc_nulls_first()).withColumn("part", F.spark_partition_id())
+        dealt = own.withColumns({"bucket": bucket, "bucket_tokens": size, "room": room}).repartitionByRange(parts, F.col("doc_id").asc_nulls_first(), "n_tokens", "salt").withColumn("part", F.spark_partition_id())
         dealt = materialize(dealt, "packing-parts")
     # a row for each bucket and part: at most (buckets + 1) * partitions
     held = dealt.groupBy("bucket", "part").agg(F.count("*").alias("n"))

@@ -82,3 +82,12 @@ def test_places(spark):
         ids = [r.doc_id if r.doc_id is not None else -1 for r in sorted((r for r in got if r.bucket == b), key=lambda r: (r.batch, r.slot))]
         assert ids == sorted(ids)
     assert packing.pack(df.where("false")).collect() == []
+
+
+def test_rows_of_one_id_go_to_many_tasks(spark):
+    df = spark.createDataFrame([(None, "same")] * 500 + [(7, "same")] * 500, "doc_id long, text string").repartition(3)
+    packed = packing.pack(df, budget=40)
+    (dealt,) = packed._reads
+    assert max(r["count"] for r in dealt.groupBy("part").count().collect()) < 500
+    rows = sorted(packed.collect(), key=lambda r: (r.batch, r.slot))
+    assert [r.doc_id for r in rows] == [None] * 500 + [7] * 500 and [(r.batch, r.slot) for r in rows] == [(k // 8, k % 8) for k in range(1000)]
