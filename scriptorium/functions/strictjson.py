@@ -7,6 +7,7 @@ reader does it, which Spark's lenient reader doesn't.
 from __future__ import annotations
 
 import json
+import re
 
 import pandas as pd
 from pyspark.sql import Column
@@ -21,12 +22,27 @@ def as_text(value) -> str | None:
     return value if value is None or isinstance(value, str) else json.dumps(value, ensure_ascii=False)
 
 
-def parse(text: str | None) -> dict:
-    """A list of objects from one answer; outer white space doesn't count."""
+#: Strings, commas that follow no value, and commas right before a closing bracket.
+COMMAS = re.compile(r'"(?:[^"\\]++|\\.)*+"?|[\[{,:][ \t\n\r]*,|,(?=[ \t\n\r]*[\]}])', re.DOTALL)
+
+
+def without_last_commas(text: str) -> str:
+    """A text of JSON without the commas between a last element and its closing bracket."""
+    return COMMAS.sub(lambda m: "" if m[0] == "," else m[0], text)
+
+
+def parse(text: str | None, last_commas: bool = False) -> dict:
+    """A list of objects from one answer; outer white space doesn't count. last_commas: a comma may follow the last element of a list or object, as in SQL engines' readers."""
     if not text:
         return {"status": "empty", "items": [], "bad_items": []}
     try:
-        value = json.loads(text.strip())
+        text = text.strip()
+        try:
+            value = json.loads(text)
+        except ValueError:
+            if not last_commas or (less := without_last_commas(text)) == text:
+                raise
+            value = json.loads(less)
     except (ValueError, RecursionError):
         return {"status": "bad_json", "items": [], "bad_items": []}
     if not isinstance(value, list):
@@ -36,9 +52,9 @@ def parse(text: str | None) -> dict:
     return {"status": "ok", "items": items, "bad_items": bad}
 
 
-def parsed(text: Column) -> Column:
+def parsed(text: Column, last_commas: bool = False) -> Column:
     def run(texts: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([parse(t) for t in texts], columns=["status", "items", "bad_items"])
+        return pd.DataFrame([parse(t, last_commas) for t in texts], columns=["status", "items", "bad_items"])
 
     return F.pandas_udf(run, PARSED)(text)
 

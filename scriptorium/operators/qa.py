@@ -21,10 +21,10 @@ BOOK_SYSTEM = """你将扮演一位既精通玄学（梅花易数）又精通科
 LEGACY_SYSTEM = "你是一个占卜和算命解释专家，你需要遵循文本标准来帮我解决相关问题。"
 
 
-def parse_answers(df: DataFrame, raw: str = "raw") -> DataFrame:
-    """The other columns, raw, status, items, bad_items. Read once a row; the rows are few and long, so the parse is kept as a column."""
+def parse_answers(df: DataFrame, raw: str = "raw", last_commas: bool = False) -> DataFrame:
+    """The other columns, raw, status, items, bad_items. Read once a row; the rows are few and long, so the parse is kept as a column. last_commas: see strictjson.parse."""
     others = [c for c in df.columns if c != raw]
-    return df.select(*others, raw, parsed(F.col(raw)).alias("__p")).select(*others, raw, "__p.status", "__p.items", "__p.bad_items")
+    return df.select(*others, raw, parsed(F.col(raw), last_commas).alias("__p")).select(*others, raw, "__p.status", "__p.items", "__p.bad_items")
 
 
 def pairs(answers: DataFrame, question: str = "input", answer: str = "output") -> DataFrame:

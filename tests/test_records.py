@@ -122,3 +122,8 @@ def test_calls_say_what_they_should():
     assert set(prompts.CHUNK.backend("u", "m").body("x")) == {"model", "messages", "stream"}
     events = [b"data: " + x for x in (b'{"choices": [{"delta": {"content": "a"}}]}', b'{"choices": []}', b'{"choices": [{"delta": {"content": null}}]}', b'{"choices": [{"delta": {"content": "b "}}]}', b"[DONE]", b'{"choices": [{"delta": {"content": "no"}}]}')]
     assert models.streamed([b"", b": ping", *events]) == "ab "
+
+
+@pytest.mark.parametrize("text, status", [('[3, {"a": ",]"}, ]', "ok"), ('[{"a": 1 ,\n}\t,\n]', "ok"), ("[,]", "bad_json"), ("[1,,]", "bad_json"), ('{"a":,}', "bad_json"), ('["a,]', "bad_json"), ('{"a": "\\\\",}', "not_list")])
+def test_last_commas_are_taken_where_asked_for(text, status):
+    assert strictjson.parse(text)["status"] == "bad_json" and strictjson.parse(text, True)["status"] == status
