@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from scriptorium.operators.shapes import LIGHT, pixel_rows
-from scriptorium.sources.shared import discard, written
+from scriptorium.sources.shared import dealt, discard, written
 
 # The detectors' settings. Votes of a line, length of a segment, gap within one; radii and least distance of circles.
 LINE_VOTES, LEAST_LENGTH, MOST_GAP = 50, 50, 10
@@ -28,7 +28,8 @@ SPREAD = 3
 def edge_points(images: DataFrame, light=None, content: str = "content") -> DataFrame:
     """path, x, y, gx, gy: the light pixels that have a dark neighbour beside, above or below them, and the direction in which it grows lighter. light: as for shapes.boxes."""
     test = light or (lambda v: v > LIGHT)
-    rows = pixel_rows(images, content).select("path", "y", F.transform("pixels", lambda v: test(v).cast("int")).alias("b"))
+    # images are dealt out as they are, so the window over their rows finds them together
+    rows = pixel_rows(dealt(images, "path"), content).select("path", "y", F.transform("pixels", lambda v: test(v).cast("int")).alias("b"))
     order = Window.partitionBy("path").orderBy("y")
     three = rows.withColumn("up", F.lag("b").over(order)).withColumn("down", F.lead("b").over(order))
     at = lambda row, i: F.when(F.col(row).isNull() | (i < 0), 0).otherwise(F.coalesce(F.get(row, F.greatest(i, F.lit(0))), F.lit(0)))
@@ -53,19 +54,22 @@ def _voted(points: DataFrame) -> DataFrame:
 def lines(points: DataFrame, votes: int = LINE_VOTES, least: int = LEAST_LENGTH, gap: int = MOST_GAP) -> DataFrame:
     """path, x1, y1, x2, y2 (from left to right, or from top to bottom where upright), points: segments along lines with so many points, no shorter than least, without gaps over gap."""
     points = written(points, "points")
-    voted = _voted(points)
-    strong = written(voted.groupBy("path", "angle", "rho").agg(F.count("*").alias("n")).where(F.col("n") >= votes), "votes")
+    # dealt by image, the votes of one are counted where they're cast
+    strong = written(_voted(dealt(points, "path")).groupBy("path", "angle", "rho").agg(F.count("*").alias("n")).where(F.col("n") >= votes), "votes")
     # a line's votes spread over neighbouring angles and distances; past 179 degrees an angle begins again at 0 and the distance turns its sign
-    steps = [(a, r) for a in range(-SPREAD, SPREAD + 1) for r in range(-SPREAD, SPREAD + 1) if (a, r) != (0, 0)]
+    steps = [(a, r) for a in range(-SPREAD, SPREAD + 1) for r in range(-SPREAD, SPREAD + 1)]
     near = F.explode(F.array(*[F.struct(F.lit(a).alias("a"), F.lit(r).alias("r")) for a, r in steps]))
-    around = strong.select("path", "angle", "rho", "n", near.alias("s")).select("path", (F.col("angle") + F.col("s.a")).alias("a"), (F.col("rho") + F.col("s.r")).alias("r"), F.col("n").alias("other"), F.struct(F.col("angle"), F.col("rho")).alias("by"))
+    # one number for votes, then angle, then distance
+    rank = F.shiftleft(F.col("n"), 32) + F.shiftleft(F.col("angle").cast("long"), 24) + F.col("rho") + (1 << 23)
+    around = dealt(strong, "path").select("path", "angle", "rho", rank.alias("rank"), near.alias("s")).select("path", (F.col("angle") + F.col("s.a")).alias("a"), (F.col("rho") + F.col("s.r")).alias("r"), "rank", ((F.col("s.a") == 0) & (F.col("s.r") == 0)).alias("own"))
     turned = (F.col("a") < 0) | (F.col("a") > 179)
-    around = around.select("path", F.pmod("a", F.lit(180)).alias("angle"), F.when(turned, -F.col("r")).otherwise(F.col("r")).alias("rho"), "other", "by")
-    best = around.groupBy("path", "angle", "rho").agg(F.max(F.struct("other", "by")).alias("m"))
-    lesser = best.join(strong, ["path", "angle", "rho"]).where((F.col("m.other") > F.col("n")) | (F.col("m.other") == F.col("n")) & (F.col("m.by") > F.struct("angle", "rho")))
-    peaks = strong.join(lesser.select("path", "angle", "rho"), ["path", "angle", "rho"], "left_anti").drop("n")
+    around = around.select("path", F.pmod("a", F.lit(180)).alias("angle"), F.when(turned, -F.col("r")).otherwise(F.col("r")).alias("rho"), "rank", "own")
+    met = around.groupBy("path", "angle", "rho").agg(F.max(F.when(F.col("own"), F.col("rank"))).alias("mine"), F.max("rank").alias("best"))
     turn = F.radians(F.col("angle").cast("double"))
-    on = voted.join(peaks, ["path", "angle", "rho"]).withColumn("t", F.round(F.col("y") * F.cos(turn) - F.col("x") * F.sin(turn), 3))
+    peaks = met.where("mine = best").select("path", "angle", "rho", F.cos(turn).alias("cos"), F.sin(turn).alias("sin"))
+    # peaks are few an image
+    on = points.join(peaks, "path").where(F.round(F.col("x") * F.col("cos") + F.col("y") * F.col("sin")).cast("int") == F.col("rho"))
+    on = on.withColumn("t", F.round(F.col("y") * F.col("cos") - F.col("x") * F.col("sin"), 3))
     order = Window.partitionBy("path", "angle", "rho").orderBy("t", "x", "y")
     cut = F.when(F.col("t") - F.lag("t").over(order) <= gap, 0).otherwise(1)
     island = on.withColumn("cut", cut).withColumn("island", F.sum("cut").over(order.rowsBetween(Window.unboundedPreceding, 0)))

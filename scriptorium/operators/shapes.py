@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from scriptorium.operators.components import connected
-from scriptorium.sources.shared import discard, written
+from scriptorium.sources.shared import dealt, discard, written
 
 #: Columns of a block in which runs look for their neighbours.
 BLOCK = 64
@@ -85,7 +85,7 @@ def boxes(images: DataFrame, light=None, content: str = "content") -> DataFrame:
     """path, x, y, w, h, pixels: the boxes around connected light regions (eight neighbours) of binary PGM images that lie within no other region; pixels is how many of the region's own are in it. light: a function of a pixel's value, without it
     "over 127"; pass one of the dark values for ink on paper. Use figures.kept_boxes' tests on them."""
     test = light or (lambda v: v > LIGHT)
-    found = written(runs(pixel_rows(images, content), test).withColumn("id", F.monotonically_increasing_id()), "runs")
+    found = written(runs(pixel_rows(dealt(images), content), test).withColumn("id", F.monotonically_increasing_id()), "runs")
     edges = written(touching(found), "touching")
     roots = connected(edges)
     discard(edges)

@@ -43,6 +43,11 @@ def remove(spark: SparkSession, path: str) -> None:
     system.delete(p, True)
 
 
+def dealt(df: DataFrame, *keys: str) -> DataFrame:
+    """df in as many partitions as shuffles have, rows of equal keys together: before work that makes much of few bytes. Spark deals by bytes, so what is small but far to go would all be one task."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
 def written(df: DataFrame, tag: str) -> DataFrame:
     """df as a table in the shared folder, read back; discard() deletes it."""
     path = scratch(df.sparkSession, tag)

@@ -46,3 +46,15 @@ def test_circles_found_again(spark):
         assert len(got[k]) == len(some)
         for found, want in zip(sorted(got[k]), some):
             assert math.dist(found[:2], want[:2]) <= 2 and abs(found[2] - want[2]) <= 2
+
+
+def test_keys_beyond_int_draw_the_same_lines(spark, tmp_path):
+    """Keys further on by a multiple of all periods; their sums pass an int."""
+    from scriptorium.plans import catalogue
+
+    far, found = 1_890_000_000, []
+    for shift in (0, far):
+        folder = str(tmp_path / str(shift))
+        spark.range(30).selectExpr(f"id + {shift} as s_suppkey").write.parquet(f"{folder}/supplier.parquet")
+        found.append(sorted((r.ten - shift // 10, r.x1, r.y1, r.x2, r.y2, r.points) for r in catalogue.line_segments(spark, folder).collect()))
+    assert found[0] == found[1] != []
