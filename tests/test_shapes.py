@@ -95,3 +95,12 @@ def test_components_of_long_chains(spark):
     assert got == {**{n: min(names[:401]) for n in names[:401]}, **{n: min(names[500:701]) for n in names[500:701]}, names[800]: names[800]}
     assert components.connected(spark.createDataFrame([], "a long, b long")).collect() == []
     assert shapes.boxes(spark.createDataFrame([], "path string, content binary")).select(F.count("*")).first()[0] == 0
+
+
+def test_images_of_a_small_table_are_many_tasks_work(spark, sf_dir):
+    """The images that the queries draw, and the rows of pixels that boxes are looked for in: dealt out, however few bytes they are."""
+    from scriptorium.plans import catalogue
+    from scriptorium.sources.shared import dealt
+
+    drawn = catalogue._drawn(spark, sf_dir)
+    assert len(drawn.inputFiles()) == 4 and dealt(drawn.coalesce(1)).rdd.getNumPartitions() == 4
