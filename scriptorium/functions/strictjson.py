@@ -8,11 +8,14 @@ from __future__ import annotations
 
 import json
 import re
+from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from scriptorium.functions.pieces import in_pieces
+
 #: status: ok, empty, bad_json, not_list. items: the objects with their place in the list (from 1), values as text.
 #: bad_items: what isn't an object, with its place.
 PARSED = "struct<status:string, items:array<struct<no:int,fields:map<string,string>>>, bad_items:array<struct<no:int,raw:string>>>"
@@ -53,8 +56,9 @@ def parse(text: str | None, last_commas: bool = False) -> dict:
 
 
 def parsed(text: Column, last_commas: bool = False) -> Column:
-    def run(texts: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([parse(t, last_commas) for t in texts], columns=["status", "items", "bad_items"])
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for texts in in_pieces(batches):
+            yield pd.DataFrame([parse(t, last_commas) for t in texts], columns=["status", "items", "bad_items"])
 
     return F.pandas_udf(run, PARSED)(text)
 
@@ -69,8 +73,9 @@ def list_elements(text: str | None) -> list[str] | None:
 
 
 def elements(text: Column) -> Column:
-    def run(texts: pd.Series) -> pd.Series:
-        return texts.map(list_elements)
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in in_pieces(batches):
+            yield texts.map(list_elements)
 
     return F.pandas_udf(run, "array<string>")(text)
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from scriptorium.functions.pieces import few_bytes
 from scriptorium.functions.strictjson import elements
 
 
@@ -51,6 +52,7 @@ def merge_numbered(files: DataFrame, pattern: str, name: str = "name") -> tuple[
 def merged(files: DataFrame) -> tuple[DataFrame, DataFrame]:
     """file_no, item_no (from 1), item: every element of numbered files (file_no, raw), each whole as JSON of its own, whatever its fields; and the files that
     aren't a JSON list. The order of the merged list is by file_no, item_no."""
+    few_bytes(files.sparkSession)
     read = files.withColumn("__e", elements(F.col("raw")))
     rows = read.select("file_no", F.posexplode("__e").alias("__k", "item")).select("file_no", (F.col("__k") + 1).alias("item_no"), "item")
     return rows, read.where("__e is null").drop("__e")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from scriptorium.functions.pieces import few_bytes
 from scriptorium.functions.strictjson import json_type, parsed
 
 # The roles that records are given by default; {{QUESTION}} stands there literally.
@@ -23,6 +24,7 @@ LEGACY_SYSTEM = "你是一个占卜和算命解释专家，你需要遵循文本
 
 def parse_answers(df: DataFrame, raw: str = "raw", last_commas: bool = False) -> DataFrame:
     """The other columns, raw, status, items, bad_items. Read once a row; the rows are few and long, so the parse is kept as a column. last_commas: see strictjson.parse."""
+    few_bytes(df.sparkSession)
     others = [c for c in df.columns if c != raw]
     return df.select(*others, raw, parsed(F.col(raw), last_commas).alias("__p")).select(*others, raw, "__p.status", "__p.items", "__p.bad_items")
 

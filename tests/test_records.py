@@ -127,3 +127,17 @@ def test_calls_say_what_they_should():
 @pytest.mark.parametrize("text, status", [('[3, {"a": ",]"}, ]', "ok"), ('[{"a": 1 ,\n}\t,\n]', "ok"), ("[,]", "bad_json"), ("[1,,]", "bad_json"), ('{"a":,}', "bad_json"), ('["a,]', "bad_json"), ('{"a": "\\\\",}', "not_list")])
 def test_last_commas_are_taken_where_asked_for(text, status):
     assert strictjson.parse(text)["status"] == "bad_json" and strictjson.parse(text, True)["status"] == status
+
+
+def test_texts_are_parsed_in_small_pieces():
+    """What is made of the texts of a batch isn't held all at once."""
+    import pandas as pd
+
+    from scriptorium.functions.pieces import in_pieces
+
+    batches = [pd.Series(["a" * 400, None, "b" * 700, "", "c" * 3000, "d" * 10]), pd.Series([], dtype=object), pd.Series(["e" * 600, "f" * 600])]
+    pieces = [p.tolist() for p in in_pieces(iter(batches), 1000)]
+    assert [t for p in pieces for t in p] == [t for b in batches for t in b]
+    assert all(len(p) == 1 or sum(len(t or "") for t in p) <= 1000 for p in pieces) and len(pieces) == 6
+    got = list(strictjson.parsed.__globals__["in_pieces"](iter([pd.Series(["[{}]" * 100_000] * 20)])))
+    assert len(got) == 10
