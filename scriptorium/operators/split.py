@@ -11,6 +11,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from scriptorium.functions.pieces import few_bytes, in_pieces
+
 SEGMENT = "array<struct<seg_no:int,start:int,end:int,text:string>>"
 
 
@@ -104,10 +106,11 @@ def overlap_windows(df: DataFrame, longest: int = 8000, overlap: int = 1000, tex
 
     @F.pandas_udf(SEGMENT)
     def cut(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for batch in batches:
+        for batch in in_pieces(batches):
             yield batch.map(lambda t: [dict(zip(("seg_no", "start", "end", "text"), w)) for w in windows(t, longest, overlap)] if t else [])
 
     if not 0 <= overlap < longest or longest < 20:
         raise ValueError("0 <= overlap < longest and longest >= 20 are needed")
+    few_bytes(df.sparkSession)
     out = df.select(*others, F.explode(cut(F.col(text))).alias("__w"))
     return out.select(*others, "__w.seg_no", "__w.start", "__w.end", F.col("__w.text").alias("segment"))
