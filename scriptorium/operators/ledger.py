@@ -17,9 +17,10 @@ from dataclasses import dataclass
 from datetime import datetime, timezone
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from scriptorium.functions.pieces import few_bytes
 from scriptorium.sources.shared import discard, exists, written
 
 ATTEMPT = "prompt_hash string, response string, attempt int, cause string, asked_at timestamp"
@@ -58,12 +59,20 @@ def answers(attempts: DataFrame) -> DataFrame:
     return attempts.where("response is not null").groupBy("prompt_hash").agg(F.min("response").alias("response"))
 
 
+def _lane(lanes: int) -> Column:
+    return F.conv(F.left("prompt_hash", F.lit(8)), 16, 10).cast("long") % lanes
+
+
+def _held(dealt: DataFrame, lanes: int) -> list[int]:
+    """How many prompts each lane has."""
+    held = {r["lane"]: r["n"] for r in dealt.groupBy("lane").agg(F.count("*").alias("n")).collect()}
+    return [held.get(k, 0) for k in range(lanes)]
+
+
 def slots(prompts: DataFrame, lanes: int) -> DataFrame:
     """prompts (prompt_hash, ...) with lane, place in the lane and slot, the number of the call, all from 0."""
-    dealt = prompts.withColumn("lane", F.conv(F.left("prompt_hash", F.lit(8)), 16, 10).cast("long") % lanes)
-    # a number for each lane
-    held = {r["lane"]: r["n"] for r in dealt.groupBy("lane").agg(F.count("*").alias("n")).collect()}
-    counts = F.array(*[F.lit(held.get(k, 0)) for k in range(lanes)])
+    dealt = prompts.withColumn("lane", _lane(lanes))
+    counts = F.array(*map(F.lit, _held(dealt, lanes)))
     placed = dealt.withColumn("place", F.row_number().over(Window.partitionBy("lane").orderBy("prompt_hash")).cast("long") - 1)
     # of every lane the calls of earlier rounds, and those of this round in lanes before
     before = F.aggregate(counts, F.lit(0).cast("long"), lambda n, c: n + F.least(c.cast("long"), F.col("place")))
@@ -71,9 +80,16 @@ def slots(prompts: DataFrame, lanes: int) -> DataFrame:
     return placed.withColumn("slot", before + same)
 
 
+def slot(counts: list[int], lane: int, place: int) -> int:
+    """The number of one call, as slots() has it."""
+    return sum(min(c, place) for c in counts) + sum(c > place for c in counts[:lane])
+
+
 def ask(prompts: DataFrame, backend, folder: str, policy: Policy = Policy()) -> None:
     """Asks prompts (prompt_hash, prompt; one row each) and writes every attempt into the ledger."""
     run = f"{folder}/{uuid.uuid4().hex}"
+    dealt = prompts.withColumn("lane", _lane(policy.lanes))
+    counts = _held(dealt, policy.lanes)
     begin = time.time() + 0.5
 
     def call(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -97,16 +113,19 @@ def ask(prompts: DataFrame, backend, folder: str, policy: Policy = Policy()) ->
                 system.move(f"{base}/_{name}", f"{base}/{name}")
                 rows.clear()
 
-        started, slot_before, n = None, 0, 0
+        started, slot_before, n, places = None, 0, 0, [0] * policy.lanes
         try:
             for batch in batches:
-                for key, prompt, slot in zip(batch["prompt_hash"], batch["prompt"], batch["slot"]):
+                for key, prompt, lane in zip(batch["prompt_hash"], batch["prompt"], batch["lane"]):
+                    # a lane's prompts come in order, so each has the place that slots() gives it
+                    turn = slot(counts, lane, places[lane])
+                    places[lane] += 1
                     if key in done:
                         continue
-                    at = begin + slot * policy.pause if started is None else started + (slot - slot_before) * policy.pause
+                    at = begin + turn * policy.pause if started is None else started + (turn - slot_before) * policy.pause
                     for k in range(1, policy.attempts + 1):
                         time.sleep(max(0.0, at - time.time()))
-                        started, slot_before = time.time(), slot
+                        started, slot_before = time.time(), turn
                         answer, cause = told(backend, prompt)
                         rows.append((key, answer, k, cause, datetime.fromtimestamp(started, timezone.utc)))
                         n += 1
@@ -119,8 +138,9 @@ def ask(prompts: DataFrame, backend, folder: str, policy: Policy = Policy()) ->
             flush()
         yield pd.DataFrame({"n": [n]})
 
-    dealt = slots(prompts, policy.lanes).repartitionByRange(policy.lanes, "lane").sortWithinPartitions("slot")
-    dealt.select("prompt_hash", "prompt", "slot").mapInPandas(call, "n long").agg(F.sum("n")).collect()
+    # texts move once and are sorted once; a task is a lane, as two in one would wait for each other
+    few_bytes(prompts.sparkSession)
+    dealt.repartitionById(policy.lanes, F.col("lane").cast("int")).select("prompt_hash", "prompt", "lane").sortWithinPartitions("prompt_hash").mapInPandas(call, "n long").agg(F.sum("n")).collect()
 
 
 def answered(df: DataFrame, backend, folder: str, prompt: str = "prompt", out: str = "raw", policy: Policy = Policy()) -> DataFrame:

@@ -89,3 +89,16 @@ def test_one_rate_for_all_lanes(spark, tmp_path, lanes):
     ledger.answered(prompts(spark, n), models.RuleBackend(lambda p: time.sleep(slow) or p), f"file://{tmp_path}/{lanes}", policy=ledger.Policy(pause=pause, lanes=lanes))
     times = sorted(r.asked_at for r in ledger.read(spark, f"file://{tmp_path}/{lanes}").collect())
     assert len(times) == n and (times[-1] - times[0]).total_seconds() / (n - 1) == pytest.approx(pause, rel=0.1)
+
+
+def test_texts_move_to_their_lanes_once(spark, tmp_path, monkeypatch):
+    """Calls are numbered as slots() does, without texts in a window."""
+    counts = [3, 0, 5, 1]
+    every = [ledger.slot(counts, lane, place) for lane, n in enumerate(counts) for place in range(n)]
+    assert sorted(every) == list(range(9))
+    rows = ledger.slots(spark.range(40).selectExpr("sha2(cast(id as string), 256) as prompt_hash"), 4).collect()
+    held = [sum(r.lane == k for r in rows) for k in range(4)]
+    assert all(ledger.slot(held, r.lane, r.place) == r.slot for r in rows)
+    monkeypatch.setattr(ledger, "slots", None)
+    out = ledger.answered(prompts(spark, 9), models.RuleBackend(str.upper), f"file://{tmp_path}/ledger", policy=ledger.Policy(lanes=3))
+    assert {r.raw for r in out.collect()} == {r.prompt.upper() for r in prompts(spark, 9).collect()}
