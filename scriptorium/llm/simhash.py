@@ -12,9 +12,9 @@ bucket costs and emits about as many links as it has members, and connectivity i
 by further bits (see :func:`hamming_links`); how many rows a fingerprint has in the index doesn't depend on how many fingerprints there are.
 
 For the wider radius that a similarity of 0.8 needs (fingerprints of such texts differ in up to 14 of 64 bits, where an index
-over segments no longer prunes), :func:`near_duplicate_groups` takes longer fingerprints, finds candidates by band keys of
-minimal shingle hashes, and confirms links by the shingle sets; check and search in a bucket are alike. What is apart in a bucket after that
-is compared by shingle sets alone.
+over whole segments no longer prunes), :func:`near_duplicate_groups` takes longer fingerprints, whose 64-bit words are the ring. A key is a sample of
+one word's bits (see :func:`sampled`); the chain of that word and of it with its neighbour prunes within a bucket. What the chains leave together is compared by whole fingerprints, and links are
+confirmed by the shingle sets; what is apart after that is compared by shingle sets alone.
 
 Defined results: a null or blank text has fingerprint zero and is linked like any other; rows with a null doc_id take
 part, but a component's id is its smallest non-null doc_id (null if there is none); rows that repeat a doc_id give a row
@@ -389,14 +389,10 @@ def near_duplicates(docs: DataFrame, words: int = 4, max_bits: int = 4) -> DataF
     return reading(own.join(labels.hint("merge"), own["fp"] == labels["node"]).select("doc_id", hexed, "component_id"), own, labels)
 
 
-BANDS, ROWS = 16, 4
-
-
 def band_rows(docs: DataFrame, words: int, lanes: int) -> DataFrame:
-    """doc_id, node (a hash of the whole fingerprint and minima: equal for copies), fp (binary; of the distinct shingles), bands (16 keys of 4 minima), prints (the text's distinct
+    """doc_id, node (a hash of the whole fingerprint and shingles: equal for copies), fp (binary; of the distinct shingles), prints (the text's distinct
     shingles as sorted 32-bit hashes)."""
     kind = docs.schema["doc_id"].dataType.simpleString()
-    factors = MIX[120 : 120 + BANDS * ROWS][None, :]
 
     def run(batches):
         import xxhash
@@ -404,39 +400,155 @@ def band_rows(docs: DataFrame, words: int, lanes: int) -> DataFrame:
         for whole in batches:
             for start in range(0, whole.num_rows, 512):
                 batch = whole.slice(start, 512)
-                out: tuple[list, list, list, list] = ([], [], [], [])
+                out: tuple[list, list, list] = ([], [], [])
                 for x in batch.column(1):
-                    ones, least = np.zeros((lanes, 64), dtype=np.int64), np.full(BANDS * ROWS, 0xFFFFFFFF, dtype=np.uint32)
+                    ones = np.zeros((lanes, 64), dtype=np.int64)
                     # each shingle once, as in the sets that decide: a run of one word repeated doesn't outweigh the rest
                     slabs = [np.unique(h) for h in shingle_hashes(x.as_py(), words)]
                     distinct = np.unique(np.concatenate(slabs)) if len(slabs) > 1 else slabs[0] if slabs else np.array([], dtype=np.uint64)
-                    for at in range(0, len(distinct), 1024):
-                        part = (distinct[at : at + 1024, None] * factors) >> np.uint64(32)
-                        least = np.minimum(least, part.astype(np.uint32).min(axis=0))
                     for at in range(0, len(distinct), SLAB):
                         h = distinct[at : at + SLAB]
                         for k in range(lanes):
                             ones[k] += np.unpackbits(mixed(h, k).view(np.uint8), bitorder="little").reshape(-1, 64).sum(axis=0, dtype=np.int64)
-                    total = len(distinct)
-                    fp = np.packbits(ones * 2 > total, axis=1, bitorder="little").tobytes()
-                    keys = [xxhash.xxh64_intdigest(least[b * ROWS : (b + 1) * ROWS].tobytes(), b) for b in range(BANDS)]
-                    out[0].append(xxhash.xxh64_intdigest(fp + least.tobytes(), SEED))
+                    fp = np.packbits(ones * 2 > len(distinct), axis=1, bitorder="little").tobytes()
+                    out[0].append(xxhash.xxh64_intdigest(fp + distinct.tobytes(), SEED))
                     out[1].append(fp)
-                    out[2].append(np.array(keys, dtype=np.uint64).view(np.int64))
-                    out[3].append(np.unique((distinct >> np.uint64(32)).astype("<u4")).tobytes())
+                    out[2].append(np.unique((distinct >> np.uint64(32)).astype("<u4")).tobytes())
                 node = pa.array(np.array(out[0], dtype=np.uint64).view(np.int64))
-                bands = pa.ListArray.from_arrays(pa.array(np.arange(0, BANDS * (len(out[0]) + 1), BANDS), pa.int32()), pa.array(np.concatenate(out[2]) if out[2] else np.array([], dtype=np.int64)))
-                yield pa.RecordBatch.from_arrays([batch.column(0), node, pa.array(out[1], pa.binary()), bands, pa.array(out[3], pa.binary())], ["doc_id", "node", "fp", "bands", "prints"])
+                yield pa.RecordBatch.from_arrays([batch.column(0), node, pa.array(out[1], pa.binary()), pa.array(out[2], pa.binary())], ["doc_id", "node", "fp", "prints"])
+
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, node long, fp binary, prints binary")
+
+
+#: Of 256 bits 68 may differ for two fingerprints to meet: at similarity 0.8 they differ in 39, deviation 6.
+RADIUS = 68
+#: Bits of a key and keys of a fingerprint, up to 2^19 fingerprints.
+BITS, KEYS = 11, 64
+#: Buckets of more rows are searched breadth first and not row against row; rows that are worked on at once.
+WIDE, HELD = 1024, 1 << 16
+
+
+def sampled(nodes: int, lanes: int) -> list[tuple[int, np.uint64]]:
+    """The keys of a fingerprint: of each the word, and the bits of it that are taken. At similarity 0.8 a bit is equal with probability 0.85, so one of 64 keys of 11 bits is
+    with 0.9997 (the chains' loss included, by simulation). Where there are more fingerprints keys have a bit more for each doubling, so a bucket of unlike ones stays at some 256 rows, and there are more of them."""
+    more = max(0, (max(nodes, 1) - 1).bit_length() - 19)
+    bits, rng = min(BITS + more, 24), np.random.default_rng(SEED)
+    return [(k % lanes, np.uint64(sum(1 << int(b) for b in rng.choice(64, bits, replace=False)))) for k in range(min(255, int(np.ceil(KEYS / 0.848 ** (bits - BITS)))))]
+
+
+def sampled_rows(nodes: DataFrame, keys: list[tuple[int, np.uint64]], lanes: int) -> DataFrame:
+    """key, node, one, two (the key's word of the fingerprint and the next one of the ring) for every key of every node."""
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, node long, fp binary, bands array<long>, prints binary")
+    def run(batches):
+        for batch in batches:
+            fps = np.frombuffer(b"".join(batch.column(1).to_pylist()), dtype=np.uint64).reshape(-1, lanes)
+            for number, (lane, mask) in enumerate(keys):
+                own = fps[:, lane]
+                key = (np.uint64(number) << START) | (mixed(own & mask, 31) >> np.uint64(8))
+                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), batch.column(0), *(pa.array(np.ascontiguousarray(w).view(np.int64)) for w in (own, fps[:, (lane + 1) % lanes]))], ["key", "node", "one", "two"])
+
+    return nodes.select("node", "fp").repartition(_parts(nodes)).mapInArrow(run, "key long, node long, one long, two long")
+
+
+def together(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Of n members the smallest one that the pairs (a, b) join each with."""
+    label = np.arange(n)
+    while True:
+        low, new = np.minimum(label[a], label[b]), label.copy()
+        for ends in (a, b):
+            np.minimum.at(new, ends, low)
+            np.minimum.at(new, label[ends], low)
+        new = new[new]
+        if (new == label).all():
+            return label
+        label = new
+
+
+def bucket_cells(first: np.ndarray, one: np.ndarray, two: np.ndarray, lanes: int) -> np.ndarray:
+    """For rows of whole buckets, each bucket's beginning marked in first: the smallest row of those that the chains of one word and of two join in their bucket."""
+    near_one, near_two = RADIUS // lanes, 2 * RADIUS // lanes
+
+    def alike(a, b):
+        x = np.bitwise_count(one[a] ^ one[b])
+        return (x <= near_one) & (x + np.bitwise_count(two[a] ^ two[b]) <= near_two)
+
+    n, begins = len(first), np.flatnonzero(first)
+    sizes = np.diff(np.append(begins, n))
+    after = np.repeat(begins + sizes, sizes) - np.arange(n) - 1
+    left, right, step = [], [], 1
+    rows = np.flatnonzero((after > 0) & (np.repeat(sizes, sizes) <= WIDE))
+    while len(rows):
+        hit = rows[alike(rows, rows + step)]
+        left.append(hit)
+        right.append(hit + step)
+        step += 1
+        rows = rows[after[rows] >= step]
+    for g in np.flatnonzero(sizes > WIDE):
+        others = np.arange(begins[g], begins[g] + sizes[g])
+        while len(others):
+            queue, others = [others[0]], others[1:]
+            while queue and len(others):
+                at = queue.pop()
+                hit = alike(others, at)
+                found, others = others[hit], others[~hit]
+                left.append(np.full(len(found), at))
+                right.append(found)
+                queue += found.tolist()
+    return together(n, *(np.concatenate(x) if x else np.array([], dtype=np.int64) for x in (left, right)))
+
+
+def cells(batches: Iterator[pa.RecordBatch], lanes: int) -> Iterator[pa.RecordBatch]:
+    """key, n, node of the groups of two and more that chains join in a bucket, from rows (key, block, node, one, two) sorted by key and block. A group's key is a hash of its nodes, so the same group of several buckets
+    has the same rows."""
+    import xxhash
+
+    def found(cols):
+        key, block, node, one, two = cols
+        root = bucket_cells(np.concatenate(([True], (key[1:] != key[:-1]) | (block[1:] != block[:-1]))), one, two, lanes)
+        order = np.lexsort((node, root))
+        order = order[np.bincount(root, minlength=len(root))[root[order]] > 1]
+        if not len(order):
+            return None
+        begins = np.flatnonzero(np.concatenate(([True], root[order[1:]] != root[order[:-1]])))
+        sizes, ids = np.diff(np.append(begins, len(order))), node[order]
+        names = np.array([xxhash.xxh64_intdigest(ids[a : a + n].tobytes(), SEED) for a, n in zip(begins.tolist(), sizes.tolist())], dtype=np.uint64).view(np.int64)
+        return pa.RecordBatch.from_arrays([pa.array(np.repeat(names, sizes)), pa.array(np.repeat(sizes, sizes)), pa.array(ids)], ["key", "n", "node"])
+
+    def upto(end: bool):
+        """What is held, without its last bucket unless it's the end."""
+        nonlocal held
+        cols = [np.concatenate(x) for x in zip(*held)]
+        last = np.flatnonzero((cols[0] != cols[0][-1]) | (cols[1] != cols[1][-1]))
+        cut = len(cols[0]) if end else last[-1] + 1 if len(last) else 0
+        held = [[x[cut:] for x in cols]]
+        return found([x[:cut] for x in cols]) if cut else None
+
+    held, rows = [], 0
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        cols = [batch.column(k).to_numpy() for k in range(5)]
+        held.append(cols[:3] + [x.view(np.uint64) for x in cols[3:]])
+        rows += batch.num_rows
+        # many buckets at once, as each step over them is one of numpy's; a bucket that isn't at its end waits for as many rows more
+        if rows >= HELD:
+            if out := upto(False):
+                yield out
+            rows = 0
+    if held and (out := upto(True)):
+        yield out
 
 
-def sharing(nodes: DataFrame) -> DataFrame:
-    """key, n, node: the band keys that n > 1 nodes have, and these nodes. Nothing else of a node goes out until this is known."""
-    keys = nodes.select("node", F.explode("bands").alias("key"))
-    counts = keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    # one plan at every size: keys that texts share grow with the texts
-    return keys.join(counts.hint("merge"), "key").select("key", "n", "node")
+def sharing(nodes: DataFrame, lanes: int, keep, block_rows: int = 20_000) -> DataFrame:
+    """key, n, node, written by keep: groups of n > 1 nodes whose fingerprints share a key of sampled bits and are joined there by chains. A key that more than block_rows nodes share is dealt out as pairs of blocks."""
+    rows = sampled_rows(nodes, sampled(nodes.count(), lanes), lanes)
+    crowded = keep(rows.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > block_rows), "simhash-crowded")
+    if crowded.isEmpty():
+        rows = rows.withColumn("block", F.lit(0).cast("long"))
+    else:
+        rows = in_blocks(rows.join(crowded.hint("merge"), "key", "left").withColumn("n", F.coalesce("n", F.lit(1))), block_rows)
+    dealt = rows.select("key", "block", "node", "one", "two").repartition(_parts(nodes), "key", "block").sortWithinPartitions("key", "block")
+    return keep(dealt.mapInArrow(lambda it: cells(it, lanes), "key long, n long, node long").distinct(), "simhash-cells")
 
 
 def in_blocks(rows: DataFrame, block_rows: int) -> DataFrame:
@@ -448,7 +560,7 @@ def in_blocks(rows: DataFrame, block_rows: int) -> DataFrame:
 
 
 def similar_links(nodes: DataFrame, members: DataFrame, lanes: int, tight: int, max_bits: int, block_rows: int = 50_000) -> DataFrame:
-    """Links between distinct nodes that share a band key (members) and differ in max_bits or fewer of 64 * lanes bits: of each bucket a spanning
+    """Links between distinct nodes that share a group (members, see sharing) and differ in max_bits or fewer of 64 * lanes bits: of each bucket a spanning
     forest by shortest links. A key that more than block_rows nodes share is dealt out as pairs of blocks."""
     rows = in_blocks(members, block_rows).join(nodes.select("node", "fp").hint("merge"), "node")
     rows = rows.select("key", "block", F.lit(False).alias("kind"), F.col("node").alias("id"), "fp")
@@ -520,7 +632,7 @@ def set_links(ids: list[int], roots: list[int], prints: list[bytes], least: floa
 
 
 def remaining_links(shared: DataFrame, prints: DataFrame, sure: DataFrame, least: float, block_rows: int = 4_000) -> DataFrame:
-    """Links of that similarity between nodes that share a band key and that the links found (sure) leave apart. Every such pair is decided
+    """Links of that similarity between nodes that share a group and that the links found (sure) leave apart. Every such pair is decided
     by its shingle sets, except where other links have joined it. Keys with the same nodes count once."""
     stars = star_components(sure)
     members = shared.select("key", "node").join(stars.hint("merge"), "node", "left").withColumn("root", F.coalesce("root", "node"))
@@ -556,14 +668,14 @@ def near_duplicate_groups(docs: DataFrame, words: int = 5, least: float = 0.8, l
     """doc_id, component_id: texts link where the Jaccard similarity of their shingle sets is at least 0.8.
 
     Such texts share 0.89 of their shingles, so at 0.8 exactly 15 % of SimHash bits differ (39 of 256, deviation 6), against half between
-    unrelated texts. 16 bands of four minima make such a pair a candidate with probability 0.9998. The shortest links of a bucket, of at most 56 bits, are
-    confirmed by the sets first, which joins most of a dense bucket at little cost. As a refused link may have stood for true ones, and bits may lie too far apart
-    by chance, every pair of a bucket that is still apart then is decided by its sets, whatever its bits."""
+    unrelated texts. Keys of sampled bits and chains over the ring of the fingerprint's words make such a pair a candidate with probability 0.9997. The shortest links of a group, of at most 56 bits, are
+    confirmed by the sets first, which joins most of a dense group at little cost. As a refused link may have stood for true ones,
+    every pair of a group that is still apart then is decided by its sets."""
     with tables() as keep:
         with arrow_rows(docs.sparkSession, 1000):  # whole texts go to Python
             own = keep(band_rows(docs, words, lanes), "simhash-bandrows")
-        nodes = keep(own.groupBy("node").agg(F.any_value("fp").alias("fp"), F.any_value("bands").alias("bands"), F.any_value("prints").alias("prints")), "simhash-nodes")
-        members = keep(sharing(nodes), "simhash-bands")
+        nodes = keep(own.groupBy("node").agg(F.any_value("fp").alias("fp"), F.any_value("prints").alias("prints")), "simhash-nodes")
+        members = sharing(nodes, lanes, keep)
         links = keep(similar_links(nodes, members, lanes, tight, max_bits).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "simhash-links")
         prints = keep(nodes.select("node", "prints").join(members.select("node").distinct().hint("merge"), "node", "left_semi"), "simhash-prints")
         sure = keep(confirmed(links, prints, least), "simhash-sure")

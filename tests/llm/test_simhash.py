@@ -183,6 +183,37 @@ def test_repeated_words_outweigh_nothing(spark):
     assert {r.doc_id: r.component_id for r in simhash.near_duplicate_groups(df).collect()} == {i: i // 2 * 2 for i, _ in rows}
 
 
+def test_groups_come_from_fingerprints_by_chains(spark):
+    """Candidates of the wide search are pairs that keys of SimHash bits and the ring's chains find: nearly all of those at 0.8, none of unlike fingerprints."""
+    from scriptorium.llm.storage import tables
+
+    rng, same = np.random.default_rng(5), 300
+    one = rng.integers(0, 1 << 63, (same, 4), dtype=np.uint64)
+    flips = np.packbits(rng.random((same, 256)) < 0.152, axis=1).view(np.uint64).reshape(-1, 4)
+    far = rng.integers(0, 1 << 63, (2000, 4), dtype=np.uint64)
+    fps = np.concatenate([one, one ^ flips, far])
+    df = spark.createDataFrame([(k, x.tobytes()) for k, x in enumerate(fps)], "node long, fp binary")
+    for block_rows in (20_000, 2):
+        with tables() as keep:
+            met = {}
+            for r in simhash.sharing(df.where("node < 600") if block_rows == 2 else df, 4, keep, block_rows).collect():
+                met.setdefault(r.key, set()).add(r.node)
+        pairs = {tuple(sorted(x)) for x in met.values()}
+        wanted = {(k, k + same) for k in range(same)}
+        assert len(wanted & pairs) >= 297 and len(pairs - wanted) <= 3
+
+
+def test_cells_of_small_and_large_buckets_are_alike(monkeypatch):
+    rng = np.random.default_rng(3)
+    base = rng.integers(0, 1 << 63, (40, 2), dtype=np.uint64)
+    words = base[rng.integers(0, 40, 400)] ^ (np.uint64(1) << rng.integers(0, 64, (400, 2)).astype(np.uint64))
+    first = np.zeros(400, dtype=bool)
+    first[[0, 1, 50, 300]] = True
+    small = simhash.bucket_cells(first, words[:, 0], words[:, 1], 4)
+    monkeypatch.setattr(simhash, "WIDE", 10)
+    assert (small == simhash.bucket_cells(first, words[:, 0], words[:, 1], 4)).all() and len(np.unique(small)) < 130
+
+
 def test_set_links_against_all_pairs():
     rng = random.Random(2)
     for _ in range(30):
