@@ -29,29 +29,34 @@ class Accumulate(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.pieces = handle.getMapState("pieces", "seq long", "content string")
+        # pieces are read and added as a whole, as each access goes to the executor and back
+        self.pieces = handle.getListState("pieces", "seq long, content string")
         # the last piece's number (null: not yet there), versions given out, the timer that is set
         self.meta = handle.getValueState("meta", "last long, versions int, timer long")
 
-    def told(self, key, last, versions) -> pd.DataFrame:
-        rows = sorted((k[0], v[0]) for k, v in self.pieces.iterator())
+    def told(self, key, held, last, versions) -> pd.DataFrame:
+        first = min(held)
         # pieces are numbered one by one from the first that is there
-        missing = (last if last is not None else rows[-1][0]) - rows[0][0] + 1 - len(rows)
-        return pd.DataFrame({"call_id": [key[0]], "full_text": ["".join(c for _, c in rows if c is not None)], "n_pieces": [len(rows)], "missing": [missing], "complete": [last is not None and missing == 0], "version": [versions]})
+        missing = (last if last is not None else max(held)) - first + 1 - len(held)
+        text = "".join(c for _, c in sorted(held.items()) if c is not None)
+        return pd.DataFrame({"call_id": [key[0]], "full_text": [text], "n_pieces": [len(held)], "missing": [missing], "complete": [last is not None and missing == 0], "version": [versions]})
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        last, versions, timer = self.meta.get() if self.meta.exists() else (None, 0, None)
-        new, at = False, 0
+        known = self.meta.get()
+        last, versions, timer = known or (None, 0, None)
+        held = dict(self.pieces.get()) if known else {}
+        new, at = {}, 0
         for batch in rows:
             for seq, content, has_choice, end, when in zip(batch["seq"], batch["content"], batch["has_choice"], batch["last"], batch["at"]):
                 at = max(at, int(when.timestamp() * 1000))
                 # the same piece twice is one piece
-                if not self.pieces.containsKey((int(seq),)):
-                    new = True
-                    self.pieces.updateValue((int(seq),), (content if has_choice and not pd.isna(content) else None,))
+                if (seq := int(seq)) not in held:
+                    held[seq] = new[seq] = content if has_choice and not pd.isna(content) else None
                 if end:
-                    last = int(seq)
-        out = self.told(key, last, versions + 1)
+                    last = seq
+        if new:
+            self.pieces.appendList(list(new.items()))
+        out = self.told(key, held, last, versions + 1)
         if timer is not None:
             self.handle.deleteTimer(timer)
             timer = None
@@ -66,7 +71,7 @@ class Accumulate(StatefulProcessor):
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         last, versions, _ = self.meta.get()
         self.meta.update((last, versions + 1, None))
-        yield self.told(key, last, versions + 1)
+        yield self.told(key, dict(self.pieces.get()), last, versions + 1)
 
 
 ACCUMULATED = "call_id {kind}, full_text string, n_pieces long, missing long, complete boolean, version int"

@@ -85,3 +85,35 @@ def test_gaps_and_exits(stream):
     assert sorted((r.conv_id, r.turn, r.text) for r in got) == [(1, 0, "a"), (1, 1, "late"), (1, 2, "c"), (1, 3, "d"), (3, 1, None), (4, 0, "later")]
     got = stream(make, TURNS, [turn(3, 2, "too late", 12), turn(3, 9, "after", 12)])
     assert len(got) == 6
+
+
+def test_pieces_go_to_the_state_together():
+    """A key's pieces of a batch are one access, however many they are."""
+    import pandas as pd
+
+    asked = []
+
+    class Store:
+        def __init__(self, name, held):
+            self.name, self.held = name, held
+
+        def __getattr__(self, what):
+            def run(*args):
+                asked.append((self.name, what))
+                return self.held
+
+            return run
+
+    class Handle:
+        def __getattr__(self, what):
+            return lambda name=None, *args: Store(name, iter(()) if name == "pieces" else None)
+
+    class Times:
+        def getCurrentWatermarkInMs(self):
+            return 0
+
+    work = calls.Accumulate(60)
+    work.init(Handle())
+    rows = pd.DataFrame({"seq": range(200), "content": ["x"] * 200, "has_choice": [True] * 200, "last": [k == 199 for k in range(200)], "at": [pd.Timestamp(START)] * 200})
+    out = list(work.handleInputRows((1,), iter([rows]), Times()))
+    assert out[0]["full_text"][0] == "x" * 200 and sum(name == "pieces" for name, _ in asked) == 1
