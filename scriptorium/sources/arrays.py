@@ -149,16 +149,20 @@ def _odd_slashes(file, at: int) -> bool:
     return n % 2 == 1
 
 
+def _tasks(spark: SparkSession, n: int) -> int:
+    return max(1, min(n, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+
+
 def ranges(spark: SparkSession, address: str, size: int = RANGE) -> DataFrame:
-    """at, upto: the ranges of a file."""
+    """at, upto: the ranges of a file, in as many tasks as shuffles have at most: a task takes one after the other."""
     system, path = _open(address)
     whole = system.get_file_info(path).size
     n = -(-whole // size)
-    return spark.range(0, n, 1, max(1, n)).select((F.col("id") * size).alias("at"), F.least((F.col("id") + 1) * size, F.lit(whole)).alias("upto"))
+    return spark.range(0, n, 1, _tasks(spark, n)).select((F.col("id") * size).alias("at"), F.least((F.col("id") + 1) * size, F.lit(whole)).alias("upto"))
 
 
 def read_array(spark: SparkSession, address: str, size: int = RANGE) -> DataFrame:
-    """at (the byte at which it begins), item: every element of the JSON array in a file, as text, by one task for each range of so many bytes. An element is read by the task in whose range it begins."""
+    """at (the byte at which it begins), item: every element of the JSON array in a file, as text, by ranges of so many bytes, of which a task takes some one after the other. An element is read with the range in which it begins."""
     cut = ranges(spark, address, size)
 
     def summary(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -190,7 +194,7 @@ def read_array(spark: SparkSession, address: str, size: int = RANGE) -> DataFram
                 for at, upto, begin, deep in zip(batch["at"], batch["upto"], batch["inside"], batch["depth"]):
                     yield from _elements(file, int(at), int(upto), int(begin), int(deep))
 
-    return cut.join(state, "at").repartition(max(1, len(told)), "at").mapInPandas(elements, "at long, item string")
+    return cut.join(state, "at").repartition(_tasks(spark, len(told)), "at").mapInPandas(elements, "at long, item string")
 
 
 def _elements(file, at: int, upto: int, inside: int, depth: int) -> Iterator[pd.DataFrame]:
