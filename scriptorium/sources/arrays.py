@@ -150,11 +150,11 @@ def _odd_slashes(file, at: int) -> bool:
 
 
 def _tasks(spark: SparkSession, n: int) -> int:
-    return max(1, min(n, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    return max(1, min(n, 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))))
 
 
 def ranges(spark: SparkSession, address: str, size: int = RANGE) -> DataFrame:
-    """at, upto: the ranges of a file, in as many tasks as shuffles have at most: a task takes one after the other."""
+    """at, upto: the ranges of a file, in four times as many tasks as shuffles have at most: a task takes one after the other."""
     system, path = _open(address)
     whole = system.get_file_info(path).size
     n = -(-whole // size)
