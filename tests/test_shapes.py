@@ -104,3 +104,32 @@ def test_images_of_a_small_table_are_many_tasks_work(spark, sf_dir):
 
     drawn = catalogue._drawn(spark, sf_dir)
     assert len(drawn.inputFiles()) == 4 and dealt(drawn.coalesce(1)).rdd.getNumPartitions() == 4
+
+
+def test_boxes_over_strips_against_walking(spark):
+    """Regions, holes and what is around them, across strips of one row and of a few."""
+    rng = random.Random(11)
+    images = [[[255 if rng.random() < p else 0 for _ in range(w)] for _ in range(h)] for p, w, h in ((0.3, 20, 15), (0.5, 25, 20), (0.6, 150, 6), (0.8, 9, 9), (0.4, 70, 12), (1.0, 5, 4), (0.5, 1, 7), (0.5, 7, 1))]
+    images += [[[255 if max(abs(x - 8), abs(y - 8)) in (0, 1, 4, 8) else 0 for x in range(17)] for y in range(17)]]
+    for strip in (1, 60):
+        got = {}
+        for r in shapes.boxes(frame(spark, images), strip=strip).collect():
+            got.setdefault(int(r.path), []).append((r.x, r.y, r.w, r.h, r.pixels))
+        assert {k: sorted(v) for k, v in got.items()} == {k: v for k, v in enumerate(map(want_boxes, images)) if v}
+
+
+def test_taller_images_have_no_more_rows_to_label(spark, monkeypatch):
+    """What is joined and labelled follows the regions of images, not their rows of pixels."""
+    counted, write = [], shapes.written
+
+    def counting(df, tag):
+        out = write(df, tag)
+        counted[-1] += out.count()
+        return out
+
+    monkeypatch.setattr(shapes, "written", counting)
+    for h in (12, 120):
+        counted.append(0)
+        found = shapes.boxes(frame(spark, [[[255 if 2 <= y < h - 2 and x % 10 > 5 else 0 for x in range(40)] for y in range(h)]] * 2))
+        assert sorted((r.x, r.y, r.w, r.h, r.pixels) for r in found.collect()) == sorted([(x, 2, 4, h - 4, 4 * (h - 4)) for x in (6, 16, 26, 36)] * 2)
+    assert counted[0] == counted[1]
