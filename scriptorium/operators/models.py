@@ -158,13 +158,15 @@ def answer(df: DataFrame, backend: ModelBackend, table: str, prompt: str = "prom
     return ledger.answered(df, backend, table, prompt, out, ledger.Policy(**policy, **({"lanes": parallel} if parallel else {})))
 
 
-def corrected(df: DataFrame, ask, limit: int = 1000, text: str = "text", failed: str | None = None, prompt: Callable[[Column], Column] = lambda s: s) -> DataFrame:
-    """The rows of df with text corrected, all other columns as they are, and the number of failed segments in a column of that name if one is given. Blank texts stay as
-    they are; others are packed into segments, corrected, and joined again; a segment whose call failed keeps its text. ask is what calls() gives, prompt what is said
-    around a segment. Each row is worked out by itself, so rows of one id stay rows of their own and nothing is shuffled."""
+def corrected(df: DataFrame, ask, limit: int = 1000, text: str = "text", failed: str | None = None, prompt: Callable[[Column], Column] = lambda s: s, blank: bool = False) -> DataFrame:
+    """The rows of df with text corrected, all other columns as they are, and the number of failed segments in a column of that name if one is given. Null texts stay as
+    they are, and so do blank ones unless blank has them asked for, too; others are packed into segments, corrected, and joined again; a segment whose call failed keeps
+    its text. ask is what calls() gives, prompt what is said around a segment. Each row is worked out by itself, so rows of one id stay rows of their own and nothing is
+    shuffled."""
     from scriptorium.functions.text import has_ink
 
-    parts = df.withColumn("__s", F.when(has_ink(F.col(text)), packed(F.col(text), limit)))
+    segments = packed(F.col(text), limit)
+    parts = df.withColumn("__s", segments if blank else F.when(has_ink(F.col(text)), segments))
     asked = parts.withColumn("__a", ask.each(F.transform("__s", prompt)))
     whole = F.array_join(F.zip_with("__s", "__a", lambda s, a: F.coalesce(a, s)), "\n")
     lost = F.coalesce(F.size(F.filter("__a", lambda a: a.isNull())), F.lit(0)).cast("long")
@@ -172,6 +174,6 @@ def corrected(df: DataFrame, ask, limit: int = 1000, text: str = "text", failed:
     return (out.withColumn(failed, F.when(F.col("__s").isNotNull(), lost).otherwise(0)) if failed else out).drop("__s", "__a")
 
 
-def correct(df: DataFrame, ask, limit: int = 1000, text: str = "text", key: str = "doc_id") -> DataFrame:
+def correct(df: DataFrame, ask, limit: int = 1000, text: str = "text", key: str = "doc_id", blank: bool = False) -> DataFrame:
     """key, text (corrected), n_failed of each row; see corrected()."""
-    return corrected(df.select(key, text), ask, limit, text, "n_failed")
+    return corrected(df.select(key, text), ask, limit, text, "n_failed", blank=blank)
